@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from lociflow.llm.common import read
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociflow.llm.quality import score, train
+
+    docs = read(spark, sf_dir, "documents")
+    return score(docs, train(docs, read(spark, sf_dir, "labels")))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls, rule_table
 
@@ -40,7 +47,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_tokens=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op9_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
