@@ -15,6 +15,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociflow.llm.near_dedup import link
+
+    return link(read(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls, rule_table
 
@@ -47,7 +53,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_tokens=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_dedup, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op9_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
