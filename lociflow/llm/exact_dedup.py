@@ -23,6 +23,8 @@ from pyspark.sql.window import Window
 from lociflow.llm.common import SPACE_CLASS, flat, utf8, whole
 
 CHUNK = 1 << 16
+#: Bytes hashed together.
+BLOCK = 1 << 18
 # Two primes under 2 ** 31 and a base for each.
 PRIMES = (2147483629, 2147483587)
 BASES = (911382323, 972663749)
@@ -55,14 +57,18 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     text = np.repeat(np.arange(len(sizes)), chunks)
     begin = offsets[:-1][text] + (np.arange(first[-1]) - first[:-1][text]) * CHUNK
     end = np.minimum(begin + CHUNK, offsets[1:][text])
-    out = []
-    some = end > begin
-    place = np.repeat(end, end - begin) - 1 - np.arange(len(data))
-    for k, prime in enumerate(PRIMES):
-        h = np.zeros(first[-1], np.uint64)
-        if some.any():
-            h[some] = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * _table(k)[place], begin[some]) % np.uint64(prime)
-        out.append(h)
+    out = [np.zeros(first[-1], np.uint64) for _ in PRIMES]
+    i = 0
+    while i < first[-1]:  # a few chunks at a time: eight bytes a byte are needed
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + BLOCK, "right")))
+        some = np.flatnonzero(end[i:j] > begin[i:j]) + i
+        if len(some):
+            lo, hi = begin[i], end[j - 1]
+            place = np.repeat(end[i:j], end[i:j] - begin[i:j]) - 1 - np.arange(lo, hi)
+            values = data[lo:hi].astype(np.uint64) + np.uint64(1)
+            for k, prime in enumerate(PRIMES):
+                out[k][some] = np.add.reduceat(values * _table(k)[place], begin[some] - lo) % np.uint64(prime)
+        i = j
     whole_text = [h[first[:-1]].copy() for h in out]
     for i in np.flatnonzero(chunks > 1):
         value = (int(out[0][first[i]]), int(out[1][first[i]]))

@@ -19,8 +19,8 @@ from lociflow.llm.common import WORD_PATTERN, cut, whole
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-#: Documents that one range of keys should hold, so that a range is sorted in memory.
-RANGE_ROWS = 20_000
+#: Documents that one range of keys should hold, so that a hot source is many ranges.
+RANGE_ROWS = 1_000
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import U64, cut, flat, mix, stored, whole, words
+from lociflow.llm.common import U64, flat, mix, stored, whole, words
 from lociflow.llm.components import components
 
 BANDS, ROWS = 20, 4
@@ -171,9 +171,9 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     full = full.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "members")
     shared = spread.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(full, "_bucket").select("bucket", "id", "members")
-    shared = cut(shared)
+    shared = stored(shared)
     degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
-    open_rows = cut(shared.drop("members").join(degree, "id"))
+    open_rows = stored(shared.drop("members").join(degree, "id"))
     texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(open_rows.select("id").distinct(), "id").dropDuplicates(["id"])
     texts = stored(texts)
 
@@ -184,27 +184,27 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
             placed = open_rows.withColumn("root", F.col("id"))
         else:
             placed = open_rows.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        placed = cut(placed)
+        placed = stored(placed)
         lead = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.max(F.struct("degree", "id", "root")).alias("lead")).where("_low < _high")
         lead = lead.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "lead")
         still = placed.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(lead, "_bucket")
         if n < ROUNDS:
             pairs = still.where("root <> lead.root").select(F.col("id").alias("x"), F.col("lead.id").alias("y"))
-            open_rows = cut(still.where("id <> lead.id").select("bucket", "id", "degree"))
+            open_rows = stored(still.where("id <> lead.id").select("bucket", "id", "degree"))
         else:
             one, two = (still.select("bucket", F.col("id").alias(i), F.col("root").alias(f"_{i}")) for i in "xy")
             pairs = one.join(two, "bucket").where("_x <> _y AND x < y").select("x", "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs = stored(pairs)
         if pairs.isEmpty():
             if n == 0 or open_rows.isEmpty():
                 break
             continue
-        found = cut(_linked(pairs, known, texts, width, percent))
-        tested = pairs if tested is None else cut(tested.union(pairs))
-        linked = found if linked is None else cut(linked.union(found))
+        found = stored(_linked(pairs, known, texts, width, percent))
+        tested = pairs if tested is None else stored(tested.union(pairs))
+        linked = found if linked is None else stored(linked.union(found))
         roots = components(linked)
 
     classes = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*key, F.coalesce("root", "id").alias("_root")) if roots is not None else sets.select(*key, F.col("id").alias("_root"))
