@@ -115,9 +115,10 @@ def judge(docs: DataFrame) -> DataFrame:
     norm = normalised(docs)
     rows = docs.select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
     rows = rows.mapInArrow(_fingerprint(False), "doc_id long, text_sha256 string, fp_a long, fp_b long, n_bytes long")
-    joined = rows.join(classes(docs), FP)
-    again = Window.partitionBy("doc_id", *FP).orderBy(F.lit(0))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(again) == 1)
+    # Numbered before the join, so that the join's own exchanges stay free to split a large class.
+    again = Window.partitionBy("doc_id", "text_sha256").orderBy(F.lit(0))
+    joined = rows.withColumn("_again", F.row_number().over(again)).join(classes(docs), FP)
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)
     return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
