@@ -45,6 +45,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociflow.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(read(spark, sf_dir, "documents"), window=35)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +59,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_tokens=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_dedup, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op9_bpe)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociflow.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(read(spark, sf_dir, "documents"), window=400)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_dedup, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op8_substring_dedup, op9_bpe, op10_suffix_dedup)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
