@@ -39,6 +39,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociflow.llm.hnsw import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociflow.llm.mixing import mix_sources
 
@@ -65,7 +71,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"), window=400)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_dedup, op3_url_filter, op4_exact_dedup, op5_sharding, op7_mixing, op8_substring_dedup, op9_bpe, op10_suffix_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality, op2_near_dedup, op3_url_filter, op4_exact_dedup, op5_sharding, op6_nearest, op7_mixing, op8_substring_dedup, op9_bpe, op10_suffix_dedup)
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
