@@ -47,23 +47,26 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, epo
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MAX_EPOCHS, seed: str = "mix", keep: list[Column] | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, taken (words, repeats counted), copies (rows to emit), then `keep`."""
     extra = [c.alias(f"_keep{i}") for i, c in enumerate(keep or [])]
-    light = docs.select(
+    base = [
         "doc_id",
         "source",
         F.regexp_count(whole("text"), F.lit(WORD_PATTERN)).cast("long").alias("size"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 33).alias("key"),
-        *extra,
-    )
-    light = cut(light)
+    ]
+    light = cut(docs.select(*base))
+    rows = docs.select(*base, *extra) if extra else light  # texts don't go through the checkpoint
     sources = source_targets(light.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")), weights, epochs)
     sources = cut(sources).withColumnRenamed("source", "_source")
-    keyed = light.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    # Ranges of the 31-bit key; as many as the source's documents need.
-    keyed = keyed.withColumn("range", F.expr(f"(key * (1 + docs div {RANGE_ROWS})) div {1 << 31}"))
-    sums = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+
+    def ranged(t: DataFrame) -> DataFrame:
+        """Adds the source's columns and the range of the 31-bit key; as many ranges as the source's documents need."""
+        t = t.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        return t.withColumn("range", F.expr(f"(key * (1 + docs div {RANGE_ROWS})) div {1 << 31}"))
+
+    sums = ranged(light).groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("_source"), F.col("range").alias("_range"), F.coalesce(F.sum("range_size").over(upto), F.lit(0)).alias("range_start"))
-    placed = keyed.join(sums, F.col("source").eqNullSafe(F.col("_source")) & (F.col("range") == F.col("_range"))).drop("_source", "_range")
+    placed = ranged(rows).join(sums, F.col("source").eqNullSafe(F.col("_source")) & (F.col("range") == F.col("_range"))).drop("_source", "_range")
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("start", F.col("range_start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.floor("target").cast("long")
