@@ -77,7 +77,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False, m
                 keep = ~gone
                 last = np.zeros(len(keep), bool)
                 kept = np.flatnonzero(keep)
-                last[kept[np.append(doc[kept[1:]] != doc[kept[:-1]], True)]] = True if len(kept) else False
+                if len(kept):
+                    last[kept[np.append(doc[kept[1:]] != doc[kept[:-1]], True)]] = True
                 change = np.zeros(len(data) + 2, np.int8)
                 change[starts[keep]] += 1
                 change[ends[keep]] -= 1
