@@ -5,9 +5,13 @@ just above 1, of the least of the shingles' j-th exponential variates: sketches
 equal registers tell of similar sets. Bands of register values propose candidates; a candidate's similarity is estimated
 jointly from both sketches by likelihood; what may reach the threshold is verified on the full sets.
 
-Equal sets are one class from the start. A bucket's members are compared with its best connected one, linked classes are
-contracted, and only buckets that still hold several classes go on to another such round; what is left after the rounds is
-compared in full. So a group of copies costs a comparison a member, and no link between different classes is lost.
+Equal sets are one class from the start. Every set has a leader: from its buckets' best connected member to that one's,
+until a member leads itself. Comparing each with its leader links most copies of a text at a comparison each. What is left
+in buckets that still hold several classes is found by an exact filter, not by pairing buckets' members: with c the
+shingles shared with the leader, sets x and y of one leader share at most min(c_x, c_y) of the leader's shingles, so a link
+needs as many others in common as are missing, and then the rarest of these others, a prefix, meet. Pairs of a bucket whose
+leaders differ, and the few pairs that the leader's shingles alone could link, are compared in full. No link between
+different classes is lost.
 
 With BANDS of ROWS registers, a pair at the threshold s fails to meet with probability (1 - s ** ROWS) ** BANDS.
 
@@ -18,22 +22,22 @@ null where it has none; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lociflow.llm.common import U64, flat, mix, stored, whole, words
+from lociflow.llm.common import U64, counted, flat, mix, stored, whole, words
 from lociflow.llm.components import components
 
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 # SetSketch's parameters: base, rate of the exponential variates, largest register.
 B, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
-#: Rounds in which a bucket's members meet its best connected one, before the rest is compared in full.
-ROUNDS = 4
 #: An estimate may fall short of the threshold by this many standard deviations.
 DEVIATIONS = 6.0
 #: Texts whose shingles are hashed together: few enough to stay in the cache.
@@ -52,7 +56,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     for k in range(width):
         here = np.arange(len(h)) + k < at[1:][doc]
         part = np.zeros(len(h), np.uint64)
-        part[: len(h) - k] = mix(h[k:] + U64(k + 1) * U64(0xC2B2AE3D27D4EB4F))
+        part[: len(h) - k] = mix(h[k:] + U64((k + 1) * 0xC2B2AE3D27D4EB4F % 2**64))
         total += np.where(here, part, U64(0))
     place = np.arange(len(h)) - at[:-1][doc]
     use = (place <= n[doc] - width) | (place == 0)
@@ -104,7 +108,8 @@ def _sketch(width: int):
                 n = np.diff(edges)
                 sums = []
                 for k in (1, 2):
-                    total = np.concatenate(([0], np.cumsum(mix(h * U64(2 * k + 1) + U64(k))))).astype(np.uint64)
+                    total = np.zeros(len(h) + 1, np.uint64)
+                    np.cumsum(mix(h * U64(2 * k + 1) + U64(k)), out=total[1:])
                     sums.append((total[edges[1:]] - total[edges[:-1]]).astype(np.int64))
                 rows.append((n, *sums, registers(h, edges)))
             n, a, b, r = (np.concatenate(x) for x in zip(*rows, strict=True))
@@ -143,15 +148,41 @@ def _may_reach(threshold: float):
     return run
 
 
+def _common(h: np.ndarray, p: np.ndarray, g: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Shared elements of the i-th sets of both sides."""
+    side = np.concatenate((np.repeat(np.arange(len(p) - 1), np.diff(p)), np.repeat(np.arange(len(q) - 1), np.diff(q))))
+    both = np.concatenate((h, g))
+    order = np.lexsort((both, side))
+    both, side = both[order], side[order]
+    return np.bincount(side[1:][(both[1:] == both[:-1]) & (side[1:] == side[:-1])], minlength=len(p) - 1)
+
+
 def _verify(width: int, percent: int):
+    """a, b, common (shared shingles), linked."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 a, b, s, t = batch.slice(at, SLICE).columns
                 (h, p), (g, q) = shingles(*flat(s), width), shingles(*flat(t), width)
-                common = np.array([len(np.intersect1d(h[p[i] : p[i + 1]], g[q[i] : q[i + 1]], assume_unique=True)) for i in range(len(a))])
-                use = pa.array(100 * common >= percent * (np.diff(p) + np.diff(q) - common))
-                yield pa.RecordBatch.from_arrays([a.filter(use), b.filter(use)], ["a", "b"])
+                common = _common(h, p, g, q)
+                linked = 100 * common >= percent * (np.diff(p) + np.diff(q) - common)
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(common.astype(np.int64)), pa.array(linked)], ["a", "b", "common", "linked"])
+
+    return run
+
+
+def _others(width: int):
+    """The shingles of each text that its leader's text doesn't hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                x, s, t = batch.slice(at, SLICE).columns
+                (h, p), (g, q) = shingles(*flat(s), width), shingles(*flat(t), width)
+                rest = [h[p[i] : p[i + 1]][~np.isin(h[p[i] : p[i + 1]], g[q[i] : q[i + 1]], assume_unique=True)] for i in range(len(x))]
+                size = [len(r) for r in rest]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x.to_numpy(), size)), pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(rest).view(np.int64))], ["id", "others", "shingle"])
 
     return run
 
@@ -173,53 +204,91 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     shared = spread.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(full, "_bucket").select("bucket", "id", "members")
     shared = stored(shared)
     degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
-    open_rows = stored(shared.drop("members").join(degree, "id"))
-    texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(open_rows.select("id").distinct(), "id").dropDuplicates(["id"])
+    rows_of = stored(shared.drop("members").join(degree, "id"))
+    texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(rows_of.select("id").distinct(), "id").dropDuplicates(["id"])
     texts = stored(texts)
-
-    linked = tested = None
-    roots = None
-    for n in range(ROUNDS + 1):
-        if roots is None:
-            placed = open_rows.withColumn("root", F.col("id"))
-        else:
-            placed = open_rows.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        placed = stored(placed)
-        lead = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.max(F.struct("degree", "id", "root")).alias("lead")).where("_low < _high")
-        lead = lead.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "lead")
-        still = placed.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(lead, "_bucket")
-        if n < ROUNDS:
-            pairs = still.where("root <> lead.root").select(F.col("id").alias("x"), F.col("lead.id").alias("y"))
-            open_rows = stored(still.where("id <> lead.id").select("bucket", "id", "degree"))
-        else:
-            one, two = (still.select("bucket", F.col("id").alias(i), F.col("root").alias(f"_{i}")) for i in "xy")
-            pairs = one.join(two, "bucket").where("_x <> _y AND x < y").select("x", "y")
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        if pairs.isEmpty():
-            if n == 0 or open_rows.isEmpty():
-                break
-            continue
-        found = stored(_linked(pairs, known, texts, width, percent))
-        tested = pairs if tested is None else stored(tested.union(pairs))
-        linked = found if linked is None else stored(linked.union(found))
-        roots = components(linked)
-
-    classes = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*key, F.coalesce("root", "id").alias("_root")) if roots is not None else sets.select(*key, F.col("id").alias("_root"))
+    near = functools.partial(_compared, texts=texts, width=width, percent=percent)
+
+    # Leaders, and every set against its own.
+    led = stored(_leaders(rows_of).join(known.select("id", "n"), "id"))
+    star = stored(near(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))))
+    led = led.join(star.select(F.col("a").alias("id"), "common", "linked"), "id", "left")
+    led = led.withColumns({"common": F.coalesce("common", "n"), "root": F.when(F.coalesce("linked", F.lit(False)), F.col("leader")).otherwise(F.col("id"))}).drop("linked")
+    led = stored(led)
+    placed = stored(rows_of.drop("degree").join(led, "id"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min("leader").alias("_first"), F.max("leader").alias("_last")).where("_low < _high")
+    mixed = mixed.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), (F.col("_first") < F.col("_last")).alias("apart"))
+    left = stored(placed.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(mixed, "_bucket").drop("_bucket"))
+    pairs = stored(_left_pairs(left, led, texts, width, percent))
+    found = near(_likely(pairs, known, percent))
+    links = star.union(found).where("linked").select("a", "b")
+    roots = components(links)
+
+    classes = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*key, F.coalesce("root", "id").alias("_root"))
     out = rows.drop("sketch").join(classes, key, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_root")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _linked(pairs: DataFrame, known: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those that the estimate lets through and the full sets confirm."""
+def _leaders(rows: DataFrame) -> DataFrame:
+    """id, leader. From each set to the best connected one in its buckets, until that one leads itself."""
+    best = rows.groupBy("bucket").agg(F.max(F.struct("degree", "id")).alias("top")).select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "top")
+    first = rows.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(best, "_bucket").groupBy("id").agg(F.max("top").alias("top"))
+    led, moved = stored(first.select("id", F.col("top.id").alias("leader"))), 1
+    while moved:
+        up = led.select(F.col("id").alias("leader"), F.col("leader").alias("_up"))
+        led, seen = counted(led.join(up, "leader").select("id", "leader", "_up"), moved=(F.col("_up") != F.col("leader")).cast("int"))
+        led, moved = led.select("id", F.col("_up").alias("leader")), seen["moved"]
+    return led
+
+
+def _left_pairs(left: DataFrame, led: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: all pairs of different classes in `left`, the rows of mixed buckets, that may be linked."""
+    share = percent / (100 + percent)  # of both sizes together, what a link shares at least
+    ends = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    open_sets = stored(left.select("id", "leader", "root", "n", "common").distinct())
+    smallest = open_sets.groupBy("leader").agg(F.min("n").alias("least")).select(F.col("leader").alias("_leader"), "least")
+    open_sets = open_sets.join(smallest, F.col("leader") == F.col("_leader")).drop("_leader")
+    partner = F.greatest(F.col("n") * (percent / 100), F.col("least"))
+    open_sets = stored(open_sets.withColumn("need", F.ceil((F.col("n") + partner) * share - 1e-6) - F.col("common")))
+
+    # Shingles that the leader lacks; of each set a prefix in the order of rarity.
+    both = open_sets.select("id", "leader").join(texts, "id")
+    lead = texts.select(F.col("id").alias("_leader"), F.col("text").alias("_text"))
+    others = both.join(lead, F.col("leader") == F.col("_leader")).select("id", "text", "_text").mapInArrow(_others(width), "id long, others long, shingle long")
+    others = stored(others.join(open_sets.select("id", "leader", "root", "n", "need"), "id"))
+    rare = others.groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("held")).select(F.col("leader").bitwiseXOR(F.lit(1)).alias("_leader"), F.col("shingle").alias("_shingle"), "held")
+    others = others.join(rare, (F.col("leader").bitwiseXOR(F.lit(1)) == F.col("_leader")) & (F.col("shingle") == F.col("_shingle"))).drop("_leader", "_shingle")
+    by_rarity = Window.partitionBy("id").orderBy("held", "shingle")
+    prefix = others.withColumn("nth", F.row_number().over(by_rarity)).where((F.col("nth") <= F.col("others") - F.greatest("need", F.lit(1)) + 1) & (F.col("held") > 1))
+    prefix = stored(prefix.select("leader", "shingle", "id", "root", "n"))
+    x, y = (prefix.select("leader", "shingle", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}")) for k in "xy")
+    alike = (F.col("_x") != F.col("_y")) & (F.col("x") < F.col("y")) & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
+    same = (x["leader"] == y["leader"]) & (x["shingle"] == y["shingle"])
+    meeting = x.join(y, same & alike).select(*ends).distinct()
+
+    # The leader's own shingles alone could do.
+    could = open_sets.where("need <= 0").select("leader", "id", "root", "n", "common")
+    x, y = (could.select("leader", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("common").alias(f"c_{k}")) for k in "xy")
+    enough = F.least("c_x", "c_y") >= (F.col("n_x") + F.col("n_y")) * share - 1e-6
+    near = x.join(y, (x["leader"] == y["leader"]) & alike & enough).select(*ends)
+
+    x, y = (left.where("apart").select("bucket", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("leader").alias(f"l_{k}")) for k in "xy")
+    apart = x.join(y, (x["bucket"] == y["bucket"]) & alike & (F.col("l_x") != F.col("l_y"))).select(*ends)
+    return meeting.union(near).union(apart).distinct()
+
+
+def _likely(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those that the joint estimate lets through."""
     a, b = (known.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}")) for k in "ab")
-    likely = pairs.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_may_reach(percent / 100), "a long, b long")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_may_reach(percent / 100), "a long, b long")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b, common, linked of pairs (a, b) on their full sets."""
     s, t = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return likely.join(t, "b").join(s, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long")
+    return pairs.join(t, "b").join(s, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long, common long, linked boolean")
 
 
 def dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
