@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,19 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: Bytes of text that are worked on together: few enough to stay in the cache.
+BLOCK = 1 << 18
+
+
+def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about BLOCK bytes, one text at least."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1))
+        yield i, j
+        i = j
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words."""
     x = x ^ (x >> U64(32))

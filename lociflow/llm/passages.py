@@ -20,12 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm.common import BYTE_VALUES, U64, flat, mix, powers, prefix_hash, span_hash, stored, whole, words
+from lociflow.llm.common import BYTE_VALUES, U64, blocks, flat, mix, powers, prefix_hash, span_hash, stored, whole, words
 
 MAX_GROUP = 16_384
 SHARD_PIECES = 3000
-#: Bytes of text that are cut together: few enough to stay in the cache.
-BLOCK = 1 << 18
 _PLACE = U64((1 << 28) - 1)
 
 
@@ -53,15 +51,6 @@ class Pieces:
     hash: np.ndarray
 
 
-def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about BLOCK bytes, one text at least."""
-    i, n = 0, len(offsets) - 1
-    while i < n:
-        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1))
-        yield i, j
-        i = j
-
-
 def cut_pieces(values: np.ndarray, at: np.ndarray, window: int, gram: int) -> tuple[Pieces, np.ndarray]:
     """The pieces of texts whose units are values[at[i]:at[i + 1]], and the values' prefix hash."""
     n = len(values)

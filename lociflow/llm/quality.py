@@ -22,14 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import flat, mix, whole, words
+from lociflow.llm.common import blocks, flat, mix, whole, words
 
 PASSAGE = 512
 SAMPLE = 6000
 THRESHOLD = 0.3
 PAIRS = 64
-#: Texts whose features are made together.
-SLICE = 1000
 
 _CLASS = np.full(256, 11, np.uint8)
 for _k, _bytes in enumerate(
@@ -146,9 +144,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                x, first = passages(*flat(part.column("text")))
+            data, offsets = flat(batch.column("text"))
+            for i, j in blocks(offsets):
+                part = batch.slice(i, j - i)
+                x, first = passages(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 lists = pa.ListArray.from_arrays(pa.array((first * FEATURES).astype(np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_label").cast(pa.float64()), lists], ["doc_id", "label", "x"])
 
@@ -166,9 +165,10 @@ def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, keep:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                x, first = passages(*flat(part.column("_text")))
+            data, offsets = flat(batch.column("_text"))
+            for i, j in blocks(offsets):
+                part = batch.slice(i, j - i)
+                x, first = passages(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x, first))], [*part.schema.names[1:], "score"])
 
     inner = docs.select(whole("text").alias("_text"), F.col("doc_id").alias("_doc_id"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)))
