@@ -2,7 +2,7 @@
 
 A window is a run of `window` units (words or bytes) of one text. It has an anchor: of its grams of `gram` units the one of
 least hash, the leftmost of equals. Windows with the same anchor place are neighbours and make up a piece. Equal windows
-have their anchor at the same place, so they lie in pieces with equal anchors: candidates are found by one exchange of
+have their anchor at the same place, so they lie in pieces with equal anchors: candidates are found from counts of
 pieces' hashes, and nothing is sampled. Pieces that occur twice as they are are repeated throughout. Where an anchor has
 several pieces and some of them occur once, their texts go to a shard, which a judge decides (an FM-index or a column-wise
 construction). Anchors with more than MAX_GROUP pieces are recut to single windows, which are counted: equal windows add
@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lociflow.llm.common import BYTE_VALUES, U64, blocks, flat, mix, powers, prefix_hash, span_hash, stored, whole, words
 
@@ -190,11 +189,13 @@ def _judged(judge: Judge) -> Callable:
 
 def repeated_pieces(texts: DataFrame, units: Units, judge: Judge, max_group: int = MAX_GROUP, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """piece, mask: for every piece with a repeated window a bit for each window, or null if all are repeated."""
-    seen = texts.mapInArrow(_survey(units), "anchor long, piece long, n long, text_id long").repartition("anchor")
+    seen = texts.mapInArrow(_survey(units), "anchor long, piece long, n long, text_id long")
     seen = seen.groupBy("anchor", "piece").agg(F.sum("n").alias("n"), F.min("text_id").alias("text_id"))
-    of_anchor = Window.partitionBy("anchor")
-    seen = seen.withColumn("others", F.count(F.lit(1)).over(of_anchor)).withColumn("least", F.min("n").over(of_anchor))
-    seen = stored(seen.where("n > 1 OR others > 1"))
+    # Anchors with several pieces. Counts add up before the shuffle, and the join may split a crowded anchor.
+    crowd = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("others"), F.min("n").alias("least")).where("others > 1")
+    crowd = crowd.select(F.col("anchor").bitwiseXOR(F.lit(1)).alias("_anchor"), "others", "least")
+    seen = seen.withColumn("_anchor", F.col("anchor").bitwiseXOR(F.lit(1))).join(crowd, "_anchor", "left").drop("_anchor")
+    seen = stored(seen.where("n > 1 OR others IS NOT NULL"))
     certain = seen.where("n > 1").select("piece", F.lit(None).cast("binary").alias("mask"))
 
     open_pieces = seen.where("others > 1 AND least = 1")
