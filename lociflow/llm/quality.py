@@ -102,9 +102,9 @@ class Attention:
 
 def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, hidden: int = 24, gate: int = 12, epochs: int = 40, rate: float = 0.01, batch: int = 256) -> Attention:
     """Adam on the log loss of the documents' labels."""
-    mean, scale = x.mean(0), x.std(0) + 0.01
     if len(set(label.tolist())) < 2:
-        return Attention(mean, scale, {}, float(label.mean()) if len(label) else 1.0)
+        return Attention(np.zeros(FEATURES), np.ones(FEATURES), {}, float(label.mean()) if len(label) else 1.0)
+    mean, scale = x.mean(0), x.std(0) + 0.01
     r = np.random.default_rng(5)
     p = {
         "U": r.normal(0, 0.2, (x.shape[1], hidden)), "u": np.zeros(hidden), "V": r.normal(0, 0.3, (hidden, gate)), "G": r.normal(0, 0.3, (hidden, gate)),
@@ -159,9 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return fit(x.flatten().to_numpy().reshape(-1, FEATURES).astype(np.float64), np.concatenate(([0], np.cumsum(sizes))), table["label"].to_numpy())
 
 
-def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted, for every row; then the columns `keep` of docs."""
-    keep = keep or []
+def _scored(docs: DataFrame, model: Attention, columns: list[str], text: str = "text") -> DataFrame:
+    """The given columns as _k0, _k1, ... and _score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,16 +168,19 @@ def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, keep:
             for i, j in blocks(offsets):
                 part = batch.slice(i, j - i)
                 x, first = passages(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x, first))], [*part.schema.names[1:], "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x, first))], [*part.schema.names[1:], "_score"])
 
-    inner = docs.select(whole("text").alias("_text"), F.col("doc_id").alias("_doc_id"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)))
+    inner = docs.select(whole(text).alias("_text"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(columns)))
     kinds = dict(inner.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in inner.columns[1:])
-    out = inner.mapInArrow(run, f"{schema}, score double")
-    return out.select(
-        F.col("_doc_id").alias("doc_id"),
-        held_out(F.col("_doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-        *(F.col(f"_k{i}").alias(k) for i, k in enumerate(keep) if k != "doc_id"),
-    )
+    return inner.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in inner.columns[1:]) + ", _score double")
+
+
+def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score, predicted, for every row."""
+    out = _scored(docs, model, ["doc_id"])
+    return out.select(F.col("_k0").alias("doc_id"), held_out(F.col("_k0")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: Attention, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches the threshold, with their own columns."""
+    return _scored(docs, model, docs.columns).where(F.col("_score") >= threshold).select(*(F.col(f"_k{i}").alias(k) for i, k in enumerate(docs.columns)))
