@@ -20,9 +20,7 @@ ORACLE_SQL = None
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    names = docs.columns
-    scored = quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")), keep=names)
-    return scored.where("predicted = 1").select(*names)
+    return quality.keep_good(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
