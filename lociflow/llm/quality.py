@@ -53,7 +53,8 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         share = np.maximum(length, 1)[:, None]
         x[:, :CLASSES] = np.bincount(of * CLASSES + _CLASS[data], minlength=n * CLASSES).reshape(n, CLASSES) / share
         pair = _PAIR[data[:-1].astype(np.uint16) * np.uint16(256) + data[1:]]
-        x[:, CLASSES : CLASSES + PAIRS] = np.bincount(of[:-1] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS) / share
+        within = text[1:] == text[:-1]
+        x[:, CLASSES : CLASSES + PAIRS] = np.bincount((of[:-1] * PAIRS + pair)[within], minlength=n * PAIRS).reshape(n, PAIRS) / share
         starts, ends, hashes, at = words(data, offsets)
         if len(starts):
             own, doc = of[starts], text[starts]
@@ -63,7 +64,9 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             x[:, k] = number / share[:, 0]
             x[:, k + 1] = np.bincount(own, ends - starts, minlength=n) / some / 20
             # Of the words, those whose pair with the next one has come before in the text.
-            two = mix(hashes + np.roll(hashes, -1) * np.uint64(3) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            following = np.where(np.roll(doc, -1) == doc, np.roll(hashes, -1), np.uint64(0))
+            following[-1] = 0
+            two = mix(hashes + following * np.uint64(3) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             fresh = np.zeros(len(two), bool)
             fresh[np.unique(two, return_index=True)[1]] = True
             x[:, k + 2] = np.bincount(own, ~fresh, minlength=n) / some
