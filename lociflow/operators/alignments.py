@@ -51,7 +51,7 @@ def count_regions(reads: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def self_ligations(reads: DataFrame, most: int = 8000) -> DataFrame:
-    return reads.where(((F.col("rnext") == "=") | (F.col("rnext") == F.col("rname"))) & (F.abs(F.col("pos") - F.col("pnext")) <= most))
+    return reads.where((F.col("rname") != "*") & ((F.col("rnext") == "=") | (F.col("rnext") == F.col("rname"))) & (F.abs(F.col("pos") - F.col("pnext")) <= most))
 
 
 def to_pairs(reads: DataFrame) -> DataFrame:
