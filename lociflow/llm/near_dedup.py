@@ -6,9 +6,10 @@ equal registers tell of similar sets. Bands of register values propose candidate
 jointly from both sketches by likelihood; what may reach the threshold is verified on the full sets.
 
 Equal sets are one class from the start. Every set has a leader: from its buckets' best connected member to that one's,
-until a member leads itself. Comparing each with its leader links most copies of a text at a comparison each. What is left
+until a member leads itself. Comparing each with its leader, and with the set most like that, links most copies of a text at
+two comparisons each. What is left
 in buckets that still hold several classes is found by an exact filter, not by pairing buckets' members: with c the
-shingles shared with the leader, sets x and y of one leader share at most min(c_x, c_y) of the leader's shingles, so a link
+shingles shared with the group's leader, sets x and y of one group share at most min(c_x, c_y) of the leader's shingles, so a link
 needs as many others in common as are missing, and then the rarest of these others, a prefix, meet. Pairs of a bucket whose
 leaders differ, and the few pairs that the leader's shingles alone could link, are compared in full. No link between
 different classes is lost.
@@ -130,7 +131,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = np.zeros(r.shape[:2], np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)
         for k in range(ROWS):
             key = mix(key + r[:, :, k] * U64(0xD1B54A32D192ED03))
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["bucket", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *(pa.array(np.repeat(batch.column(k).to_numpy(), BANDS)) for k in (0, 2))], ["bucket", "id", "copies"])
 
 
 def _may_reach(threshold: float):
@@ -193,27 +194,32 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Documents are linked where 100 * intersection >= percent * union of their sets of `width`-word shingles."""
     rows = stored(docs.select("doc_id", whole("text").alias("text")).mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, sketch binary"))
     key = ["set_a", "set_b", "n_shingles"]
-    sets = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("id"))
+    sets = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     sets = stored(sets)
-    known = rows.join(sets.select(*key, "id"), [*key], "inner").where("doc_id = id").dropDuplicates(["id"]).select("id", F.col("n_shingles").alias("n"), "sketch")
+    known = rows.join(sets, [*key], "inner").where("doc_id = id").dropDuplicates(["id"]).select("id", F.col("n_shingles").alias("n"), "sketch", "copies")
     known = stored(known)
 
-    spread = known.select("id", "sketch").mapInArrow(_bands, "bucket long, id long")
-    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    full = full.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "members")
-    shared = spread.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(full, "_bucket").select("bucket", "id", "members")
+    spread = known.select("id", "sketch", "copies").mapInArrow(_bands, "bucket long, id long, copies long")
+    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum("copies").alias("weight")).where("members > 1")
+    full = full.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "weight")
+    shared = spread.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(full, "_bucket").select("bucket", "id", "copies", "weight")
     shared = stored(shared)
-    degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
-    rows_of = stored(shared.drop("members").join(degree, "id"))
-    texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(rows_of.select("id").distinct(), "id").dropDuplicates(["id"])
+    degree = shared.groupBy("id").agg(F.struct(F.sum("weight").alias("weight"), F.max("copies").alias("copies")).alias("degree"))
+    rows_of = stored(shared.select("bucket", "id").join(degree, "id"))
+    texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(rows_of.select("id").distinct().hint("merge"), "id").dropDuplicates(["id"])
     texts = stored(texts)
     near = functools.partial(_compared, texts=texts, width=width, percent=percent)
 
-    # Leaders, and every set against its own.
+    # Leaders, and every set against its own; then against the one most like the leader, which may be nearer to the middle.
     led = stored(_leaders(rows_of).join(known.select("id", "n"), "id"))
     star = stored(near(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))))
-    led = led.join(star.select(F.col("a").alias("id"), "common", "linked"), "id", "left")
-    led = led.withColumns({"common": F.coalesce("common", "n"), "root": F.when(F.coalesce("linked", F.lit(False)), F.col("leader")).otherwise(F.col("id"))}).drop("linked")
+    like = led.join(star.select(F.col("a").alias("id"), "common"), "id").groupBy("leader").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("share"), "common", "id")).alias("top"))
+    second = like.select(F.col("leader").bitwiseXOR(F.lit(1)).alias("_leader"), F.col("top.id").alias("second"))
+    both = led.withColumn("_leader", F.col("leader").bitwiseXOR(F.lit(1))).join(second, "_leader").drop("_leader").where("id <> second")
+    both = stored(both.select("id", "leader", "second"))
+    star2 = stored(near(both.select(F.col("id").alias("a"), F.col("second").alias("b"))))
+    roots = components(star.union(star2).where("linked").select("a", "b"))
+    led = _referred(led, star, star2, both).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     led = stored(led)
     placed = stored(rows_of.drop("degree").join(led, "id"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min("leader").alias("_first"), F.max("leader").alias("_last")).where("_low < _high")
@@ -221,7 +227,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     left = stored(placed.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(mixed, "_bucket").drop("_bucket"))
     pairs = stored(_left_pairs(left, led, texts, width, percent))
     found = near(_likely(pairs, known, percent))
-    links = star.union(found).where("linked").select("a", "b")
+    links = star.union(star2).union(found).where("linked").select("a", "b")
     roots = components(links)
 
     classes = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*key, F.coalesce("root", "id").alias("_root"))
@@ -243,6 +249,23 @@ def _leaders(rows: DataFrame) -> DataFrame:
     return led
 
 
+def _referred(led: DataFrame, star: DataFrame, star2: DataFrame, both: DataFrame) -> DataFrame:
+    """id, n, leader, common: a group's leader is the one of the two that links more of it; common is what a set shares with
+    it, all for the leader itself."""
+    t = led.join(star.select(F.col("a").alias("id"), F.col("common").alias("_c1"), F.col("linked").alias("_l1")), "id", "left")
+    t = t.join(both.select("id", "second"), "id", "left").join(star2.select(F.col("a").alias("id"), F.col("common").alias("_c2"), F.col("linked").alias("_l2")), "id", "left")
+    t = stored(t)
+    links = [F.count_if(F.coalesce(f"_l{k}", F.lit(False))) for k in (1, 2)]
+    better = t.groupBy("leader").agg((links[1] > links[0]).alias("_better"), F.max("second").alias("_second")).withColumnRenamed("leader", "_leader")
+    t = t.join(better.withColumn("_leader", F.col("_leader").bitwiseXOR(F.lit(1))), F.col("leader").bitwiseXOR(F.lit(1)) == F.col("_leader"))
+    return t.select(
+        "id",
+        "n",
+        F.when(F.col("_better"), F.col("_second")).otherwise(F.col("leader")).alias("leader"),
+        F.coalesce(F.when(F.col("_better"), F.col("_c2")).otherwise(F.col("_c1")), "n").alias("common"),
+    )
+
+
 def _left_pairs(left: DataFrame, led: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b: all pairs of different classes in `left`, the rows of mixed buckets, that may be linked."""
     share = percent / (100 + percent)  # of both sizes together, what a link shares at least
