@@ -71,8 +71,9 @@ def decay(band: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataF
 
 def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
     """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
-    seen = observed(loops)
-    band = band_pairs(segments(loops), least, most)
+    seen = observed(loops).persist()  # read by the knots, the sums and the test
+    points = seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct()
+    band = band_pairs(points, least, most)
     knots = decay(band, seen, quantiles).orderBy("median").collect()  # a row per quantile
     curve = spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else None
 
