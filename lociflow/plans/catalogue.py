@@ -75,8 +75,8 @@ def _clusters(source: str = "ext", suffix: str = "") -> str:
     x = suffix
     return f"""g1{x} AS (SELECT *, max(e1) OVER (PARTITION BY tid, mtid ORDER BY s1, e1 DESC, pet_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r1,
   max(e2) OVER (PARTITION BY tid, mtid ORDER BY s2, e2 DESC, pet_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r2 FROM {source}),
-g2{x} AS (SELECT *, sum(CASE WHEN r1 IS NULL OR s1 > r1 THEN 1 ELSE 0 END) OVER (PARTITION BY tid, mtid ORDER BY s1, e1 DESC, pet_id) AS island1,
-  sum(CASE WHEN r2 IS NULL OR s2 > r2 THEN 1 ELSE 0 END) OVER (PARTITION BY tid, mtid ORDER BY s2, e2 DESC, pet_id) AS island2 FROM g1{x}),
+g2{x} AS (SELECT *, sum(CASE WHEN r1 IS NULL OR s1 > r1 THEN 1 ELSE 0 END) OVER (PARTITION BY tid, mtid ORDER BY s1, e1 DESC, pet_id)::BIGINT AS island1,
+  sum(CASE WHEN r2 IS NULL OR s2 > r2 THEN 1 ELSE 0 END) OVER (PARTITION BY tid, mtid ORDER BY s2, e2 DESC, pet_id)::BIGINT AS island2 FROM g1{x}),
 clusters{x} AS (SELECT tid, mtid, island1, island2, min(s1) AS s1, max(e1) AS e1, min(s2) AS s2, max(e2) AS e2, count(*) AS n FROM g2{x} GROUP BY ALL)"""
 
 
@@ -104,7 +104,7 @@ _MERGED = """m1 AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start
 m2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS g FROM m1),
 merged AS (SELECT chrom, min(start) AS start, max("end") AS "end", count(*) AS n FROM m2 GROUP BY chrom, g)"""
 _DEPTH = """ev AS (SELECT chrom, start AS pos, 1 AS d FROM {t} UNION ALL SELECT chrom, "end", -1 FROM {t}), st AS (SELECT chrom, pos, sum(d) AS d FROM ev GROUP BY ALL HAVING sum(d) <> 0),
-runs AS (SELECT chrom, pos AS start, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS "end", sum(d) OVER (PARTITION BY chrom ORDER BY pos) AS depth FROM st), cov AS (SELECT * FROM runs WHERE depth > 0)"""
+runs AS (SELECT chrom, pos AS start, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS "end", sum(d) OVER (PARTITION BY chrom ORDER BY pos)::BIGINT AS depth FROM st), cov AS (SELECT * FROM runs WHERE depth > 0)"""
 
 # --- intervals -----------------------------------------------------------------------------------------------------
 
