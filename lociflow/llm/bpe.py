@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import whole
+from lociflow.llm.common import in_small_batches, whole
 
 #: Words that one recursive query takes, and words that a Python worker remembers.
-QUERY_WORDS, KNOWN_WORDS = 20_000, 400_000
+QUERY_WORDS, KNOWN_WORDS = 10_000, 200_000
 
 # The leftmost pair of least rank of each word, a step. Positions and sizes count bytes.
 CONTRACT = """
@@ -101,7 +101,7 @@ class Bpe:
                     rank.append(r)
                     # A pair that this token's part makes later than the token: contract such pairs one at a time.
                     alone.update(x for x in (a, b) if x >= r)
-        db = self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        db = self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB"})
         for name, table in (
             ("merges", pa.table({"first": pa.array(first, pa.int32()), "second": pa.array(second, pa.int32()), "rank": pa.array(rank, pa.int32()), "together": pa.array(rank, pa.int32())})),
             ("alone", pa.table({"token": pa.array(sorted(alone), pa.int32())})),
@@ -195,8 +195,8 @@ def encode(docs: DataFrame, path: str, pattern: str, with_tokens: bool = True) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 lists = part.column(1)
                 coded = lists.flatten().dictionary_encode()
                 edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -218,4 +218,4 @@ def encode(docs: DataFrame, path: str, pattern: str, with_tokens: bool = True) -
     schema = f"doc_id {kinds['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded binary" if with_tokens else "")
     # (?U): white space as Unicode has it. The pattern's matches leave nothing of a text out.
     words = F.regexp_extract_all(whole("text"), F.lit(f"(?U){pattern}"), F.lit(0))
-    return docs.select("doc_id", words.alias("words")).mapInArrow(run, schema)
+    return in_small_batches(docs).select("doc_id", words.alias("words")).mapInArrow(run, schema)

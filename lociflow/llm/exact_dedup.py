@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm.common import SPACE_CLASS, flat, utf8, whole
+from lociflow.llm.common import SPACE_CLASS, flat, in_small_batches, utf8, whole
 
 CHUNK = 1 << 16
 #: Bytes hashed together.
@@ -105,7 +105,7 @@ FP = ["fp_a", "fp_b", "n_bytes", "text_sha256"]
 def classes(docs: DataFrame) -> DataFrame:
     """Of each class of equal texts: fp_a, fp_b, n_bytes, text_sha256, keep_id, group_size."""
     norm = normalised(docs)
-    rows = docs.select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
+    rows = in_small_batches(docs).select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
     rows = rows.mapInArrow(_fingerprint(True), "doc_id long, text_sha256 string, fp_a long, fp_b long, n_bytes long, chunks array<binary>")
     return rows.groupBy(*FP, "chunks").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("chunks")
 
@@ -113,7 +113,7 @@ def classes(docs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     norm = normalised(docs)
-    rows = docs.select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
+    rows = in_small_batches(docs).select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
     rows = rows.mapInArrow(_fingerprint(False), "doc_id long, text_sha256 string, fp_a long, fp_b long, n_bytes long")
     # Numbered before the join, so that the join's own exchanges stay free to split a large class.
     again = Window.partitionBy("doc_id", "text_sha256").orderBy(F.lit(0))

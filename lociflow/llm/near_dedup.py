@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm.common import U64, counted, flat, mix, stored, whole, words
+from lociflow.llm.common import U64, counted, flat, in_small_batches, mix, stored, whole, words
 from lociflow.llm.components import components
 
 BANDS, ROWS = 20, 4
@@ -192,7 +192,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs`(doc_id, text).
 
     Documents are linked where 100 * intersection >= percent * union of their sets of `width`-word shingles."""
-    rows = stored(docs.select("doc_id", whole("text").alias("text")).mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, sketch binary"))
+    rows = stored(in_small_batches(docs).select("doc_id", whole("text").alias("text")).mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, sketch binary"))
     key = ["set_a", "set_b", "n_shingles"]
     sets = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     sets = stored(sets)

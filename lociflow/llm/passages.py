@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import BYTE_VALUES, U64, blocks, flat, mix, powers, prefix_hash, span_hash, stored, whole, words
+from lociflow.llm.common import BYTE_VALUES, U64, blocks, flat, in_small_batches, mix, powers, prefix_hash, span_hash, stored, whole, words
 
 MAX_GROUP = 16_384
 SHARD_PIECES = 3000
@@ -221,7 +221,7 @@ def repeated_pieces(texts: DataFrame, units: Units, judge: Judge, max_group: int
 
 def with_repeats(docs: DataFrame, units: Units, judge: Judge, max_group: int = MAX_GROUP) -> DataFrame:
     """docs(doc_id, text) and found: the repeated pieces of each text, null if there are none."""
-    texts = docs.select(F.xxhash64(whole("text")).alias("text_id"), whole("text").alias("text"))
+    texts = in_small_batches(docs).select(F.xxhash64(whole("text")).alias("text_id"), whole("text").alias("text"))
     pieces = stored(repeated_pieces(texts, units, judge, max_group))
     has = texts.mapInArrow(_occurrences(units), "piece long, text_id long").join(pieces, "piece")
     has = has.groupBy("text_id").agg(F.collect_set(F.struct("piece", "mask")).alias("found")).select(F.col("text_id").bitwiseXOR(F.lit(1)).alias("_id"), "found")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import blocks, flat, mix, whole, words
+from lociflow.llm.common import blocks, flat, in_small_batches, mix, whole, words
 
 PASSAGE = 512
 SAMPLE = 6000
@@ -173,7 +173,7 @@ def _scored(docs: DataFrame, model: Attention, columns: list[str], text: str = "
                 x, first = passages(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x, first))], [*part.schema.names[1:], "_score"])
 
-    inner = docs.select(whole(text).alias("_text"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(columns)))
+    inner = in_small_batches(docs).select(whole(text).alias("_text"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(columns)))
     kinds = dict(inner.dtypes)
     return inner.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in inner.columns[1:]) + ", _score double")
 
