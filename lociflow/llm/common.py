@@ -60,10 +60,10 @@ def counted(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict[str, int]]:
 def in_small_batches(docs: DataFrame) -> DataFrame:
     """Bounds what Arrow sends to Python at a time: rows hold whole texts, and 10,000 of them are too many for a worker."""
     conf = docs.sparkSession.conf
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
-        now = str(conf.get(key, "0"))
-        if not now.isdigit() or not 0 < int(now) <= most:
-            conf.set(key, str(most))
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= 1000:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return docs
 
 
