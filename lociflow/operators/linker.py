@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lociflow.functions.sequence import first_match
 
 MIN_TAG = 18
+#: Letters of a stretch of a read, and stretches that are aligned together.
+STRETCH, LANES = 256, 4096
 
 
 def tag_before(seq: Column, linker: str, mismatches: int = 2) -> Column:
@@ -31,55 +33,82 @@ def route(pairs: DataFrame, linker: str, mismatches: int = 2, least: int = MIN_T
     return t.withColumn("route", where).drop("_at1", "_at2")
 
 
-def local_alignment(seqs: list[str], linker: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smith-Waterman (match 1, mismatch and gap -1) of many reads at once: score, start, end of the best placement, the
-    leftmost end of equals. Reads advance together, a column of all matrices a step."""
-    n, m, width = len(seqs), len(linker), max((len(s) for s in seqs), default=0)
-    reads = np.zeros((width, n), np.uint8)
-    for k, s in enumerate(seqs):
-        reads[: len(s), k] = np.frombuffer(s.encode("ascii", "replace"), np.uint8)
-    pattern = np.frombuffer(linker.encode(), np.uint8)
-    score, start = np.zeros((m + 1, n), np.int32), np.zeros((m + 1, n), np.int32)
+def _placements(reads: np.ndarray, pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, start, end of the best placement in each column of `reads`, whose columns advance together, a letter a step.
+
+    A cell is one number: its score, then which way wins a tie (hit, gap in the linker, gap in the read), then its start;
+    without a score the start is that of a placement from here on."""
+    (width, n), m = reads.shape, len(pattern)
+    bits = int(width).bit_length()
+    first, one = 1 << bits, 1 << bits + 2
+    plain = ~(3 * first)
+    letters, row = np.unique(pattern, return_inverse=True)
+    cells, new = np.zeros((m + 1, n), np.int32), np.zeros((m + 1, n), np.int32)
+    up, gap = np.empty((m, n), np.int32), np.empty(n, np.int32)
     best, begin, end = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
     for j in range(width):
-        new, from_ = np.zeros_like(score), np.full_like(start, j + 1)
-        old_start = start.copy()
-        old_start[0] = j
+        hit = np.where(reads[j] == letters[:, None], np.int32(one + 2 * first), np.int32(2 * first - one))
+        np.take(hit, row, axis=0, out=new[1:])
+        new[1:] += cells[:-1]
+        np.add(cells[1:], first - one, out=up)
+        np.maximum(new[1:], up, out=new[1:])
+        np.copyto(new[1:], j + 1, where=new[1:] < one)
+        new[0] = j + 1
         for i in range(1, m + 1):
-            hit = np.where(reads[j] == pattern[i - 1], 1, -1)
-            fresh = np.where(score[i - 1] == 0, j, old_start[i - 1])
-            options = ((score[i - 1] + hit, fresh), (score[i] - 1, start[i]), (new[i - 1] - 1, from_[i - 1]))
-            for value, origin in options:
-                better = value > new[i]
-                new[i] = np.where(better, value, new[i])
-                from_[i] = np.where(better, origin, from_[i])
-        live = reads[j] != 0
-        score, start = np.where(live, new, 0), from_
-        top = score.max(0)
-        better = top > best
-        row = score.argmax(0)
-        begin = np.where(better, start[row, np.arange(n)], begin)
-        end = np.where(better, j + 1, end)
-        best = np.maximum(best, top)
+            np.subtract(new[i - 1], one, out=gap)
+            np.maximum(new[i], gap, out=new[i])
+            np.bitwise_and(new[i], plain, out=new[i])
+        lanes = np.flatnonzero(new.max(0) // one > best)
+        if len(lanes):
+            score = new[:, lanes] // one
+            at = score.argmax(0)
+            best[lanes] = score[at, np.arange(len(lanes))]
+            begin[lanes] = new[at, lanes] % first
+            end[lanes] = j + 1
+        cells, new = new, cells
     return best, begin, end
 
 
+def local_alignment(seqs: list[str], linker: str, stretch: int = STRETCH, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Smith-Waterman (match 1, mismatch and gap -1) of many reads at once: score, start, end of the best placement, the
+    leftmost end of equals.
+
+    Reads of any length are dealt in stretches, `lanes` of them at a time. A placement with a score takes fewer than
+    2 * len(linker) letters (it has fewer gaps than matches), so a stretch that starts that much early misses none."""
+    lead, pattern = 2 * len(linker), np.frombuffer(linker.encode(), np.uint8)
+    data = [s.encode("ascii", "replace") for s in seqs]
+    count = np.array([max(-(-len(s) // stretch), 1) for s in data], np.int64)
+    which = np.repeat(np.arange(len(data)), count)
+    edges = np.concatenate((np.zeros(1, np.int64), np.cumsum(count)))
+    before = np.maximum((np.arange(len(which)) - edges[which]) * stretch - lead, 0)
+    parts = []
+    for at in range(0, len(which), lanes):
+        texts = [data[r][b : (k - edges[r] + 1) * stretch] for k, (r, b) in enumerate(zip(which[at : at + lanes], before[at : at + lanes], strict=True), at)]
+        width = max(len(s) for s in texts)
+        reads = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in texts), np.uint8).reshape(len(texts), width)
+        parts.append(_placements(np.ascontiguousarray(reads.T), pattern))
+    if not parts:
+        return tuple(np.zeros(0, np.int32) for _ in range(3))
+    score, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+    top = np.flatnonzero(score == np.repeat(np.maximum.reduceat(score, edges[:-1]), count))
+    first = top[np.unique(which[top], return_index=True)[1]]
+    return score[first], begin[first] + before[first], end[first] + before[first]
+
+
 def align(reads: DataFrame, linker: str, least: int, seq: str = "seq", limit: int | None = None) -> DataFrame:
     """Adds score, begin, end, strand and accepted of the linker's best placement on either strand; forward wins ties."""
     other = linker.translate(str.maketrans("ACGT", "TGCA"))[::-1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at : at + 256].copy()
-                seqs = part[seq].fillna("").tolist()
-                f, r = local_alignment(seqs, linker), local_alignment(seqs, other)
-                back = (r[0] > f[0]) | ((r[0] == f[0]) & (r[1] < f[1]))
-                for name, a, b in zip(("score", "begin", "end"), f, r, strict=True):
-                    part[name] = np.where(back, b, a).astype("int32")
-                part["strand"] = np.where(part["score"] == 0, ".", np.where(back, "-", "+"))
-                part["accepted"] = part["score"] >= least
-                yield part.drop(columns=[seq])
+            seqs = pdf.pop(seq).fillna("").tolist()
+            f, r = local_alignment(seqs, linker), local_alignment(seqs, other)
+            back = (r[0] > f[0]) | ((r[0] == f[0]) & (r[1] < f[1]))
+            for name, a, b in zip(("score", "begin", "end"), f, r, strict=True):
+                pdf[name] = np.where(back, b, a).astype("int32")
+            pdf["strand"] = np.where(pdf["score"] == 0, ".", np.where(back, "-", "+"))
+            pdf["accepted"] = pdf["score"] >= least
+            yield pdf
 
     rest = [c for c in reads.columns if c != seq]
     schema = ", ".join(f"{c} {t}" for c, t in reads.dtypes if c != seq)

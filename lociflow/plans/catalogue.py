@@ -411,20 +411,26 @@ def linker_route(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mates(spark: SparkSession, sf: str) -> DataFrame:
-    t = relation(spark, sf, "reads").select(F.floor(F.col("read_id") / 2).alias("pair_id"), (F.col("read_id") % 2).alias("k"), F.substring("seq", 1, 120).alias("seq"))
+    t = relation(spark, sf, "reads").select(F.floor(F.col("read_id") / 2).alias("pair_id"), (F.col("read_id") % 2).alias("k"), "seq")
     return t.groupBy("pair_id").agg(F.count(F.lit(1)).alias("c"), *(F.max(F.when(F.col("k") == k, F.col("seq"))).alias(f"seq{k + 1}") for k in (0, 1))).where("c = 2").drop("c")
 
 
+def _sides(spark: SparkSession, sf: str) -> DataFrame:
+    """pair_id, side, seq of both reads of each pair."""
+    side = lambda k: F.struct(F.lit(k).alias("side"), F.col(f"seq{k}").alias("seq"))
+    return _mates(spark, sf).select("pair_id", F.inline(F.array(side(1), side(2))))
+
+
 @query()
 def linker_align(spark: SparkSession, sf: str) -> DataFrame:
-    return linker.align(_mates(spark, sf).select("pair_id", F.col("seq1").alias("seq")), "GTTGGATAAGATATCGC", 9)
+    return linker.align(_sides(spark, sf), "GTTGGATAAGATATCGC", 9)
 
 
 @query(
     f"""{_MATE}, t AS (SELECT CASE WHEN instr(seq1, '{LINKER}') > 0 THEN substr(seq1, 1, greatest(instr(seq1, '{LINKER}') - 1, 0)) ELSE seq1 END AS x, pair_id FROM mates) SELECT pair_id, CASE WHEN x = '' THEN 'A' ELSE x END AS tag FROM t"""
 )
 def linker_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _mates(spark, sf).select("pair_id", linker.tag_before(F.col("seq1"), LINKER, 0).alias("tag"))
+    return _sides(spark, sf).select("pair_id", "side", linker.tag_before(F.col("seq"), LINKER, 0).alias("tag"))
 
 
 # --- phasing -------------------------------------------------------------------------------------------------------

@@ -155,6 +155,23 @@ def test_linkers(spark):
     assert got[0].score >= 6 and got[0].accepted and not got[1].accepted
 
 
+def test_linkers_beyond_the_first_120_letters(spark, tmp_path):
+    r = random.Random(3)
+    text = lambda n: "".join(r.choice("AC") for _ in range(n))
+    aligned = "GTTGGATAAGATATCGC"
+    reads = [text(200) + "GATCG" + text(90), text(700), text(118) + "GATCG", text(10) + "GATCG" + text(400), text(508) + aligned + text(40), text(300), text(150)]
+    frame(spark, list(enumerate(reads)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {x.pair_id: (x.linkers, x.tags, x.route) for x in QUERIES["linker_route"](spark, str(tmp_path)).collect()}
+    assert rows == {0: (1, 2, "two_tag"), 1: (2, 1, "conflict"), 2: (0, 2, "none")}
+    tags = {(x.pair_id, x.side): x.tag for x in QUERIES["linker_split"](spark, str(tmp_path)).collect()}
+    assert tags == {(k // 2, k % 2 + 1): reads[k].split("GATCG")[0] for k in range(6)}
+    got = {(x.pair_id, x.side): x for x in QUERIES["linker_align"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == sorted(tags) and (got[2, 1].score, got[2, 1].begin, got[2, 1].end, got[2, 1].strand) == (17, 508, 525, "+")
+    whole = linker.local_alignment(reads, aligned, stretch=1000)
+    for stretch, lanes in ((1, 3), (50, 2), (256, 4096)):
+        assert all((a == b).all() for a, b in zip(linker.local_alignment(reads, aligned, stretch, lanes), whole, strict=True))
+
+
 def test_statistics(spark):
     t = frame(spark, [(0, 0), (3, 3), (0, 5), (8, 2)], "p long, m long").select(statistics.binomial_half("p", "m").alias("v"))
     assert np.allclose([r.v for r in t.collect()], [1, 1, 0.0625, 0.109375])
