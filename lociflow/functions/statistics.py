@@ -46,6 +46,22 @@ def noncentral_tail(n: int, row: int, column: int, total: int, odds: float) -> f
     return float(min(1.0, weight[n - low :].sum() / weight.sum()))
 
 
+def noncentral_steps(row: int, column: int, total: int, odds: float, least: int, smallest: float, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """P(X >= c) and P(X = c) of the same distribution for c >= least where the first is at most `largest`; the counts where
+    it is at most `smallest` are one entry."""
+    low, high = max(0, row + column - total), min(row, column)
+    k = np.arange(low, high, dtype=float)
+    log = np.concatenate((np.zeros(1), np.cumsum(np.log((row - k) * (column - k) / ((k + 1) * (total - row - column + k + 1)) * odds))))
+    weight = np.exp(log - log.max())
+    weight /= weight.sum()
+    tail = weight[::-1].cumsum()[::-1]
+    at = max(least - low, 0)
+    tail, weight = tail[at:], weight[at:]
+    deep = int((tail > smallest).sum())
+    tail, weight = tail[: deep + 1], np.concatenate((weight[:deep], tail[deep : deep + 1]))
+    return tail[tail <= largest], weight[tail <= largest]
+
+
 @F.pandas_udf(DoubleType())
 def noncentral_p(n: pd.Series, row: pd.Series, column: pd.Series, total: pd.Series, odds: pd.Series) -> pd.Series:
     args = list(zip(n, row, column, total, odds, strict=True))

@@ -1,16 +1,20 @@
 """Significance of loops against the decay of contacts with distance.
 
 Segments are a chromosome's anchors by mid-point. Pairs of segments within a band of distances have an expected count from
-a spline over equal-count distance quantiles; a noncentral hypergeometric tail gives a p-value, a bisection the cutoff."""
+a spline over equal-count distance quantiles; a noncentral hypergeometric tail gives a p-value, a bisection the cutoff;
+false positives are summed over all pairs of the band."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.functions.statistics import noncentral_p, noncentral_tail, odds, spline
+from lociflow.functions.statistics import noncentral_p, noncentral_steps, noncentral_tail, odds, spline
 
 QUANTILES = 500
 
@@ -69,12 +73,10 @@ def decay(band: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataF
     return mean
 
 
-def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
-    """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
-    seen = observed(loops).persist()  # read by the knots, the sums and the test
-    points = seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct()
-    band = band_pairs(points, least, most)
-    knots = decay(band, seen, quantiles).orderBy("median").collect()  # a row per quantile
+def _fit(seen: DataFrame, band: DataFrame, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """What adds expected, _ni, _nj, _total and _odds to pairs of the band. Masked pairs don't take part in the decay."""
+    free = band if masked is None else band.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti")
+    knots = decay(free, seen, quantiles).orderBy("median").collect()  # a row per quantile
     curve = spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else None
 
     @F.pandas_udf("double")
@@ -82,34 +84,98 @@ def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles:
         return pd.Series(curve(delta.to_numpy()).clip(1e-9) if curve else 0.0 * delta)
 
     fitted = band.withColumn("expected", expected("delta"))
-    in_band = seen.join(band.select("chrom", "i", "j", "delta"), ["chrom", "i", "j"])
     sides, sums = marginals(seen), marginals(fitted, "expected")
     all_seen, all_expected = seen.agg(F.sum("n")).first()[0] or 0, fitted.agg(F.sum("expected")).first()[0] or 0.0  # two numbers
-    t = in_band.withColumn("expected", expected("delta"))
-    for k in "ij":
-        t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_n{k}")), ["chrom", k])
-        t = t.join(sums.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_l{k}")), ["chrom", k])
-    p = noncentral_p(F.col("n"), F.col("_ni"), F.col("_nj"), F.lit(2 * all_seen), odds(F.col("expected"), F.col("_li"), F.col("_lj"), F.lit(all_expected)))
-    return t.select("chrom", "i", "j", "n", "expected", p.alias("pvalue"))
 
+    def add(t: DataFrame) -> DataFrame:
+        t = t.withColumn("expected", expected("delta"))
+        for k in "ij":
+            t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_n{k}")), ["chrom", k])
+            t = t.join(sums.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_l{k}")), ["chrom", k])
+        return t.withColumns({"_total": F.lit(2 * all_seen), "_odds": odds(F.col("expected"), F.col("_li"), F.col("_lj"), F.lit(all_expected))})
 
-def fdr_cutoff(tested: DataFrame, fdr: float = 0.05, least_count: int = 3, steps: int = 22) -> float:
-    """The largest p-value cutoff found by bisection at which alpha * tests / positives stays within the rate.
+    return add
 
-    Each step is one aggregate over the tested pairs; nothing but counts comes to the driver."""
-    low, high, tests = 0.0, fdr, tested.count()
-    for _ in range(steps):
-        middle = (low + high) / 2
-        hits = tested.where((F.col("n") >= least_count) & (F.col("pvalue") <= middle)).count()
-        if hits and middle * tests / hits <= fdr:
-            low = middle
-        else:
-            high = middle
-    return low
+
+def _tested(seen: DataFrame, band: DataFrame, add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    t = add(seen.join(band.select("chrom", "i", "j", "delta"), ["chrom", "i", "j"]))
+    p = noncentral_p(F.col("n"), F.col("_ni"), F.col("_nj"), F.col("_total"), F.col("_odds"))
+    return t.select("chrom", "i", "j", "n", "expected", p.alias("pvalue"))
 
 
-def significant(tested: DataFrame, fdr: float = 0.05, least_count: int = 3) -> DataFrame:
-    return tested.where((F.col("n") >= least_count) & (F.col("pvalue") <= fdr_cutoff(tested, fdr, least_count)))
+def _band_of(seen: DataFrame, least: int, most: int) -> DataFrame:
+    return band_pairs(seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct(), least, most)
 
 
-__all__ = ["band_pairs", "decay", "distance_quantiles", "fdr_cutoff", "marginals", "noncentral_tail", "observed", "p_values", "segments", "significant"]
+def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
+    """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
+    seen = observed(loops).persist()  # read by the knots, the sums and the test
+    band = _band_of(seen, least, most)
+    return _tested(seen, band, _fit(seen, band, quantiles))
+
+
+def tails(fitted: DataFrame, fdr: float, least_count: int = 3, steps: int = 22) -> DataFrame:
+    """tail, weight: P(X >= c) and P(X = c) of every pair of the band and c >= least_count, pairs without contacts included.
+
+    With c the least count whose tail is at most alpha, P(X >= c) is the sum of the weights whose tail is at most alpha.
+    Counts below the smallest alpha of a search are one row a pair; tails above `fdr` are never asked for."""
+    smallest = fdr / 100 / 2.0 ** (steps - 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = [noncentral_steps(int(a), int(b), int(n), o, least_count, smallest, fdr) for a, b, n, o in zip(*(pdf[c] for c in pdf), strict=True)]
+            if parts:
+                yield pd.DataFrame({"tail": np.concatenate([t for t, _ in parts]), "weight": np.concatenate([w for _, w in parts])})
+
+    # Without odds (their denominator vanishes) a pair isn't tested.
+    return fitted.where(F.col("_odds").isNotNull()).select("_ni", "_nj", "_total", "_odds").mapInPandas(run, "tail double, weight double")
+
+
+def fdr_cutoff(tested: DataFrame, fdr: float = 0.05, least_count: int = 3, steps: int = 22, tail: DataFrame | None = None) -> float:
+    """The largest p-value cutoff of a bisection below which false positives / positives stay within the rate.
+
+    `tail` has the tails of the whole band; where it isn't given, each of the tested pairs counts as alpha false positives.
+    The search starts at fdr / 100 and ends when positives grow no more. Each step is an aggregate; nothing but sums comes
+    to the driver."""
+    strong = tested.where(F.col("n") >= least_count)
+    tests, attainable = tested.count() if tail is None else 0, strong.count()
+    low, high, alpha, most, rates = 0.0, fdr / 100, fdr / 100, 0, {}
+    for step in range(steps):
+        hits = strong.where(F.col("pvalue") <= alpha).count()
+        false = alpha * tests if tail is None else tail.where(F.col("tail") <= alpha).agg(F.sum("weight")).first()[0] or 0.0
+        rates[alpha] = false / hits if hits else 0.0
+        if rates[alpha] >= fdr:
+            high = alpha
+        else:
+            low, high = alpha, fdr if step == 0 else high
+            if step and (hits <= most or hits == attainable):
+                break
+            most = hits
+        alpha = (low + high) / 2
+    found = 0.0
+    for alpha in sorted(rates):
+        if rates[alpha] > fdr:
+            break
+        found = alpha
+    return found
+
+
+def significant(tested: DataFrame, fdr: float = 0.05, least_count: int = 3, tail: DataFrame | None = None) -> DataFrame:
+    return tested.where((F.col("n") >= least_count) & (F.col("pvalue") <= fdr_cutoff(tested, fdr, least_count, tail=tail)))
+
+
+def refined(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES, fdr: float = 0.05, refine_fdr: float = 0.01, least_count: int = 3) -> DataFrame:
+    """Significant pairs in two rounds: those of the first, at `refine_fdr`, are masked when the decay is fitted again.
+
+    Tables that steps read again are cut from their plans, which would otherwise grow with each and fill the driver."""
+    seen = observed(loops).localCheckpoint()
+    band = _band_of(seen, least, most).localCheckpoint()
+    masked = None
+    for rate in (refine_fdr, fdr):
+        add = _fit(seen, band, quantiles, masked)
+        tested, tail = _tested(seen, band, add).localCheckpoint(), tails(add(band), rate, least_count).localCheckpoint()
+        masked = significant(tested, rate, least_count, tail)
+    return masked
+
+
+__all__ = ["band_pairs", "decay", "distance_quantiles", "fdr_cutoff", "marginals", "noncentral_tail", "observed", "p_values", "refined", "segments", "significant", "tails"]

@@ -513,7 +513,7 @@ def nchg_pvalues(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def fdr_search(spark: SparkSession, sf: str) -> DataFrame:
-    return significance.significant(significance.p_values(_loops(spark, sf), 5000, 200_000, 100).cache())
+    return significance.refined(_loops(spark, sf), 5000, 200_000, 100)
 
 
 def _map(spark: SparkSession, sf: str, k: int) -> DataFrame:

@@ -195,6 +195,62 @@ def test_significance(spark):
     assert significance.fdr_cutoff(tested.cache()) >= 0
 
 
+def test_false_positives_of_the_whole_band(spark):
+    r = random.Random(8)
+    mids = sorted(r.sample(range(0, 90_000, 500), 40))
+    cells = {(a, b): r.choice([2, 2, 3, 5]) for a, b in itertools.combinations(mids, 2) if r.random() < 0.12}
+    cells[mids[3], mids[30]] = 40
+    rows = [(k, "c", i, i, j, j, n) for k, ((i, j), n) in enumerate(cells.items())]
+    t = frame(spark, rows, "loop_id long, chrom string, s1 long, e1 long, s2 long, e2 long, n long")
+    points = sorted({x for c in cells for x in c})
+    band = [(i, j) for i, j in itertools.combinations(points, 2) if 2000 <= j - i <= 60_000]
+    side = {x: sum(n for c, n in cells.items() if x in c) for x in points}
+
+    def fit(masked):
+        deltas = sorted((j - i, cells.get((i, j), 0)) for i, j in band if (i, j) not in masked)
+        size = max(len(deltas) // 6, 1)
+        each = [deltas[q * size : (q + 1) * size if q < 5 else None] for q in range(6)]
+        knots = []
+        for q, part in enumerate(each):
+            low, high = part[0][0], part[-1][0]
+            inside = [n for d, n in deltas if low <= d <= high]
+            knots.append(((deltas[q * size + (size - 1) // 2][0] + deltas[q * size + size // 2][0]) // 2, sum(inside) / len(inside)))
+        curve = statistics.spline(*zip(*knots, strict=True))
+        lam = {(i, j): max(float(curve([j - i])[0]), 1e-9) for i, j in band}
+        sums = {x: sum(v for c, v in lam.items() if x in c) for x in points}
+        total = 2 * sum(lam.values())
+        odd = {(i, j): max(v * (total - sums[i] - sums[j] + v) / ((sums[i] - v) * (sums[j] - v)), 0.1) for (i, j), v in lam.items() if (sums[i] - v) * (sums[j] - v) > 1e-20}
+        tail = lambda c, n: statistics.noncentral_tail(n, side[c[0]], side[c[1]], 2 * sum(cells.values()), odd[c])
+        return lam, {c: tail(c, n) if c in odd else 1.0 for c, n in cells.items() if c in lam}, tail, odd
+
+    def search(p, tail, odd, fdr):
+        hits = lambda a: sum(cells[c] >= 3 and v <= a for c, v in p.items())
+        false = lambda a: sum(tail(c, next(n for n in itertools.count(3) if tail(c, n) <= a)) for c in odd)
+        low, high, alpha, most, rates = 0.0, fdr / 100, fdr / 100, 0, {}
+        for step in range(22):
+            rates[alpha] = false(alpha) / hits(alpha) if hits(alpha) else 0.0
+            if rates[alpha] >= fdr:
+                high = alpha
+            else:
+                low, high = alpha, fdr if step == 0 else high
+                if step and (hits(alpha) <= most or hits(alpha) == hits(2)):
+                    break
+                most = hits(alpha)
+            alpha = (low + high) / 2
+        good = list(itertools.takewhile(lambda a: rates[a] <= fdr, sorted(rates)))
+        return {c for c, v in p.items() if cells[c] >= 3 and v <= (good[-1] if good else 0)}
+
+    masked = set()
+    for fdr in (0.01, 0.05):
+        lam, p, tail, odd = fit(masked)
+        masked = search(p, tail, odd, fdr)
+    got = {(x.i, x.j): x for x in significance.refined(t, 2000, 60_000, 6).collect()}
+    assert set(got) == masked and (mids[3], mids[30]) in masked and len(band) > 2 * len(p)
+    assert all(abs(x.expected - lam[c]) < 1e-9 and abs(x.pvalue - p[c]) < 1e-9 for c, x in got.items())
+    once = significance.p_values(t, 2000, 60_000, 6)
+    assert {(x.i, x.j) for x in significance.significant(once).collect()} != masked
+
+
 def test_phasing(spark):
     peaks = frame(spark, [(1, "c", 0, 10), (2, "c", 20, 30), (3, "c", 40, 50), (4, "c", 60, 70)], "id long, chrom string, start long, end long")
     snps = frame(spark, [("c", 1, 5, "P"), ("c", 10, 5, "M"), ("c", 25, 9, "N"), ("c", 26, 9, "P"), ("c", 45, 1, "M")], "chrom string, pos long, coverage long, allele string")
