@@ -18,7 +18,7 @@ def loops_of(clusters: DataFrame, min_count: int = 2) -> DataFrame:
     order = [F.col(c) for c in ("s1", "e1", "s2", "e2", "island1", "island2")]
     counts = cis.groupBy("tid").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("tid", F.coalesce(F.sum("_n").over(Window.orderBy("tid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    t = cis.join(F.broadcast(before.limit(100_000)), "tid")  # a row per chromosome
+    t = cis.join(before, "tid")  # a row per chromosome, however many there are
     number = F.col("_before") + F.row_number().over(Window.partitionBy("tid").orderBy(*order))
     return t.select(number.alias("loop_id"), F.concat(F.lit("chr"), F.col("tid")).alias("chrom"), "s1", "e1", "s2", "e2", "n")
 

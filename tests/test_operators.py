@@ -114,6 +114,13 @@ def test_refined_clusters(spark):
     assert sorted([x.mtid, x.s1, x.e1, x.s2, x.e2, x.n] for x in got) == sorted(boxes)
 
 
+def test_loops_of_many_contigs(spark):
+    one = lambda k: F.lit(k).cast("long")
+    t = spark.range(100_050).select(F.col("id").alias("tid"), F.col("id").alias("mtid"), *(one(0).alias(c) for c in ("island1", "island2")), *(one(k).alias(c) for k, c in enumerate(("s1", "e1", "s2", "e2", "n"), 1)))
+    got = loops.loops_of(t).agg(F.count(F.lit(1)), F.countDistinct("chrom"), F.min("loop_id"), F.max("loop_id"), F.countDistinct("loop_id")).first()
+    assert tuple(got) == (100_050, 100_050, 1, 100_050, 100_050)
+
+
 def test_rank_cutoff(spark):
     values = lambda xs: frame(spark, [(x,) for x in xs], "n long")
     for xs in ([5], [], [3, 3, 3], [1, 2, 3, 4], list(range(100))):
