@@ -25,9 +25,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; where unset, as in tests, one of our own."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; where unset and all runs in one process, as in tests,
+    one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lociflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,12 +61,14 @@ def counted(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict[str, int]]:
 
 
 def in_small_batches(docs: DataFrame) -> DataFrame:
-    """Bounds what Arrow sends to Python at a time: rows hold whole texts, and 10,000 of them are too many for a worker."""
+    """Bounds what Arrow sends to Python at a time: rows hold whole texts, and 10,000 of them are too many for a worker.
+
+    Plans run after this returns, so the session keeps the bounds; smaller ones of its own stay."""
     conf = docs.sparkSession.conf
-    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if not 0 < rows <= 1000:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
+        now = conf.get(f"spark.sql.execution.arrow.{name}")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     return docs
 
 

@@ -5,30 +5,33 @@ just above 1, of the least of the shingles' j-th exponential variates: sketches
 equal registers tell of similar sets. Bands of register values propose candidates; a candidate's similarity is estimated
 jointly from both sketches by likelihood; what may reach the threshold is verified on the full sets.
 
-Equal sets are one class from the start. Every set has a leader: from its buckets' best connected member to that one's,
-until a member leads itself. Comparing each with its leader, and with the set most like that, links most copies of a text at
-two comparisons each. What is left
-in buckets that still hold several classes is found by an exact filter, not by pairing buckets' members: with c the
-shingles shared with the group's leader, sets x and y of one group share at most min(c_x, c_y) of the leader's shingles, so a link
-needs as many others in common as are missing, and then the rarest of these others, a prefix, meet. Pairs of a bucket whose
-leaders differ, and the few pairs that the leader's shingles alone could link, are compared in full. No link between
-different classes is lost.
+Equal sets are one class from the start; a class has a number of its own, so doc_ids may repeat or be missing. Pairing a
+bucket's members would cost its square, so candidates come in two ways:
+
+* Rounds of leaders. Each bucket's best connected member meets all others of the bucket; classes contract; the best of those
+  that are still apart from it leads the next round, as long as rounds link a fair share of what they compare. A round costs a
+  comparison a member.
+* An exact filter for buckets that still hold several classes. With L the bucket's first leader, let D_x be what x and L
+  don't share (either way) and k = (1 - s) / (1 + s). Sets x, y are linked exactly if |x ^ y| <= k (|x| + |y|), where ^ is the
+  symmetric difference, and |D_x & D_y| = (|D_x| + |D_y| - |x ^ y|) / 2, so a link shares at least (w_x + w_y) / 2 elements
+  of D with w_x = |D_x| - k |x|. That is more than zero where either is not linked with L, so the rarest of D, a prefix, meet.
+  Only pairs that meet so are estimated and verified, and no link between different classes is lost.
 
 With BANDS of ROWS registers, a pair at the threshold s fails to meet with probability (1 - s ** ROWS) ** BANDS.
 
-Defined results: a text without words (or null) has an empty set and is linked with nothing; rows that repeat a doc_id and
-text are one document's; rows without doc_id take part by their text, the component's id being its smallest doc_id, and
-null where it has none; an empty table gives an empty result; other columns are not read.
+Defined results: a text without words (or null) has an empty set and is linked with nothing; rows without doc_id take part
+by their text, a component's id being its smallest doc_id, and null where it has none; rows that repeat a doc_id take part
+each by its own text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -104,8 +107,7 @@ def _sketch(width: int):
         for batch in batches:
             rows = []
             for at in range(0, batch.num_rows, SLICE):
-                part = batch.column(1).slice(at, SLICE)
-                h, edges = shingles(*flat(part), width)
+                h, edges = shingles(*flat(batch.column(3).slice(at, SLICE)), width)
                 n = np.diff(edges)
                 sums = []
                 for k in (1, 2):
@@ -115,7 +117,8 @@ def _sketch(width: int):
                 rows.append((n, *sums, registers(h, edges)))
             n, a, b, r = (np.concatenate(x) for x in zip(*rows, strict=True))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * REGISTERS), len(n), [None, pa.py_buffer(np.ascontiguousarray(r))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(a), pa.array(b), sketch], ["doc_id", "n_shingles", "set_a", "set_b", "sketch"])
+            names = ["doc_id", "hash_a", "hash_b", "n_shingles", "set_a", "set_b", "sketch"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n), pa.array(a), pa.array(b), sketch], names)
 
     return run
 
@@ -131,7 +134,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = np.zeros(r.shape[:2], np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)
         for k in range(ROWS):
             key = mix(key + r[:, :, k] * U64(0xD1B54A32D192ED03))
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *(pa.array(np.repeat(batch.column(k).to_numpy(), BANDS)) for k in (0, 2))], ["bucket", "id", "copies"])
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["bucket", "id"])
 
 
 def _may_reach(threshold: float):
@@ -159,7 +162,7 @@ def _common(h: np.ndarray, p: np.ndarray, g: np.ndarray, q: np.ndarray) -> np.nd
 
 
 def _verify(width: int, percent: int):
-    """a, b, common (shared shingles), linked."""
+    """a, b, linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,153 +171,176 @@ def _verify(width: int, percent: int):
                 (h, p), (g, q) = shingles(*flat(s), width), shingles(*flat(t), width)
                 common = _common(h, p, g, q)
                 linked = 100 * common >= percent * (np.diff(p) + np.diff(q) - common)
-                yield pa.RecordBatch.from_arrays([a, b, pa.array(common.astype(np.int64)), pa.array(linked)], ["a", "b", "common", "linked"])
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(linked)], ["a", "b", "linked"])
 
     return run
 
 
-def _others(width: int):
-    """The shingles of each text that its leader's text doesn't hold."""
+def _apart(width: int):
+    """leader, id, inside, n, n_leader, d, element: what a set and its leader don't share, d elements, a row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
-                x, s, t = batch.slice(at, SLICE).columns
-                (h, p), (g, q) = shingles(*flat(s), width), shingles(*flat(t), width)
-                rest = [h[p[i] : p[i + 1]][~np.isin(h[p[i] : p[i + 1]], g[q[i] : q[i + 1]], assume_unique=True)] for i in range(len(x))]
-                size = [len(r) for r in rest]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x.to_numpy(), size)), pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(rest).view(np.int64))], ["id", "others", "shingle"])
+                part = batch.slice(at, SLICE)
+                (h, p), (g, q) = shingles(*flat(part.column(3)), width), shingles(*flat(part.column(4)), width)
+                rest = [np.setxor1d(h[p[i] : p[i + 1]], g[q[i] : q[i + 1]], assume_unique=True) for i in range(part.num_rows)]
+                size = np.array([len(r) for r in rest], np.int64)
+                each = [*(c.to_numpy(zero_copy_only=False) for c in part.columns[:3]), np.diff(p), np.diff(q), size]
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(c, size)) for c in each), pa.array(np.concatenate(rest).view(np.int64))], ["leader", "id", "inside", "n", "n_leader", "d", "element"])
 
     return run
 
 
-def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of `docs`(doc_id, text).
+KEY = ["set_a", "set_b", "n_shingles"]
+#: A further round of leaders is worth its comparisons if the last one linked this share of them.
+WORTH = 0.05
+
+
+def _hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("hash_a"), F.xxhash64(F.lit("second"), text).alias("hash_b")]
+
+
+def _sketched(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, hash_a, hash_b of the text, and its set's size, key and sketch, for every row."""
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = in_small_batches(docs).select("doc_id", *_hashes(whole("text")), whole("text").alias("text"))
+    return stored(rows.mapInArrow(_sketch(width), f"doc_id {kind}, hash_a long, hash_b long, n_shingles long, set_a long, set_b long, sketch binary"))
+
+
+def _again(column: str) -> Column:
+    """A join key on which the other side isn't dealt out yet, so that the join may split a hot one."""
+    return F.col(column).bitwiseXOR(F.lit(1))
 
-    Documents are linked where 100 * intersection >= percent * union of their sets of `width`-word shingles."""
-    rows = stored(in_small_batches(docs).select("doc_id", whole("text").alias("text")).mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, sketch binary"))
-    key = ["set_a", "set_b", "n_shingles"]
-    sets = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    sets = stored(sets)
-    known = rows.join(sets, [*key], "inner").where("doc_id = id").dropDuplicates(["id"]).select("id", F.col("n_shingles").alias("n"), "sketch", "copies")
-    known = stored(known)
-
-    spread = known.select("id", "sketch", "copies").mapInArrow(_bands, "bucket long, id long, copies long")
-    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum("copies").alias("weight")).where("members > 1")
-    full = full.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "weight")
-    shared = spread.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(full, "_bucket").select("bucket", "id", "copies", "weight")
-    shared = stored(shared)
-    degree = shared.groupBy("id").agg(F.struct(F.sum("weight").alias("weight"), F.max("copies").alias("copies")).alias("degree"))
-    rows_of = stored(shared.select("bucket", "id").join(degree, "id"))
-    texts = docs.select(F.col("doc_id").alias("id"), whole("text").alias("text")).join(rows_of.select("id").distinct().hint("merge"), "id").dropDuplicates(["id"])
-    texts = stored(texts)
-    near = functools.partial(_compared, texts=texts, width=width, percent=percent)
-
-    # Leaders, and every set against its own; then against the one most like the leader, which may be nearer to the middle.
-    led = stored(_leaders(rows_of).join(known.select("id", "n"), "id"))
-    star = stored(near(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))))
-    like = led.join(star.select(F.col("a").alias("id"), "common"), "id").groupBy("leader").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("share"), "common", "id")).alias("top"))
-    second = like.select(F.col("leader").bitwiseXOR(F.lit(1)).alias("_leader"), F.col("top.id").alias("second"))
-    both = led.withColumn("_leader", F.col("leader").bitwiseXOR(F.lit(1))).join(second, "_leader").drop("_leader").where("id <> second")
-    both = stored(both.select("id", "leader", "second"))
-    star2 = stored(near(both.select(F.col("id").alias("a"), F.col("second").alias("b"))))
-    roots = components(star.union(star2).where("linked").select("a", "b"))
-    led = _referred(led, star, star2, both).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    led = stored(led)
-    placed = stored(rows_of.drop("degree").join(led, "id"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min("leader").alias("_first"), F.max("leader").alias("_last")).where("_low < _high")
-    mixed = mixed.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), (F.col("_first") < F.col("_last")).alias("apart"))
-    left = stored(placed.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(mixed, "_bucket").drop("_bucket"))
-    pairs = stored(_left_pairs(left, led, texts, width, percent))
-    found = near(_likely(pairs, known, percent))
-    links = star.union(star2).union(found).where("linked").select("a", "b")
+
+def _components(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of every set in `rows`: its key, component_id (the smallest doc_id of its component) and root, a number of the component."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "hash_a", "hash_b")).alias("first")
+    sets = rows.where("n_shingles > 0").groupBy(*KEY).agg(first, F.max("sketch").alias("sketch"))
+    sets = stored(sets.withColumn("id", F.monotonically_increasing_id()))
+    known = sets.select("id", F.col("n_shingles").alias("n"), "sketch")
+
+    spread = known.select("id", "sketch").mapInArrow(_bands, "bucket long, id long")
+    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(_again("bucket").alias("_bucket"), "members")
+    shared = stored(spread.withColumn("_bucket", _again("bucket")).join(full, "_bucket").select("bucket", "id", "members"))
+    degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
+    shared = stored(shared.select("bucket", "id").join(degree, "id"))
+    wanted = sets.join(degree.select("id"), "id").select("id", F.col("first.doc_id").alias("_doc_id"), F.col("first.hash_a").alias("_a"), F.col("first.hash_b").alias("_b"))
+    texts = docs.select("doc_id", *_hashes(whole("text")), whole("text").alias("text"))
+    texts = texts.join(wanted.hint("merge"), (F.col("hash_a") == F.col("_a")) & (F.col("hash_b") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    texts = stored(texts.select("id", "text").dropDuplicates(["id"]))
+    verified = functools.partial(_verified, known=known, texts=texts, width=width, percent=percent)
+
+    links, roots, shared, pivots = _led(shared, verified)
+    pairs = stored(_meeting(shared, pivots, texts, width, percent))
+    links = links.union(verified(pairs))
     roots = components(links)
 
-    classes = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*key, F.coalesce("root", "id").alias("_root"))
-    out = rows.drop("sketch").join(classes, key, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("_root")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-
-
-def _leaders(rows: DataFrame) -> DataFrame:
-    """id, leader. From each set to the best connected one in its buckets, until that one leads itself."""
-    best = rows.groupBy("bucket").agg(F.max(F.struct("degree", "id")).alias("top")).select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("_bucket"), "top")
-    first = rows.withColumn("_bucket", F.col("bucket").bitwiseXOR(F.lit(1))).join(best, "_bucket").groupBy("id").agg(F.max("top").alias("top"))
-    led, moved = stored(first.select("id", F.col("top.id").alias("leader"))), 1
-    while moved:
-        up = led.select(F.col("id").alias("leader"), F.col("leader").alias("_up"))
-        led, seen = counted(led.join(up, "leader").select("id", "leader", "_up"), moved=(F.col("_up") != F.col("leader")).cast("int"))
-        led, moved = led.select("id", F.col("_up").alias("leader")), seen["moved"]
-    return led
-
-
-def _referred(led: DataFrame, star: DataFrame, star2: DataFrame, both: DataFrame) -> DataFrame:
-    """id, n, leader, common: a group's leader is the one of the two that links more of it; common is what a set shares with
-    it, all for the leader itself."""
-    t = led.join(star.select(F.col("a").alias("id"), F.col("common").alias("_c1"), F.col("linked").alias("_l1")), "id", "left")
-    t = t.join(both.select("id", "second"), "id", "left").join(star2.select(F.col("a").alias("id"), F.col("common").alias("_c2"), F.col("linked").alias("_l2")), "id", "left")
-    t = stored(t)
-    links = [F.count_if(F.coalesce(f"_l{k}", F.lit(False))) for k in (1, 2)]
-    better = t.groupBy("leader").agg((links[1] > links[0]).alias("_better"), F.max("second").alias("_second")).withColumnRenamed("leader", "_leader")
-    t = t.join(better.withColumn("_leader", F.col("_leader").bitwiseXOR(F.lit(1))), F.col("leader").bitwiseXOR(F.lit(1)) == F.col("_leader"))
-    return t.select(
-        "id",
-        "n",
-        F.when(F.col("_better"), F.col("_second")).otherwise(F.col("leader")).alias("leader"),
-        F.coalesce(F.when(F.col("_better"), F.col("_c2")).otherwise(F.col("_c1")), "n").alias("common"),
-    )
-
-
-def _left_pairs(left: DataFrame, led: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: all pairs of different classes in `left`, the rows of mixed buckets, that may be linked."""
-    share = percent / (100 + percent)  # of both sizes together, what a link shares at least
-    ends = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
-    open_sets = stored(left.select("id", "leader", "root", "n", "common").distinct())
-    smallest = open_sets.groupBy("leader").agg(F.min("n").alias("least")).select(F.col("leader").alias("_leader"), "least")
-    open_sets = open_sets.join(smallest, F.col("leader") == F.col("_leader")).drop("_leader")
-    partner = F.greatest(F.col("n") * (percent / 100), F.col("least"))
-    open_sets = stored(open_sets.withColumn("need", F.ceil((F.col("n") + partner) * share - 1e-6) - F.col("common")))
-
-    # Shingles that the leader lacks; of each set a prefix in the order of rarity.
-    both = open_sets.select("id", "leader").join(texts, "id")
-    lead = texts.select(F.col("id").alias("_leader"), F.col("text").alias("_text"))
-    others = both.join(lead, F.col("leader") == F.col("_leader")).select("id", "text", "_text").mapInArrow(_others(width), "id long, others long, shingle long")
-    others = stored(others.join(open_sets.select("id", "leader", "root", "n", "need"), "id"))
-    rare = others.groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("held")).select(F.col("leader").bitwiseXOR(F.lit(1)).alias("_leader"), F.col("shingle").alias("_shingle"), "held")
-    others = others.join(rare, (F.col("leader").bitwiseXOR(F.lit(1)) == F.col("_leader")) & (F.col("shingle") == F.col("_shingle"))).drop("_leader", "_shingle")
-    by_rarity = Window.partitionBy("id").orderBy("held", "shingle")
-    prefix = others.withColumn("nth", F.row_number().over(by_rarity)).where((F.col("nth") <= F.col("others") - F.greatest("need", F.lit(1)) + 1) & (F.col("held") > 1))
-    prefix = stored(prefix.select("leader", "shingle", "id", "root", "n"))
-    x, y = (prefix.select("leader", "shingle", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}")) for k in "xy")
-    alike = (F.col("_x") != F.col("_y")) & (F.col("x") < F.col("y")) & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
-    same = (x["leader"] == y["leader"]) & (x["shingle"] == y["shingle"])
-    meeting = x.join(y, same & alike).select(*ends).distinct()
-
-    # The leader's own shingles alone could do.
-    could = open_sets.where("need <= 0").select("leader", "id", "root", "n", "common")
-    x, y = (could.select("leader", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("common").alias(f"c_{k}")) for k in "xy")
-    enough = F.least("c_x", "c_y") >= (F.col("n_x") + F.col("n_y")) * share - 1e-6
-    near = x.join(y, (x["leader"] == y["leader"]) & alike & enough).select(*ends)
-
-    x, y = (left.where("apart").select("bucket", F.col("id").alias(k), F.col("root").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("leader").alias(f"l_{k}")) for k in "xy")
-    apart = x.join(y, (x["bucket"] == y["bucket"]) & alike & (F.col("l_x") != F.col("l_y"))).select(*ends)
-    return meeting.union(near).union(apart).distinct()
-
-
-def _likely(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those that the joint estimate lets through."""
+    found = sets.select("id", *KEY, F.col("first.doc_id").alias("doc_id")).join(roots.withColumnRenamed("node", "id"), "id", "left")
+    found = found.withColumn("root", F.coalesce("root", "id"))
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(_again("root").alias("_root"), "component_id")
+    return found.select(*KEY, "root").withColumn("_root", _again("root")).join(least, "_root").drop("_root")
+
+
+def _led(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rounds of leaders: links, roots of their components, shared with roots, and bucket, leader of the first round."""
+    left = shared.withColumn("root", F.col("id"))
+    links = pivots = None
+    while True:
+        top = left.groupBy("bucket").agg(F.max(F.struct("degree", "id", "root")).alias("top"), F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
+        top = stored(top.select("bucket", F.col("top.id").alias("leader"), F.col("top.root").alias("_led")))
+        by = top.select(_again("bucket").alias("_bucket"), "leader", "_led")
+        meet = left.withColumn("_bucket", _again("bucket")).join(by, "_bucket").where("root <> _led").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+        meet, seen = counted(meet.distinct())
+        found, linked = counted(verified(meet))
+        links = found if links is None else stored(links.union(found))
+        roots = stored(components(links))
+        pivots = top.select("bucket", "leader") if pivots is None else pivots
+        shared = shared.drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        if linked["rows"] < max(1, WORTH * seen["rows"]):
+            return links, roots, stored(shared), pivots
+        # Whoever is apart from the leader's class goes on.
+        led = top.select("bucket", "leader").join(roots.withColumnRenamed("node", "leader"), "leader", "left").select(_again("bucket").alias("_bucket"), F.coalesce("root", "leader").alias("_led"))
+        rest = left.select("bucket", "id", "degree").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        left = stored(rest.withColumn("_bucket", _again("bucket")).join(led, "_bucket").where("root <> _led").select("bucket", "id", "degree", "root"))
+
+
+def _meeting(shared: DataFrame, pivots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: the pairs of different classes that share a bucket and may be linked, by the exact filter."""
+    mixed = shared.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high").join(pivots, "bucket").select(_again("bucket").alias("_bucket"), "leader")
+    led = shared.withColumn("_bucket", _again("bucket")).join(mixed, "_bucket").select("leader", "id", "root").distinct()
+    top = shared.select(F.col("id").alias("leader"), F.col("root").alias("_led")).distinct()
+    led = stored(led.where("leader <> id").join(top.join(led.select("leader").distinct(), "leader"), "leader").withColumn("inside", F.col("root") == F.col("_led")).drop("_led"))
+    both = led.select("leader", "id", "inside").join(texts, "id").join(texts.select(F.col("id").alias("leader"), F.col("text").alias("_text")), "leader")
+    apart = both.select("leader", "id", "inside", "text", "_text").mapInArrow(_apart(width), "leader long, id long, inside boolean, n long, n_leader long, d long, element long")
+    apart = stored(apart)
+
+    # In units of 1 / (100 + percent): weight w, and of the elements of D that a link shares at least, half the sum of weights.
+    unit, part = 100 + percent, 100 - percent
+    weight = unit * F.col("d") - part * F.col("n")
+    outside = part * F.col("n_leader")  # the weight of sets that aren't linked with the leader is greater
+    whole_up = lambda c: F.greatest(F.ceil(c), F.lit(1))
+    inner = F.when(F.col("inside"), (F.col("w") + outside) / (2 * unit)).otherwise(F.lit(0))
+    # As the lighter of two, and as the heavier one: a lighter x has w_y <= d_x + k n_x.
+    light, heavy = whole_up(F.greatest(F.col("w") / unit, inner)), whole_up(F.greatest((F.col("w") - part * F.floor(100 * F.col("n") / percent)) / unit, inner))
+    held = apart.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select(_again("leader").alias("_leader"), F.col("element").alias("_element"), "held")
+    ranked = apart.join(held, (_again("leader") == F.col("_leader")) & (F.col("element") == F.col("_element")), "left").drop("_leader", "_element")
+    order = Window.partitionBy("leader", "id").orderBy(F.coalesce("held", F.lit(1)), "element")
+    ranked = ranked.withColumn("place", F.row_number().over(order)).where("held > 1").withColumn("w", weight)
+    ranked = ranked.withColumn("light", F.col("place") <= F.col("d") - light + 1).where(F.col("place") <= F.col("d") - heavy + 1)
+    ranked = ranked.select("leader", "id", "element", "n", "d", "w", "place", "light").join(led.select("leader", "id", "root"), ["leader", "id"])
+    ranked = stored(ranked)
+    several = ranked.groupBy("leader", "element").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high").select("leader", "element")
+    ranked = ranked.join(several.select(_again("leader").alias("_leader"), F.col("element").alias("_element")), (_again("leader") == F.col("_leader")) & (F.col("element") == F.col("_element"))).drop("_leader", "_element")
+    x, y = (ranked.select("leader", "element", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "root", "n", "d", "w", "place", "light"))) for k in "xy")
+    lighter = (F.col("w_x") < F.col("w_y")) | ((F.col("w_x") == F.col("w_y")) & (F.col("id_x") < F.col("id_y")))
+    alike = (F.col("root_x") != F.col("root_y")) & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
+    # From the first element that they share, no more than the shorter rest can follow.
+    enough = 2 * unit * (1 + F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y"))) >= F.col("w_x") + F.col("w_y")
+    meet = x.where("light_x").join(y, (x["leader"] == y["leader"]) & (x["element"] == y["element"]) & lighter & alike & enough)
+    return meet.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those that are linked: the joint estimate lets them through, and their full sets are compared."""
     a, b = (known.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}")) for k in "ab")
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_may_reach(percent / 100), "a long, b long")
+    likely = pairs.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_may_reach(percent / 100), "a long, b long")
+    s, t = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    both = likely.join(t, "b").join(s, "a").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(_verify(width, percent), "a long, b long, linked boolean").where("linked").select("a", "b")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b, common, linked of pairs (a, b) on their full sets."""
-    s, t = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return pairs.join(t, "b").join(s, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long, common long, linked boolean")
+def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of `docs`(doc_id, text).
+
+    Documents are linked where 100 * intersection >= percent * union of their sets of `width`-word shingles. Rows without
+    doc_id are kept if their component has no doc_id."""
+    rows = _sketched(docs, width)
+    out = rows.drop("sketch").join(_components(docs, rows, width, percent).drop("root"), KEY, "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows that stay, one of each component, with their own columns."""
-    kept = link(docs, width, percent).where("kept").select("doc_id").distinct().withColumnRenamed("doc_id", "_doc_id")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
+    """The rows that stay, one of each component, with their own columns: the one with the smallest doc_id, any of repeated
+    rows, one without doc_id only where the component has none. Texts without words all stay."""
+    rows = _sketched(docs, width)
+    row = ["doc_id", "hash_a", "hash_b"]
+    placed = stored(rows.where("n_shingles > 0").join(_components(docs, rows, width, percent), KEY).select("root", *row))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), *row)).alias("first")
+    stays = placed.groupBy("root").agg(first).select(_again("root").alias("_root"), "first")
+    same = F.lit(True)
+    for c in row:
+        same = same & F.col(c).eqNullSafe(F.col(f"first.{c}"))
+    marked = placed.withColumn("_root", _again("root")).join(stays, "_root").select(*row, same.alias("stays"))
+    copies = marked.groupBy(*row).agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("copies"))
+    odd, seen = counted(copies.where("NOT stays OR copies > 1"), again=F.col("stays").cast("int"))
+
+    inner = docs.select(F.struct("*").alias("row"), *_hashes(whole("text")))
+    on = (F.col("hash_a") == F.col("_a")) & (F.col("hash_b") == F.col("_b")) & F.col("row.doc_id").eqNullSafe(F.col("_doc_id"))
+    names = [F.col("doc_id").alias("_doc_id"), F.col("hash_a").alias("_a"), F.col("hash_b").alias("_b")]
+    out = inner.join(odd.select(*names), on, "left_anti")
+    if seen["again"]:
+        repeated = inner.join(odd.where("stays").select(*names), on, "left_semi").withColumn("_doc_id", F.col("row.doc_id"))
+        out = out.unionByName(repeated.dropDuplicates(["_doc_id", "hash_a", "hash_b"]).drop("_doc_id"))
+    return out.select("row.*")
