@@ -21,9 +21,9 @@ def first_match(seq: Column, linker: str, mismatches: int) -> Column:
     return F.when(at > 0, at - 1)
 
 
-def reference_length(cigar: Column) -> Column:
-    """Bases of the reference that an alignment takes: operations M, D, N, = and X."""
-    parts = F.regexp_extract_all(cigar, F.lit("([0-9]+)[MDN=X]"), F.lit(1))
+def reference_length(cigar: Column, operations: str = "MDN=X") -> Column:
+    """Bases of the reference that an alignment takes."""
+    parts = F.regexp_extract_all(cigar, F.lit(f"([0-9]+)[{operations}]"), F.lit(1))
     return F.aggregate(parts, F.lit(0), lambda a, x: a + x.cast("int"))
 
 

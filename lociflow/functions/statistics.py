@@ -11,49 +11,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-
-
-def _choose(n: np.ndarray, k: np.ndarray) -> np.ndarray:
-    return (_lgamma(n + 1) - _lgamma(k + 1) - _lgamma(n - k + 1)).astype(float)
-
 
 @F.pandas_udf(DoubleType())
 def binomial_half(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Two-sided binomial test of a against b at one half. Each pair of counts is worked out once a batch."""
+    """Two-sided binomial test of a against b at one half, null where a count is. Each pair of counts is worked out once a
+    batch."""
     pairs = pd.DataFrame({"a": a, "b": b})
-    known = {}
-    for x, y in pairs.drop_duplicates().itertuples(index=False):
+    known = pairs.dropna().drop_duplicates()
+    tails = []
+    for x, y in known.itertuples(index=False):
         n, k = int(x + y), int(min(x, y))
-        if x == y:
-            known[x, y] = 1.0
-        else:
-            i = np.arange(k + 1, dtype=float)
-            known[x, y] = min(1.0, 2 * float(np.exp(_choose(np.full(k + 1, float(n)), i) - n * math.log(2)).sum()))
-    return pd.Series([known[x, y] for x, y in zip(a, b, strict=True)], dtype=float)
+        i = np.arange(k, dtype=float)
+        log = np.concatenate((np.zeros(1), np.cumsum(np.log((n - i) / (i + 1))))) - n * math.log(2)
+        tails.append(1.0 if x == y else min(1.0, 2 * float(np.exp(log).sum())))
+    return pairs.merge(known.assign(p=tails), how="left", on=["a", "b"])["p"].astype(float)
 
 
-def noncentral_tail(n: int, row: int, column: int, total: int, odds: float) -> float:
-    """P(X >= n) for Fisher's noncentral hypergeometric distribution: of `total` draws `row` are marked, `column` taken."""
+def _noncentral(row: int, column: int, total: int, odds: float) -> tuple[int, np.ndarray]:
+    """The least count that Fisher's noncentral hypergeometric distribution allows, and the weights from there on."""
     low, high = max(0, row + column - total), min(row, column)
-    if n <= low:
-        return 1.0
-    if n > high:
-        return 0.0
-    k = np.arange(low, high + 1, dtype=float)
-    log = _choose(np.full_like(k, row), k) + _choose(np.full_like(k, total - row), column - k) + k * math.log(odds)
+    k = np.arange(low, high, dtype=float)
+    log = np.concatenate((np.zeros(1), np.cumsum(np.log((row - k) * (column - k) / ((k + 1) * (total - row - column + k + 1)) * odds))))
     weight = np.exp(log - log.max())
-    return float(min(1.0, weight[n - low :].sum() / weight.sum()))
+    return low, weight / weight.sum()
+
+
+def noncentral_tail(n: int, row: int, column: int, total: int, odds: float) -> float:
+    """P(X >= n) for Fisher's noncentral hypergeometric distribution: of `total` draws `row` are marked, `column` taken."""
+    low, weight = _noncentral(row, column, total, odds)
+    return 1.0 if n <= low else float(min(1.0, weight[n - low :].sum()))
 
 
 def noncentral_steps(row: int, column: int, total: int, odds: float, least: int, smallest: float, largest: float) -> tuple[np.ndarray, np.ndarray]:
     """P(X >= c) and P(X = c) of the same distribution for c >= least where the first is at most `largest`; the counts where
     it is at most `smallest` are one entry."""
-    low, high = max(0, row + column - total), min(row, column)
-    k = np.arange(low, high, dtype=float)
-    log = np.concatenate((np.zeros(1), np.cumsum(np.log((row - k) * (column - k) / ((k + 1) * (total - row - column + k + 1)) * odds))))
-    weight = np.exp(log - log.max())
-    weight /= weight.sum()
+    low, weight = _noncentral(row, column, total, odds)
     tail = weight[::-1].cumsum()[::-1]
     at = max(least - low, 0)
     tail, weight = tail[at:], weight[at:]
@@ -64,33 +56,44 @@ def noncentral_steps(row: int, column: int, total: int, odds: float, least: int,
 
 @F.pandas_udf(DoubleType())
 def noncentral_p(n: pd.Series, row: pd.Series, column: pd.Series, total: pd.Series, odds: pd.Series) -> pd.Series:
-    args = list(zip(n, row, column, total, odds, strict=True))
-    known = {x: (1.0 if x[4] is None or x[4] != x[4] else noncentral_tail(int(x[0]), int(x[1]), int(x[2]), int(x[3]), float(x[4]))) for x in set(args)}
-    return pd.Series([known[x] for x in args], dtype=float)
+    """P(X >= n), 1 without odds, null where a count is."""
+    table = pd.DataFrame({"n": n, "row": row, "column": column, "total": total, "odds": odds})
+    known = table.dropna().drop_duplicates()
+    tails = [noncentral_tail(int(a), int(b), int(c), int(d), float(o)) for a, b, c, d, o in known.itertuples(index=False)]
+    p = table.merge(known.assign(p=tails), how="left", on=list(table))["p"].astype(float)
+    return p.where(table["odds"].notna() | table.drop(columns="odds").isna().any(axis=1), 1.0)
+
+
+def _tile_of(p: Column) -> Column:
+    """A tile of p, in its order: by thousandths, and by powers where p is small."""
+    return F.when(p >= 0.01, F.floor(p * 1000)).otherwise(F.floor(F.log(F.greatest(p, F.lit(1e-300))) * 20) - 1000)
 
 
-def hochberg(df: DataFrame, p: str, order: str, name: str = "padj", tile: int = 1000) -> DataFrame:
-    """Adds Hochberg's step-up adjusted p-values: the running least of k * p, k counted from the largest p.
+def hochberg(df: DataFrame, p: str, order: str, name: str = "padj") -> DataFrame:
+    """Adds Hochberg's step-up adjusted p-values: the running least of k * p, k counted from the largest p. Null stays null.
 
-    Ranks and running minima are taken within tiles of p first; what the tiles of larger p add is joined on."""
-    t = df.withColumn("_tile", F.floor(F.col(p) * tile))
-    desc = Window.partitionBy("_tile").orderBy(F.desc(p), F.desc(order))
-    sizes = t.groupBy("_tile").agg(F.count(F.lit(1)).alias("_n"))
+    Equal p get the same value, that of the first of them, so windows see a row for each distinct p: within tiles of p
+    first, then what the tiles of larger p add."""
+    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_tile", _tile_of(F.col("_p")))
+    desc = Window.partitionBy("_tile").orderBy(F.desc("_p"))
     above = Window.orderBy(F.desc("_tile")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counts.groupBy("_tile").agg(F.sum("_n").alias("_n"))
     sizes = sizes.select("_tile", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
-    t = t.join(sizes, "_tile").withColumn("_k", F.row_number().over(desc) + F.col("_before")).withColumn("_v", F.col("_k") * F.col(p))
+    k = F.col("_before") + F.coalesce(F.sum("_n").over(desc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
+    t = counts.join(sizes, "_tile").withColumn("_v", k * F.col("_p"))
     best = t.groupBy("_tile").agg(F.min("_v").alias("_m")).select("_tile", F.min("_m").over(above).alias("_least"))
-    running = F.min("_v").over(desc.rowsBetween(Window.unboundedPreceding, 0))
-    t = t.withColumn("_run", running).join(best, "_tile")
-    return t.withColumn(name, F.least(F.lit(1.0), "_run", F.coalesce("_least", "_run"))).select(*df.columns, name)
+    t = t.withColumn("_run", F.min("_v").over(desc.rowsBetween(Window.unboundedPreceding, 0))).join(best, "_tile")
+    t = t.select("_p", F.least(F.lit(1.0), "_run", F.coalesce("_least", "_run")).alias("_adjusted"))
+    return df.join(t, F.col(p) == F.col("_p"), "left").select(*df.columns, F.col("_adjusted").alias(name))
 
 
 def spline(x: list[float], y: list[float]):
-    """A natural cubic spline through a few hundred knots; flat beyond them."""
+    """A natural cubic spline through a few hundred knots; beyond them it goes on in a straight line."""
     x_, y_ = np.asarray(x, float), np.asarray(y, float)
     n = len(x_)
     if n < 3:
-        return lambda t: np.interp(t, x_, y_)
+        slope = (y_[1] - y_[0]) / (x_[1] - x_[0]) if n == 2 else 0.0
+        return lambda t: y_[0] + slope * (np.asarray(t, float) - x_[0])
     h = np.diff(x_)
     a = np.zeros((n, n))
     b = np.zeros(n)
@@ -99,12 +102,16 @@ def spline(x: list[float], y: list[float]):
         a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
         b[i] = 6 * ((y_[i + 1] - y_[i]) / h[i] - (y_[i] - y_[i - 1]) / h[i - 1])
     m = np.linalg.solve(a, b)
+    left = (y_[1] - y_[0]) / h[0] - h[0] * m[1] / 6
+    right = (y_[-1] - y_[-2]) / h[-1] + h[-1] * m[-2] / 6
 
     def at(t: np.ndarray) -> np.ndarray:
-        t = np.clip(np.asarray(t, float), x_[0], x_[-1])
+        whole = np.asarray(t, float)
+        t = np.clip(whole, x_[0], x_[-1])
         i = np.clip(np.searchsorted(x_, t, "right") - 1, 0, n - 2)
         u, v, w = x_[i + 1] - t, t - x_[i], h[i]
-        return m[i] * u**3 / (6 * w) + m[i + 1] * v**3 / (6 * w) + (y_[i] / w - m[i] * w / 6) * u + (y_[i + 1] / w - m[i + 1] * w / 6) * v
+        inside = m[i] * u**3 / (6 * w) + m[i + 1] * v**3 / (6 * w) + (y_[i] / w - m[i] * w / 6) * u + (y_[i + 1] / w - m[i + 1] * w / 6) * v
+        return inside + (whole - t) * np.where(whole < x_[0], left, right)
 
     return at
 

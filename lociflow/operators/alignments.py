@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.functions.sequence import reference_length
+from lociflow.operators.intervals import inner_join
 
 # Flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, FIRST, SECOND, SECONDARY, FAILED, DUPLICATE = (1 << k for k in range(11))
@@ -21,9 +22,12 @@ def has(bit: int, flag: str = "flag") -> Column:
     return F.col(flag).bitwiseAND(F.lit(bit)) != 0
 
 
-def scan(reads: DataFrame, region: tuple[str, int, int] | None = None, require: int = 0, exclude: int = 0, min_mapq: int = 0, simple_cigar: bool = False, columns: list[str] | None = None) -> DataFrame:
-    """Filters and projection of a scan; all of it reaches a Parquet source."""
+def scan(reads: DataFrame, region: tuple[str, int, int] | None = None, require: int = 0, exclude: int = 0, min_mapq: int = 0, simple_cigar: bool = False, columns: list[str] | None = None, tags: dict[str, list[str]] | None = None) -> DataFrame:
+    """Filters and projection of a scan; all of it reaches a Parquet source. tags: of each tag the values that are wanted; a
+    record without it goes."""
     t = reads
+    for name, values in (tags or {}).items():
+        t = t.where(F.try_element_at("tags", F.lit(name)).isin([str(v) for v in values]))
     if require:
         t = t.where(F.col("flag").bitwiseAND(F.lit(require)) == require)
     if exclude:
@@ -43,11 +47,22 @@ def flag_summary(reads: DataFrame) -> DataFrame:
     return reads.agg(F.count(F.lit(1)).alias("records"), *(F.sum(has(b).cast("long")).alias(k) for k, b in bits.items()))
 
 
-def count_regions(reads: DataFrame, regions: DataFrame) -> DataFrame:
-    """Records and bases of reads that start in each region(region_id, chrom, start, end), 0-based half-open."""
-    hit = (F.col("rname") == F.col("chrom")) & (F.col("pos") > F.col("start")) & (F.col("pos") <= F.col("end"))
-    t = regions.join(reads.select("rname", "pos", F.length("seq").alias("_n")), hit, "left")
-    return t.groupBy("region_id").agg(F.count("_n").alias("records"), F.coalesce(F.sum("_n"), F.lit(0)).alias("bases"))
+def mapping_state(xt: Column) -> Column:
+    """Of a record and its XT tag: U, R, N, `unmapped`, or null where the tag is missing or unknown."""
+    return F.when(has(UNMAPPED), "unmapped").when(xt.isin("U", "R", "N"), xt)
+
+
+def count_regions(reads: DataFrame, regions: DataFrame, file: str | None = None, files: list[str] | None = None) -> DataFrame:
+    """Records and bases of reads that start in each region(region_id, chrom, start, end), 0-based half-open. `file` names a
+    column of the reads, `files` its values: a row for each region and file then."""
+    by = [file] if file else []
+    points = reads.select(F.col("rname").alias("chrom"), (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"), F.coalesce(F.length("seq"), F.lit(0)).alias("bases"), *by)
+    hits = inner_join(regions.select("region_id", "chrom", "start", "end"), points, ["chrom"])
+    t = hits.groupBy(F.col("l_region_id").alias("region_id"), *(F.col(f"r_{c}").alias(c) for c in by)).agg(F.count(F.lit(1)).alias("records"), F.sum("r_bases").alias("bases"))
+    every = regions.select("region_id")
+    if file:
+        every = every.withColumn(file, F.explode(F.array(*map(F.lit, files or []))))
+    return every.join(t, ["region_id", *by], "left").fillna(0, ["records", "bases"])
 
 
 def self_ligations(reads: DataFrame, most: int = 8000) -> DataFrame:
@@ -94,8 +109,16 @@ def pair_tags(tags: DataFrame) -> DataFrame:
     return t.select("pair_id", one.alias("anchor1"), two.alias("anchor2"), kind.alias("class"))
 
 
-def pileup(reads: DataFrame, by_strand: bool = True, min_mapq: int = 0, min_depth: int = 1) -> DataFrame:
-    """Bases over each reference position: rname, pos, base[, strand], n. Deletions count as `-`; insertions and clips don't."""
+def pileup(
+    reads: DataFrame, by_strand: bool = True, min_mapq: int = 0, min_depth: int = 1, by_base: bool = True, min_base_quality: int = 0, max_depth: int | None = None, min_minor: int = 0,
+    deletions: bool = True, insertions: bool = False, cycle_bins: list[int] | None = None, from_left: bool = False, order: str = "qname",
+) -> DataFrame:
+    """Bases over each reference position: rname, pos, base[, strand][, bin], n.
+
+    Deletions count as `-`, and where asked for insertions as `+` at the base before them; clips don't. min_base_quality takes
+    bases whose quality (33 and up) reaches it. cycle_bins are edges: place p of a read, from its 5' end or from the left,
+    is in bin k if edges[k] < p <= edges[k + 1], and left out of all. max_depth takes a position's first records in `order`;
+    min_minor, positions where all bases but the commonest are that many."""
     ops = F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1))
     kinds = F.regexp_extract_all("cigar", F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
     t = reads.where((F.col("mapq") >= min_mapq) & ~has(UNMAPPED)).withColumn("_ops", F.arrays_zip(F.transform(ops, lambda x: x.cast("int")).alias("len"), kinds.alias("op")))
@@ -109,14 +132,27 @@ def pileup(reads: DataFrame, by_strand: bool = True, min_mapq: int = 0, min_dept
             F.array_append(a["out"], F.struct(x["op"].alias("op"), x["len"].alias("len"), a["q"].alias("q"), a["r"].alias("r"))).alias("out"),
         ),
     )
-    each = t.select("rname", F.when(has(REVERSE), "-").otherwise("+").alias("strand"), "seq", F.explode(fold["out"]).alias("o")).where(F.col("o.op").isin("M", "=", "X", "D"))
-    each = each.select("rname", "strand", "seq", "o", F.explode(F.sequence(F.lit(0), F.col("o.len") - 1)).alias("k"))
-    base = F.when(F.col("o.op") == "D", "-").otherwise(F.substring("seq", F.col("o.q") + F.col("k"), F.lit(1)))
-    keys = ["rname", "pos", "base"] + ["strand"] * by_strand
-    counted = each.select("rname", (F.col("o.r") + F.col("k")).alias("pos"), base.alias("base"), "strand").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if min_depth > 1:
-        deep = counted.groupBy("rname", "pos").agg(F.sum("n").alias("_d")).where(F.col("_d") >= min_depth).drop("_d")
-        counted = counted.join(deep, ["rname", "pos"], "left_semi")
+    wanted = ["M", "=", "X"] + ["D"] * deletions + ["I"] * insertions
+    extra = (["qual"] if min_base_quality else []) + ([order] if max_depth else [])
+    each = t.select("rname", F.when(has(REVERSE), "-").otherwise("+").alias("strand"), "seq", *extra, F.explode(fold["out"]).alias("o")).where(F.col("o.op").isin(wanted))
+    one = F.col("o.op") == "I"  # an insertion is one symbol, at the base before it
+    each = each.withColumn("k", F.explode(F.sequence(F.lit(0), F.when(one, 0).otherwise(F.col("o.len") - 1))))
+    base = F.when(F.col("o.op") == "D", "-").when(one, "+").otherwise(F.substring("seq", F.col("o.q") + F.col("k"), F.lit(1)))
+    at = F.when(one, F.col("o.r") - 1).otherwise(F.col("o.r") + F.col("k"))
+    place = F.when(F.col("o.op").isin("D", "I"), F.col("o.q") - 1).otherwise(F.col("o.q") + F.col("k"))
+    each = each.withColumns({"pos": at, "base": base, "_place": place})
+    if min_base_quality:
+        each = each.where(F.col("base").isin("-", "+") | (F.ascii(F.substring("qual", F.col("_place"), F.lit(1))) - 33 >= min_base_quality))
+    if cycle_bins:
+        cycle = F.col("_place") if from_left else F.when(F.col("strand") == "-", F.length("seq") - F.col("_place") + 1).otherwise(F.col("_place"))
+        each = each.withColumn("bin", F.coalesce(*(F.when((cycle > a) & (cycle <= b), F.lit(k)) for k, (a, b) in enumerate(zip(cycle_bins[:-1], cycle_bins[1:], strict=True))))).where("bin IS NOT NULL")
+    if max_depth:
+        each = each.withColumn("_nth", F.row_number().over(Window.partitionBy("rname", "pos").orderBy(order, "strand"))).where(F.col("_nth") <= max_depth)
+    keys = ["rname", "pos"] + ["base"] * by_base + ["strand"] * by_strand + ["bin"] * bool(cycle_bins)
+    counted = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if min_depth > 1 or min_minor:
+        by_letter = each.groupBy("rname", "pos", "base").agg(F.count(F.lit(1)).alias("n")).groupBy("rname", "pos").agg(F.sum("n").alias("_d"), F.max("n").alias("_top"))
+        counted = counted.join(by_letter.where((F.col("_d") >= min_depth) & (F.col("_d") - F.col("_top") >= min_minor)), ["rname", "pos"], "left_semi")
     return counted
 
 
@@ -125,12 +161,18 @@ def apply_pileups(piles: DataFrame, function: Callable[[pd.DataFrame], pd.DataFr
     return piles.withColumn("window", F.floor(F.col("pos") / window)).groupBy("rname", "window").applyInPandas(function, schema)
 
 
+def merged(*tables: DataFrame) -> DataFrame:
+    """Records of several files in the order of places; unplaced ones last."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out.orderBy(F.col("rname") == "*", "rname", "pos")
+
+
 def adjust_anchors(anchors: DataFrame, depth: DataFrame) -> DataFrame:
     """anchor_id, start, end of each anchor's run of greatest depth, the nearest to its mid-point of equals, then the first.
 
     depth(chrom, start, end, depth) holds runs, as `intervals.coverage` returns them."""
-    from lociflow.operators.intervals import inner_join
-
     hits = inner_join(anchors.select("anchor_id", "chrom", "start", "end"), depth, ["chrom"])
     start, end = F.greatest("l_start", "r_start"), F.least("l_end", "r_end")
     away = F.abs((start + end) / 2 - (F.col("l_start") + F.col("l_end")) / 2)

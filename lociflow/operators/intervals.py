@@ -4,8 +4,8 @@ Joins turn the range predicate into an equi-join: both sides are spread over the
 on chromosome and bin, and a pair is kept in the bin where the later start lies, so that it comes once. Catalyst is then
 free to broadcast, to sort-merge, or to split a skewed bin.
 
-Merging and coverage are windows. A chromosome is few keys, so both work in two levels: within coarse tiles first, then
-over the tiles' few results.
+Merging and coverage are windows. A chromosome is few keys, so both work in two levels: over distinct positions within
+coarse tiles first, then over a row a tile.
 """
 
 from __future__ import annotations
@@ -66,16 +66,31 @@ def with_islands(df: DataFrame, partition: list[str], start: str, end: str, orde
     return t.withColumn(name, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def merge(df: DataFrame, keys: list[str], touching: bool = True, tile: int = 1 << 22, start: str = "start", end: str = "end", weight: str | None = None) -> DataFrame:
-    """Unions of overlapping (with touching: or book-ended) intervals: keys, start, end, n.
+def number_islands(df: DataFrame, keys: list[str], start: str, end: str, name: str, touching: bool = True, tile: int = 1 << 20) -> DataFrame:
+    """Adds the number of the run of intervals that a row belongs to, from 1 in the order of starts.
 
-    Merged within tiles of start positions first; the second level sees a tile's few unions only."""
+    Starts are made distinct, with their greatest end, so a window sees at most a tile's positions. A tile's first runs may
+    go on from the tiles before; how many do, and how many runs came before, are sums over a row a tile."""
+    points = df.groupBy(*keys, start).agg(F.max(end).alias("_end")).withColumn("_tile", F.floor(F.col(start) / tile))
+    local = with_islands(points, [*keys, "_tile"], start, "_end", [F.col(start)], "_local", touching)
+    runs = local.groupBy(*keys, "_tile", "_local").agg(F.min(start).alias("_start"), F.max("_end").alias("_end"))
+    tiles = runs.groupBy(*keys, "_tile").agg(F.max("_end").alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = tiles.withColumn("_reach", F.max("_end").over(before)).drop("_end")
+    goes_on = F.coalesce(F.col("_start") <= F.col("_reach") if touching else F.col("_start") < F.col("_reach"), F.lit(False))
+    tiles = runs.join(tiles, [*keys, "_tile"]).groupBy(*keys, "_tile").agg(F.count_if(goes_on).alias("_joined"), F.count(F.lit(1)).alias("_runs"))
+    tiles = tiles.select(*keys, "_tile", "_joined", F.coalesce(F.sum(F.col("_runs") - F.col("_joined")).over(before), F.lit(0)).alias("_base"))
+    number = F.col("_base") + F.greatest(F.col("_local") - F.col("_joined"), F.lit(0))
+    numbered = local.join(tiles, [*keys, "_tile"]).select(*keys, start, number.alias(name))
+    return df.join(numbered, [*keys, start]).select(*df.columns, name)
+
+
+def merge(df: DataFrame, keys: list[str], touching: bool = True, tile: int = 1 << 20, start: str = "start", end: str = "end", weight: str | None = None) -> DataFrame:
+    """Unions of overlapping (with touching: or book-ended) intervals: keys, start, end, n."""
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    tiled = df.withColumn("_tile", F.floor(F.col(start) / tile))
-    local = with_islands(tiled, [*keys, "_tile"], start, end, [F.col(start), F.col(end)], "_island", touching)
-    local = local.groupBy(*keys, "_tile", "_island").agg(F.min(start).alias(start), F.max(end).alias(end), n.alias("n"))
-    whole = with_islands(local, keys, start, end, [F.col(start), F.col(end)], "_all", touching)
-    return whole.groupBy(*keys, "_all").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_all")
+    points = df.groupBy(*keys, start).agg(F.max(end).alias(end), n.alias("n"))
+    runs = number_islands(points, keys, start, end, "_island", touching, tile)
+    return runs.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_island")
 
 
 def coverage(df: DataFrame, keys: list[str], tile: int = 1 << 22, start: str = "start", end: str = "end") -> DataFrame:

@@ -33,27 +33,30 @@ def route(pairs: DataFrame, linker: str, mismatches: int = 2, least: int = MIN_T
     return t.withColumn("route", where).drop("_at1", "_at2")
 
 
-def _placements(reads: np.ndarray, pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Score, start, end of the best placement in each column of `reads`, whose columns advance together, a letter a step.
+def _placements(reads: np.ndarray, pattern: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Score, start, end of the best placement in each column of `reads`, whose columns advance together, a letter a step, and
+    its start and end in the pattern.
 
-    A cell is one number: its score, then which way wins a tie (hit, gap in the linker, gap in the read), then its start;
-    without a score the start is that of a placement from here on."""
+    A cell is one number: its score, then which way wins a tie (hit, gap in the linker, gap in the read), then its start in
+    the read and the pattern; without a score the start is that of a placement from here on."""
     (width, n), m = reads.shape, len(pattern)
-    bits = int(width).bit_length()
+    side = m + 1
+    bits = int((width + 1) * side).bit_length()
     first, one = 1 << bits, 1 << bits + 2
     plain = ~(3 * first)
     letters, row = np.unique(pattern, return_inverse=True)
-    cells, new = np.zeros((m + 1, n), np.int32), np.zeros((m + 1, n), np.int32)
+    cells, new = np.repeat(np.arange(m + 1, dtype=np.int32)[:, None], n, 1), np.zeros((m + 1, n), np.int32)
     up, gap = np.empty((m, n), np.int32), np.empty(n, np.int32)
-    best, begin, end = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
+    best, begin, end, last = (np.zeros(n, np.int32) for _ in range(4))
+    rows = np.arange(1, m + 1, dtype=np.int32)[:, None]
     for j in range(width):
         hit = np.where(reads[j] == letters[:, None], np.int32(one + 2 * first), np.int32(2 * first - one))
         np.take(hit, row, axis=0, out=new[1:])
         new[1:] += cells[:-1]
         np.add(cells[1:], first - one, out=up)
         np.maximum(new[1:], up, out=new[1:])
-        np.copyto(new[1:], j + 1, where=new[1:] < one)
-        new[0] = j + 1
+        np.copyto(new[1:], (j + 1) * side + rows, where=new[1:] < one)
+        new[0] = (j + 1) * side
         for i in range(1, m + 1):
             np.subtract(new[i - 1], one, out=gap)
             np.maximum(new[i], gap, out=new[i])
@@ -65,13 +68,14 @@ def _placements(reads: np.ndarray, pattern: np.ndarray) -> tuple[np.ndarray, np.
             best[lanes] = score[at, np.arange(len(lanes))]
             begin[lanes] = new[at, lanes] % first
             end[lanes] = j + 1
+            last[lanes] = at
         cells, new = new, cells
-    return best, begin, end
+    return best, begin // side, end, begin % side, last
 
 
-def local_alignment(seqs: list[str], linker: str, stretch: int = STRETCH, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def local_alignment(seqs: list[str], linker: str, stretch: int = STRETCH, lanes: int = LANES) -> tuple[np.ndarray, ...]:
     """Smith-Waterman (match 1, mismatch and gap -1) of many reads at once: score, start, end of the best placement, the
-    leftmost end of equals.
+    leftmost end of equals, and its start and end in the linker.
 
     Reads of any length are dealt in stretches, `lanes` of them at a time. A placement with a score takes fewer than
     2 * len(linker) letters (it has fewer gaps than matches), so a stretch that starts that much early misses none."""
@@ -88,11 +92,11 @@ def local_alignment(seqs: list[str], linker: str, stretch: int = STRETCH, lanes:
         reads = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in texts), np.uint8).reshape(len(texts), width)
         parts.append(_placements(np.ascontiguousarray(reads.T), pattern))
     if not parts:
-        return tuple(np.zeros(0, np.int32) for _ in range(3))
-    score, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return tuple(np.zeros(0, np.int32) for _ in range(5))
+    score, begin, end, first_letter, last_letter = (np.concatenate(x) for x in zip(*parts, strict=True))
     top = np.flatnonzero(score == np.repeat(np.maximum.reduceat(score, edges[:-1]), count))
     first = top[np.unique(which[top], return_index=True)[1]]
-    return score[first], begin[first] + before[first], end[first] + before[first]
+    return score[first], begin[first] + before[first], end[first] + before[first], first_letter[first], last_letter[first]
 
 
 def align(reads: DataFrame, linker: str, least: int, seq: str = "seq", limit: int | None = None) -> DataFrame:
@@ -104,7 +108,7 @@ def align(reads: DataFrame, linker: str, least: int, seq: str = "seq", limit: in
             seqs = pdf.pop(seq).fillna("").tolist()
             f, r = local_alignment(seqs, linker), local_alignment(seqs, other)
             back = (r[0] > f[0]) | ((r[0] == f[0]) & (r[1] < f[1]))
-            for name, a, b in zip(("score", "begin", "end"), f, r, strict=True):
+            for name, a, b in zip(("score", "begin", "end"), f[:3], r[:3], strict=True):
                 pdf[name] = np.where(back, b, a).astype("int32")
             pdf["strand"] = np.where(pdf["score"] == 0, ".", np.where(back, "-", "+"))
             pdf["accepted"] = pdf["score"] >= least

@@ -72,6 +72,11 @@ def shared_loops(a: DataFrame, b: DataFrame) -> DataFrame:
     return one.where((F.col("l_s2") < F.col("r_e2")) & (F.col("r_s2") < F.col("l_e2"))).select(F.col("l_loop_id").alias("loop_a"), F.col("r_loop_id").alias("loop_b"))
 
 
+def unshared_loops(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Loops of a that share no loop of b."""
+    return a.join(shared_loops(a, b).select(F.col("loop_a").alias("loop_id")).distinct(), "loop_id", "left_anti")
+
+
 def shared_summary(a: DataFrame, b: DataFrame) -> DataFrame:
     t = shared_loops(a, b).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("loop_a").alias("a"), F.countDistinct("loop_b").alias("b"))
     return t.select("pairs", F.least("a", "b").alias("unique_loops"))

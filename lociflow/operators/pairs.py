@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -82,6 +82,87 @@ def merge(*tables: DataFrame) -> DataFrame:
     return ordered(out)
 
 
+def ordered_1d(pairs: DataFrame) -> DataFrame:
+    """By the first side only, as one-dimensional readers want it."""
+    return pairs.orderBy("chr1", "pos1")
+
+
+def merge_headers(*headers: DataFrame) -> DataFrame:
+    """line_no, line of a merged file's header: the first one's lines but its commands, then the commands of all in turn.
+
+    headers(line_no, line) are a few lines each."""
+    out = None
+    for k, h in enumerate(headers):
+        command = F.col("line").startswith("#command:")
+        t = h.where(command if k else F.lit(True)).select(command.alias("_late"), F.lit(k).alias("_file"), "line_no", "line")
+        out = t if out is None else out.unionByName(t)
+    return out.select((F.row_number().over(Window.orderBy("_late", "_file", "line_no")) - 1).alias("line_no"), "line")
+
+
+def distinct_header(header: DataFrame) -> DataFrame:
+    """Of repeated lines the first stays."""
+    return header.groupBy("line").agg(F.min("line_no").alias("line_no")).select("line_no", "line")
+
+
+def replace_header(pairs_lines: DataFrame, header: DataFrame) -> DataFrame:
+    """part (0 header, 1 body), line_no, line: the lines of a file under another header."""
+    body = pairs_lines.where(~F.col("line").startswith("#")).select(F.lit(1).alias("part"), "line_no", "line")
+    return header.select(F.lit(0).alias("part"), "line_no", "line").unionByName(body)
+
+
+def remove_columns(pairs: DataFrame, columns: list[str | int]) -> DataFrame:
+    """Without these columns, given by name or by 0-based place in the table as it comes."""
+    return pairs.drop(*(pairs.columns[c] if isinstance(c, int) else c for c in columns))
+
+
+def random_pairs(spark: SparkSession, n: int, chroms: dict[str, int], seed: int = 0) -> DataFrame:
+    """n random pairs in the upper triangle, for tests. chroms: names and lengths."""
+    names, sizes = F.array(*map(F.lit, chroms)), F.array(*map(F.lit, chroms.values()))
+    t = spark.range(n).select("id", *(F.floor(F.rand(seed + k) * len(chroms)).cast("int").alias(f"_c{k}") for k in (1, 2)), *(F.rand(seed + 2 + k).alias(f"_p{k}") for k in (1, 2)))
+    cols = [F.concat(F.lit("r"), "id").alias("read_id")]
+    for k in (1, 2):
+        cols += [F.get(names, F.col(f"_c{k}")).alias(f"chr{k}"), (F.floor(F.col(f"_p{k}") * F.get(sizes, F.col(f"_c{k}"))) + 1).alias(f"pos{k}")]
+    return upper_triangle(t.select(*cols, F.lit("+").alias("strand1"), F.lit("+").alias("strand2")), list(chroms))
+
+
+@dataclass(frozen=True)
+class PairsTable:
+    """A table of contact pairs with its header and the chromosomes' lengths, as one thing to ask."""
+
+    pairs: DataFrame
+    header: DataFrame | None = None
+    separator: str = "|"
+
+    def query(self, text: str, flip: bool = False) -> DataFrame:
+        return query(self.pairs, text, self.separator, flip)
+
+    def query_list(self, texts: list[str]) -> DataFrame:
+        return query_list(self.pairs, texts, self.separator)
+
+    def exists(self, chrom1: str, chrom2: str | None = None) -> bool:
+        """Whether the table has pairs of these chromosomes; one is asked for as the name of its block."""
+        one, two = (chrom1, chrom2) if chrom2 is not None else chrom1.split(self.separator)
+        return not self.pairs.where((F.col("chr1") == one) & (F.col("chr2") == two)).isEmpty()
+
+    def blocks(self) -> DataFrame:
+        return block_list(self.pairs)
+
+    def triangle(self) -> bool:
+        return is_triangle(self.pairs).first()["triangle"]
+
+    def line_count(self) -> int:
+        return self.pairs.count()
+
+    def chromosome_sizes(self) -> DataFrame:
+        """chrom, length from the header's chromsize lines."""
+        parts = F.split(F.regexp_replace("line", r"^#chromsize:\s*", ""), r"\s+")
+        return self.header.where(F.col("line").startswith("#chromsize")).select(F.get(parts, 0).alias("chrom"), F.get(parts, 1).cast("long").alias("length"))
+
+    def column(self, name: str) -> int:
+        """The 0-based place of a column, -1 if there is none."""
+        return self.pairs.columns.index(name) if name in self.pairs.columns else -1
+
+
 def upper_triangle(pairs: DataFrame, chroms: list[str], strict: bool = False) -> DataFrame:
     """Sides in the order of `chroms`, then positions; pairs with a chromosome that isn't listed go.
 

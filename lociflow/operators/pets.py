@@ -5,16 +5,18 @@ Columns: tid, pos, endpos, strand of the first tag and mtid, mpos, mendpos, mstr
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.functions.overlap import centre_span, outer_span
-from lociflow.operators.intervals import with_islands
+from lociflow.operators.intervals import number_islands
 
 SIDES = (("tid", "mtid"), ("pos", "mpos"), ("endpos", "mendpos"), ("strand", "mstrand"))
 DUPLICATE_KEYS = ["tid", "pos", "endpos", "mtid", "mpos", "mendpos", "strand", "mstrand"]
+LINKER_KEYS = ["class", "final_linker", "linker", "mlinker"]
 SELF_LIGATION = 8000
 
 
@@ -22,14 +24,18 @@ def canonicalise(pets: DataFrame) -> DataFrame:
     """The tag that comes first in the genome is the first tag."""
     swap = (F.col("tid") > F.col("mtid")) | ((F.col("tid") == F.col("mtid")) & ((F.col("pos") > F.col("mpos")) | ((F.col("pos") == F.col("mpos")) & (F.col("endpos") > F.col("mendpos")))))
     new = {}
-    for a, b in SIDES:
+    for a, b in (s for s in (*SIDES, ("linker", "mlinker")) if s[0] in pets.columns):
         new[a], new[b] = F.when(swap, F.col(b)).otherwise(F.col(a)), F.when(swap, F.col(a)).otherwise(F.col(b))
     return pets.withColumns(new)
 
 
-def drop_duplicates(pets: DataFrame, keys: list[str] | None = None, best: str = "qual", order: str = "pet_id") -> DataFrame:
-    """Of canonical tags with equal keys the best stays, the first of equals. Adds copies."""
-    keys = keys or DUPLICATE_KEYS
+def drop_duplicates(pets: DataFrame, keys: list[str] | None = None, best: str = "qual", order: str = "pet_id", unmapped: int = -1) -> DataFrame:
+    """Of canonical tags with equal keys the best stays, the first of equals. Adds copies.
+
+    The keys are both places and strands, and where the tags have them the class, the final linker and each read's linker.
+    Tags of which neither side is mapped (chromosome `unmapped`) are duplicates all."""
+    keys = keys or DUPLICATE_KEYS + [c for c in LINKER_KEYS if c in pets.columns]
+    pets = pets.where((F.col("tid") != unmapped) | (F.col("mtid") != unmapped))
     others = [c for c in pets.columns if c not in keys]
     top = F.max_by(F.struct(*others), F.struct(F.least(F.col(best), F.lit(127)).alias("best"), (-F.col(order)).alias("order")))
     out = canonicalise(pets).groupBy(*keys).agg(top.alias("_top"), F.count(F.lit(1)).alias("copies"))
@@ -64,23 +70,30 @@ def orientation_counts(pets: DataFrame) -> DataFrame:
     return pets.groupBy(ligation_class().alias("class"), orientation().alias("orientation")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def span_histogram(pets: DataFrame, lower: int = 1, upper: int = 100_000, bins: int = 1000) -> DataFrame:
-    """Spans of cis tags by bin (-1 below, `bins` above) with a column for each orientation."""
+def span_histogram(pets: DataFrame, lower: int = 1, upper: int = 100_000, bins: int = 1000, by: tuple[str, ...] = ()) -> DataFrame:
+    """Spans of cis tags by bin (-1 below, `bins` above) with a column for each orientation; `by` adds columns to group by, such
+    as the linker's class."""
     width = (upper - lower + 1) / bins
     place = F.floor((F.abs(span()) - lower) / F.lit(float(width)) + 0.5)
     bin_ = F.when(place < 0, -1).when(place >= bins, bins).otherwise(place).cast("long")
-    t = pets.where("tid = mtid").withColumn("_o", orientation()).groupBy(bin_.alias("bin")).pivot("_o", ["++", "+-", "-+", "--"])
+    t = pets.where("tid = mtid").withColumn("_o", orientation()).groupBy(*by, bin_.alias("bin")).pivot("_o", ["++", "+-", "-+", "--"])
     t = t.agg(F.count(F.lit(1)))
-    return t.select("bin", *(F.coalesce(F.col(f"`{o}`"), F.lit(0)).cast("long").alias(n) for o, n in (("++", "ff"), ("+-", "fr"), ("-+", "rf"), ("--", "rr"))))
+    return t.select(*by, "bin", *(F.coalesce(F.col(f"`{o}`"), F.lit(0)).cast("long").alias(n) for o, n in (("++", "ff"), ("+-", "fr"), ("-+", "rf"), ("--", "rr"))))
 
 
-def extend(pets: DataFrame, upstream: int = 250, downstream: int = 250, lengths: DataFrame | None = None) -> DataFrame:
+def extend(pets: DataFrame, upstream: int = 250, downstream: int = 250, lengths: DataFrame | None = None, anchor: str = "tag") -> DataFrame:
     """Adds windows s1, e1, s2, e2 around both tags, each from its 5' end's side, clamped to the chromosome.
 
-    lengths(tid, length) clamps the ends too; it has a row per chromosome."""
+    lengths(tid, length) clamps the ends too; it has a row per chromosome. anchor: what is extended, the whole `tag`, its
+    `five` prime end or its `middle`."""
+    if anchor not in ("tag", "five", "middle"):
+        raise ValueError(f"no such anchor: {anchor}")
 
     def window(pos: str, end: str, strand: str) -> tuple[Column, Column]:
         forward = F.col(strand) == 0
+        if anchor != "tag":
+            at = F.floor((F.col(pos) + F.col(end)) / 2) if anchor == "middle" else F.when(forward, F.col(pos)).otherwise(F.col(end))
+            return F.greatest(at - F.when(forward, upstream).otherwise(downstream), F.lit(0)), at + F.when(forward, downstream).otherwise(upstream)
         low = F.col(pos) - F.when(forward, upstream).otherwise(downstream)
         return F.greatest(low, F.lit(0)), F.col(end) + F.when(forward, downstream).otherwise(upstream)
 
@@ -99,42 +112,46 @@ def usable(threshold: int = SELF_LIGATION) -> Column:
     return (F.col("tid") != F.col("mtid")) | (centre_span(*map(F.col, ("pos", "endpos", "mpos", "mendpos"))) > threshold)
 
 
-def first_pass_bins(extended: DataFrame, order: str = "pet_id") -> DataFrame:
+def first_pass_bins(extended: DataFrame) -> DataFrame:
     """Adds island1 and island2: runs of overlapping windows on either side, within a pair of chromosomes."""
     pair = ["tid", "mtid"]
-    t = with_islands(extended, pair, "s1", "e1", [F.col("s1"), F.desc("e1"), F.col(order)], "island1")
-    return with_islands(t, pair, "s2", "e2", [F.col("s2"), F.desc("e2"), F.col(order)], "island2")
+    return number_islands(number_islands(extended, pair, "s1", "e1", "island1"), pair, "s2", "e2", "island2")
 
 
-def first_pass_clusters(extended: DataFrame, order: str = "pet_id") -> DataFrame:
+def first_pass_clusters(extended: DataFrame) -> DataFrame:
     """Tags whose both sides share an island: tid, mtid, the bounding boxes, n."""
     box = [F.min("s1").alias("s1"), F.max("e1").alias("e1"), F.min("s2").alias("s2"), F.max("e2").alias("e2")]
-    return first_pass_bins(extended, order).groupBy("tid", "mtid", "island1", "island2").agg(*box, F.count(F.lit(1)).alias("n"))
+    return first_pass_bins(extended).groupBy("tid", "mtid", "island1", "island2").agg(*box, F.count(F.lit(1)).alias("n"))
 
 
 def _closure(boxes: pd.DataFrame) -> pd.DataFrame:
     """Merges boxes that overlap on both sides until none do. Growing a box only adds overlaps, so the end is unique."""
-    rows = boxes.sort_values(["s1", "e1", "s2", "e2"])[["s1", "e1", "s2", "e2", "n"]].to_numpy().tolist()
-    changed = True
-    while changed and len(rows) > 1:
-        changed, out = False, []
-        for box in sorted(rows):
-            hit = [o for o in out if o[0] <= box[1] and box[0] <= o[1] and o[2] <= box[3] and box[2] <= o[3]]
-            for o in hit:
-                out.remove(o)
-                box = [min(box[0], o[0]), max(box[1], o[1]), min(box[2], o[2]), max(box[3], o[3]), box[4] + o[4]]
-                changed = True
-            out.append(box)
-        rows = out
-    return pd.DataFrame(rows, columns=["s1", "e1", "s2", "e2", "n"])
-
-
-def refined_clusters(extended: DataFrame, order: str = "pet_id") -> DataFrame:
+    rows, before = boxes[["s1", "e1", "s2", "e2", "n"]], len(boxes) + 1
+    while 1 < len(rows) < before:
+        before = len(rows)
+        rows = rows.sort_values(["s1", "e1", "s2", "e2"], ignore_index=True)
+        s1, e1, s2, e2, _ = rows.to_numpy().T
+        root = np.arange(len(rows))
+        live = np.zeros(0, np.int64)  # boxes that reach as far as here on the first side
+        for k in range(len(rows)):
+            live = live[e1[live] >= s1[k]]
+            hit = live[(s2[live] <= e2[k]) & (s2[k] <= e2[live])]
+            if len(hit):
+                roots = np.unique(root[hit])
+                root[k] = roots[0]
+                if len(roots) > 1:
+                    root[np.isin(root, roots)] = roots[0]
+            live = np.append(live, k)
+        rows = rows.groupby(root, as_index=False).agg({"s1": "min", "e1": "max", "s2": "min", "e2": "max", "n": "sum"})
+    return rows.sort_values(["s1", "e1", "s2", "e2"], ignore_index=True)
+
+
+def refined_clusters(extended: DataFrame) -> DataFrame:
     """Bounding boxes of tags that overlap, directly or through others, on both sides at once.
 
     Equal windows are added up first; bins with one kind of window need no closure and stay in the JVM."""
     key = ["tid", "mtid", "island1", "island2"]
-    kinds = first_pass_bins(extended, order).groupBy(*key, "s1", "e1", "s2", "e2").agg(F.count(F.lit(1)).alias("n"))
+    kinds = first_pass_bins(extended).groupBy(*key, "s1", "e1", "s2", "e2").agg(F.count(F.lit(1)).alias("n"))
     sized = kinds.withColumn("_kinds", F.count(F.lit(1)).over(Window.partitionBy(*key)))
     schema = "tid long, mtid long, s1 long, e1 long, s2 long, e2 long, n long"
 
@@ -158,3 +175,24 @@ def spectrum(clusters: DataFrame, top: int = 10) -> DataFrame:
 def pair_states(tags: DataFrame) -> DataFrame:
     """Mapping states of both mates against each other: `state1`, `state2` -> n."""
     return tags.groupBy("state1", "state2").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pair_state_passes(tags: DataFrame, min_quality: int = 20) -> DataFrame:
+    """state1, state2, and of tags on one and on two chromosomes those that pass and fail the quality."""
+    cis, ok = F.col("tid") == F.col("mtid"), F.col("qual") >= min_quality
+    kinds = {"cis_passed": cis & ok, "cis_failed": cis & ~ok, "trans_passed": ~cis & ok, "trans_failed": ~cis & ~ok}
+    return tags.groupBy("state1", "state2").agg(*(F.count_if(c).alias(k) for k, c in kinds.items()))
+
+
+def longer_tag(tags: DataFrame) -> DataFrame:
+    """pair_id, anchor and the tag that stands for it: of an anchor's uniquely mapped tags the longer mapped, the first of
+    equals; else of the repeated ones, else of what there is.
+
+    tags: pair_id, read 1|2, tag 1|2, state U|R|N|., rname, mapped (bases). Anchor 1 holds read 1's first tag and read 2's
+    second, anchor 2 read 2's first and read 1's second."""
+    anchor = F.when((F.col("read") == 1) == (F.col("tag") == 1), 1).otherwise(2)
+    rank = F.when(F.col("state") == "U", 3).when(F.col("state") == "R", 2).when(F.col("state") == "N", 1).otherwise(0)
+    t = tags.withColumns({"anchor": anchor, "_rank": rank}).withColumn("_first", F.when(F.col("read") == F.col("anchor"), 1).otherwise(0))
+    best = F.max_by(F.struct("read", "tag", "state", "rname", "mapped"), F.struct("_rank", "mapped", "_first", "rname")).alias("best")
+    torn = F.count_distinct(F.when(F.col("state") == "U", F.col("rname"))) > 1
+    return t.groupBy("pair_id", "anchor").agg(best, torn.alias("discordant")).select("pair_id", "anchor", "best.*", "discordant")

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.functions.statistics import noncentral_p, noncentral_steps, noncentral_tail, odds, spline
+from lociflow.functions.lineage import kept
+from lociflow.functions.statistics import noncentral_p, noncentral_steps, odds, spline
 
 QUANTILES = 500
 
@@ -65,18 +66,26 @@ def distance_quantiles(band: DataFrame, quantiles: int = QUANTILES) -> DataFrame
 
 
 def decay(band: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataFrame:
-    """median, mean: the mean count of a quantile's pairs, those without contacts included. At most `quantiles` rows."""
-    edges = distance_quantiles(band, quantiles)
-    by_delta = band.join(seen, ["chrom", "i", "j"], "left").groupBy("delta").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.count(F.lit(1)).alias("pairs"))
-    inside = by_delta.join(F.broadcast(edges.limit(quantiles)), (F.col("delta") >= F.col("low")) & (F.col("delta") <= F.col("high")))
-    mean = inside.groupBy("median").agg((F.sum("n") / F.sum(by_delta["pairs"])).alias("mean"))
-    return mean
+    """median, mean: the mean count of a quantile's pairs, those without contacts included. At most `quantiles` rows.
+
+    A distance that reaches over several chunks counts in the first of them, so a chunk in which no distance begins (its upper
+    edge is the one before) has no row. `seen` holds pairs within the band."""
+    pairs = band.groupBy("delta").agg(F.count(F.lit(1)).alias("pairs"), F.lit(0).cast("long").alias("n"))
+    sums = seen.groupBy((F.col("j") - F.col("i")).alias("delta")).agg(F.lit(0).cast("long").alias("pairs"), F.sum("n").cast("long").alias("n"))
+    by_delta = pairs.unionByName(sums).groupBy("delta").agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).where("pairs > 0")
+    upto = F.sum("pairs").over(Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, -1))
+    size = F.greatest(F.floor(F.sum("pairs").over(Window.partitionBy()) / quantiles), F.lit(1))
+    first = by_delta.withColumn("quantile", F.least(F.floor(F.coalesce(upto, F.lit(0)) / size), F.lit(quantiles - 1)))
+    mean = first.groupBy("quantile").agg((F.sum("n") / F.sum("pairs")).alias("mean"))
+    return mean.join(distance_quantiles(band, quantiles).select("quantile", "median"), "quantile").groupBy("median").agg(F.avg("mean").alias("mean"))
 
 
 def _fit(seen: DataFrame, band: DataFrame, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
     """What adds expected, _ni, _nj, _total and _odds to pairs of the band. Masked pairs don't take part in the decay."""
-    free = band if masked is None else band.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti")
-    knots = decay(free, seen, quantiles).orderBy("median").collect()  # a row per quantile
+    free, counted = band, seen.join(band.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_semi")
+    if masked is not None:
+        free, counted = (t.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti") for t in (free, counted))
+    knots = decay(free, counted, quantiles).orderBy("median").collect()  # a row per quantile
     curve = spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else None
 
     @F.pandas_udf("double")
@@ -109,8 +118,8 @@ def _band_of(seen: DataFrame, least: int, most: int) -> DataFrame:
 
 def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
     """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
-    seen = observed(loops).persist()  # read by the knots, the sums and the test
-    band = _band_of(seen, least, most)
+    seen = kept(observed(loops))  # read by the knots, the sums and the test
+    band = kept(_band_of(seen, least, most))
     return _tested(seen, band, _fit(seen, band, quantiles))
 
 
@@ -168,14 +177,11 @@ def refined(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles:
     """Significant pairs in two rounds: those of the first, at `refine_fdr`, are masked when the decay is fitted again.
 
     Tables that steps read again are cut from their plans, which would otherwise grow with each and fill the driver."""
-    seen = observed(loops).localCheckpoint()
-    band = _band_of(seen, least, most).localCheckpoint()
+    seen = kept(observed(loops))
+    band = kept(_band_of(seen, least, most))
     masked = None
     for rate in (refine_fdr, fdr):
         add = _fit(seen, band, quantiles, masked)
-        tested, tail = _tested(seen, band, add).localCheckpoint(), tails(add(band), rate, least_count).localCheckpoint()
+        tested, tail = kept(_tested(seen, band, add)), kept(tails(add(band), rate, least_count))
         masked = significant(tested, rate, least_count, tail)
     return masked
-
-
-__all__ = ["band_pairs", "decay", "distance_quantiles", "fdr_cutoff", "marginals", "noncentral_tail", "observed", "p_values", "refined", "segments", "significant", "tails"]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.functions.sequence import first_match, pileup_counts, reverse_complement
-from lociflow.operators import alignments, intervals, linker, loops, pairs, pets, phasing, qc, reproducibility, significance
+from lociflow.operators import alignments, density, intervals, linker, loops, pairs, pets, phasing, qc, reproducibility, significance, tagging
 from lociflow.plans.proxies import relation, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -383,7 +383,9 @@ def qc_ratios(spark: SparkSession, sf: str) -> DataFrame:
 # --- linkers -------------------------------------------------------------------------------------------------------
 
 _READS = f"WITH {sql('reads')}"
-_MATE = f"{_READS}, mates AS (SELECT read_id // 2 AS pair_id, max(seq) FILTER (read_id % 2 = 0) AS seq1, max(seq) FILTER (read_id % 2 = 1) AS seq2 FROM (SELECT read_id, substr(seq, 1, 120) AS seq FROM reads) GROUP BY 1 HAVING count(*) = 2)"
+_MATE = f"{_READS}, mates AS (SELECT read_id // 2 AS pair_id, max(seq) FILTER (read_id % 2 = 0) AS seq1, max(seq) FILTER (read_id % 2 = 1) AS seq2 FROM reads GROUP BY 1 HAVING count(*) = 2)"
+_SIDES = f"{_MATE}, sides AS (SELECT pair_id, 1 AS side, seq1 AS seq FROM mates UNION ALL SELECT pair_id, 2, seq2 FROM mates)"
+FUZZY = "GATCGATCGATC"
 
 
 @query(f"{_READS} SELECT read_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS revcomp FROM reads")
@@ -401,13 +403,16 @@ def fuzzy_linker(spark: SparkSession, sf: str) -> DataFrame:
     return relation(spark, sf, "reads").select("read_id", first_match(F.col("seq"), "GATCGATC", 1).alias("place"))
 
 
+_FIRST = "(SELECT min(i) FROM range(1, length({s}) - 10) t(i) WHERE hamming(substr({s}, i, 12), '" + FUZZY + "') <= 2)"
+
+
 @query(
-    f"""{_MATE}, a AS (SELECT *, instr(seq1, '{LINKER}') AS a1, instr(seq2, '{LINKER}') AS a2 FROM mates),
-b AS (SELECT pair_id, (a1 > 0)::INT + (a2 > 0)::INT AS linkers, ((CASE WHEN a1 > 0 THEN greatest(a1 - 1, 1) ELSE length(seq1) END) >= 18)::INT + ((CASE WHEN a2 > 0 THEN greatest(a2 - 1, 1) ELSE length(seq2) END) >= 18)::INT AS tags FROM a)
+    f"""{_MATE}, a AS (SELECT *, CASE WHEN length(seq1) >= 12 THEN {_FIRST.format(s='seq1')} END AS a1, CASE WHEN length(seq2) >= 12 THEN {_FIRST.format(s='seq2')} END AS a2 FROM mates),
+b AS (SELECT pair_id, (a1 > 0 IS TRUE)::INT + (a2 > 0 IS TRUE)::INT AS linkers, ((CASE WHEN a1 > 0 THEN greatest(a1 - 1, 1) ELSE length(seq1) END) >= 18)::INT + ((CASE WHEN a2 > 0 THEN greatest(a2 - 1, 1) ELSE length(seq2) END) >= 18)::INT AS tags FROM a)
 SELECT *, CASE WHEN linkers = 0 THEN 'none' WHEN linkers = 2 OR tags = 0 THEN 'conflict' WHEN tags = 1 THEN 'one_tag' ELSE 'two_tag' END AS route FROM b"""
 )
 def linker_route(spark: SparkSession, sf: str) -> DataFrame:
-    return linker.route(_mates(spark, sf), LINKER, 0).drop("seq1", "seq2")
+    return linker.route(_mates(spark, sf), FUZZY, 2).drop("seq1", "seq2")
 
 
 def _mates(spark: SparkSession, sf: str) -> DataFrame:
@@ -426,13 +431,307 @@ def linker_align(spark: SparkSession, sf: str) -> DataFrame:
     return linker.align(_sides(spark, sf), "GTTGGATAAGATATCGC", 9)
 
 
-@query(
-    f"""{_MATE}, t AS (SELECT CASE WHEN instr(seq1, '{LINKER}') > 0 THEN substr(seq1, 1, greatest(instr(seq1, '{LINKER}') - 1, 0)) ELSE seq1 END AS x, pair_id FROM mates) SELECT pair_id, CASE WHEN x = '' THEN 'A' ELSE x END AS tag FROM t"""
-)
+@query(f"{_SIDES} SELECT pair_id, side, CASE WHEN instr(seq, '{LINKER}') = 0 THEN seq WHEN instr(seq, '{LINKER}') = 1 THEN 'A' ELSE substr(seq, 1, instr(seq, '{LINKER}') - 1) END AS tag FROM sides")
 def linker_split(spark: SparkSession, sf: str) -> DataFrame:
     return _sides(spark, sf).select("pair_id", "side", linker.tag_before(F.col("seq"), LINKER, 0).alias("tag"))
 
 
+# Reads located by exact search: the first of these linkers wins, equal places tie.
+_KINDS = {"S": "GATCCA", "rcS": "TGGATC"}
+_DI = {"AA": "GATCGATC", "AB": "GATCCATG", "BB": "CATGCATG", "BA": "CATGGATC", "A": "GATCA", "B": "CATGA"}
+
+
+def _exact(spark: SparkSession, sf: str, kinds: dict[str, str]) -> DataFrame:
+    t = _sides(spark, sf).withColumns({f"_{k}": F.nullif(F.instr("seq", s), F.lit(0)) for k, s in kinds.items()})
+    first = F.least(*(F.col(f"_{k}") for k in kinds))
+    hits = sum((F.coalesce((F.col(f"_{k}") == F.col("_at")).cast("int"), F.lit(0)) for k in kinds), F.lit(0))
+    name = F.coalesce(*(F.when(F.col(f"_{k}") == F.col("_at"), F.lit(k)) for k in kinds), F.lit("none"))
+    size = F.coalesce(*(F.when(F.col(f"_{k}") == F.col("_at"), F.lit(len(s))) for k, s in kinds.items()))
+    t = t.withColumn("_at", first).withColumns({"linker": name, "tied": hits > 1, "begin": F.col("_at") - 1, "end": F.col("_at") - 1 + size, "length": F.length("seq")})
+    return tagging.with_tags(t.select("pair_id", "side", "length", "linker", "tied", "begin", "end"))
+
+
+def _exact_sql(kinds: dict[str, str]) -> str:
+    places = ", ".join(f"nullif(instr(seq, '{s}'), 0) AS p{k}" for k, s in kinds.items())
+    names = " ".join(f"WHEN p{k} = spot THEN '{k}'" for k in kinds)
+    sizes = " ".join(f"WHEN p{k} = spot THEN {len(s)}" for k, s in kinds.items())
+    hits = " + ".join(f"(p{k} = spot IS TRUE)::INT" for k in kinds)
+    return f"""{_SIDES}, e1 AS (SELECT *, {places} FROM sides), e2 AS (SELECT *, least({', '.join(f'p{k}' for k in kinds)}) AS spot FROM e1),
+e3 AS (SELECT pair_id, side, length(seq) AS length, CASE {names} ELSE 'none' END AS linker, {hits} > 1 AS tied, spot - 1 AS b, spot - 1 + CASE {sizes} END AS e FROM e2),
+located AS (SELECT *, CASE WHEN linker = 'none' OR tied THEN length ELSE b END AS t1, CASE WHEN linker = 'none' OR tied THEN 0 ELSE greatest(length - e, 0) END AS t2 FROM e3),
+two AS (SELECT x.pair_id, x.linker AS l1, y.linker AS l2, x.tied OR y.tied AS tied, x.t1 AS a1, x.t2 AS a2, y.t1 AS b1, y.t2 AS b2,
+  CASE WHEN (x.t1 >= 18 OR y.t2 >= 18) AND (y.t1 >= 18 OR x.t2 >= 18) THEN 'two_tag' ELSE 'one_tag' END AS tags FROM located x JOIN located y ON x.pair_id = y.pair_id AND x.side = 1 AND y.side = 2)"""
+
+
+_COLUMNS = "l1 AS linker_1, l2 AS linker_2, a1 AS tag1_1, a2 AS tag2_1, b1 AS tag1_2, b2 AS tag2_2"
+
+
+@query(
+    f"""{_exact_sql(_KINDS)}, f AS (SELECT *, CASE WHEN tied THEN 'tied' WHEN l1 = 'none' THEN l2 WHEN l2 = 'none' OR l1 <> l2 THEN l1 END AS final FROM two)
+SELECT pair_id, coalesce(final, 'none') AS final_linker, CASE WHEN final IS NULL THEN 'conflict' WHEN final IN ('tied', 'none') THEN final ELSE tags END AS class, {_COLUMNS} FROM f"""
+)
+def linker_pair_class(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.pair_class(_exact(spark, sf, _KINDS))
+
+
+@query(
+    f"""{_exact_sql(_DI)}, f AS (SELECT *, CASE WHEN tied THEN 'tied' WHEN l1 = 'none' THEN l2 WHEN l2 = 'none' THEN l1
+  WHEN length(l1) = 2 AND length(l2) = 2 THEN CASE WHEN l1 = reverse(l2) THEN l1 END
+  WHEN length(l1) = 2 THEN CASE WHEN right(l1, 1) = l2 THEN l1 END WHEN length(l2) = 2 THEN CASE WHEN right(l2, 1) = l1 THEN l2 END WHEN l1 = l2 THEN l1 || l2 END AS final FROM two)
+SELECT pair_id, coalesce(final, 'none') AS final_linker, CASE WHEN final IS NULL THEN 'conflict' WHEN final IN ('tied', 'none') THEN final WHEN length(final) = 1 THEN 'half'
+  WHEN final IN ('AB', 'BA') THEN 'full_mixed_' || tags ELSE 'full_same_' || tags END AS class, {_COLUMNS} FROM f"""
+)
+def linker_di_class(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.di_pair_class(_exact(spark, sf, _DI))
+
+
+@query(f"{_exact_sql(_KINDS)}, m AS (SELECT linker, unnest(['begin', 'tag1', 'tag2']) AS measure, unnest([b, t1, t2]) AS value FROM located) SELECT linker, measure, value, count(*) AS n FROM m WHERE value IS NOT NULL GROUP BY ALL")
+def linker_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.positions(_exact(spark, sf, _KINDS))
+
+
+@query(
+    f"""{_exact_sql(_KINDS)}, t AS (SELECT l.pair_id, l.side, unnest([1, 2]) AS tag, unnest([substr(s.seq, 1, t1), CASE WHEN t2 > 0 THEN substr(s.seq, e + 1, t2) ELSE '' END]) AS seq
+FROM located l JOIN sides s USING (pair_id, side)) SELECT * FROM t WHERE length(seq) >= 18"""
+)
+def linker_tag_reads(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.tag_reads(_sides(spark, sf), _exact(spark, sf, _KINDS))
+
+
+@query()
+def linker_single(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.pair_class(tagging.with_tags(tagging.single_linker(_sides(spark, sf), "ACGCGATATCTTATCTGACT")))
+
+
+@query()
+def linker_di(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.di_pair_class(tagging.with_tags(tagging.di_linker(_sides(spark, sf), "GTTGGATAAGATATCGC", "GTTGGAATGTATATCGC")))
+
+
+@query()
+def linker_mate_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return tagging.di_pair_class(tagging.with_tags(tagging.di_linker(_sides(spark, sf), "CTGTCTCTTATACACATCT")))
+
+
+@query()
+def adapter_route(spark: SparkSession, sf: str) -> DataFrame:
+    t = _sides(spark, sf).withColumn("qual", F.regexp_replace("seq", "[ACGT]", "I"))
+    return tagging.trim_adapters(t, "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC", "CTGTCTCTTATACACATCTGACGCTGCCGACGA").select("pair_id", "side", F.length("seq").alias("length"), "route")
+
+
+# --- alignments ----------------------------------------------------------------------------------------------------
+
+_ALIGNED = f"WITH {sql('alignments')}"
+
+
+def _aligned(spark: SparkSession, sf: str) -> DataFrame:
+    return relation(spark, sf, "alignments")
+
+
+@query(f"{_ALIGNED} SELECT count(*) AS records, " + ", ".join(f"sum((flag & {b} <> 0)::INT)::BIGINT AS {k}" for k, b in (("paired", 1), ("proper", 2), ("unmapped", 4), ("reverse", 16), ("secondary", 256), ("duplicate", 1024))) + " FROM alignments")
+def flag_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.flag_summary(_aligned(spark, sf))
+
+
+@query(f"{_ALIGNED} SELECT id, rname, pos, CASE cigar WHEN '5M2D7M' THEN 14 WHEN '4M1I7M' THEN 11 WHEN '3S9M' THEN 9 ELSE 12 END AS bases FROM alignments WHERE flag & 16 = 16 AND flag & 1028 = 0 AND mapq >= 10 AND rname = 'chr1' AND pos <= 2000000 AND pos + CASE cigar WHEN '5M2D7M' THEN 14 WHEN '4M1I7M' THEN 11 WHEN '3S9M' THEN 9 ELSE 12 END > 500000")
+def alignment_scan(spark: SparkSession, sf: str) -> DataFrame:
+    from lociflow.functions.sequence import reference_length
+
+    t = alignments.scan(_aligned(spark, sf), ("chr1", 500_000, 2_000_000), require=16, exclude=1028, min_mapq=10)
+    return t.select("id", "rname", "pos", reference_length(F.col("cigar")).alias("bases"))
+
+
+@query(f"{_ALIGNED} SELECT id, CASE WHEN flag & 4 <> 0 THEN 'unmapped' ELSE state END AS mapping FROM alignments")
+def mapping_state(spark: SparkSession, sf: str) -> DataFrame:
+    return _aligned(spark, sf).select("id", alignments.mapping_state(F.col("state")).alias("mapping"))
+
+
+@query(f"{_ALIGNED} SELECT id FROM alignments WHERE (rnext = '=' OR rnext = rname) AND abs(pos - pnext) <= 8000")
+def self_ligations(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.self_ligations(_aligned(spark, sf)).select("id")
+
+
+@query(
+    f"""{_ALIGNED}, {sql('peaks')}, f AS (SELECT id AS region_id, chrom, start, "end", unnest([0, 1, 2]) AS lane FROM peaks), a AS (SELECT *, id % 3 AS lane FROM alignments)
+SELECT f.region_id, f.lane, count(a.id) AS records, coalesce(sum(length(a.seq)), 0)::BIGINT AS bases FROM f LEFT JOIN a ON a.rname = f.chrom AND a.pos > f.start AND a.pos <= f."end" AND a.lane = f.lane GROUP BY ALL"""
+)
+def count_regions(spark: SparkSession, sf: str) -> DataFrame:
+    reads = _aligned(spark, sf).withColumn("lane", (F.col("id") % 3).cast("int"))
+    return alignments.count_regions(reads, relation(spark, sf, "peaks").withColumnRenamed("id", "region_id"), "lane", [0, 1, 2])
+
+
+@query(f"{_ALIGNED}, r AS (SELECT qname, dense_rank() OVER (PARTITION BY qname ORDER BY mapq DESC) AS k FROM alignments) SELECT qname, count(*) FILTER (k = 1) AS x0, count(*) FILTER (k = 2) AS x1 FROM r GROUP BY 1")
+def hit_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.hit_counts(_aligned(spark, sf).withColumnRenamed("mapq", "score"))
+
+
+@query(f"{_ALIGNED}, h AS (SELECT id, id % 2 AS x0, mapped AS x1, mapq AS y0, mapq - line AS y1 FROM alignments) SELECT id, x0 = 1 AND x1 <= 10 AS aln, x0 = 1 AND (x1 <= 10 OR y1 <= 0 OR (CASE WHEN y0 <> 0 THEN y1 / y0 END > 0.95) IS TRUE) AS mem FROM h")
+def unique_locus(spark: SparkSession, sf: str) -> DataFrame:
+    t = _aligned(spark, sf).select("id", (F.col("id") % 2).alias("x0"), F.col("mapped").alias("x1"), F.col("mapq").alias("y0"), (F.col("mapq") - F.col("line")).alias("y1"))
+    return t.select("id", alignments.unique_locus("aln").alias("aln"), F.coalesce(alignments.unique_locus("mem"), F.lit(False)).alias("mem"))
+
+
+_STATES = """w AS (SELECT pair_id, """ + ", ".join(f"max({c}) FILTER (read = {r} AND tag = {k}) AS {c}{r}{k}" for r in (1, 2) for k in (1, 2) for c in ("state", "rname")) + " FROM alignments GROUP BY 1)"
+_PICK = "CASE WHEN {a} = 'U' OR {b} = 'U' THEN 'U' WHEN {a} = 'R' OR {b} = 'R' THEN 'R' ELSE coalesce({a}, {b}, '.') END"
+
+
+@query(
+    f"""{_ALIGNED}, {_STATES}, p AS (SELECT pair_id, {_PICK.format(a='state11', b='state22')} AS anchor1, {_PICK.format(a='state21', b='state12')} AS anchor2,
+  ((state11 = 'U' AND state22 = 'U' AND rname11 <> rname22) OR (state21 = 'U' AND state12 = 'U' AND rname21 <> rname12)) IS TRUE AS torn FROM w)
+SELECT pair_id, anchor1, anchor2, CASE WHEN torn THEN 'discordant' WHEN anchor1 = 'U' AND anchor2 = 'U' THEN 'UU' WHEN anchor1 = 'U' OR anchor2 = 'U' THEN 'UxxU' WHEN anchor1 = 'N' AND anchor2 = 'N' THEN 'nn' ELSE 'xx' END AS class FROM p"""
+)
+def pair_tags(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.pair_tags(_aligned(spark, sf))
+
+
+@query(
+    f"""{_ALIGNED}, t AS (SELECT *, CASE WHEN (read = 1) = (tag = 1) THEN 1 ELSE 2 END AS anchor FROM alignments),
+r AS (SELECT *, row_number() OVER (PARTITION BY pair_id, anchor ORDER BY CASE state WHEN 'U' THEN 0 WHEN 'R' THEN 1 ELSE 2 END, mapped DESC, read = anchor DESC, rname DESC) AS k,
+  CASE WHEN state = 'U' THEN rname END AS place FROM t), d AS (SELECT pair_id, anchor, count(DISTINCT place) > 1 AS discordant FROM r GROUP BY 1, 2)
+SELECT pair_id, anchor, read, tag, state, rname, mapped, discordant FROM r JOIN d USING (pair_id, anchor) WHERE k = 1"""
+)
+def longer_tag(spark: SparkSession, sf: str) -> DataFrame:
+    return pets.longer_tag(_aligned(spark, sf))
+
+
+# The operations of the proxy's four CIGARs, with where each begins on the read and on the reference.
+_PILE = f"""{_ALIGNED}, ops(cigar, op, len, q, r) AS (VALUES ('12M', 'M', 12, 1, 0), ('5M2D7M', 'M', 5, 1, 0), ('5M2D7M', 'D', 2, 6, 5), ('5M2D7M', 'M', 7, 6, 7), ('4M1I7M', 'M', 4, 1, 0), ('4M1I7M', 'I', 1, 5, 4), ('4M1I7M', 'M', 7, 6, 4), ('3S9M', 'M', 9, 4, 0)),
+pile AS (SELECT rname, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, qual, id, pos + r + k AS pos, CASE op WHEN 'D' THEN '-' WHEN 'I' THEN '+' ELSE substr(seq, (q + k)::INT, 1) END AS base, CASE op WHEN 'M' THEN q + k ELSE q - 1 END AS place
+  FROM (SELECT *, CASE op WHEN 'I' THEN -1 ELSE unnest(range(CASE op WHEN 'I' THEN 1 ELSE len END)) END AS k FROM alignments JOIN ops USING (cigar) WHERE flag & 4 = 0))"""
+
+
+@query(f"{_PILE} SELECT rname, pos, base, strand, count(*) AS n FROM pile WHERE base <> '+' GROUP BY ALL")
+def pileup(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.pileup(_aligned(spark, sf))
+
+
+@query(
+    f"""{_PILE}, b AS (SELECT *, CASE WHEN c > 0 AND c <= 4 THEN 0 WHEN c > 4 AND c <= 12 THEN 1 END AS bin FROM (SELECT *, CASE strand WHEN '-' THEN 12 - place + 1 ELSE place END AS c FROM pile)
+  WHERE base IN ('+', '-') OR ascii(substr(qual, place::INT, 1)) - 33 >= 20), c AS (SELECT * FROM b WHERE bin IS NOT NULL),
+d AS (SELECT rname, pos FROM (SELECT rname, pos, base, count(*) AS n FROM c GROUP BY ALL) GROUP BY ALL HAVING sum(n) >= 2 AND sum(n) - max(n) >= 1)
+SELECT rname, pos, base, bin, count(*) AS n FROM c JOIN d USING (rname, pos) GROUP BY ALL"""
+)
+def pileup_options(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.pileup(_aligned(spark, sf), by_strand=False, min_depth=2, min_base_quality=20, min_minor=1, insertions=True, cycle_bins=[0, 4, 12])
+
+
+@query(f"{_PILE}, s AS (SELECT rname, pos, row_number() OVER (PARTITION BY rname, pos ORDER BY id, strand) AS k FROM pile WHERE base <> '+') SELECT rname, pos, count(*) AS n FROM s WHERE k <= 3 GROUP BY ALL")
+def pileup_depth(spark: SparkSession, sf: str) -> DataFrame:
+    return alignments.pileup(_aligned(spark, sf), by_strand=False, by_base=False, max_depth=3, order="id")
+
+
+@query(f"WITH {sql('pets')}, s AS (SELECT *, {_STATE.format(q='qual')} AS state1, {_STATE.format(q='(qual + pet_id % 3 * 10)')} AS state2 FROM pets) SELECT state1, state2, count(*) FILTER (tid = mtid AND qual >= 20) AS cis_passed, count(*) FILTER (tid = mtid AND qual < 20) AS cis_failed, count(*) FILTER (tid <> mtid AND qual >= 20) AS trans_passed, count(*) FILTER (tid <> mtid AND qual < 20) AS trans_failed FROM s GROUP BY 1, 2")
+def pair_state_passes(spark: SparkSession, sf: str) -> DataFrame:
+    state = lambda q: F.when(q >= 40, "U").when(q >= 20, "R").otherwise("N")
+    t = _pets(spark, sf)
+    return pets.pair_state_passes(t.withColumns({"state1": state(F.col("qual")), "state2": state(F.col("qual") + F.col("pet_id") % 3 * 10)}))
+
+
+_LINKED = "SELECT *, pet_id % 3 AS class, pet_id % 2 AS final_linker, pet_id % 5 % 2 AS linker, pet_id % 4 % 2 AS mlinker FROM pets WHERE pet_id % 11 <> 0 UNION ALL SELECT * REPLACE (-1 AS tid, -1 AS mtid), 0, 0, 0, 0 FROM pets WHERE pet_id % 11 = 0"
+
+
+@query(
+    f"""WITH {sql('pets')}, linked AS ({_LINKED}), s AS (SELECT *, (tid, pos, endpos) > (mtid, mpos, mendpos) AS sw FROM linked WHERE tid >= 0 OR mtid >= 0),
+c AS (SELECT * REPLACE (CASE WHEN sw THEN mtid ELSE tid END AS tid, CASE WHEN sw THEN mpos ELSE pos END AS pos, CASE WHEN sw THEN mendpos ELSE endpos END AS endpos, CASE WHEN sw THEN tid ELSE mtid END AS mtid, CASE WHEN sw THEN pos ELSE mpos END AS mpos,
+  CASE WHEN sw THEN endpos ELSE mendpos END AS mendpos, CASE WHEN sw THEN mstrand ELSE strand END AS strand, CASE WHEN sw THEN strand ELSE mstrand END AS mstrand, CASE WHEN sw THEN mlinker ELSE linker END AS linker, CASE WHEN sw THEN linker ELSE mlinker END AS mlinker) FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY {_KEYS}, class, final_linker, linker, mlinker ORDER BY qual DESC, pet_id) AS k, count(*) OVER (PARTITION BY {_KEYS}, class, final_linker, linker, mlinker) AS copies FROM c) SELECT * EXCLUDE (k, sw) FROM r WHERE k = 1"""
+)
+def pet_dedup_linkers(spark: SparkSession, sf: str) -> DataFrame:
+    t = _pets(spark, sf)
+    odd = F.col("pet_id") % 11 == 0
+    kinds = {"class": F.col("pet_id") % 3, "final_linker": F.col("pet_id") % 2, "linker": F.col("pet_id") % 5 % 2, "mlinker": F.col("pet_id") % 4 % 2}
+    t = t.withColumns({k: F.when(odd, 0).otherwise(v) for k, v in kinds.items()} | {k: F.when(odd, -1).otherwise(F.col(k)) for k in ("tid", "mtid")})
+    return pets.drop_duplicates(t)
+
+
+@query(
+    f"""WITH {sql('pets')}, b AS (SELECT pet_id % 3 AS linker_class, floor((abs({_SPAN}) - 1) / 100.0 + 0.5) AS p, {_STRANDS} AS o FROM pets WHERE tid = mtid)
+SELECT linker_class, CASE WHEN p < 0 THEN -1 WHEN p >= 1000 THEN 1000 ELSE p END::BIGINT AS bin, count(*) FILTER (o = '++') AS ff, count(*) FILTER (o = '+-') AS fr, count(*) FILTER (o = '-+') AS rf, count(*) FILTER (o = '--') AS rr FROM b GROUP BY ALL"""
+)
+def span_histogram_linkers(spark: SparkSession, sf: str) -> DataFrame:
+    return pets.span_histogram(_pets(spark, sf).withColumn("linker_class", F.col("pet_id") % 3), by=("linker_class",))
+
+
+_MIDDLE = "(pos + endpos) // 2 AS m1, (mpos + mendpos) // 2 AS m2"
+
+
+@query(
+    f"""WITH {sql('pets')}, w AS (SELECT *, {_MIDDLE} FROM pets), e AS (SELECT pet_id, tid, mtid, greatest(m1 - CASE strand WHEN 0 THEN 400 ELSE 100 END, 0) AS s1, m1 + CASE strand WHEN 0 THEN 100 ELSE 400 END AS e1,
+  greatest(m2 - CASE mstrand WHEN 0 THEN 400 ELSE 100 END, 0) AS s2, m2 + CASE mstrand WHEN 0 THEN 100 ELSE 400 END AS e2 FROM w)
+SELECT pet_id, s1, CASE WHEN tid = mtid THEN least(e1, e2) ELSE e1 END AS e1, CASE WHEN tid = mtid THEN greatest(s2, s1) ELSE s2 END AS s2, e2 FROM e"""
+)
+def pet_extend_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return pets.extend(_pets(spark, sf), 400, 100, anchor="middle").select("pet_id", "s1", "e1", "s2", "e2")
+
+
+@query(f"{_SHARED} SELECT * FROM loops_a WHERE loop_id NOT IN (SELECT loop_a FROM shared)")
+def loop_difference(spark: SparkSession, sf: str) -> DataFrame:
+    return loops.unshared_loops(_half(spark, sf, 0), _half(spark, sf, 1))
+
+
+@query(f"{_PAIRS} SELECT * FROM pairs WHERE {_ORD.format(c='chr1')} < {_ORD.format(c='chr2')} OR (chr1 = chr2 AND pos1 < pos2 AND {_ORD.format(c='chr1')} > 0)")
+def pairs_strict_triangle(spark: SparkSession, sf: str) -> DataFrame:
+    return pairs.upper_triangle(_pairs(spark, sf), CHROMS, strict=True)
+
+
+@query(f"{_PAIRS} SELECT * EXCLUDE (read_id, strand1) FROM pairs")
+def pairs_remove_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return pairs.remove_columns(_pairs(spark, sf), [0, "strand1"])
+
+
+# --- densities -----------------------------------------------------------------------------------------------------
+
+_POINTS = f"{_ALIGNED}, points AS (SELECT rname AS chrom, pos, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, id FROM alignments)"
+
+
+def _points(spark: SparkSession, sf: str) -> DataFrame:
+    return _aligned(spark, sf).select(F.col("rname").alias("chrom"), "pos", F.when(alignments.has(alignments.REVERSE), "-").otherwise("+").alias("strand"), "id")
+
+
+@query(f"{_POINTS}, c AS (SELECT chrom, pos // 1000 AS bin, count(*) AS n FROM points GROUP BY 1, 2) SELECT chrom, bin + d AS bin, round(sum(n * exp(-power(d * 1000 / 1000.0, 2) / 2) / (1000 * sqrt(2 * pi()))), 9) AS density FROM c, range(-3, 4) t(d) GROUP BY 1, 2")
+def tag_density(spark: SparkSession, sf: str) -> DataFrame:
+    return density.smoothed(_points(spark, sf), 1000, 1000).select("chrom", "bin", F.round("density", 9).alias("density"))
+
+
+@query(
+    f"""{_POINTS}, b AS (SELECT chrom, pos // 1000 AS bin, count(*) FILTER (id % 2 = 0) AS signal, count(*) FILTER (id % 2 = 1) AS background FROM points GROUP BY 1, 2), t AS (SELECT sum(signal) / sum(background) AS k FROM b)
+SELECT chrom, bin, signal, background, round((signal + 1) / ((background + 1) * k), 9) AS fold, round(greatest(signal + 1 - sqrt(signal + 1), 0) / ((background + 1) * k + sqrt((background + 1) * k)), 9) AS least_fold FROM b, t"""
+)
+def fold_profile(spark: SparkSession, sf: str) -> DataFrame:
+    t = _points(spark, sf)
+    out = density.fold_profile(t.where("id % 2 = 0"), t.where("id % 2 = 1"))
+    return out.select("chrom", "bin", "signal", "background", F.round("fold", 9).alias("fold"), F.round("least_fold", 9).alias("least_fold"))
+
+
+@query(f"{_POINTS}, c AS (SELECT chrom, strand, pos // 100 AS bin, count(*) AS n FROM points GROUP BY ALL) SELECT (b.bin - a.bin) * 100 AS shift, sum(a.n * b.n)::BIGINT AS n FROM c a JOIN c b ON a.chrom = b.chrom AND a.strand = '+' AND b.strand = '-' AND b.bin - a.bin BETWEEN 0 AND 10 GROUP BY 1")
+def cross_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return density.cross_correlation(_points(spark, sf), 1000, 100)
+
+
+@query(
+    f"""{_POINTS}, a AS (SELECT chrom, strand, pos, count(*) AS n FROM points GROUP BY ALL), m AS (SELECT chrom, pos // 10000 AS w, avg(n) AS mean FROM a GROUP BY ALL),
+odd AS (SELECT a.chrom, a.strand, a.pos FROM a JOIN m ON a.chrom = m.chrom AND a.pos // 10000 = m.w WHERE a.n > 1.2 * mean + 1) SELECT id FROM points p WHERE NOT EXISTS (SELECT 1 FROM odd o WHERE o.chrom = p.chrom AND o.strand = p.strand AND o.pos = p.pos)"""
+)
+def tag_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    return density.without_anomalies(_points(spark, sf), 10_000, 1.2).select("id")
+
+
+@query(f"{_POINTS}, a AS (SELECT chrom, pos, count(*) AS n FROM points WHERE strand = '-' GROUP BY ALL) SELECT id FROM points JOIN a USING (chrom, pos) WHERE strand = '-' AND n >= 2")
+def informative_tags(spark: SparkSession, sf: str) -> DataFrame:
+    return density.informative(_points(spark, sf), "-", 2).select("id")
+
+
+@query(
+    f"""WITH {sql('peaks')}, {_DEPTH.format(t='peaks')}, z AS (SELECT sum("end" - start) / 20000000.0 AS mean FROM peaks),
+pm AS (SELECT k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (ORDER BY k) AS upto FROM z, range(0, 200) t(k)), cut AS (SELECT min(k) + 1 AS cutoff FROM pm WHERE 1 - upto <= 0.01),
+high AS (SELECT chrom, start, "end" + 100 AS "end", depth FROM cov, cut WHERE depth >= cutoff), {_MERGED.format(t='high')},
+called AS (SELECT chrom, start, "end" - 100 AS "end" FROM merged WHERE "end" - 100 - start >= 50)
+SELECT c.chrom, c.start, c."end", (SELECT max(depth) FROM high h WHERE h.chrom = c.chrom AND h.start < c."end" AND h."end" - 100 > c.start)::BIGINT AS height FROM called c"""
+)
+def call_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    return density.call_peaks(relation(spark, sf, "peaks"), 20_000_000, 0.01, 100, 50)
+
+
 # --- phasing -------------------------------------------------------------------------------------------------------
 
 
@@ -482,6 +781,45 @@ def loop_phase(spark: SparkSession, sf: str) -> DataFrame:
     return phasing.loop_phase(_loops(spark, sf), peaks.join(phasing.peak_phase(peaks, _snps(spark, sf)), "id"))
 
 
+_BIASED = f"b AS (SELECT id, p, m, {_BINOM} AS pv FROM snps), k AS (SELECT *, row_number() OVER (ORDER BY pv DESC, id DESC) AS k FROM b), q AS (SELECT *, least(1.0, min(k * pv) OVER (ORDER BY k)) AS padj FROM k)"
+
+
+@query(f"WITH {sql('snps')}, {_BIASED} SELECT id, round(pv, 9) AS pvalue, round(padj, 6) AS padj, CASE WHEN padj < 0.1 THEN 'Yes' ELSE 'No' END AS biased FROM q")
+def allele_bias(spark: SparkSession, sf: str) -> DataFrame:
+    t = phasing.allele_bias(relation(spark, sf, "snps").select("id", "p", "m"))
+    return t.select("id", F.round("pvalue", 9).alias("pvalue"), F.round("padj", 6).alias("padj"), "biased")
+
+
+@query(f"WITH {sql('snps')} SELECT chrom, pos AS start, pos + 200 AS \"end\", id AS name, '+' AS strand, p, m, pv AS pvalue, CASE WHEN p >= m THEN '26,152,80' ELSE '215,48,39' END AS colour FROM snps")
+def snp_bed(spark: SparkSession, sf: str) -> DataFrame:
+    return phasing.snp_bed(relation(spark, sf, "snps").select("chrom", "pos", F.col("id").alias("padj"), "p", "m", F.col("pv").alias("pvalue")))
+
+
+@query(f"WITH {sql('snps')} SELECT chrom, pos AS start, pos + 100 AS \"end\", p AS value FROM snps UNION ALL SELECT chrom, pos, pos + 10, m FROM snps")
+def allele_bedgraphs(spark: SparkSession, sf: str) -> DataFrame:
+    t = relation(spark, sf, "snps")
+    return phasing.allele_bedgraph(t, "p", 100).union(phasing.allele_bedgraph(t, "m", 10))
+
+
+@query(
+    f"""WITH {sql('snps')}, c AS (SELECT chrom, pos, sum(p) AS a, sum(m) AS c, count(*) AS g, max(id) AS t FROM snps GROUP BY 1, 2), s AS (SELECT DISTINCT chrom, pos, substr('ACGT', (pos % 4 + 1)::INT, 1) AS paternal, substr('CGTA', (pos % 4 + 1)::INT, 1) AS maternal FROM snps WHERE pos % 3 = 0)
+SELECT chrom, pos, paternal, maternal, CASE paternal WHEN 'A' THEN a WHEN 'C' THEN c WHEN 'G' THEN g WHEN 'T' THEN t END::BIGINT AS p, CASE maternal WHEN 'A' THEN a WHEN 'C' THEN c WHEN 'G' THEN g WHEN 'T' THEN t END::BIGINT AS m FROM c LEFT JOIN s USING (chrom, pos)"""
+)
+def counts_at_snps(spark: SparkSession, sf: str) -> DataFrame:
+    t = relation(spark, sf, "snps")
+    counts = t.groupBy("chrom", "pos").agg(F.sum("p").alias("a"), F.sum("m").alias("c"), F.count(F.lit(1)).alias("g"), F.max("id").alias("t"))
+    letter = lambda letters: F.substring(F.lit(letters), (F.col("pos") % 4 + 1).cast("int"), F.lit(1))
+    known = t.where("pos % 3 = 0").select("chrom", "pos", letter("ACGT").alias("paternal"), letter("CGTA").alias("maternal")).distinct()
+    return phasing.counts_at_snps(counts, known).select("chrom", "pos", "paternal", "maternal", "p", "m")
+
+
+@query(f"WITH {sql('snps')}, u AS (SELECT DISTINCT chrom, pos FROM snps), x AS (SELECT *, pos % 5 AS d FROM u) SELECT chrom, pos, 'A' AS ref, (d + pos % 3)::BIGINT AS depth, repeat('a', d::INT) || repeat('C', (pos % 3)::INT) AS bases, repeat('I', d::INT) || repeat('J', (pos % 3)::INT) AS quals FROM x WHERE d + pos % 3 > 0")
+def join_pileups(spark: SparkSession, sf: str) -> DataFrame:
+    t = relation(spark, sf, "snps").select("chrom", "pos", F.lit("A").alias("ref")).distinct()
+    pile = lambda n, base, qual: t.select("*", F.expr(f"pos % {n}").alias("depth"), F.expr(f"repeat('{base}', int(pos % {n}))").alias("bases"), F.expr(f"repeat('{qual}', int(pos % {n}))").alias("quals"))
+    return phasing.join_pileups(pile(5, "a", "I"), pile(3, "C", "J"))
+
+
 # --- significance and reproducibility ------------------------------------------------------------------------------
 
 _SEEN = "seen AS (SELECT chrom, least((s1 + e1) // 2, (s2 + e2) // 2) AS i, greatest((s1 + e1) // 2, (s2 + e2) // 2) AS j, sum(n) AS n FROM loops GROUP BY 1, 2, 3)"
@@ -500,7 +838,10 @@ def distance_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return significance.distance_quantiles(significance.band_pairs(significance.segments(_loops(spark, sf)), 5000, 200_000), 20)
 
 
-@query(f"{_LOOPS}, {_SEEN}, {_BAND}, {_QUANT}, bn AS (SELECT b.delta, coalesce(s.n, 0) AS n FROM band b LEFT JOIN seen s USING (chrom, i, j)) SELECT median, round(sum(n) / count(*), 9) AS mean FROM quant q JOIN bn ON bn.delta BETWEEN q.low AND q.high GROUP BY 1")
+@query(
+    f"""{_LOOPS}, {_SEEN}, {_BAND}, {_QUANT}, bn AS (SELECT b.delta, coalesce(s.n, 0) AS n FROM band b LEFT JOIN seen s USING (chrom, i, j)), fq AS (SELECT delta, min(quantile) AS quantile FROM qs GROUP BY 1),
+me AS (SELECT quantile, sum(n) / count(*) AS mean FROM bn JOIN fq USING (delta) GROUP BY 1) SELECT median, round(avg(mean), 9) AS mean FROM me JOIN quant USING (quantile) GROUP BY 1"""
+)
 def expected_by_distance(spark: SparkSession, sf: str) -> DataFrame:
     t = _loops(spark, sf)
     return significance.decay(significance.band_pairs(significance.segments(t), 5000, 200_000), significance.observed(t), 20).select("median", F.round("mean", 9).alias("mean"))

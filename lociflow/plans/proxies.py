@@ -18,8 +18,16 @@ SNPS = """SELECT event_id AS id, concat('chr', CAST(user_id % 4 AS VARCHAR(20)))
   (event_id * 11) % 19 AS m, ((event_id * 7919) % 1000) / 1000.0 AS pv FROM events"""
 SITES = "SELECT p_partkey * 2500 AS site FROM part"
 READS = """SELECT doc_id AS read_id, regexp_replace(upper(translate(lower(text), 'bdefhijklmnopqrsuvwxyz', 'acgtacgtacgtacgtacgtac')), '[^ACGT]', ''{g}) AS seq FROM documents"""
-RELATIONS = {"pets": PETS, "tags": TAGS, "peaks": PEAKS, "snps": SNPS, "sites": SITES, "reads": READS}
-_TABLE = {"pets": "orders", "tags": "events", "peaks": "events", "snps": "events", "sites": "part", "reads": "documents"}
+ALIGNMENTS = """SELECT l_orderkey * 8 + l_linenumber AS id, concat('q', CAST(l_orderkey AS VARCHAR(20))) AS qname,
+  CAST(1 + (l_linenumber % 2) * 16 + CASE WHEN l_partkey % 20 = 0 THEN 4 ELSE 0 END + CASE WHEN l_suppkey % 7 = 0 THEN 1024 ELSE 0 END + CASE WHEN l_partkey % 9 = 0 THEN 256 ELSE 0 END AS INT) AS flag,
+  concat('chr', CAST(l_suppkey % 4 AS VARCHAR(20))) AS rname, CAST((l_partkey * 4999) % 5000000 + 1 AS BIGINT) AS pos, CAST(l_quantity AS INT) AS mapq,
+  CASE l_linenumber % 4 WHEN 0 THEN '12M' WHEN 1 THEN '5M2D7M' WHEN 2 THEN '4M1I7M' ELSE '3S9M' END AS cigar,
+  CASE WHEN l_partkey % 5 = 0 THEN '=' ELSE concat('chr', CAST(l_suppkey % 3 AS VARCHAR(20))) END AS rnext, CAST((l_partkey * 4999) % 5000000 + 1 + (l_partkey % 30) * 1000 AS BIGINT) AS pnext,
+  CASE WHEN l_orderkey % 2 = 0 THEN 'ACGTACGTACGT' ELSE 'TTGCATTGCATT' END AS seq, CASE WHEN l_suppkey % 2 = 0 THEN 'IIII####IIII' ELSE 'IIIIIIIIIIII' END AS qual,
+  l_orderkey * 2 + CASE WHEN l_linenumber > 4 THEN 1 ELSE 0 END AS pair_id, CAST((l_linenumber - 1) // 2 % 2 + 1 AS INT) AS read, CAST((l_linenumber - 1) % 2 + 1 AS INT) AS tag,
+  CASE l_suppkey % 4 WHEN 0 THEN 'U' WHEN 1 THEN 'R' WHEN 2 THEN 'U' ELSE 'N' END AS state, CAST(l_partkey % 25 + 18 AS INT) AS mapped, CAST(l_linenumber AS INT) AS line FROM lineitem"""
+RELATIONS = {"pets": PETS, "tags": TAGS, "peaks": PEAKS, "snps": SNPS, "sites": SITES, "reads": READS, "alignments": ALIGNMENTS}
+_TABLE = {"pets": "orders", "tags": "events", "peaks": "events", "snps": "events", "sites": "part", "reads": "documents", "alignments": "lineitem"}
 
 
 def sql(*names: str) -> str:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lociflow.functions.sequence import reference_length
+from lociflow.operators.pairs import upper_triangle
+
 LOOP = "chrom1 string, start1 int, end1 int, chrom2 string, start2 int, end2 int, pet_count int, peak_support int"
 BED = "chrom string, start int, end int, name string, score string, strand string"
 PAIR_COLUMNS = ["read_id", "chr1", "pos1", "chr2", "pos2", "strand1", "strand2"]
@@ -25,6 +28,7 @@ class Preset:
     end2: int = 0
     separator: str = "\t"
     comment: str = "#"
+    cigar: int = 0
 
 
 # The places of columns in common formats.
@@ -32,7 +36,7 @@ PRESETS = {
     "bed": Preset(1, 2, 3),
     "gff": Preset(1, 4, 5),
     "vcf": Preset(1, 2, 2),
-    "sam": Preset(3, 4, 4, comment="@"),
+    "sam": Preset(3, 4, 4, comment="@", cigar=6),
     "psltbl": Preset(15, 17, 18),
     "pairs": Preset(2, 3, 3, 4, 5, 5),
     "merged_nodups": Preset(2, 3, 3, 6, 7, 7, separator=" "),
@@ -53,6 +57,11 @@ def _typed(parts: Column, schema: str) -> list[Column]:
     return out
 
 
+def _from(parts: Column, first: int) -> Column:
+    """All parts from the `first`-th on."""
+    return F.slice(parts, F.lit(first), F.greatest(F.size(parts) - (first - 1), F.lit(0)))
+
+
 def read_loops(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Loop files of 7 or 8 columns; lines with a # anywhere are comments."""
     return _lines(spark, path, anywhere=True).select(*_typed(F.split("value", "\t"), LOOP))
@@ -63,8 +72,8 @@ def read_bed(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_peaks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """narrowPeak and broadPeak: of rows with the same place the one of the longest reach stays."""
-    return read_bed(spark, path).groupBy("chrom", "start").agg(F.max("end").alias("end"))
+    """narrowPeak and broadPeak: of rows that start at the same place the last one stays."""
+    return read_bed(spark, path).withColumn("_at", F.monotonically_increasing_id()).groupBy("chrom", "start").agg(F.max_by("end", "_at").alias("end"))
 
 
 def read_indexed(spark: SparkSession, path: str | list[str], preset: str | Preset) -> DataFrame:
@@ -73,14 +82,22 @@ def read_indexed(spark: SparkSession, path: str | list[str], preset: str | Prese
     parts = F.split("value", "\\Q" + p.separator + "\\E")
     names = [f.name for f in fields(p)[:6] if getattr(p, f.name)]
     cols = [(F.get(parts, getattr(p, n) - 1) if n.startswith("chr") else F.get(parts, getattr(p, n) - 1).try_cast("long")).alias(n) for n in names]
+    if p.cigar:  # an alignment ends with the last base of the reference that it takes
+        length = F.coalesce(reference_length(F.get(parts, p.cigar - 1), "MDN"), F.lit(0))
+        cols[2] = (F.get(parts, p.start1 - 1).try_cast("long") + F.greatest(length, F.lit(1)) - 1).alias("end1")
     return _lines(spark, path, p.comment).select(*cols, F.col("value").alias("line"))
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_no, name, seq, qual. A record's place is its byte order in the file, so a file is one ordered partition: gzip
-    files can't be split anyway, and many files are read in parallel."""
-    t = spark.read.option("wholetext", "false").text(path).withColumn("_file", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
-    t = t.withColumn("_no", F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1)
+    """read_no, name, seq, qual. A line's number is its place in its block of the file and the lines of the blocks before, so a
+    task sees a block only."""
+    t = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    t = t.withColumn("_at", F.monotonically_increasing_id())
+    blocks = t.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    t = t.withColumn("_no", F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at")) - 1)
+    t = t.join(blocks, ["_file", "_block"]).withColumn("_no", F.col("_no") + F.col("_base"))
     record = t.groupBy("_file", F.floor(F.col("_no") / 4).alias("read_no")).agg(*(F.max(F.when(F.col("_no") % 4 == k, F.col("value"))).alias(n) for k, n in ((0, "name"), (1, "seq"), (3, "qual"))))
     return record.select("read_no", F.regexp_replace("name", "^@", "").alias("name"), "seq", "qual")
 
@@ -91,11 +108,16 @@ def read_fastq_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
     return a.join(b, "pair_id")
 
 
+def read_interleaved(spark: SparkSession, path: str) -> DataFrame:
+    """One file with both mates of a pair in turn: pair_id, side (1 or 2), name, seq, qual."""
+    return read_fastq(spark, path).select(F.floor(F.col("read_no") / 2).alias("pair_id"), (F.col("read_no") % 2 + 1).cast("int").alias("side"), "name", "seq", "qual")
+
+
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The eleven SAM columns, and tags as a map of name to value."""
     names = "qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string"
     parts = F.split("value", "\t")
-    tags = F.map_from_entries(F.transform(F.slice(parts, 12, 1000), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1_000_000))))
+    tags = F.map_from_entries(F.transform(_from(parts, 12), lambda t: F.struct(F.substring(t, 1, 2), F.substr(t, F.lit(6)))))
     return _lines(spark, path, "@").select(*_typed(parts, names), tags.alias("tags"))
 
 
@@ -103,7 +125,7 @@ def read_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Contact pairs of at least the seven reserved columns; `.` is null."""
     parts = F.transform(F.split("value", "\t"), lambda x: F.when(x != ".", x))
     kinds = ", ".join(f"{c} {'long' if c.startswith('pos') else 'string'}" for c in PAIR_COLUMNS)
-    return _lines(spark, path).select(*_typed(parts, kinds), F.slice(parts, 8, 1000).alias("rest"))
+    return _lines(spark, path).select(*_typed(parts, kinds), _from(parts, 8).alias("rest"))
 
 
 def read_pairs_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -112,8 +134,9 @@ def read_pairs_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return t.select(F.regexp_extract("value", r"^#+\s*([^:\s]+):?\s*(.*)$", 1).alias("key"), F.regexp_extract("value", r"^#+\s*([^:\s]+):?\s*(.*)$", 2).alias("value"))
 
 
-def read_merged_nodups(spark: SparkSession, path: str | list[str], max_mapq: int | None = None, old: bool = False) -> DataFrame:
-    """Pairs of a merged_nodups file, with fragments; with max_mapq, both qualities must be above it."""
+def read_merged_nodups(spark: SparkSession, path: str | list[str], max_mapq: int | None = None, old: bool = False, chroms: list[str] | None = None) -> DataFrame:
+    """Pairs of a merged_nodups file, with fragments; with max_mapq, both qualities must be above it. With chroms, pairs of
+    other chromosomes go, and sides come in their order."""
     parts, at = F.split("value", " "), 1 if old else 0
     strand = lambda k: F.when(F.get(parts, k) == "0", "+").otherwise("-")
     number = lambda k: F.get(parts, k).try_cast("long")
@@ -124,7 +147,7 @@ def read_merged_nodups(spark: SparkSession, path: str | list[str], max_mapq: int
     t = _lines(spark, path)
     if max_mapq is not None:
         t = t.where((number(at + 8) > max_mapq) & (number(at + (9 if old else 11)) > max_mapq))
-    return t.select(*cols)
+    return upper_triangle(t.select(*cols), chroms) if chroms else t.select(*cols)
 
 
 def read_short_form(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -159,3 +182,57 @@ def read_motifs(spark: SparkSession, path: str | list[str], column: int = 0) ->
     t = _lines(spark, path).select(*(F.regexp_extract(place, r"^([^:]+):(\d+)-(\d+)", k).alias(n) for k, n in ((1, "chrom"), (2, "start"), (3, "end")))).where("chrom <> ''")
     t = t.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
     return t.withColumn("motif_id", F.concat(F.lit("motif_"), F.col("chrom"), F.lit("_"), F.row_number().over(Window.partitionBy("chrom").orderBy("start", "end"))))
+
+
+def read_header(spark: SparkSession, path: str | list[str], comment: str = "#") -> DataFrame:
+    """line_no, line of the lines that start with the comment sign, in their order."""
+    t = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()).where(F.col("value").startswith(comment))
+    return t.select("line_no", F.col("value").alias("line"))
+
+
+def sequence_names(spark: SparkSession, path: str | list[str], preset: str | Preset) -> DataFrame:
+    """chrom, records: the chromosomes of an indexed file."""
+    return read_indexed(spark, path, preset).groupBy(F.col("chr1").alias("chrom")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def read_vcf_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """kind (contig, INFO, FORMAT, FILTER, samples or any other key), id, value of the header's lines."""
+    t = read_header(spark, path)
+    structured = F.regexp_extract("line", r"^##(\w+)=<ID=([^,>]+)", 2)
+    key = F.regexp_extract("line", r"^##([^=]+)=", 1)
+    samples = F.concat_ws(",", _from(F.split("line", "\t"), 10))
+    is_columns = F.col("line").startswith("#CHROM")
+    return t.select("line_no", F.when(is_columns, "samples").otherwise(key).alias("kind"), F.when(structured != "", structured).alias("id"), F.when(is_columns, samples).otherwise(F.regexp_extract("line", r"^##[^=]+=(.*)$", 1)).alias("value"))
+
+
+def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """chrom, pos, id, ref, alt (array), qual, filter, info (map; a flag is null), format, samples (array); `.` is null."""
+    parts = F.transform(F.split("value", "\t"), lambda x: F.when(x != ".", x))
+    names = "chrom string, pos long, id string, ref string, alt string, qual double, filter string, info string, format string"
+    t = _lines(spark, path).select(*_typed(parts, names), _from(parts, 10).alias("samples"))
+    entry = lambda x: F.struct(F.get(F.split(x, "=", 2), 0), F.get(F.split(x, "=", 2), 1))
+    info = F.map_from_entries(F.transform(F.split("info", ";"), entry))
+    return t.withColumns({"alt": F.split("alt", ","), "info": F.when(F.col("info").isNotNull(), info)})
+
+
+# 1-based places of name, strand, chromosome and position in the outputs of short-read aligners, what a position
+# counts from, and how the reverse strand is written.
+ALIGNERS = {"bowtie": (1, 2, 3, 4, 0, "-"), "eland": (1, 9, 7, 8, 1, "R"), "maq": (1, 4, 2, 3, 1, "-")}
+
+
+def read_aligner(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+    """name, chrom, pos (1-based), strand of mapped reads; rows without a place are left out."""
+    name, strand, chrom, pos, base, reverse = ALIGNERS[kind]
+    parts = F.split("value", "\t")
+    at = lambda k: F.get(parts, k - 1)
+    t = _lines(spark, path).select(at(name).alias("name"), F.regexp_replace(at(chrom), r"\.fa$", "").alias("chrom"), (at(pos).try_cast("long") + 1 - base).alias("pos"), F.when(at(strand) == reverse, "-").otherwise("+").alias("strand"))
+    return t.where("chrom <> '' AND pos IS NOT NULL")
+
+
+def merge_lanes(spark: SparkSession, first: list[str], second: list[str]) -> DataFrame:
+    """Mates of several lanes: lane, pair_id, seq1, qual1, seq2, qual2."""
+    out = None
+    for k, (a, b) in enumerate(zip(first, second, strict=True)):
+        t = read_fastq_pairs(spark, a, b).withColumn("lane", F.lit(k))
+        out = t if out is None else out.unionByName(t)
+    return out

@@ -10,12 +10,14 @@ def _line(*columns: Column | str) -> Column:
     return F.concat_ws("\t", *(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(".")) for c in columns)).alias("value")
 
 
-def write_clusters(clusters: DataFrame, path: str, name: str | None = None) -> None:
-    """Seven columns (or, with a prefix, named BEDPE), cis and trans in folders of their own."""
+def write_clusters(clusters: DataFrame, path: str, name: str | bool | None = None) -> None:
+    """Seven columns, or BEDPE with a name C_ (cis) or T_ and both islands, after a prefix if `name` is one; cis and trans in
+    folders of their own."""
     kind = F.when(F.col("tid") == F.col("mtid"), "cis").otherwise("trans").alias("class")
     columns: list[Column | str] = [F.concat(F.lit("chr"), F.col("tid")), "s1", "e1", F.concat(F.lit("chr"), F.col("mtid")), "s2", "e2"]
     if name:
-        columns.append(F.concat_ws("_", F.lit(name), "island1", "island2"))
+        kind_letter = F.when(F.col("tid") == F.col("mtid"), "C").otherwise("T")
+        columns.append(F.concat_ws("_", *([F.lit(name)] if name is not True else []), kind_letter, "island1", "island2"))
     clusters.select(kind, _line(*columns, "n")).write.partitionBy("class").text(path)
 
 
@@ -32,6 +34,19 @@ def annotation_lines(loops: DataFrame, colour: str = "0,204,255") -> DataFrame:
     return loops.select(_line("chrom", "s1", "e1", "chrom", "s2", "e2", F.lit(colour)))
 
 
+def write_annotations(loops: DataFrame, path: str, colour: str = "0,204,255") -> None:
+    """The same as files with a header."""
+    names = ("chr1", "x1", "x2", "chr2", "y1", "y2", "color")
+    columns = (F.col("chrom"), F.col("s1"), F.col("e1"), F.col("chrom"), F.col("s2"), F.col("e2"), F.lit(colour))
+    loops.select(*(c.alias(n) for n, c in zip(names, columns, strict=True))).write.option("sep", "\t").option("header", True).csv(path)
+
+
+def write_qc(table: DataFrame, path: str) -> None:
+    """Lines of a quality table: metric and value, numbers with thousands parted."""
+    value = F.when(F.col("value") == F.floor("value"), F.format_number("value", 0)).otherwise(F.col("value").cast("string"))
+    table.select(_line("metric", value)).write.text(path)
+
+
 def pairs_lines(pairs: DataFrame) -> DataFrame:
     return pairs.select(_line("read_id", "chr1", "pos1", "chr2", "pos2", "strand1", "strand2"))
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from lociflow.functions import sequence, statistics
 from lociflow.functions.overlap import Overlap
-from lociflow.operators import alignments, intervals, linker, loops, pairs, pets, phasing, qc, reproducibility, significance
+from lociflow.operators import alignments, density, intervals, linker, loops, pairs, pets, phasing, qc, reproducibility, significance, tagging
 from lociflow.plans.catalogue import ORACLES, QUERIES
-from lociflow.sources import readers, writers
+from lociflow.sources import config, readers, writers
 from lociflow.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -156,8 +156,8 @@ def test_linkers(spark):
     at = lambda m: [r[0] for r in t.orderBy("id").select(sequence.first_match(F.col("seq"), "GATCG", m)).collect()]
     assert at(0) == [4, 0, None, None, None] and at(1) == [4, 0, 3, None, None]
     assert [r[0] for r in t.where("id < 5").orderBy("id").select(linker.tag_before(F.col("seq"), "GATCG", 0)).collect()] == ["ACGT", "A", "ACGGATAGCC", ""]
-    score, begin, end = linker.local_alignment(["TTTACGTACGTTT", "ACGT", "TTTT", ""], "ACGTACG")
-    assert score.tolist() == [7, 4, 1, 0] and (begin[0], end[0]) == (3, 10)
+    score, begin, end, first, last = linker.local_alignment(["TTTACGTACGTTT", "ACGT", "TTTT", ""], "ACGTACG")
+    assert score.tolist() == [7, 4, 1, 0] and (begin[0], end[0], first[0], last[0]) == (3, 10, 0, 7)
     got = linker.align(frame(spark, [(1, "TTCGTACGTAA"), (2, None)], "id long, seq string"), "TACGTACG", 6).orderBy("id").collect()
     assert got[0].score >= 6 and got[0].accepted and not got[1].accepted
 
@@ -168,7 +168,8 @@ def test_linkers_beyond_the_first_120_letters(spark, tmp_path):
     aligned = "GTTGGATAAGATATCGC"
     reads = [text(200) + "GATCG" + text(90), text(700), text(118) + "GATCG", text(10) + "GATCG" + text(400), text(508) + aligned + text(40), text(300), text(150)]
     frame(spark, list(enumerate(reads)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    rows = {x.pair_id: (x.linkers, x.tags, x.route) for x in QUERIES["linker_route"](spark, str(tmp_path)).collect()}
+    mates = frame(spark, [(k // 2, reads[k], reads[k + 1]) for k in (0, 2, 4)], "pair_id int, seq1 string, seq2 string")
+    rows = {x.pair_id: (x.linkers, x.tags, x.route) for x in linker.route(mates, "GATCG", 0).collect()}
     assert rows == {0: (1, 2, "two_tag"), 1: (2, 1, "conflict"), 2: (0, 2, "none")}
     tags = {(x.pair_id, x.side): x.tag for x in QUERIES["linker_split"](spark, str(tmp_path)).collect()}
     assert tags == {(k // 2, k % 2 + 1): reads[k].split("GATCG")[0] for k in range(6)}
@@ -185,12 +186,18 @@ def test_statistics(spark):
     assert statistics.noncentral_tail(0, 5, 5, 20, 1.0) == 1 and statistics.noncentral_tail(6, 5, 5, 20, 1.0) == 0
     assert abs(statistics.noncentral_tail(4, 5, 5, 10, 1.0) - 26 / 252) < 1e-9
     p = [0.9, 0.5, 0.5, 0.04, 0.001, 0.03]
-    got = statistics.hochberg(frame(spark, list(enumerate(p)), "id long, p double"), "p", "id", tile=10).collect()
+    got = statistics.hochberg(frame(spark, list(enumerate(p)), "id long, p double"), "p", "id").collect()
     ranked = sorted(p, reverse=True)
     want = [min(min((k + 1) * q for k, q in enumerate(ranked[: i + 1])), 1) for i in range(6)]
     assert np.allclose(sorted((r.padj for r in got), reverse=True), want)
+    odd = frame(spark, [(1, 3), (None, 3), (4, None), (0, 0)], "p int, m int").select(statistics.binomial_half("p", "m").alias("v"))
+    assert [r.v for r in odd.collect()] == [0.625, None, None, 1.0]
+    with_null = statistics.hochberg(frame(spark, [(1, None), (2, 0.5), (3, 0.5), (4, 0.0)], "id long, p double"), "p", "id").orderBy("id").collect()
+    assert [r.padj for r in with_null] == [None, 0.5, 0.5, 0.0]
     curve = statistics.spline([0, 1, 2, 3], [0, 1, 8, 27])
-    assert np.allclose(curve([0, 1, 2, 3, 9]), [0, 1, 8, 27, 27])
+    assert np.allclose(curve([0, 1, 2, 3]), [0, 1, 8, 27])
+    assert np.allclose(np.diff(curve([3, 4, 5, 9])), [curve([4])[0] - 27] * 2 + [4 * (curve([4])[0] - 27)]) and abs((curve([3 + 1e-6])[0] - 27) / 1e-6 - (27 - curve([3 - 1e-6])[0]) / 1e-6) < 1e-3
+    assert np.allclose(statistics.spline([1, 3], [2, 6])([0, 5]), [0, 10]) and statistics.spline([4], [2])([9])[0] == 2
 
 
 def test_significance(spark):
@@ -216,11 +223,12 @@ def test_false_positives_of_the_whole_band(spark):
     def fit(masked):
         deltas = sorted((j - i, cells.get((i, j), 0)) for i, j in band if (i, j) not in masked)
         size = max(len(deltas) // 6, 1)
-        each = [deltas[q * size : (q + 1) * size if q < 5 else None] for q in range(6)]
+        begins = {}
+        for k, (d, _) in enumerate(deltas):
+            begins.setdefault(d, min(k // size, 5))
         knots = []
-        for q, part in enumerate(each):
-            low, high = part[0][0], part[-1][0]
-            inside = [n for d, n in deltas if low <= d <= high]
+        for q in sorted(set(begins.values())):
+            inside = [n for d, n in deltas if begins[d] == q]
             knots.append(((deltas[q * size + (size - 1) // 2][0] + deltas[q * size + size // 2][0]) // 2, sum(inside) / len(inside)))
         curve = statistics.spline(*zip(*knots, strict=True))
         lam = {(i, j): max(float(curve([j - i])[0]), 1e-9) for i, j in band}
@@ -350,3 +358,209 @@ def test_pairing_and_tables(spark):
     for method in ("single", "complete", "average", "weighted", "ward"):
         out = reproducibility.linkage(points, method)
         assert out[0].tolist()[:3] == [2, 3, 0.5] and out[-1][3] == 5 and (np.diff(out[:, 2]) >= 0).all()
+
+
+def best_placement(read, pattern):
+    """Smith-Waterman by the book: the best score, and all places in the read and the pattern that reach it."""
+    cells = [[(0, {(i, j)}) for j in range(len(pattern) + 1)] for i in range(len(read) + 1)]
+    top = (0, {(0, 0, 0, 0)})
+    for i in range(1, len(read) + 1):
+        for j in range(1, len(pattern) + 1):
+            ways = [(cells[i - 1][j - 1][0] + (1 if read[i - 1] == pattern[j - 1] else -1), cells[i - 1][j - 1][1]), (cells[i - 1][j][0] - 1, cells[i - 1][j][1]), (cells[i][j - 1][0] - 1, cells[i][j - 1][1])]
+            score = max(w[0] for w in ways)
+            if score > 0:
+                cells[i][j] = (score, set().union(*(w[1] for w in ways if w[0] == score)))
+                places = {(a, i, b, j) for a, b in cells[i][j][1]}
+                if score > top[0]:
+                    top = (score, places)
+                elif score == top[0]:
+                    top[1].update(places)
+    return top
+
+
+def test_placements_against_a_plain_alignment():
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    pattern = "GTTGGATAAGATATCGC"
+    seqs = [text(r.randint(0, 60)) for _ in range(40)] + [text(9) + pattern[:12] + text(3), pattern[5:] + text(30), text(30) + pattern[:13], text(8) + pattern[:8] + "A" + pattern[9:] + text(9)]
+    for seq, *got in zip(seqs, *(x.tolist() for x in linker.local_alignment(seqs, pattern)), strict=True):
+        score, places = best_placement(seq, pattern)
+        assert got[0] == score and (not score or tuple(got[1:]) in places)
+
+
+def test_linker_tagging(spark):
+    s = "ACGCGATATCTTATCTGACT"
+    back = tagging.reverse_of(s)
+    tag, other = "CCCCCTTTTTCCCCCTTTTTCC", "GGGGGCCGGGGGCCGGGGGCC"
+    reads = [
+        (1, tag + s + other, other + back + tag), (2, tag + s + other, other + s + tag), (3, tag, other), (4, tag + s, other), (5, "C" * 5 + s, other),
+        (6, tag + s[:13], tag), (7, s[8:] + tag, back[:12] + other), (8, tag + s[:11], tag), (9, tag + s + other + back, other), (10, None, ""),
+    ]
+    t = frame(spark, [(p, k + 1, x) for p, *both in reads for k, x in enumerate(both)], "pair_id long, side int, seq string")
+    located = tagging.with_tags(tagging.single_linker(t, s))
+    rows = {(r.pair_id, r.side): r for r in located.collect()}
+    assert [(rows[1, k].linker, rows[1, k].begin, rows[1, k].end, rows[1, k].tag1, rows[1, k].tag2) for k in (1, 2)] == [("S", 22, 42, 22, 21), ("rcS", 21, 41, 21, 22)]
+    assert rows[6, 1].linker == "S" and rows[6, 1].tag1 == 22 and rows[7, 1].linker == "S" and rows[7, 1].begin == 0 and rows[7, 1].tag2 == 22
+    assert rows[8, 1].linker == "none" and rows[8, 1].tag1 == 33 and rows[9, 1].tied and rows[10, 1].linker == "none"
+    got = {r.pair_id: (r["final_linker"], r["class"]) for r in tagging.pair_class(located).collect()}
+    assert got == {1: ("S", "two_tag"), 2: ("none", "conflict"), 3: ("none", "none"), 4: ("S", "two_tag"), 5: ("S", "one_tag"), 6: ("S", "two_tag"), 7: ("S", "one_tag"), 8: ("none", "none"), 9: ("tied", "tied"), 10: ("none", "none")} | {7: got[7]}
+    assert {r["class"] for r in tagging.reclassified(located, 30).where("pair_id = 1").collect()} == {"one_tag"}
+    tags = {(r.pair_id, r.side, r.tag): r.seq for r in tagging.tag_reads(t, located).collect()}
+    assert tags[1, 1, 1] == tag and tags[1, 1, 2] == other and tags[1, 2, 2] == tag and (5, 1, 1) not in tags and tags[3, 1, 1] == tag
+    assert tagging.positions(located).where("linker = 'S' AND measure = 'begin' AND value = 22").first().n >= 4
+
+
+def test_di_linkers(spark):
+    a, b = "GTTGGATAAGATATCGC", "GTTGGAATGTATATCGC"
+    ra, rb = map(tagging.reverse_of, (a, b))
+    x, y = "CCTCTCCTTTCCTCCTCTTCCTT", "TTCCTTCTTTCTCCTTCCCTCTC"
+    full = {"AA": a + ra, "BB": b + rb, "AB": a + rb, "BA": b + ra}
+    reads = [(k, x + full[n] + y, y + full[m] + x) for k, (n, m) in enumerate([("AA", "AA"), ("AB", "BA"), ("AB", "AB"), ("BB", "AA")])]
+    reads += [(4, x + full["AA"] + y, y + a), (5, x + a + y, y + a), (6, x + b + y, x), (7, x, y), (8, x + ra + y, y)]
+    t = frame(spark, [(p, k + 1, s) for p, *both in reads for k, s in enumerate(both)], "pair_id long, side int, seq string")
+    got = {r.pair_id: (r["final_linker"], r["class"]) for r in tagging.di_pair_class(tagging.with_tags(tagging.di_linker(t, a, b))).collect()}
+    assert got == {
+        0: ("AA", "full_same_two_tag"), 1: ("AB", "full_mixed_two_tag"), 2: ("none", "conflict"), 3: ("none", "conflict"), 4: ("AA", "full_same_two_tag"), 5: ("AA", "full_same_two_tag"),
+        6: ("B", "half"), 7: ("none", "none"), 8: ("rcA", "half"),
+    }
+    mate = "CTGTCTCTTATACACATCT"
+    lmp = frame(spark, [(1, 1, x + mate + tagging.reverse_of(mate) + y), (1, 2, y)], "pair_id long, side int, seq string")
+    assert tagging.di_pair_class(tagging.with_tags(tagging.di_linker(lmp, mate))).first()["class"] == "full_same_two_tag"
+
+
+def test_adapters(spark):
+    one, two = "CTGTCTCTTATACACATCTCCGAGC", "CTGTCTCTTATACACATCTGACGCT"
+    read = "ACGGTTCAGGCATTACGGATCAGGCTTACG"
+    rows = [(1, 1, read + one, "I" * 55), (1, 2, read + two[:14], "I" * 44), (2, 1, read, "I" * 20 + "#" * 10), (2, 2, read[:18] + two, "I" * 43), (3, 1, "ACG", None), (3, 2, "", "")]
+    got = {(r.pair_id, r.side): (r.seq, r.route) for r in tagging.trim_adapters(frame(spark, rows, "pair_id long, side int, seq string, qual string"), one, two).collect()}
+    assert got[1, 1] == (read, "paired") and got[1, 2] == (read, "paired")
+    assert got[2, 1] == (read[:20], "unpaired") and got[2, 2] == (read[:18], "unpaired_short") and got[3, 1] == ("", "paired_short")
+
+
+def test_more_sources(spark, tmp_path):
+    (tmp_path / "i.fq").write_text("".join(f"@r{i // 2}/{i % 2 + 1}\n{'ACGT' * (i + 1)}\n+\n{'I' * 4 * (i + 1)}\n" for i in range(8)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        rows = {(r.pair_id, r.side): (r.name, len(r.seq)) for r in readers.read_interleaved(spark, str(tmp_path / "i.fq")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == {(i // 2, i % 2 + 1): (f"r{i // 2}/{i % 2 + 1}", 4 * (i + 1)) for i in range(8)}
+    (tmp_path / "x.vcf").write_text("##fileformat=VCFv4.2\n##contig=<ID=chr1,length=9>\n##INFO=<ID=DP,Number=1>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\nchr1\t5\t.\tA\tC,G\t9.5\tPASS\tDP=3;DB\tGT\t0|1\t1|1\nchr1\t7\trs1\tA\tT\t.\t.\t.\n")
+    header = {(r.kind, r.id): r.value for r in readers.read_vcf_header(spark, str(tmp_path / "x.vcf")).collect()}
+    assert header["samples", None] == "s1,s2" and header["contig", "chr1"] == "<ID=chr1,length=9>" and header["fileformat", None] == "VCFv4.2"
+    one, two = readers.read_vcf(spark, str(tmp_path / "x.vcf")).orderBy("pos").collect()
+    assert one.alt == ["C", "G"] and one.info == {"DP": "3", "DB": None} and one.samples == ["0|1", "1|1"] and one.id is None and two.info is None and two.samples == [] and two.qual is None
+    assert readers.sequence_names(spark, str(tmp_path / "x.vcf"), "vcf").first().records == 2
+    (tmp_path / "x.sam").write_text("\n".join(SAM) + "\n")
+    assert {(r.start1, r.end1) for r in readers.read_indexed(spark, str(tmp_path / "x.sam"), "sam").where("chr1 = 'chr1'").collect()} == {(100, 106), (200, 203)}
+    many = "a\t0\tchr1\t1\t9\t4M\t*\t0\t0\tACGT\tIIII\t" + "\t".join(f"{chr(65 + i // 26 % 26)}{chr(97 + i % 26)}:Z:{'v' * i}" for i in range(600))
+    (tmp_path / "m.sam").write_text(many + "\n")
+    tags = readers.read_sam(spark, str(tmp_path / "m.sam"))
+    assert len(tags.first().tags) == 600 and alignments.scan(tags, tags={"Ab": ["v"]}).count() == 1 and alignments.scan(tags, tags={"Ab": ["w"]}).count() == 0
+    (tmp_path / "x.bow").write_text("r1\t-\tchr1\t4\tACGT\n")
+    assert tuple(readers.read_aligner(spark, str(tmp_path / "x.bow"), "bowtie").first()) == ("r1", "chr1", 5, "-")
+    (tmp_path / "b.bed").write_text("chr1\t1\t9\nchr1\t1\t5\n")
+    assert readers.read_peaks(spark, str(tmp_path / "b.bed")).first().end == 5
+    (tmp_path / "n.nodups").write_text("0 chr2 100 0 16 chr1 300 1 30 4M ACGT 30 4M ACGT r/1 r/2\n0 chrX 1 0 0 chr1 3 1 30 4M A 30 4M A r q\n")
+    got = readers.read_merged_nodups(spark, str(tmp_path / "n.nodups"), chroms=["chr1", "chr2"]).collect()
+    assert [(r.chr1, r.pos1, r.chr2, r.pos2, r.strand1) for r in got] == [("chr1", 300, "chr2", 100, "-")]
+    (tmp_path / "run.sh").write_text('# settings\nrun="LD"\nself_bp=9000 # bases\nz_thresh=5\nunknown="x"\n')
+    assert config.read_settings(spark, str(tmp_path / "run.sh")) == config.Settings(run="LD", self_bp=9000, z_thresh=5.0)
+
+
+def test_headers_and_tables(spark):
+    head = lambda lines: frame(spark, list(enumerate(lines)), "line_no long, line string")
+    merged = pairs.merge_headers(head(["## pairs", "#chromsize: chr1 10", "#command: a"]), head(["## pairs", "#command: b"]))
+    assert [r.line for r in merged.orderBy("line_no").collect()] == ["## pairs", "#chromsize: chr1 10", "#command: a", "#command: b"]
+    assert [r.line for r in pairs.distinct_header(head(["a", "b", "a"])).orderBy("line_no").collect()] == ["a", "b"]
+    assert [r.line for r in pairs.replace_header(head(["#old", "x"]), head(["#new"])).orderBy("part", "line_no").collect()] == ["#new", "x"]
+    table = pairs.PairsTable(frame(spark, [("r", "chr1", 5, "chr2", 7)], "read_id string, chr1 string, pos1 long, chr2 string, pos2 long"), head(["#chromsize: chr1 10"]))
+    assert table.exists("chr1", "chr2") and table.exists("chr1|chr2") and not table.exists("chr2", "chr1") and table.triangle() and table.line_count() == 1
+    assert table.chromosome_sizes().first().length == 10 and table.column("pos2") == 4 and table.column("x") == -1 and table.query("chr1:1-9|chr2").count() == 1 and table.blocks().count() == 1
+    made = pairs.random_pairs(spark, 200, {"chr1": 100, "chr2": 50}, 3)
+    assert made.count() == 200 and made.where("chr1 > chr2 OR (chr1 = chr2 AND pos1 > pos2) OR pos1 < 1 OR pos1 > 100").count() == 0
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, pairs.random_pairs(spark, 200, {"chr1": 100, "chr2": 50}, 3).collect()))
+
+
+def test_more_sinks(spark, tmp_path):
+    loop = frame(spark, [(1, "chr1", 5, 6, 8, 9, 3)], "loop_id long, chrom string, s1 long, e1 long, s2 long, e2 long, n long")
+    writers.write_annotations(loop, str(tmp_path / "a"))
+    assert sorted({r.value for r in spark.read.text(str(tmp_path / "a")).collect()}) == ["chr1\t5\t6\tchr1\t8\t9\t0,204,255", "chr1\tx1\tx2\tchr2\ty1\ty2\tcolor"]
+    writers.write_qc(frame(spark, [("pairs", 800000.0), ("share", 0.25)], "metric string, value double"), str(tmp_path / "q"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "q")).collect()) == ["pairs\t800,000", "share\t0.25"]
+    writers.write_clusters(pets.first_pass_clusters(pets.extend(frame(spark, [pet(1, 100, 90_000), pet(2, 100, 90_000, 0, 1)], PET))), str(tmp_path / "c"), True)
+    assert sorted(r.value.split("\t")[6] for r in spark.read.text(str(tmp_path / "c")).collect()) == ["C_1_1", "T_1_1"]
+
+
+def plain_linkage(points, method):
+    """The textbook loop: the nearest two clusters merge, distances after the method's definition."""
+    groups, d = {i: 1 for i in range(len(points))}, {}
+    for i, j in itertools.combinations(range(len(points)), 2):
+        d[i, j] = float(np.linalg.norm(points[i] - points[j]))
+    heights, at = [], len(points)
+    of = lambda a, b: d[min(a, b), max(a, b)]
+    while len(groups) > 1:
+        i, j = min(itertools.combinations(sorted(groups), 2), key=lambda p: of(*p))
+        h, a, b = of(i, j), groups[i], groups[j]
+        heights.append(h)
+        for k in groups:
+            if k not in (i, j):
+                x, y, c = of(i, k), of(j, k), groups[k]
+                square = {"ward": ((a + c) * x**2 + (b + c) * y**2 - c * h**2) / (a + b + c), "centroid": (a * x**2 + b * y**2) / (a + b) - a * b * h**2 / (a + b) ** 2, "median": (x**2 + y**2) / 2 - h**2 / 4}
+                d[k, at] = {"single": min(x, y), "complete": max(x, y), "average": (a * x + b * y) / (a + b), "weighted": (x + y) / 2}.get(method) if method not in square else max(square[method], 0) ** 0.5
+        del groups[i], groups[j]
+        groups[at] = a + b
+        at += 1
+    return heights
+
+
+@pytest.mark.parametrize("method", ["single", "complete", "average", "weighted", "ward", "centroid", "median"])
+def test_linkage(method):
+    r = np.random.default_rng(2)
+    points = r.normal(0, 1, (40, 3))
+    got = reproducibility.linkage(points, method)
+    assert np.allclose(got[:, 2], plain_linkage(points, method)) and got[-1, 3] == 40
+    seen = set()
+    for step, (a, b, _, size) in enumerate(got):
+        assert a < b < 40 + step and not {a, b} & seen
+        seen |= {a, b}
+        assert size == sum(1 if x < 40 else got[int(x) - 40, 3] for x in (a, b))
+    assert len(reproducibility.linkage(points[:1], method)) == 0
+
+
+def test_reproducibility_training(spark):
+    r = random.Random(1)
+    make = lambda: frame(spark, [("c", i, j, 1 + r.randint(0, 3) + 10 // (1 + j - i)) for i in range(30) for j in range(i, min(30, i + 8)) if r.random() < 0.8], "chrom string, i long, j long, n long")
+    a, b = make(), make()
+    h, seen = reproducibility.train_smoothing(a, b, 6, 3)
+    assert 0 <= h <= 3 and len(seen) >= 2 and all(-1 <= x <= 1 for x in seen)
+    row = reproducibility.adjusted_correlation(a, b, 6).first()
+    assert 0 < row.sd < 1 and row.strata == 7
+    total = a.agg(F.sum("n")).first()[0]
+    less = reproducibility.thinned(a, total // 2)
+    kept = less.agg(F.sum("n")).first()[0]
+    assert abs(kept - total / 2) < 0.1 * total and less.join(a.withColumnRenamed("n", "m"), ["chrom", "i", "j"]).where("n > m").count() == 0
+    assert kept == reproducibility.thinned(a.repartition(3), total // 2).agg(F.sum("n")).first()[0] and reproducibility.thinned(a, total).count() == a.count()
+
+
+def test_islands_over_tiles(spark):
+    r = random.Random(9)
+    rows = [(k, r.choice("ab"), s, s + r.randint(0, 60)) for k in range(400) for s in [r.randint(0, 4000)]]
+    t = frame(spark, rows, "id long, chrom string, start long, end long")
+    for touching in (True, False):
+        want, reach, number = {}, {}, {}
+        for k, c, s, e in sorted(rows, key=lambda x: (x[1], x[2], x[3])):
+            if c not in reach or (s > reach[c] if touching else s >= reach[c]):
+                number[c] = number.get(c, 0) + 1
+            reach[c] = max(reach.get(c, e), e)
+            want[k] = number[c]
+        for tile in (7, 100, 1 << 20):
+            assert {x.id: x.n for x in intervals.number_islands(t, ["chrom"], "start", "end", "n", touching, tile).collect()} == want
+
+
+def test_densities(spark):
+    assert density.poisson_cutoff(2.0, 0.05) == 6 and density.poisson_cutoff(0.0, 0.5) == 1
+    t = frame(spark, [("c", 1000, "+")] * 3 + [("c", 1300, "-")] * 2 + [("c", 40_000, "+")], "chrom string, pos long, strand string")
+    assert max(density.cross_correlation(t, 500, 10).collect(), key=lambda r: r.n).shift == 300
+    total = density.smoothed(t, 10, 50).agg(F.sum("density")).first()[0]
+    assert abs(total * 10 - 6) < 0.05
