@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +74,20 @@ def in_small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+@contextlib.contextmanager
+def shared_files(folder: str, number: int) -> Iterator[tuple[Callable[[int], pa.NativeFile], Callable[[int], pa.NativeFile]]]:
+    """In a task: what creates and what opens sequential files of the shared folder, which are removed at the end."""
+    local = folder.startswith(("/", "file:"))
+    system, path = (LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if local else FileSystem.from_uri(folder)
+    name = f"{path}/lociflow-{uuid.uuid4().hex}"
+    try:
+        yield lambda k: system.open_output_stream(f"{name}-{k}", buffer_size=1 << 20), lambda k: system.open_input_stream(f"{name}-{k}", buffer_size=1 << 20)
+    finally:
+        for k in range(number):
+            with contextlib.suppress(FileNotFoundError):
+                system.delete_file(f"{name}-{k}")
+
+
 def whole(text: Column | str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -2,11 +2,12 @@
 
 A window is a run of `window` units (words or bytes) of one text. It has an anchor: of its grams of `gram` units the one of
 least hash, the leftmost of equals. Windows with the same anchor place are neighbours and make up a piece. Equal windows
-have their anchor at the same place, so they lie in pieces with equal anchors: candidates are found from counts of
-pieces' hashes, and nothing is sampled. Pieces that occur twice as they are are repeated throughout. Where an anchor has
-several pieces and some of them occur once, their texts go to a shard, which a judge decides (an FM-index or a column-wise
-construction). Anchors with more than MAX_GROUP pieces are recut to single windows, which are counted: equal windows add
-up before the shuffle, so that no shard grows without bound.
+have their anchor at the same place, so they lie in pieces with equal anchors: only pieces whose anchor occurs twice are
+candidates, and nothing is sampled. One text of each candidate, with how often it occurs, goes to a shard of its anchor,
+which a judge decides (an FM-index or a column-wise construction). Anchors with more than MAX_GROUP different pieces are
+recut to single windows, which are counted: equal windows add up before the shuffle, so that no shard grows without bound.
+
+Pieces, texts and windows are told apart by 128 bits of hashes: a piece by its anchor's and its own.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import BYTE_VALUES, U64, blocks, flat, in_small_batches, mix, powers, prefix_hash, span_hash, stored, whole, words
+from lociflow.llm.common import BYTE_VALUES, U64, blocks, counted, flat, in_small_batches, mix, powers, prefix_hash, span_hash, stored, whole, words
 
 MAX_GROUP = 16_384
 SHARD_PIECES = 3000
@@ -88,24 +89,33 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different pair (a[i], b[i]), and how often it comes."""
+    order = np.lexsort((a, b))
+    new = np.ones(len(a), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(a)))
+
+
 def _survey(units: Units) -> Callable:
-    """Of each batch: anchor, piece, how often, and the id of a text that has it."""
+    """Of each batch: anchor, piece, how often, and the hashes of a text that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            ids = batch.column(0).to_numpy()
+            data, offsets = flat(batch.column(2))
+            one, two = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found = []
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
                 values, at, _, _ = units.of(part, offsets[i : j + 1] - offsets[i])
                 p, _ = cut_pieces(values, at, units.window, units.gram)
-                found.append((p.anchor, p.hash, ids[i:j][p.text]))
+                found.append((p.anchor, p.hash, one[i:j][p.text], two[i:j][p.text]))
             if not found:
                 continue
-            anchor, piece, text = (np.concatenate(x) for x in zip(*found, strict=True))
-            _, k, n = np.unique(piece, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(anchor[k]), _signed(piece[k]), pa.array(n), pa.array(text[k])], ["anchor", "piece", "n", "text_id"])
+            anchor, piece, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            k, n = _distinct(anchor, piece)
+            yield pa.RecordBatch.from_arrays([_signed(anchor[k]), _signed(piece[k]), pa.array(n), pa.array(a[k]), pa.array(b[k])], ["anchor", "piece", "n", "text_a", "text_b"])
 
     return run
 
@@ -115,12 +125,12 @@ def _occurrences(units: Units) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            ids = batch.column(0).to_numpy()
+            data, offsets = flat(batch.column(2))
+            one, two = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, j in blocks(offsets):
                 values, at, _, _ = units.of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 p, _ = cut_pieces(values, at, units.window, units.gram)
-                yield pa.RecordBatch.from_arrays([_signed(p.hash), pa.array(ids[i:j][p.text])], ["piece", "text_id"])
+                yield pa.RecordBatch.from_arrays([_signed(p.anchor), _signed(p.hash), pa.array(one[i:j][p.text]), pa.array(two[i:j][p.text])], ["anchor", "piece", "text_a", "text_b"])
 
     return run
 
@@ -131,14 +141,16 @@ def _fetch(units: Units) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch.column(0))
-            wanted, edges = batch.column(1).flatten().to_numpy().view(np.uint64), batch.column(1).offsets.to_numpy()
+            lists = batch.column(1)
+            wanted = [c.to_numpy().view(np.uint64) for c in lists.flatten().flatten()]
+            edges = lists.offsets.to_numpy()
             edges = edges - edges[0]
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
                 values, at, starts, ends = units.of(part, offsets[i : j + 1] - offsets[i])
                 p, _ = cut_pieces(values, at, units.window, units.gram)
-                k = np.flatnonzero(np.isin(p.hash, wanted[edges[i] : edges[j]]))
-                k = k[np.unique(p.hash[k], return_index=True)[1]]
+                k = np.flatnonzero(np.isin(p.hash, wanted[1][edges[i] : edges[j]]) & np.isin(p.anchor, wanted[0][edges[i] : edges[j]]))
+                k = k[_distinct(p.anchor[k], p.hash[k])[0]]
                 a, b = starts[p.first[k]], ends[p.first[k] + p.count[k] + units.window - 2]
                 raw = part.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -154,13 +166,14 @@ def _windows(units: Units) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(1))
+            data, offsets = flat(batch.column(2))
             values, at, _, _ = units.of(data, offsets)
             number = np.diff(at) - units.window + 1
-            prefix = prefix_hash(values)
             place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
             s = np.repeat(at[:-1], number) + place
-            yield pa.RecordBatch.from_arrays([_signed(span_hash(prefix, s, s + units.window)), pa.array(np.repeat(batch.column(0).to_numpy(), number)), pa.array(place.astype(np.int32))], ["hash", "piece", "place"])
+            hashes = [span_hash(prefix_hash(v), s, s + units.window) for v in (values, mix(values))]
+            own = [pa.array(np.repeat(batch.column(k).to_numpy(), number)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*map(_signed, hashes), *own, pa.array(place.astype(np.int32))], ["hash_a", "hash_b", "anchor", "piece", "place"])
 
     return run
 
@@ -178,68 +191,75 @@ Judge = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[np.ndar
 def _judged(judge: Judge) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        piece = table["piece"].to_numpy()
         contents, lead, count, often = table["content"].to_pylist(), table["lead"].to_numpy(), table["windows"].to_numpy(), table["n"].to_numpy()
         masks = judge(contents, lead, count, often)
-        use = [k for k, m in enumerate(masks) if often[k] < 2 and m.any()]
-        return pa.table({"piece": pa.array(piece[use]), "mask": pa.array([np.packbits(masks[k]).tobytes() for k in use], pa.binary())})
+        use = [k for k, m in enumerate(masks) if m.any()]
+        bits = [None if masks[k].all() else np.packbits(masks[k]).tobytes() for k in use]
+        return pa.table({"anchor": table["anchor"].take(pa.array(use, pa.int64())), "piece": table["piece"].take(pa.array(use, pa.int64())), "mask": pa.array(bits, pa.binary())})
 
     return run
 
 
+PIECE = ["anchor", "piece"]
+TEXT = ["text_a", "text_b"]
+
+
+def _again(column: str) -> Column:
+    """A join key on which the other side isn't dealt out yet, so that the join may split a hot one."""
+    return F.col(column).bitwiseXOR(F.lit(1)).alias(f"_{column}")
+
+
 def repeated_pieces(texts: DataFrame, units: Units, judge: Judge, max_group: int = MAX_GROUP, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """piece, mask: for every piece with a repeated window a bit for each window, or null if all are repeated."""
-    seen = texts.mapInArrow(_survey(units), "anchor long, piece long, n long, text_id long")
-    seen = seen.groupBy("anchor", "piece").agg(F.sum("n").alias("n"), F.min("text_id").alias("text_id"))
-    # Anchors with several pieces. Counts add up before the shuffle, and the join may split a crowded anchor.
-    crowd = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("others"), F.min("n").alias("least")).where("others > 1")
-    crowd = crowd.select(F.col("anchor").bitwiseXOR(F.lit(1)).alias("_anchor"), "others", "least")
-    seen = seen.withColumn("_anchor", F.col("anchor").bitwiseXOR(F.lit(1))).join(crowd, "_anchor", "left").drop("_anchor")
-    seen = stored(seen.where("n > 1 OR others IS NOT NULL"))
-    certain = seen.where("n > 1").select("piece", F.lit(None).cast("binary").alias("mask"))
-
-    open_pieces = seen.where("others > 1 AND least = 1")
-    wanted = open_pieces.groupBy("text_id").agg(F.collect_list("piece").alias("wanted"))
-    once = texts.groupBy("text_id").agg(F.first("text").alias("text"))
-    fetched = once.join(wanted, "text_id").select("text", "wanted").mapInArrow(_fetch(units), "anchor long, piece long, lead int, windows int, content binary")
-    number = open_pieces.count()
-    shards = max(1, -(-number // shard_pieces))
-    known = open_pieces.select("piece", "n", "others", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"))
-    crowded = not open_pieces.where(F.col("others") > max_group).isEmpty()
-    fetched = fetched.join(known, "piece")
-    fetched = stored(fetched) if crowded else fetched
-    small = fetched.where(F.col("others") <= max_group).select("shard", "piece", "n", "lead", "windows", "content")
-    result = certain.union(small.groupBy("shard").applyInArrow(_judged(judge), "piece long, mask binary"))
-    if crowded:
-        each = fetched.where(F.col("others") > max_group).select("piece", "content").mapInArrow(_windows(units), "hash long, piece long, place int")
-        twice = each.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("hash").bitwiseXOR(F.lit(1)).alias("_hash"))
-        hits = each.withColumn("_hash", F.col("hash").bitwiseXOR(F.lit(1))).join(twice, "_hash").groupBy("piece").agg(F.collect_set("place").alias("places"))
-        hits = hits.join(seen.where("n = 1").select("piece"), "piece", "left_semi")
-        result = result.union(hits.mapInArrow(lambda batches: (_marked(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows), "piece long, mask binary"))
+    """anchor, piece, mask: for every piece with a repeated window a bit for each window, or null if all are repeated."""
+    seen = texts.mapInArrow(_survey(units), "anchor long, piece long, n long, text_a long, text_b long")
+    seen = seen.groupBy(*PIECE).agg(F.sum("n").alias("n"), F.min(F.struct(*TEXT)).alias("text"))
+    # Anchors that occur twice. Counts add up before the shuffle, and the join may split a crowded anchor.
+    crowd = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("others"), F.sum("n").alias("total")).where("total > 1").select(_again("anchor"), "others")
+    candidates, number = counted(seen.withColumn("_anchor", _again("anchor")).join(crowd, "_anchor").drop("_anchor"), crowded=(F.col("others") > max_group).cast("int"))
+
+    wanted = candidates.groupBy("text").agg(F.collect_list(F.struct(*PIECE)).alias("wanted")).select("text.*", "wanted")
+    once = texts.groupBy(*TEXT).agg(F.first("text").alias("text"))
+    fetched = once.join(wanted, TEXT).select("text", "wanted").mapInArrow(_fetch(units), "anchor long, piece long, lead int, windows int, content binary")
+    shards = max(1, -(-number["rows"] // shard_pieces))
+    known = candidates.select(*PIECE, "n", "others", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"))
+    fetched = fetched.join(known, PIECE)
+    fetched = stored(fetched) if number["crowded"] else fetched
+    small = fetched.where(F.col("others") <= max_group).select("shard", *PIECE, "n", "lead", "windows", "content")
+    result = small.groupBy("shard").applyInArrow(_judged(judge), "anchor long, piece long, mask binary")
+    if number["crowded"]:
+        crowded = fetched.where(F.col("others") > max_group)
+        each = crowded.where("n = 1").select(*PIECE, "content").mapInArrow(_windows(units), "hash_a long, hash_b long, anchor long, piece long, place int")
+        all_windows = each.select("hash_a", "hash_b").union(crowded.where("n > 1").select(*PIECE, "content").mapInArrow(_windows(units), "hash_a long, hash_b long, anchor long, piece long, place int").select("hash_a", "hash_b"))
+        twice = all_windows.groupBy("hash_a", "hash_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_again("hash_a"), "hash_b")
+        hits = each.withColumn("_hash_a", _again("hash_a")).join(twice, ["_hash_a", "hash_b"]).groupBy(*PIECE).agg(F.collect_set("place").alias("places"))
+        marked = hits.mapInArrow(lambda batches: (_marked(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows), "anchor long, piece long, mask binary")
+        result = result.union(marked).union(crowded.where("n > 1").select(*PIECE, F.lit(None).cast("binary")))
     return result
 
 
 def with_repeats(docs: DataFrame, units: Units, judge: Judge, max_group: int = MAX_GROUP) -> DataFrame:
-    """docs(doc_id, text) and found: the repeated pieces of each text, null if there are none."""
-    texts = in_small_batches(docs).select(F.xxhash64(whole("text")).alias("text_id"), whole("text").alias("text"))
+    """doc_id, text, and the repeated pieces (anchors, pieces, masks) of each text, null if there are none."""
+    hashes = [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit("second"), F.col("text")).alias("text_b")]
+    rows = in_small_batches(docs).select("doc_id", whole("text").alias("text")).select("doc_id", "text", *hashes)
+    texts = rows.select(*TEXT, "text")
     pieces = stored(repeated_pieces(texts, units, judge, max_group))
-    has = texts.mapInArrow(_occurrences(units), "piece long, text_id long").join(pieces, "piece")
-    has = has.groupBy("text_id").agg(F.collect_set(F.struct("piece", "mask")).alias("found")).select(F.col("text_id").bitwiseXOR(F.lit(1)).alias("_id"), "found")
-    rows = docs.select("doc_id", whole("text").alias("text")).withColumn("_id", F.xxhash64("text").bitwiseXOR(F.lit(1)))
-    return rows.join(has, "_id", "left").select("doc_id", "text", F.col("found.piece").alias("pieces"), F.col("found.mask").alias("masks"))
+    has = texts.mapInArrow(_occurrences(units), "anchor long, piece long, text_a long, text_b long").join(pieces, PIECE)
+    has = has.groupBy(*TEXT).agg(F.collect_set(F.struct(*PIECE, "mask")).alias("found")).select(_again("text_a"), F.col("text_b").alias("_text_b"), "found")
+    found = rows.withColumns({"_text_a": _again("text_a"), "_text_b": F.col("text_b")}).join(has, ["_text_a", "_text_b"], "left")
+    return found.select("doc_id", "text", F.col("found.anchor").alias("anchors"), F.col("found.piece").alias("pieces"), F.col("found.mask").alias("masks"))
 
 
-def covered(values: np.ndarray, at: np.ndarray, units: Units, found: list[tuple[np.ndarray, list[bytes | None]]]) -> np.ndarray:
-    """Of each unit: whether a repeated window covers it. found: of each text its repeated pieces and their masks."""
+def covered(values: np.ndarray, at: np.ndarray, units: Units, found: list[dict[tuple[int, int], bytes | None]]) -> np.ndarray:
+    """Of each unit: whether a repeated window covers it. found: of each text its repeated pieces' masks."""
     out = np.zeros(len(values) + 1, np.int32)
     p, _ = cut_pieces(values, at, units.window, units.gram)
     for t in np.unique(p.text):
-        pieces, masks = found[t]
-        if pieces is None or not len(pieces):
+        by = found[t]
+        if not by:
             continue
-        by = dict(zip(pieces.tolist(), masks, strict=True))
-        for k in range(np.searchsorted(p.text, t), np.searchsorted(p.text, t, "right")):
-            h = int(p.hash[k : k + 1].view(np.int64)[0])
+        first_piece, last_piece = np.searchsorted(p.text, t), np.searchsorted(p.text, t, "right")
+        keys = zip(p.anchor[first_piece:last_piece].view(np.int64).tolist(), p.hash[first_piece:last_piece].view(np.int64).tolist(), strict=True)
+        for k, h in enumerate(keys, first_piece):
             if h not in by:
                 continue
             mask, first, count = by[h], p.first[k], p.count[k]
@@ -253,6 +273,11 @@ def covered(values: np.ndarray, at: np.ndarray, units: Units, found: list[tuple[
     return np.cumsum(out[:-1]) > 0
 
 
-def found_of(batch: pa.RecordBatch) -> list[tuple[np.ndarray | None, list[bytes | None]]]:
-    pieces, masks = batch.column("pieces"), batch.column("masks")
-    return [(None, []) if not pieces[i].is_valid else (pieces[i].values.to_numpy(), masks[i].as_py()) for i in range(batch.num_rows)]
+def found_of(batch: pa.RecordBatch) -> list[dict[tuple[int, int], bytes | None]]:
+    out = []
+    for anchors, pieces, masks in zip(*(batch.column(c) for c in ("anchors", "pieces", "masks")), strict=True):
+        if not pieces.is_valid:
+            out.append({})
+        else:
+            out.append(dict(zip(zip(anchors.values.to_numpy().tolist(), pieces.values.to_numpy().tolist(), strict=True), masks.as_py(), strict=True)))
+    return out

@@ -1,6 +1,6 @@
 """Substring dedup over words, by an FM-index per shard.
 
-A shard's index holds the pieces of its anchors, those that occur more than once twice. Each piece that occurs once is
+A shard's index holds the pieces of its anchors, those that occur more than once twice. Each piece is
 streamed against it from the right: backward search over the wavelet matrix extends a match to the left as long as it
 occurs twice; where it can't be extended, its length is the matching statistic of that end, and the interval is reported if it
 reaches the window. Shards, pieces and what happens to crowded ones: see `passages`.
@@ -39,7 +39,7 @@ def judge(window: int) -> Judge:
         index = FmIndex(np.concatenate(parts), int(symbols.max()) + 1, int(np.diff(at).max()))
         masks = [np.zeros(c, bool) for c in count]
         # State of a stream: the end of its match, the match's start and interval. All streams step together.
-        k = np.flatnonzero(often == 1)
+        k = np.arange(len(contents))
         end = at[1:][k].copy()
         start, low, high = end.copy(), np.zeros(len(k), np.int64), np.full(len(k), index.size)
         while len(k):

@@ -1,11 +1,15 @@
 """Suffix-array dedup over bytes, by column-wise construction.
 
-A shard's pieces are laid side by side with their anchors in one column. From the last column to the first, one symbol of
-each piece is put in front of its suffix: the order of the suffixes is updated by a stable sort on the new symbols (the
-column of the collection's Burrows-Wheeler transform), and common prefixes with the neighbour by the least one between
-suffixes of equal symbols, plus one. Equal windows have their anchor at the same place, so a window starts elsewhere too
-exactly if its suffix shares a window's length with a neighbour in its column's order. A shard is bounded, so its columns
-stay in memory; no external files are needed. Shards, pieces and crowded ones: see `passages`.
+A shard's pieces are laid side by side with their anchors in one column. From the last column to the first, a round puts one
+symbol of each piece in front of its suffix: the symbols, in the order of the suffixes so far, are the round's part of the
+collection's Burrows-Wheeler transform; sorting them stably orders the longer suffixes, and the common prefix of two
+neighbours with equal symbols is the least one between them, plus one. Rounds append transform and common prefixes to two
+sequential files in the shared folder, and hold one column in memory. A second pass reads both files once, in step: the
+transform alone gives every round's order back, and where a common prefix reaches a window, its suffixes' windows are
+repeated. Equal windows have their anchor at the same place, so a window starts elsewhere too exactly if its suffix shares a
+window's length with a neighbour in its column's order; a piece that occurs more than once is laid down twice. Files are
+removed when their shard is done; a lost executor's are left behind under names of their own. Shards, pieces and crowded
+ones: see `passages`.
 
 Defined results: null counts as empty; texts shorter than a window lose nothing; rows that repeat a text lose all of it
 that a window covers; null or repeated doc_ids keep a row each; an empty table gives an empty result; other columns are
@@ -15,13 +19,13 @@ not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lociflow.llm.common import flat
+from lociflow.llm.common import flat, shared_dir, shared_files
 from lociflow.llm.passages import MAX_GROUP, Judge, Units, covered, found_of, with_repeats
 
 GRAM = 32
@@ -29,35 +33,57 @@ SLICE = 256
 _NONE = 256
 
 
-def judge(window: int) -> Judge:
+def _rounds(begin: np.ndarray, stop: np.ndarray, place: Callable[[int, int], np.ndarray], files: tuple) -> None:
+    """From the last column to the first: writes each round's part of the transform, and its common prefixes."""
+    m = len(begin)
+    order, common = np.arange(m), np.zeros(m + 1, np.int32)  # common[i]: of suffixes i - 1 and i
+    for column in range(int(stop.max()) - 1, -1, -1):
+        symbol = place(column, column + 1)[0][order]
+        files[0].write(symbol.tobytes())
+        step = np.argsort(symbol, kind="stable")
+        order, symbol = order[step], symbol[step]
+        a, b = step[:-1] + 1, step[1:] + 1
+        same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] != _NONE))
+        new = np.zeros(m + 1, np.int32)
+        if len(same):
+            pairs = np.stack((a[same], b[same]), 1).ravel()
+            new[same + 1] = np.minimum.reduceat(common, pairs)[::2] + 1
+        common = new
+        files[1].write(common.tobytes())
+
+
+def judge(window: int, folder: str) -> Judge:
     def run(contents: list[bytes], lead: np.ndarray, count: np.ndarray, often: np.ndarray) -> list[np.ndarray]:
-        m = len(contents)
-        size = np.array([len(c) for c in contents])
-        begin = int(lead.max()) - lead
-        stop = begin + size
-        columns = np.full((int(stop.max()), m), _NONE, np.uint16)
-        for k, c in enumerate(contents):
-            columns[begin[k] : stop[k], k] = np.frombuffer(c, np.uint8)
-        masks = np.zeros((m, int(count.max())), bool)
-        order, common = np.arange(m), np.zeros(m + 1, np.int32)  # common[i]: of suffixes i - 1 and i
-        for column in range(len(columns) - 1, -1, -1):
-            symbol = columns[column][order]
-            step = np.argsort(symbol, kind="stable")
-            order, symbol = order[step], symbol[step]
-            a, b = step[:-1] + 1, step[1:] + 1
-            same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] != _NONE))
-            new = np.zeros(m + 1, np.int32)
-            if len(same):
-                pairs = np.stack((a[same], b[same]), 1).ravel()
-                new[same + 1] = np.minimum.reduceat(common, pairs)[::2] + 1
-            common = new
-            long = common >= window
-            hit = order[long[:-1] | long[1:]]
-            if len(hit):
-                place = column - begin[hit]
-                use = (place >= 0) & (place < count[hit])
-                masks[hit[use], place[use]] = True
-        return [masks[k, : count[k]] for k in range(m)]
+        of = np.repeat(np.arange(len(contents)), np.where(often > 1, 2, 1))  # whose text a row is
+        m = len(of)
+        begin = (int(lead.max()) - lead)[of]
+        stop = begin + np.array([len(c) for c in contents])[of]
+        joined = np.frombuffer(b"".join(contents[k] for k in of), np.uint8)
+        first = np.concatenate(([0], np.cumsum(stop - begin)))[:-1] - begin
+
+        def place(low: int, high: int) -> np.ndarray:
+            """The symbols of columns low to high, a row each."""
+            at = np.arange(low, high)[:, None]
+            there = (at >= begin) & (at < stop)
+            return np.where(there, joined[np.where(there, first + at, 0)], np.uint16(_NONE)).astype(np.uint16)
+
+        masks = np.zeros((len(contents), int(count.max())), bool)
+        with shared_files(folder, 2) as (create, read):
+            with create(0) as symbols, create(1) as prefixes:
+                _rounds(begin, stop, place, (symbols, prefixes))
+            order = np.arange(m)
+            with read(0) as symbols, read(1) as prefixes:
+                for column in range(int(stop.max()) - 1, -1, -1):
+                    symbol = np.frombuffer(symbols.read(2 * m), np.uint16)
+                    common = np.frombuffer(prefixes.read(4 * (m + 1)), np.int32)
+                    order = order[np.argsort(symbol, kind="stable")]
+                    long = common >= window
+                    hit = order[long[:-1] | long[1:]]
+                    if len(hit):
+                        at = column - begin[hit]
+                        use = (at >= 0) & (at < count[of[hit]])
+                        masks[of[hit[use]], at[use]] = True
+        return [masks[k, : count[k]] for k in range(len(contents))]
 
     return run
 
@@ -99,5 +125,5 @@ def remove_repeats(docs: DataFrame, window: int = 400, with_bytes: bool = False,
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    rows = with_repeats(docs, units, judge(window), max_group)
+    rows = with_repeats(docs, units, judge(window, shared_dir(docs.sparkSession)), max_group)
     return rows.mapInArrow(run, schema + ", kept binary, starts array<long>, ends array<long>" * with_bytes)
