@@ -18,9 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lociflow.llm.common import SPACE_CLASS, flat, in_small_batches, utf8, whole
+from lociflow.llm.common import SPACE_CLASS, counted, flat, in_small_batches, stored, utf8, whole
 
 CHUNK = 1 << 16
 #: Bytes hashed together.
@@ -106,26 +105,37 @@ def classes(docs: DataFrame) -> DataFrame:
     """Of each class of equal texts: fp_a, fp_b, n_bytes, text_sha256, keep_id, group_size."""
     norm = normalised(docs)
     rows = in_small_batches(docs).select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
-    rows = rows.mapInArrow(_fingerprint(True), "doc_id long, text_sha256 string, fp_a long, fp_b long, n_bytes long, chunks array<binary>")
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = rows.mapInArrow(_fingerprint(True), f"doc_id {kind}, text_sha256 string, fp_a long, fp_b long, n_bytes long, chunks array<binary>")
     return rows.groupBy(*FP, "chunks").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("chunks")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_sha256, keep_id, group_size, kept of every row. Rows have numbers, so that of repeated ones one is kept."""
     norm = normalised(docs)
+    kind = dict(docs.dtypes)["doc_id"]
     rows = in_small_batches(docs).select("doc_id", F.sha2(utf8(norm), 256).alias("text_sha256"), utf8(norm).alias("_text"))
-    rows = rows.mapInArrow(_fingerprint(False), "doc_id long, text_sha256 string, fp_a long, fp_b long, n_bytes long")
-    # Numbered before the join, so that the join's own exchanges stay free to split a large class.
-    again = Window.partitionBy("doc_id", "text_sha256").orderBy(F.lit(0))
-    joined = rows.withColumn("_again", F.row_number().over(again)).join(classes(docs), FP)
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)
-    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    rows = rows.mapInArrow(_fingerprint(False), f"doc_id {kind}, text_sha256 string, fp_a long, fp_b long, n_bytes long")
+    rows = stored(rows.withColumn("number", F.monotonically_increasing_id()))
+    first = rows.groupBy(*FP).agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "number")).alias("first"))
+    found = classes(docs).join(first.select(*FP, F.col("first.number").alias("first")), FP)
+    return rows.join(found, FP).select("doc_id", "text_sha256", "keep_id", "group_size", (F.col("number") == F.col("first")).alias("kept"))
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _judged(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows that stay, with their own columns; of rows that repeat doc_id and text, one."""
-    names = docs.columns
-    gone = judge(docs).where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_doc_id"), F.col("text_sha256").alias("_gone"))
-    rows = docs.withColumn("_sha", F.sha2(utf8(normalised(docs)), 256))
-    rows = rows.join(gone.distinct(), (F.col("_sha") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_anti")
-    return rows.dropDuplicates(["doc_id", "_sha"]).select(*names)
+    copies = _judged(docs).groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("copies"))
+    odd, seen = counted(copies.where("NOT stays OR copies > 1"), again=F.col("stays").cast("int"))
+    rows = docs.select(F.struct("*").alias("row"), F.sha2(utf8(normalised(docs)), 256).alias("sha"))
+    on = (F.col("sha") == F.col("odd_sha")) & F.col("row.doc_id").eqNullSafe(F.col("odd_id"))
+    names = [F.col("text_sha256").alias("odd_sha"), F.col("doc_id").alias("odd_id")]
+    out = rows.join(odd.select(*names), on, "left_anti")
+    if seen["again"]:
+        repeated = rows.join(odd.where("stays").select(*names), on, "left_semi").withColumn("id", F.col("row.doc_id"))
+        out = out.unionByName(repeated.dropDuplicates(["id", "sha"]).drop("id"))
+    return out.select("row.*")
