@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Rows are dealt to shards of bounded size by hash; each shard builds its graph and stores it as flat neighbour arrays.
-Blocks of queries meet every shard's graph, and shard results are merged by score. Rows with equal vectors are one node
+Rows are dealt to shards by hash; each shard builds its graph and stores it as flat neighbour arrays. Shards are as many
+as the cluster has cores, and more where one would outgrow its bound in rows or bytes. Large blocks of queries
+meet every shard's graph, which a task opens once a block, and shard results are merged by score. Rows with equal vectors are one node
 that carries the smallest ids, as many as a result can show, so that copies neither tear the graph nor fill it. What a
 search finds is scored anew in double precision on the original vectors.
 
@@ -23,7 +24,10 @@ from pyspark.sql.window import Window
 
 from lociflow.llm.common import stored
 
-SHARD_ROWS, BLOCK_QUERIES = 4096, 512
+#: A shard's rows, at most and where there are fewer shards than cores; its vectors' bytes, at most.
+SHARD_ROWS, SMALL_SHARD, SHARD_BYTES = 65_536, 4096, 32 << 20
+#: Queries of a block, and those that search together.
+BLOCK_QUERIES, TOGETHER = 16_384, 256
 DEGREE = 16  # of upper levels; twice that at level 0
 BEAM_BUILD, BEAM_SEARCH = 64, 96
 
@@ -190,7 +194,8 @@ def _search(k: int):
                 s, q = pickle.loads(graph.as_py()), pickle.loads(queries.as_py())
                 g = Graph(unit(s["vectors"]), s["level"], s["near"])
                 g.entry = s["entry"]
-                found = g.search(unit(q["vectors"]), min(BEAM_SEARCH, max(len(g.v), 1)))
+                asked, width = unit(q["vectors"]), min(BEAM_SEARCH, max(len(g.v), 1))
+                found = np.concatenate([g.search(asked[i : i + TOGETHER], width) for i in range(0, len(asked), TOGETHER)])
                 out: tuple[list, list, list] = ([], [], [])
                 for i, own in enumerate(q["ids"].tolist()):
                     nodes = found[i][found[i] >= 0]
@@ -219,7 +224,9 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, vector: str = "embeddi
     nodes = valid.withColumn("nth", F.row_number().over(by_vector)).where(F.col("nth") <= k + 1)
     nodes = nodes.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     nodes = stored(nodes)
-    shards = max(1, -(-nodes.count() // shard_rows))
+    n = nodes.count()
+    most = max(1, min(shard_rows, SHARD_BYTES // (4 * dim)))
+    shards = max(1, -(-n // most), min(spark.sparkContext.defaultParallelism, -(-n // SMALL_SHARD)))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
     graphs = stored(dealt.groupBy("shard").applyInArrow(_graphs(dim), "shard int, graph binary"))
     asked = valid.where(F.col("vec_id") % every == 0)
