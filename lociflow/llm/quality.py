@@ -5,7 +5,7 @@ learnt from the documents' labels alone, say how much each passage counts; the w
 document's score. Whole texts are read, in training too. Texts are the only input of a score.
 
 Training takes a bounded sample: of the labelled rows that aren't held out, those whose hashed doc_id is among the
-SAMPLE smallest. Scoring is one pass without a shuffle.
+SAMPLE smallest, in that order as long as their passages add up to SAMPLE_PASSAGES at most. Scoring is one pass without a shuffle.
 
 Defined results: null counts as empty, and an empty text is one passage of zeros, which gets a score too; null or
 repeated doc_ids keep a row each; rows without a label, or whose doc_id has labels that differ, teach nothing; without
@@ -21,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lociflow.llm.common import blocks, flat, in_small_batches, mix, whole, words
+from lociflow.llm.common import blocks, cut, flat, in_small_batches, mix, whole, words
 
 PASSAGE = 512
-SAMPLE = 6000
+SAMPLE, SAMPLE_PASSAGES = 6000, 200_000
 THRESHOLD = 0.3
 PAIRS = 64
 
@@ -140,10 +141,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Attention:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, sample_passages: int = SAMPLE_PASSAGES) -> Attention:
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min(label).alias("_label"), F.max(label).alias("_other")).where("_label = _other").drop("_other")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows of two numbers
+    # Their texts' passages, added up in the same order.
+    size = F.greatest(F.ceil(F.octet_length(whole("text")) / PASSAGE), F.lit(1))
+    sizes = docs.select("doc_id", size.alias("_size")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.max("_size").alias("_size"))
+    upto = F.sum("_size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = cut(sizes.withColumn("_upto", upto).where(F.col("_upto") <= sample_passages).select("doc_id", "_label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
                 lists = pa.ListArray.from_arrays(pa.array((first * FEATURES).astype(np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_label").cast(pa.float64()), lists], ["doc_id", "label", "x"])
 
-    rows = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.max("text").alias("text"))
     table = rows.mapInArrow(run, "doc_id long, label double, x array<float>").toArrow().sort_by("doc_id")
     x = table["x"].combine_chunks()
     x = x if isinstance(x, pa.Array) else x.chunk(0)
