@@ -1,6 +1,6 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key. Within its source, documents are ordered by that key; a distributed prefix sum of
+Every document gets a hash-random key from its doc_id and text. Within its source, documents are ordered by that key; a distributed prefix sum of
 their word counts (sums of key ranges, then sums within a range) tells where the source's budget cuts. A budget above the
 source's size takes whole epochs first. DataFrame functions only.
 
@@ -51,7 +51,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: i
         "doc_id",
         "source",
         F.regexp_count(whole("text"), F.lit(WORD_PATTERN)).cast("long").alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 33).alias("key"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 33).alias("key"),
     ]
     light = cut(docs.select(*base))
     rows = docs.select(*base, *extra) if extra else light  # texts don't go through the checkpoint
