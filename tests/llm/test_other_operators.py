@@ -1,8 +1,11 @@
 """URL filter, nearest neighbours, components and the pipeline."""
 
+import base64
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 CONTRACT = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,12 +84,51 @@ def test_nearest(spark):
     assert len(few) == 2 and nearest(table.limit(0)).count() == 0
 
 
-def test_pipeline(spark, tmp_path):
-    """Each stage against a plain version of itself, on the smallest tables."""
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def near_classes(texts, width=5, percent=80):
+    """Of each text the smallest place of its component, by comparing all sets that share a shingle."""
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set()))
+    holders = defaultdict(list)
+    for k, s in enumerate(sets):
+        for x in s:
+            holders[x].append(k)
+    common = Counter()
+    for ks in holders.values():
+        for i, a in enumerate(ks):
+            for b in ks[i + 1 :]:
+                common[a, b] += 1
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for (a, b), n in common.items():
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    return [find(k) for k in range(len(sets))]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_pipeline(spark, tmp_path, sf):
+    """Each stage against a plain version of itself."""
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
     import corpus_pipeline as P
     from lociflow.llm.common import read
+    from tests.llm.test_text_operators import fill
 
-    sf = "/root/testdata/sf0.001"
+    sf = f"/root/testdata/{sf}"
     docs = read(spark, sf, "documents")
     assert [name for name, _ in P.STAGES] and len(P.STAGES) == 5
     for k, (_, stage) in enumerate(P.STAGES[:-1]):
@@ -107,9 +149,51 @@ def test_pipeline(spark, tmp_path):
                 t = re.sub(r"[\x20\x09-\x0D]+", " ", r.text)
                 first[t] = min(first.get(t, r.doc_id), r.doc_id)
             assert sorted(r.doc_id for r in after) == sorted(first.values())
-        elif k == 3:
-            words = lambda rs: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in rs)
-            assert len(after) > 0 and abs(words(after) - words(before)) < 0.5 * words(before)
-    out = P.run(spark, sf)
+        elif k == 2:
+            rows = sorted(before, key=lambda r: r.doc_id)
+            roots = near_classes([r.text for r in rows])
+            assert sorted(r.doc_id for r in after) == [r.doc_id for i, r in enumerate(rows) if roots[i] == i]
+        else:
+            size = lambda r: len(WORD.findall(r.text or ""))
+            have, taken = Counter(), Counter()
+            for r in before:
+                have[r.source] += size(r)
+            for r in after:
+                taken[r.source] += size(r)
+            longest = max(map(size, before))
+            for source, target in fill(have).items():
+                assert target - 1 <= taken[source] <= target + longest
+            copies = Counter(r.doc_id for r in after)
+            assert max(copies.values()) <= 3
+    out = P.STAGES[-1][1](spark, docs, sf)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in docs.collect())
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb") if line.strip())}, special_tokens={})
+    want = Counter()
+    for r in after:
+        ids = np.array(plain.encode_ordinary(r.text), "<u4")
+        want[r.doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest()] += 1
+    assert Counter(map(tuple, out.collect())) == want
+
+
+def test_pipeline_stages_of_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, an empty table, columns whose names stages use themselves."""
+    import corpus_pipeline as P
+    from lociflow.llm.common import read
+
+    sf, extra = "/root/testdata/sf0.001", ["_text", "_score", "_sha", "_gone", "_doc_id", "hash_a", "root", "row", "key", "range", "start", "_copy", "words"]
+    base = read(spark, sf, "documents").limit(60).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in base]
+    rows += [rows[0], rows[0], (None, None, None, None, None), (None, None, None, None, None), (901, "", "en", None, 0), (902, " \t\n", None, "x", 3), (None, rows[1][1], None, None, 1), (903, "word " * 30_000, "en", "x", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {c} string" for c in extra)
+    docs = spark.createDataFrame([(*r, *("v" for _ in extra)) for r in rows], schema)
+    for k, (_, stage) in enumerate(P.STAGES):
+        out = stage(spark, docs, sf)
+        assert stage(spark, docs.limit(0), sf).count() == 0
+        out.write.parquet(f"{tmp_path}/{k}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{k}")
+        if k < 4:
+            assert docs.columns == before.columns and set(docs.collect()) <= set(before.collect())
+            assert docs.count() > 0
+        else:
+            assert docs.count() == before.count()

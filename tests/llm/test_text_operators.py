@@ -110,8 +110,59 @@ def test_near_dedup(docs, empty, width, percent):
     got = link(docs, width, percent).collect()
     assert Counter((g.doc_id, g.n_shingles, g.component_id) for g in got) == want
     assert all(g.kept == (g.component_id is None or g.doc_id == g.component_id) for g in got)
-    assert dedup(docs, width, percent).columns == docs.columns
-    assert link(empty, width, percent).count() == 0
+    kept = dedup(docs, width, percent)
+    assert kept.columns == docs.columns
+    # One row of each component: its smallest doc_id, and one of repeated rows; texts without words stay.
+    left = defaultdict(list)
+    for r in kept.collect():
+        k = next(k for k in s if (data[k][0], data[k][1]) == (r.doc_id, r.text))
+        left[find(k)].append(r.doc_id) if s[k] else None
+    for x in s:
+        if s[x] and find(x) == x:
+            ids = [data[y][0] for y in s if find(y) == x and data[y][0] is not None]
+            assert left[x] == [min(ids) if ids else None]
+    assert kept.where("text IS NULL OR trim(text) IN ('', '\\t\\n')").count() == sum(1 for _, t, _ in data if not (t or "").strip())
+    assert link(empty, width, percent).count() == 0 and dedup(empty, width, percent).count() == 0
+
+
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    """An id with another text, and a row without id, link as others do."""
+    from lociflow.llm.near_dedup import dedup, link
+
+    text = [f"word{i}" for i in range(300)]
+    changed, other = list(text), [f"else{i}" for i in range(300)]
+    changed[7] = "changed"
+    rows = [(2, " ".join(text)), (5, " ".join(changed)), (5, " ".join(other)), (None, " ".join(changed[:299])), (None, " ".join(other[:299])), (None, "quite alone"), (None, "quite alone")]
+    docs = spark.createDataFrame([(d, t, "x", "y", "z", 1) for d, t in rows], "doc_id long, text string, _doc_id string, hash_a string, row string, root int")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in link(docs).collect())
+    assert got == Counter([(2, 296, 2, True), (5, 296, 2, False), (5, 296, 5, True), (None, 295, 2, False), (None, 295, 5, False), (None, 1, None, True), (None, 1, None, True)])
+    kept = dedup(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(2, rows[0][1]), (5, rows[2][1]), (None, "quite alone")])
+
+
+def test_near_dedup_of_a_group_without_a_centre(spark):
+    """Members of one group that are mostly not linked, none of them equal: links of an exact search, and few comparisons."""
+    from lociflow.llm import near_dedup
+
+    r = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(160):
+        t = list(base)
+        for i in r.choice(150, int(r.integers(2, 9)), replace=False):
+            t[i] = f"v{r.integers(0, 40)}"
+        texts.append(t if k % 5 else list(texts[-1][:149]) if texts else t)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    s = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(s)))
+    for x in range(len(s)):
+        for y in range(x):
+            if 100 * len(s[x] & s[y]) >= 80 * len(s[x] | s[y]):
+                a, b = root[x], root[y]
+                root = [min(a, b) if q in (a, b) else q for q in root]
+    assert 20 < len(set(root)) < 150
+    assert [g.component_id for g in near_dedup.link(docs).orderBy("doc_id").collect()] == root
 
 
 def test_near_dedup_finds_links_away_from_the_leader(spark):
@@ -254,6 +305,51 @@ def test_sharding(docs, empty, spark):
     assert shard(empty).count() == 0
 
 
+def test_sharding_parts_repeated_rows(spark):
+    """A third of the bytes in rows with one key, whose shards and slots still come out even."""
+    from lociflow.llm.sharding import shard
+
+    many = spark.range(2000).selectExpr("id AS doc_id", "repeat('abc ', int(1 + id % 97)) AS text").union(spark.range(2000).selectExpr("7L", "repeat('same ', 40)")).union(spark.range(300).selectExpr("CAST(NULL AS LONG)", "'none'"))
+    for part_rows in (4_000_000, 50):
+        got = shard(many, part_rows=part_rows).collect()
+        size, slots = Counter(), defaultdict(list)
+        for g in got:
+            size[g.shard] += g.size
+            slots[g.shard].append(g.slot)
+        assert len(got) == 4300 and set(size) == set(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+        assert max(size.values()) - min(size.values()) <= 2 * max(400, 0.002 * sum(size.values()) / 16)
+
+
+def test_splitters_against_a_sort(spark):
+    from lociflow.llm import sharding
+
+    r = np.random.default_rng(4)
+    keys = np.concatenate((r.integers(0, 2**63, 700), np.full(300, 12345)))
+    ties, sizes = r.integers(0, 2**63, 1000), r.integers(1, 500, 1000)
+    rows = spark.createDataFrame([(int(k), int(t), int(z)) for k, t, z in zip(keys, ties, sizes)], "key long, tie long, size long")
+    order = sorted((int(k) << sharding.TIE_BITS | int(t), int(z)) for k, t, z in zip(keys, ties, sizes))
+    at, below = [k for k, _ in order], np.concatenate(([0], np.cumsum([z for _, z in order])))
+    for shards, parts in ((16, 1), (4, 5)):
+        edges = sharding.splitters(rows, shards, parts, int(sizes.sum()))
+        assert len(edges) == shards * parts - 1 and edges == sorted(edges)
+        find = sharding.places(edges)
+        assert find(keys, ties).tolist() == [int(np.searchsorted(np.array(edges, object), (int(k) << sharding.TIE_BITS) | int(t), "right")) for k, t in zip(keys, ties)]
+        for i, e in enumerate(edges):
+            reached, wanted = below[sum(k < e for k in at)], sizes.sum() * (i + 1) / (shards * parts)
+            assert abs(reached - wanted) <= (500 if (i + 1) % parts == 0 else 500 + 0.2 * sizes.sum() / (shards * parts))
+
+
+def test_many_parts_plan_quickly(spark):
+    import time
+
+    from lociflow.llm.sharding import shard
+
+    many = spark.range(40_000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    start = time.time()
+    assert shard(many, part_rows=10).selectExpr("count(DISTINCT shard)").first()[0] == 16
+    assert time.time() - start < 60
+
+
 def fill(sizes):
     """Targets by sharing the excess again and again."""
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
