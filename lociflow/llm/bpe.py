@@ -1,10 +1,12 @@
 """Byte-level BPE by recursive DuckDB queries.
 
-Spark splits the texts by the tokenizer's pattern; each task hands the distinct words that are no token themselves to
-DuckDB. There, rows (word, position, token) join the merge table, and a recursive query
-contracts each word's leftmost pair of least rank until no pair is left. Ordered aggregation turns a word's tokens back
+Spark splits the texts by the tokenizer's pattern; each task hands their distinct words to DuckDB. There, rows (word,
+position, token) join the merge table, and a recursive query contracts each word's leftmost pair of least rank until no pair
+is left; a word that is a token of the vocabulary comes in as that token. Ordered aggregation turns a word's tokens back
 into bytes. A task's documents are then put together from their words.
 
+A worker remembers words: those that come again after their batch are settled, the others are forgotten when they are too many.
+
 Contracting one pair a step costs as many steps as a word has tokens. In long words, where no token that a pair makes can start or end a
 pair of a lower rank, all of the word's pairs of that least rank are next anyway, and are contracted in one step.
 
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from lociflow.llm.common import in_small_batches, whole
 
-#: Words that one recursive query takes, and words that a Python worker remembers.
-QUERY_WORDS, KNOWN_WORDS = 10_000, 200_000
+#: Words that one recursive query takes, and settled and new words that a Python worker remembers.
+QUERY_WORDS, SETTLED_WORDS, NEW_WORDS = 10_000, 300_000, 100_000
 
 # The leftmost pair of least rank of each word, a step. Positions and sizes count bytes.
 CONTRACT = """
@@ -111,42 +113,39 @@ class Bpe:
             db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             db.unregister("given")
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids: list[bytes] = []
-        self.decoded: list[bytes] = []
+        # Ids of known words as bytes, and what a word decodes to where that isn't the word itself.
+        self.settled: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
-        """Encodes and decodes words, and remembers them."""
+        """Encodes and decodes words."""
         short, long = [], []
         for word in words:
             raw = word.encode("utf-8", "surrogatepass")
-            token = self.ranks.get(raw)
-            if token is not None:
-                self._keep(word, token.to_bytes(4, "little"), self.bytes_of[token])
-            else:
-                (short if len(raw) <= LONG_WORD else long).append((word, raw))
+            (short if len(raw) <= LONG_WORD else long).append((word, raw))
         for query, some, at_once in ((CONTRACT, short, QUERY_WORDS), (CONTRACT_RUNS, long, QUERY_WORDS // 100)):
             for i in range(0, len(some), at_once):
-                part = some[i : i + at_once]
-                for (word, _), (ids, back) in zip(part, self.contract([raw for _, raw in part], query), strict=True):
-                    self._keep(word, ids, back)
-
-    def _keep(self, word: str, ids: bytes, back: bytes) -> None:
-        self.known[word] = len(self.ids)
-        self.ids.append(ids)
-        self.decoded.append(back)
-
-    def contract(self, words: list[bytes], query: str) -> list[tuple[bytes, bytes]]:
-        sizes = np.array([len(w) for w in words])
+                names, raws = zip(*some[i : i + at_once], strict=True)
+                ids, pieces, edges = self.contract(list(raws), query)
+                data = memoryview(ids.tobytes())
+                self.new.update(zip(names, (bytes(data[4 * a : 4 * b]) for a, b in zip(edges[:-1], edges[1:], strict=True)), strict=True))
+                if b"".join(pieces) != b"".join(raws):
+                    for word, raw, a, b in zip(names, raws, edges[:-1], edges[1:], strict=True):
+                        if (back := b"".join(pieces[a:b])) != raw:
+                            self.odd[word] = back
+
+    def contract(self, words: list[bytes], query: str) -> tuple[np.ndarray, list[bytes], list[int]]:
+        """Token ids and bytes of all words in a row, and len + 1 offsets of each word's."""
+        whole = [self.ranks.get(w) for w in words]
+        sizes = np.array([len(w) if t is None else 1 for w, t in zip(words, whole, strict=True)])
         at = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        token = np.concatenate([self.byte_ids[np.frombuffer(w, np.uint8)] if t is None else np.array([t], np.int32) for w, t in zip(words, whole, strict=True)])
         start = pa.table(
             {
                 "word": pa.array(np.repeat(np.arange(len(words), dtype=np.int32), sizes)),
                 "pos": pa.array((np.arange(sizes.sum()) - at).astype(np.int32)),
-                "token": pa.array(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]),
+                "token": pa.array(token),
             }
         )
         self.db.register("given", start)
@@ -156,19 +155,24 @@ class Bpe:
             f"SELECT list(e.token ORDER BY pos) AS ids, list(v.bytes ORDER BY pos) AS back FROM ({query}) e JOIN vocabulary v ON v.token = e.token GROUP BY word ORDER BY word"
         ).to_arrow_table()
         ids, parts = found["ids"].combine_chunks(), found["back"].combine_chunks()
-        values, edges = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        pieces = parts.flatten().to_pylist()
-        return [(values[edges[i] : edges[i + 1]].tobytes(), b"".join(pieces[edges[i] : edges[i + 1]])) for i in range(len(words))]
-
-    def find(self, words: list[str]) -> list[int]:
-        """Where words are among the known ones."""
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        known = self.known
-        fresh = [w for w in words if w not in known]
+        return ids.flatten().to_numpy().astype("<u4"), parts.flatten().to_pylist(), ids.offsets.to_numpy().tolist()
+
+    def find(self, words: list[str]) -> list[bytes]:
+        """The ids of words. Words met again are settled."""
+        settled, new = self.settled, self.new
+        fresh = []
+        for w in words:
+            if w not in settled:
+                if w not in new:
+                    fresh.append(w)
+                elif len(settled) < SETTLED_WORDS:
+                    settled[w] = new.pop(w)
         if fresh:
             self.learn(fresh)
-        return [known[w] for w in words]
+        found = [settled[w] if w in settled else new[w] for w in words]
+        if len(new) > NEW_WORDS:
+            self.new = {}
+        return found
 
 
 _open: dict[str, Bpe] = {}
@@ -200,9 +204,12 @@ def encode(docs: DataFrame, path: str, pattern: str, with_tokens: bool = True) -
                 lists = part.column(1)
                 coded = lists.flatten().dictionary_encode()
                 edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-                where = bpe.find(coded.dictionary.to_pylist())
-                ids = pa.array([bpe.ids[i] for i in where], pa.binary()).take(coded.indices)
-                back = pa.array([bpe.decoded[i] for i in where], pa.binary()).take(coded.indices)
+                known = coded.dictionary.to_pylist()
+                ids = pa.array(bpe.find(known), pa.binary()).take(coded.indices)
+                back = coded.dictionary.cast(pa.binary())
+                if bpe.odd:
+                    back = pa.array([bpe.odd.get(w, raw) for w, raw in zip(known, back.to_pylist(), strict=True)], pa.binary())
+                back = back.take(coded.indices)
                 own, decoded = _spans(ids, edges), _spans(back, edges)
                 columns = {
                     "doc_id": part.column(0),

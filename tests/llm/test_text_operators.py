@@ -281,7 +281,27 @@ def test_bpe_queries_agree():
 
     b = B.tokenizer(P.path("byte_bpe_multi_50k.tiktoken"))
     words = [w.encode() for w in ("aaaaaaaa", "aaaaaaa", "banana" * 9, "überraschung", " the" * 7, "x" * 150, "éèê" * 20)]
-    assert b.contract(words, B.CONTRACT) == b.contract(words, B.CONTRACT_RUNS)
+    (ids, parts, edges), (ids2, parts2, edges2) = (b.contract(words, q) for q in (B.CONTRACT, B.CONTRACT_RUNS))
+    assert ids.tolist() == ids2.tolist() and parts == parts2 and edges == edges2
+    assert b"".join(parts) == b"".join(words)
+
+
+def test_bpe_remembers_and_forgets(monkeypatch):
+    """Words that come again are settled, others are forgotten, and all keep their ids."""
+    import public_tokenizers as P
+
+    from lociflow.llm import bpe as B
+
+    monkeypatch.setattr(B, "SETTLED_WORDS", 3)
+    monkeypatch.setattr(B, "NEW_WORDS", 4)
+    b = B.Bpe(P.path("byte_bpe_multi_50k.tiktoken"))
+    r = np.random.default_rng(1)
+    words = [f" wörd{i}{'xyz' * (i % 3)}" for i in range(12)] + [" the", "a"]
+    want = dict(zip(words, b.find(words), strict=True))
+    for _ in range(8):
+        some = r.choice(words, 5, replace=False).tolist()
+        assert b.find(some) == [want[w] for w in some]
+        assert len(b.settled) <= 3 and len(b.new) <= 4 + 5
 
 
 def test_sharding(docs, empty, spark):
