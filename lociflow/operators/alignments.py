@@ -22,10 +22,10 @@ def has(bit: int, flag: str = "flag") -> Column:
     return F.col(flag).bitwiseAND(F.lit(bit)) != 0
 
 
-def scan(reads: DataFrame, region: tuple[str, int, int] | None = None, require: int = 0, exclude: int = 0, min_mapq: int = 0, simple_cigar: bool = False, columns: list[str] | None = None, tags: dict[str, list[str]] | None = None) -> DataFrame:
+def scan(reads: DataFrame, region: tuple[str, int, int] | None = None, require: int = 0, exclude: int = 0, min_mapq: int = 0, simple_cigar: bool = False, columns: list[str] | None = None, tags: dict[str, list[str]] | None = None, predicate: Column | None = None) -> DataFrame:
     """Filters and projection of a scan; all of it reaches a Parquet source. tags: of each tag the values that are wanted; a
-    record without it goes."""
-    t = reads
+    record without it goes. predicate: any further condition."""
+    t = reads if predicate is None else reads.where(predicate)
     for name, values in (tags or {}).items():
         t = t.where(F.try_element_at("tags", F.lit(name)).isin([str(v) for v in values]))
     if require:
@@ -80,6 +80,14 @@ def to_pairs(reads: DataFrame) -> DataFrame:
     )
 
 
+def mates(reads: DataFrame) -> DataFrame:
+    """qname, first, second: the primary records of both mates by name, as structs; null where one is missing."""
+    t = reads.where(F.col("flag").bitwiseAND(F.lit(SECONDARY | 2048)) == 0)
+    whole = F.struct(*(c for c in reads.columns if c != "qname"))
+    one = F.when(has(FIRST), 1).when(has(SECOND), 2)
+    return t.groupBy("qname").agg(*(F.min(F.when(one == k, whole)).alias(n) for k, n in ((1, "first"), (2, "second"))))
+
+
 def unique_locus(mode: str = "mem") -> Column:
     """Of hit counts x0, x1 and scores y0, y1: whether a read has one best place."""
     few = F.col("x1") <= 10

@@ -140,6 +140,15 @@ def tails(fitted: DataFrame, fdr: float, least_count: int = 3, steps: int = 22)
     return fitted.where(F.col("_odds").isNotNull()).select("_ni", "_nj", "_total", "_odds").mapInPandas(run, "tail double, weight double")
 
 
+def error_counts(tested: DataFrame, tail: DataFrame, alpha: float, least_count: int = 3) -> DataFrame:
+    """One row: positives (observed pairs of enough contacts and a p-value of at most alpha) and false_positives (summed over
+    all pairs of the band)."""
+    hits = tested.where((F.col("n") >= least_count) & (F.col("pvalue") <= alpha)).select(F.lit(1).alias("hit"), F.lit(0.0).alias("weight"))
+    false = tail.where(F.col("tail") <= alpha).select(F.lit(0).alias("hit"), "weight")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return hits.unionByName(false).agg(total("hit").alias("positives"), total("weight").alias("false_positives"))
+
+
 def fdr_cutoff(tested: DataFrame, fdr: float = 0.05, least_count: int = 3, steps: int = 22, tail: DataFrame | None = None) -> float:
     """The largest p-value cutoff of a bisection below which false positives / positives stay within the rate.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -176,6 +178,11 @@ def fetch(sequences: DataFrame, regions: DataFrame) -> DataFrame:
     return regions.join(sequences, "name").withColumn("bases", F.substring("seq", F.col("start"), F.col("end") - F.col("start") + 1)).drop("seq")
 
 
+def fetch_with(sequences: DataFrame, regions: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """A user's function over batches of fetched regions (name, start, end, bases and their other columns)."""
+    return fetch(sequences, regions).mapInPandas(function, schema)
+
+
 def read_motifs(spark: SparkSession, path: str | list[str], column: int = 0) -> DataFrame:
     """chrom, start, end, motif_id from `chr:start-end` texts, numbered in the order of places."""
     place = F.get(F.split("value", "\t"), column)

@@ -468,6 +468,24 @@ def test_more_sources(spark, tmp_path):
     assert config.read_settings(spark, str(tmp_path / "run.sh")) == config.Settings(run="LD", self_bp=9000, z_thresh=5.0)
 
 
+def test_mates_and_callbacks(spark, tmp_path):
+    (tmp_path / "x.sam").write_text("\n".join(SAM) + "\n")
+    reads = readers.read_sam(spark, str(tmp_path / "x.sam")).drop("tags")
+    got = {r.qname: r for r in alignments.mates(reads).collect()}
+    assert got["a"].first.pos == 100 and got["a"].second.pos == 200 and got["c"].first is None and got["c"].second is None
+    assert alignments.scan(reads, predicate=F.length("seq") > 4).count() == 3
+    seqs = frame(spark, [("one", "ACGTACGT")], "name string, seq string")
+
+    def lengths(batches):
+        for pdf in batches:
+            yield pdf.assign(n=pdf["bases"].str.len())[["name", "n"]]
+
+    assert readers.fetch_with(seqs, frame(spark, [("one", 2, 5)], "name string, start int, end int"), lengths, "name string, n long").first().n == 4
+    tested = frame(spark, [(5, 0.01), (2, 0.001), (4, 0.2)], "n long, pvalue double")
+    row = significance.error_counts(tested, frame(spark, [(0.01, 0.5), (0.3, 0.25)], "tail double, weight double"), 0.05).first()
+    assert tuple(row) == (1, 0.5) and tuple(significance.error_counts(tested.limit(0), frame(spark, [], "tail double, weight double"), 0.05).first()) == (0, 0)
+
+
 def test_headers_and_tables(spark):
     head = lambda lines: frame(spark, list(enumerate(lines)), "line_no long, line string")
     merged = pairs.merge_headers(head(["## pairs", "#chromsize: chr1 10", "#command: a"]), head(["## pairs", "#command: b"]))
