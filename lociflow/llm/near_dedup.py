@@ -181,8 +181,8 @@ def _apart(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for at in range(0, batch.num_rows, SLICE // 4):  # a row for each element comes out
+                part = batch.slice(at, SLICE // 4)
                 (h, p), (g, q) = shingles(*flat(part.column(3)), width), shingles(*flat(part.column(4)), width)
                 rest = [np.setxor1d(h[p[i] : p[i + 1]], g[q[i] : q[i + 1]], assume_unique=True) for i in range(part.num_rows)]
                 size = np.array([len(r) for r in rest], np.int64)
