@@ -104,6 +104,18 @@ class Attention:
         return self.forward(x, first)["y"].astype(np.float64)
 
 
+def gradient(model: Attention, x: np.ndarray, first: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean log loss of bags, by each weight."""
+    f, p = model.forward(x, first), model.weights
+    dy = (f["y"] - label) / len(label)
+    dz = dy[:, None] * p["c"]
+    da = np.einsum("ij,ij->i", dz[f["bags"]], f["h"])
+    de = f["a"] * (da - np.add.reduceat(f["a"] * da, first[:-1])[f["bags"]])
+    dt, dg = de[:, None] * p["w"] * f["g"] * (1 - f["t"] ** 2), de[:, None] * p["w"] * f["t"] * f["g"] * (1 - f["g"])
+    dh = (f["a"][:, None] * dz[f["bags"]] + dt @ p["V"].T + dg @ p["G"].T) * (1 - f["h"] ** 2)
+    return {"U": f["x"].T @ dh, "u": dh.sum(0), "V": f["h"].T @ dt, "G": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dy, "b": dy.sum()}
+
+
 def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, hidden: int = 24, gate: int = 12, epochs: int = 40, rate: float = 0.01, batch: int = 256) -> Attention:
     """Adam on the log loss of the documents' labels."""
     if len(set(label.tolist())) < 2:
@@ -121,14 +133,7 @@ def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, hidden: int = 24, g
             docs = order[i : i + batch]
             rows = np.concatenate([np.arange(first[d], first[d + 1]) for d in docs])
             edges = np.concatenate(([0], np.cumsum(first[docs + 1] - first[docs])))
-            f = model.forward(x[rows], edges)
-            dy = (f["y"] - label[docs]) / len(docs)
-            dz = dy[:, None] * p["c"]
-            da = np.einsum("ij,ij->i", dz[f["bags"]], f["h"])
-            de = f["a"] * (da - np.add.reduceat(f["a"] * da, edges[:-1])[f["bags"]])
-            dt, dg = de[:, None] * p["w"] * f["g"] * (1 - f["t"] ** 2), de[:, None] * p["w"] * f["t"] * f["g"] * (1 - f["g"])
-            dh = (f["a"][:, None] * dz[f["bags"]] + dt @ p["V"].T + dg @ p["G"].T) * (1 - f["h"] ** 2)
-            grad = {"U": f["x"].T @ dh, "u": dh.sum(0), "V": f["h"].T @ dt, "G": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dy, "b": dy.sum()}
+            grad = gradient(model, x[rows], edges, label[docs])
             step += 1
             for k in p:
                 g = grad[k] + 1e-5 * p[k]

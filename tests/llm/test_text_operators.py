@@ -239,6 +239,40 @@ def test_suffix_dedup(docs, empty, crowd):
     assert remove_repeats(empty, window).count() == 0
 
 
+def test_suffix_dedup_of_a_larger_table(spark):
+    """Against windows told apart by two sums of their bytes, over a whole table."""
+    from lociflow.llm.suffix_dedup import remove_repeats
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    table = docs.collect()
+    texts, window = [(r.text or "").encode() for r in table], 400
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    number = np.maximum(np.diff(offsets) - window + 1, 0)
+    at = np.arange(number.sum()) + np.repeat(offsets[:-1] - (np.cumsum(number) - number), number)
+    key = np.zeros(len(at), np.uint64)
+    for odd in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
+        # Weights by place modulo 2 ** 64, shifted back to the window's start by the inverse.
+        power, inverse = (np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(data), b, np.uint64)))) for b in (odd, pow(odd, -1, 2**64)))
+        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data + np.uint64(odd % 251)) * (data + np.uint64(7)) * power[:-1], dtype=np.uint64)))
+        value = (prefix[at + window] - prefix[at]) * inverse[at]
+        key ^= (value ^ (value >> np.uint64(31))) * np.uint64(odd)
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    hit = np.zeros(len(at), bool)
+    hit[order[1:][same]] = hit[order[:-1][same]] = True
+    change = np.zeros(len(data) + 1, np.int64)
+    np.add.at(change, at[hit], 1)
+    np.add.at(change, at[hit] + window, -1)
+    gone = np.cumsum(change)[:-1] > 0
+    want = {}
+    for r, t, a, b in zip(table, texts, offsets[:-1], offsets[1:], strict=True):
+        kept = np.frombuffer(t, np.uint8)[~gone[a:b]].tobytes()
+        want[r.doc_id] = (len(t), int(gone[a:b].sum()), hashlib.sha256(kept).hexdigest())
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in remove_repeats(docs, window).collect()}
+    assert got == want and sum(n for _, n, _ in want.values()) > 1_000_000
+
+
 def test_fm_index_counts():
     from lociflow.llm.fm_index import FmIndex
 
@@ -416,6 +450,44 @@ def test_mixing_targets_against_rounds(spark):
         assert all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in sizes)
 
 
+def test_attention_against_plain_loops():
+    """Attention, scores and gradients of a small network, a number at a time."""
+    import math
+
+    from lociflow.llm import quality as Q
+
+    r = np.random.default_rng(7)
+    first = np.array([0, 3, 4, 6])
+    x, label = r.normal(0, 1, (6, Q.FEATURES)), np.array([1.0, 0.0, 1.0])
+    p = {"U": r.normal(0, 0.3, (Q.FEATURES, 4)), "u": r.normal(0, 1, 4), "V": r.normal(0, 1, (4, 3)), "G": r.normal(0, 1, (4, 3)), "w": r.normal(0, 1, 3), "c": r.normal(0, 1, 4), "b": np.array(0.2)}
+    model = Q.Attention(np.zeros(Q.FEATURES), np.ones(Q.FEATURES), p)
+
+    def by_hand(p):
+        out = []
+        for a, b in zip(first[:-1], first[1:]):
+            hs, es = [], []
+            for i in range(a, b):
+                h = [math.tanh(sum(x[i, f] * p["U"][f, k] for f in range(Q.FEATURES)) + p["u"][k]) for k in range(4)]
+                t = [math.tanh(sum(h[k] * p["V"][k, j] for k in range(4))) for j in range(3)]
+                g = [1 / (1 + math.exp(-sum(h[k] * p["G"][k, j] for k in range(4)))) for j in range(3)]
+                hs.append(h)
+                es.append(math.exp(sum(t[j] * g[j] * p["w"][j] for j in range(3))))
+            z = [sum(e * h[k] for e, h in zip(es, hs)) / sum(es) for k in range(4)]
+            out.append(1 / (1 + math.exp(-(sum(z[k] * p["c"][k] for k in range(4)) + float(p["b"])))))
+        return out
+
+    assert np.allclose(model.score(x, first), by_hand(p))
+    # One step of training moves each weight against its gradient, found here by differences.
+    loss = lambda q: -sum(math.log(y if v else 1 - y) for y, v in zip(by_hand(q), label)) / len(label)
+    grad = Q.gradient(model, x, first, label)
+    for k in p:
+        flat_index = tuple(int(r.integers(0, n)) for n in p[k].shape)
+        up, down = ({n: v.copy() for n, v in p.items()} for _ in range(2))
+        up[k][flat_index] += 1e-5
+        down[k][flat_index] -= 1e-5
+        assert abs((loss(up) - loss(down)) / 2e-5 - np.asarray(grad[k])[flat_index]) < 1e-6
+
+
 def test_quality(docs, empty, spark):
     from lociflow.llm.quality import keep_good, score, train
 
