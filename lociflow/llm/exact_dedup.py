@@ -119,7 +119,9 @@ def _judged(docs: DataFrame) -> DataFrame:
     rows = stored(rows.withColumn("number", F.monotonically_increasing_id()))
     first = rows.groupBy(*FP).agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "number")).alias("first"))
     found = classes(docs).join(first.select(*FP, F.col("first.number").alias("first")), FP)
-    return rows.join(found, FP).select("doc_id", "text_sha256", "keep_id", "group_size", (F.col("number") == F.col("first")).alias("kept"))
+    # On keys that found isn't dealt out by yet, so that the join may split a large class.
+    found = found.withColumn("_fp_a", F.col("fp_a").bitwiseXOR(F.lit(1))).drop("fp_a")
+    return rows.withColumn("_fp_a", F.col("fp_a").bitwiseXOR(F.lit(1))).join(found, ["_fp_a", *FP[1:]]).select("doc_id", "text_sha256", "keep_id", "group_size", (F.col("number") == F.col("first")).alias("kept"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
