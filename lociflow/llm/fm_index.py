@@ -39,10 +39,11 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class FmIndex:
-    """Over a text of symbols 0 .. sigma - 1; counts patterns of up to `depth` symbols."""
+    """Over a text of symbols 0 .. sigma - 1; counts patterns of up to `depth` symbols, each place by its weight."""
 
-    def __init__(self, text: np.ndarray, sigma: int, depth: int):
+    def __init__(self, text: np.ndarray, sigma: int, depth: int, weight: np.ndarray | None = None):
         order = suffix_order(text, depth)
+        self.before = np.concatenate(([0], np.cumsum(weight[order]))) if weight is not None else np.arange(len(text) + 1)
         bwt = text[order - 1]
         self.size = len(text)
         self.less = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=sigma))))
@@ -59,6 +60,9 @@ class FmIndex:
             i = np.where((symbol >> shift) & 1, zeros + ones, i - ones)
         return i
 
+    def count(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return self.before[high] - self.before[low]
+
     def backward(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the patterns that begin with `symbol` and go on with those of [low, high)."""
         start = self.less[symbol] - self.base[symbol]

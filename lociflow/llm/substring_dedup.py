@@ -1,9 +1,10 @@
 """Substring dedup over words, by an FM-index per shard.
 
-A shard's index holds the pieces of its anchors, those that occur more than once twice. Each piece is
+A shard's index holds the pieces of its anchors; places count as often as their piece occurs. Each piece is
 streamed against it from the right: backward search over the wavelet matrix extends a match to the left as long as it
 occurs twice; where it can't be extended, its length is the matching statistic of that end, and the interval is reported if it
-reaches the window. Shards, pieces and what happens to crowded ones: see `passages`.
+reaches the window. A match can't run over a few words that occur once in the shard, so a piece is streamed in the parts
+between those, if they hold a window. Shards, pieces and what happens to crowded ones: see `passages`.
 
 Defined results: null counts as empty and has no words; texts shorter than a window lose nothing; rows that
 repeat a text lose all of it that a window covers; null or repeated doc_ids keep a row each; an empty table gives an empty
@@ -19,11 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lociflow.llm.common import flat, words
+from lociflow.llm.common import flat, mix, words
 from lociflow.llm.fm_index import FmIndex
 from lociflow.llm.passages import MAX_GROUP, Judge, Units, covered, found_of, with_repeats
 
 GRAM = 8
+#: Words that tell whether a match may run over them.
+FEW = 4
 #: Texts put together at once.
 SLICE = 256
 
@@ -33,27 +36,43 @@ def judge(window: int) -> Judge:
         sizes = np.array([len(c) for c in contents])
         _, _, hashes, at = words(np.frombuffer(b"".join(contents), np.uint8), np.concatenate(([0], np.cumsum(sizes))))
         symbols = np.unique(hashes, return_inverse=True)[1] + 1
-        parts = []
-        for k in range(len(contents)):
-            parts += [symbols[at[k] : at[k + 1]], np.zeros(1, np.int64)] * (2 if often[k] > 1 else 1)
-        index = FmIndex(np.concatenate(parts), int(symbols.max()) + 1, int(np.diff(at).max()))
+        weight = np.where(often > 1, 2, 1)
+        own = np.repeat(np.arange(len(contents)), np.diff(at))
+        # A separator after each piece.
+        text = np.zeros(len(symbols) + len(contents), np.int64)
+        text[np.arange(len(symbols)) + own] = symbols
+        whose = np.repeat(np.arange(len(contents)), np.diff(at) + 1)
+        index = FmIndex(text, int(symbols.max()) + 1, int(np.diff(at).max()), weight[whose])
         masks = [np.zeros(c, bool) for c in count]
+        # The parts to stream: piece, first and last word.
+        few = min(FEW, window)
+        gram = np.zeros(len(hashes), np.uint64)
+        for i in range(few):
+            gram[: len(hashes) - i] = mix(gram[: len(hashes) - i] + hashes[i:])
+        place = np.flatnonzero(np.arange(len(hashes)) + few <= at[1:][own])
+        known = np.unique(gram[place], return_inverse=True)[1]
+        twice = place[np.bincount(known, weight[own[place]])[known] > 1]
+        new = np.ones(len(twice), bool)
+        new[1:] = (twice[1:] != twice[:-1] + 1) | (own[twice[1:]] != own[twice[:-1]])
+        edge = np.flatnonzero(new)
+        low_word, high_word = twice[edge], twice[np.append(edge, len(twice))[1:] - 1] + few if len(twice) else twice
+        use = high_word - low_word >= window
+        first, end = low_word[use], high_word[use].copy()
         # State of a stream: the end of its match, the match's start and interval. All streams step together.
-        k = np.arange(len(contents))
-        end = at[1:][k].copy()
+        k = own[first]
         start, low, high = end.copy(), np.zeros(len(k), np.int64), np.full(len(k), index.size)
         while len(k):
-            more = start > at[k]
+            more = start > first
             symbol = symbols[np.maximum(start - 1, 0)]
             lo, hi = index.backward(symbol, low, high)
-            grows = more & (hi - lo >= 2)
+            grows = more & (index.count(lo, np.maximum(lo, hi)) >= 2)
             for i in np.flatnonzero(~grows & (end - start >= window)):
                 masks[k[i]][start[i] - at[k[i]] : end[i] - at[k[i]] - window + 1] = True
             start, low, high = np.where(grows, start - 1, end - 1), np.where(grows, lo, 0), np.where(grows, hi, index.size)
             end = np.where(grows, end, end - 1)
-            # A match that reached the piece's start has reported all that shorter ends could.
-            going = grows | (more & (end - at[k] >= window))
-            k, end, start, low, high = k[going], end[going], start[going], low[going], high[going]
+            # A match that reached the part's start has reported all that shorter ends could.
+            going = grows | (more & (end - first >= window))
+            k, first, end, start, low, high = (x[going] for x in (k, first, end, start, low, high))
         return masks
 
     return run

@@ -277,13 +277,16 @@ def test_fm_index_counts():
     from lociflow.llm.fm_index import FmIndex
 
     text = np.array([1, 2, 1, 2, 3, 0, 2, 1, 2, 3, 0])
-    index = FmIndex(text, 4, 5)
+    weight = np.arange(1, 12)
+    index, weighted = FmIndex(text, 4, 5), FmIndex(text, 4, 5, weight)
     for pattern in ([1], [1, 2], [2, 1, 2], [1, 2, 3], [3, 3], [2, 3, 0]):
         low, high = np.array([0]), np.array([len(text)])
         for symbol in pattern[::-1]:
             low, high = index.backward(np.array([symbol]), low, high)
         double = np.concatenate((text, text))
-        assert high[0] - low[0] == sum(double[i : i + len(pattern)].tolist() == pattern for i in range(len(text)))
+        hits = [double[i : i + len(pattern)].tolist() == pattern for i in range(len(text))]
+        assert high[0] - low[0] == sum(hits)
+        assert weighted.count(low, high)[0] == sum(w for w, hit in zip(weight, hits, strict=True) if hit)
 
 
 def test_bpe(docs, empty):
