@@ -25,10 +25,11 @@ from pyspark.sql.window import Window
 from lociflow.llm.common import stored
 
 #: A shard's rows, at most and where there are fewer shards than cores; its vectors' bytes, at most.
-SHARD_ROWS, SMALL_SHARD, SHARD_BYTES = 65_536, 4096, 32 << 20
+SHARD_ROWS, SMALL_SHARD, SHARD_BYTES = 16_384, 4096, 32 << 20
 #: Queries of a block, and those that search together.
 BLOCK_QUERIES, TOGETHER = 16_384, 256
 DEGREE = 16  # of upper levels; twice that at level 0
+#: Nodes that a search keeps: in building, and in asking a small shard; larger ones take more in proportion.
 BEAM_BUILD, BEAM_SEARCH = 64, 96
 
 
@@ -194,8 +195,8 @@ def _search(k: int):
                 s, q = pickle.loads(graph.as_py()), pickle.loads(queries.as_py())
                 g = Graph(unit(s["vectors"]), s["level"], s["near"])
                 g.entry = s["entry"]
-                asked, width = unit(q["vectors"]), min(BEAM_SEARCH, max(len(g.v), 1))
-                found = np.concatenate([g.search(asked[i : i + TOGETHER], width) for i in range(0, len(asked), TOGETHER)])
+                asked, width = unit(q["vectors"]), min(BEAM_SEARCH * max(1.0, len(g.v) / SMALL_SHARD), max(len(g.v), 1))
+                found = np.concatenate([g.search(asked[i : i + TOGETHER], int(width)) for i in range(0, len(asked), TOGETHER)])
                 out: tuple[list, list, list] = ([], [], [])
                 for i, own in enumerate(q["ids"].tolist()):
                     nodes = found[i][found[i] >= 0]
