@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,25 +43,57 @@ def noncentral_tail(n: int, row: int, column: int, total: int, odds: float) -> f
     return 1.0 if n <= low else float(min(1.0, weight[n - low :].sum()))
 
 
-def noncentral_steps(row: int, column: int, total: int, odds: float, least: int, smallest: float, largest: float) -> tuple[np.ndarray, np.ndarray]:
-    """P(X >= c) and P(X = c) of the same distribution for c >= least where the first is at most `largest`; the counts where
-    it is at most `smallest` are one entry."""
-    low, weight = _noncentral(row, column, total, odds)
-    tail = weight[::-1].cumsum()[::-1]
-    at = max(least - low, 0)
-    tail, weight = tail[at:], weight[at:]
-    deep = int((tail > smallest).sum())
-    tail, weight = tail[: deep + 1], np.concatenate((weight[:deep], tail[deep : deep + 1]))
-    return tail[tail <= largest], weight[tail <= largest]
+def _tables(row: np.ndarray, column: np.ndarray, total: np.ndarray, odds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the same distribution for many arguments at once: their places, the least counts, and P(X = c) from there on, a row
+    each. Arguments with about as many counts are worked out together."""
+    low, high = np.maximum(0, row + column - total), np.minimum(row, column)
+    size = high - low + 1
+    for width in np.unique(1 << np.ceil(np.log2(np.maximum(size, 1))).astype(int)):
+        some = np.flatnonzero((size <= width) & (2 * size > width))
+        for i in range(0, len(some), max(1, (1 << 20) // width)):
+            at = some[i : i + max(1, (1 << 20) // width)]
+            k = low[at, None] + np.arange(width - 1)[None, :]
+            r, c, n, o = (x[at, None] for x in (row, column, total, odds))
+            inside = k < high[at, None]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                steps = np.where(inside, np.log((r - k) * (c - k) / ((k + 1.0) * (n - r - c + k + 1)) * o), -np.inf)
+            log = np.concatenate((np.zeros((len(at), 1)), np.cumsum(steps, 1)), 1)
+            weight = np.exp(log - log.max(1, keepdims=True))
+            yield at, low[at], weight / weight.sum(1, keepdims=True)
+
+
+def noncentral_tails(n: np.ndarray, row: np.ndarray, column: np.ndarray, total: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """P(X >= n) for many arguments at once."""
+    out = np.ones(len(n))
+    for at, low, weight in _tables(row, column, total, odds):
+        tail = weight[:, ::-1].cumsum(1)[:, ::-1]
+        place = n[at] - low
+        out[at] = np.where(place <= 0, 1.0, np.where(place < tail.shape[1], np.take_along_axis(tail, np.clip(place, 0, tail.shape[1] - 1)[:, None], 1)[:, 0], 0.0))
+    return np.minimum(out, 1.0)
+
+
+def noncentral_steps(row: np.ndarray, column: np.ndarray, total: np.ndarray, odds: np.ndarray, least: int, smallest: float, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """P(X >= c) and P(X = c), for many arguments at once, of all c >= least where the first is at most `largest`; the counts
+    where it is at most `smallest` are one entry of each argument."""
+    tails, weights = [], []
+    for _, low, weight in _tables(row, column, total, odds):
+        tail = weight[:, ::-1].cumsum(1)[:, ::-1]
+        wanted = (np.arange(tail.shape[1])[None, :] + low[:, None] >= least) & (tail > 0)
+        deep = wanted & (tail <= smallest)
+        first_deep = deep & (np.cumsum(deep, 1) == 1)
+        use = ((wanted & ~deep) | first_deep) & (tail <= largest)
+        tails.append(tail[use])
+        weights.append(np.where(first_deep, tail, weight)[use])
+    return (np.concatenate(tails), np.concatenate(weights)) if tails else (np.zeros(0), np.zeros(0))
 
 
 @F.pandas_udf(DoubleType())
 def noncentral_p(n: pd.Series, row: pd.Series, column: pd.Series, total: pd.Series, odds: pd.Series) -> pd.Series:
     """P(X >= n), 1 without odds, null where a count is."""
     table = pd.DataFrame({"n": n, "row": row, "column": column, "total": total, "odds": odds})
-    known = table.dropna().drop_duplicates()
-    tails = [noncentral_tail(int(a), int(b), int(c), int(d), float(o)) for a, b, c, d, o in known.itertuples(index=False)]
-    p = table.merge(known.assign(p=tails), how="left", on=list(table))["p"].astype(float)
+    known = table.dropna()
+    counts = [known[c].to_numpy().astype(np.int64) for c in ("n", "row", "column", "total")]
+    p = pd.Series(noncentral_tails(*counts, known["odds"].to_numpy(float)), known.index).reindex(table.index)
     return p.where(table["odds"].notna() | table.drop(columns="odds").isna().any(axis=1), 1.0)
 
 

@@ -92,12 +92,14 @@ def _fit(seen: DataFrame, band: DataFrame, quantiles: int, masked: DataFrame | N
     def expected(delta: pd.Series) -> pd.Series:
         return pd.Series(curve(delta.to_numpy()).clip(1e-9) if curve else 0.0 * delta)
 
-    fitted = band.withColumn("expected", expected("delta"))
+    # A distance is worked out once; pairs look theirs up.
+    lengths = kept(band.select("delta").distinct().withColumn("expected", expected("delta")))
+    fitted = band.join(lengths, "delta")
     sides, sums = marginals(seen), marginals(fitted, "expected")
     all_seen, all_expected = seen.agg(F.sum("n")).first()[0] or 0, fitted.agg(F.sum("expected")).first()[0] or 0.0  # two numbers
 
     def add(t: DataFrame) -> DataFrame:
-        t = t.withColumn("expected", expected("delta"))
+        t = t.join(lengths, "delta")
         for k in "ij":
             t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_n{k}")), ["chrom", k])
             t = t.join(sums.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_l{k}")), ["chrom", k])
@@ -132,9 +134,9 @@ def tails(fitted: DataFrame, fdr: float, least_count: int = 3, steps: int = 22)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts = [noncentral_steps(int(a), int(b), int(n), o, least_count, smallest, fdr) for a, b, n, o in zip(*(pdf[c] for c in pdf), strict=True)]
-            if parts:
-                yield pd.DataFrame({"tail": np.concatenate([t for t, _ in parts]), "weight": np.concatenate([w for _, w in parts])})
+            counts = [pdf[c].to_numpy().astype(np.int64) for c in ("_ni", "_nj", "_total")]
+            tail, weight = noncentral_steps(*counts, pdf["_odds"].to_numpy(float), least_count, smallest, fdr)
+            yield pd.DataFrame({"tail": tail, "weight": weight})
 
     # Without odds (their denominator vanishes) a pair isn't tested.
     return fitted.where(F.col("_odds").isNotNull()).select("_ni", "_nj", "_total", "_odds").mapInPandas(run, "tail double, weight double")
