@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Checkpoints a table in the shared folder that the session names in spark.checkpoint.dir; where unset and all runs in
-    one process, as in tests, in one of our own."""
+    """Writes a table to the shared folder that the session names in spark.checkpoint.dir, and reads it back; where unset and
+    all runs in one process, as in tests, to one of our own."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir names no folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="lociflow-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="lociflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/lociflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -39,9 +39,11 @@ def marginals(pairs: DataFrame, value: str = "n") -> DataFrame:
 
 
 def band_pairs(points: DataFrame, least: int, most: int) -> DataFrame:
-    """All pairs of a chromosome's segments whose distance lies in [least, most]: an equi-join on bins of width `most`."""
-    a = points.select("chrom", F.col("mid").alias("i"), F.explode(F.array(F.floor(F.col("mid") / most), F.floor(F.col("mid") / most) + 1)).alias("_bin"))
-    b = points.select("chrom", F.col("mid").alias("j"), F.floor(F.col("mid") / most).alias("_bin"))
+    """All pairs of a chromosome's segments whose distance lies in [least, most]: an equi-join on bins of a quarter of `most`."""
+    width = max(1, most // 4)
+    reach = F.sequence(F.floor((F.col("mid") + least) / width), F.floor((F.col("mid") + most) / width))
+    a = points.select("chrom", F.col("mid").alias("i"), F.explode(reach).alias("_bin"))
+    b = points.select("chrom", F.col("mid").alias("j"), F.floor(F.col("mid") / width).alias("_bin"))
     return a.join(b, ["chrom", "_bin"]).withColumn("delta", F.col("j") - F.col("i")).where((F.col("delta") >= least) & (F.col("delta") <= most)).drop("_bin")
 
 
@@ -49,7 +51,10 @@ def distance_quantiles(band: DataFrame, quantiles: int = QUANTILES) -> DataFrame
     """quantile, low, high, median, pairs of chunks of equally many distances; a remainder widens the last one only.
 
     Ranks come from counts of distinct distances, of which there are far fewer than pairs."""
-    counts = band.groupBy("delta").agg(F.count(F.lit(1)).alias("n"))
+    return _chunks(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")), quantiles)
+
+
+def _chunks(counts: DataFrame, quantiles: int) -> DataFrame:
     order = Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, 0)
     t = counts.withColumn("upto", F.sum("n").over(order)).withColumn("_size", F.greatest(F.floor(F.sum("n").over(Window.partitionBy()) / quantiles), F.lit(1)))
     t = t.withColumn("first", F.col("upto") - F.col("n"))
@@ -69,37 +74,45 @@ def decay(band: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataF
     """median, mean: the mean count of a quantile's pairs, those without contacts included. At most `quantiles` rows.
 
     A distance that reaches over several chunks counts in the first of them, so a chunk in which no distance begins (its upper
-    edge is the one before) has no row. `seen` holds pairs within the band."""
-    pairs = band.groupBy("delta").agg(F.count(F.lit(1)).alias("pairs"), F.lit(0).cast("long").alias("n"))
+    edge is the one before) has no row."""
+    return _decay(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")), seen, quantiles)
+
+
+def _decay(counts: DataFrame, seen: DataFrame, quantiles: int) -> DataFrame:
+    pairs = counts.select("delta", F.col("n").alias("pairs"), F.lit(0).cast("long").alias("n"))
     sums = seen.groupBy((F.col("j") - F.col("i")).alias("delta")).agg(F.lit(0).cast("long").alias("pairs"), F.sum("n").cast("long").alias("n"))
     by_delta = pairs.unionByName(sums).groupBy("delta").agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).where("pairs > 0")
     upto = F.sum("pairs").over(Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, -1))
     size = F.greatest(F.floor(F.sum("pairs").over(Window.partitionBy()) / quantiles), F.lit(1))
     first = by_delta.withColumn("quantile", F.least(F.floor(F.coalesce(upto, F.lit(0)) / size), F.lit(quantiles - 1)))
     mean = first.groupBy("quantile").agg((F.sum("n") / F.sum("pairs")).alias("mean"))
-    return mean.join(distance_quantiles(band, quantiles).select("quantile", "median"), "quantile").groupBy("median").agg(F.avg("mean").alias("mean"))
+    return mean.join(_chunks(counts, quantiles).select("quantile", "median"), "quantile").groupBy("median").agg(F.avg("mean").alias("mean"))
+
 
+def _fit(seen: DataFrame, band: DataFrame, counts: DataFrame, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """What adds expected, _ni, _nj, _total and _odds to pairs of the band, of which `counts` holds delta, n. `seen` is what was
+    observed. Masked pairs don't take part in the decay.
 
-def _fit(seen: DataFrame, band: DataFrame, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
-    """What adds expected, _ni, _nj, _total and _odds to pairs of the band. Masked pairs don't take part in the decay."""
-    free, counted = band, seen.join(band.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_semi")
+    Pairs of the band are gone through once, for the sums of what is expected of each segment; all else is a row a distance."""
+    free, within = counts, seen
     if masked is not None:
-        free, counted = (t.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti") for t in (free, counted))
-    knots = decay(free, counted, quantiles).orderBy("median").collect()  # a row per quantile
+        gone = masked.groupBy((F.col("j") - F.col("i")).alias("delta")).agg((-F.count(F.lit(1))).alias("n"))
+        free = counts.unionByName(gone).groupBy("delta").agg(F.sum("n").alias("n")).where("n > 0")
+        within = seen.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti")
+    knots = _decay(free, within, quantiles).orderBy("median").collect()  # a row per quantile
     curve = spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else None
 
     @F.pandas_udf("double")
     def expected(delta: pd.Series) -> pd.Series:
         return pd.Series(curve(delta.to_numpy()).clip(1e-9) if curve else 0.0 * delta)
 
-    # A distance is worked out once; pairs look theirs up.
-    lengths = kept(band.select("delta").distinct().withColumn("expected", expected("delta")))
-    fitted = band.join(lengths, "delta")
-    sides, sums = marginals(seen), marginals(fitted, "expected")
-    all_seen, all_expected = seen.agg(F.sum("n")).first()[0] or 0, fitted.agg(F.sum("expected")).first()[0] or 0.0  # two numbers
+    lengths = kept(counts.withColumn("expected", expected("delta")))
+    sides, sums = marginals(seen), kept(marginals(band.join(lengths.drop("n"), "delta"), "expected"))
+    all_seen = seen.agg(F.sum("n")).first()[0] or 0  # two numbers
+    all_expected = lengths.agg(F.sum(F.col("n") * F.col("expected"))).first()[0] or 0.0
 
     def add(t: DataFrame) -> DataFrame:
-        t = t.join(lengths, "delta")
+        t = t.join(lengths.drop("n"), "delta")
         for k in "ij":
             t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_n{k}")), ["chrom", k])
             t = t.join(sums.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_l{k}")), ["chrom", k])
@@ -108,21 +121,24 @@ def _fit(seen: DataFrame, band: DataFrame, quantiles: int, masked: DataFrame | N
     return add
 
 
-def _tested(seen: DataFrame, band: DataFrame, add: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    t = add(seen.join(band.select("chrom", "i", "j", "delta"), ["chrom", "i", "j"]))
+def _tested(seen: DataFrame, least: int, most: int, add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The observed pairs of the band: their ends are segments, so their distance tells."""
+    t = add(seen.withColumn("delta", F.col("j") - F.col("i")).where((F.col("delta") >= least) & (F.col("delta") <= most)))
     p = noncentral_p(F.col("n"), F.col("_ni"), F.col("_nj"), F.col("_total"), F.col("_odds"))
     return t.select("chrom", "i", "j", "n", "expected", p.alias("pvalue"))
 
 
-def _band_of(seen: DataFrame, least: int, most: int) -> DataFrame:
-    return band_pairs(seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct(), least, most)
+def _band_of(seen: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The band's pairs, and how many there are of each distance."""
+    band = band_pairs(seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct(), least, most)
+    return band, kept(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")))
 
 
 def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
     """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
     seen = kept(observed(loops))  # read by the knots, the sums and the test
-    band = kept(_band_of(seen, least, most))
-    return _tested(seen, band, _fit(seen, band, quantiles))
+    band, counts = _band_of(seen, least, most)
+    return _tested(seen, least, most, _fit(seen, band, counts, quantiles))
 
 
 def tails(fitted: DataFrame, fdr: float, least_count: int = 3, steps: int = 22) -> DataFrame:
@@ -189,10 +205,10 @@ def refined(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles:
 
     Tables that steps read again are cut from their plans, which would otherwise grow with each and fill the driver."""
     seen = kept(observed(loops))
-    band = kept(_band_of(seen, least, most))
+    band, counts = _band_of(seen, least, most)
     masked = None
     for rate in (refine_fdr, fdr):
-        add = _fit(seen, band, quantiles, masked)
-        tested, tail = kept(_tested(seen, band, add)), kept(tails(add(band), rate, least_count))
+        add = _fit(seen, band, counts, quantiles, masked)
+        tested, tail = kept(_tested(seen, least, most, add)), kept(tails(add(band), rate, least_count))
         masked = significant(tested, rate, least_count, tail)
     return masked
