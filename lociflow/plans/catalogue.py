@@ -743,14 +743,15 @@ def allele_counts(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("id", "p", "m", (F.col("p") + F.col("m")).alias("coverage"), phasing.allele().alias("allele"))
 
 
+# Many of these p-values lie halfway between two rounded ones; a little more takes both engines to the same side.
 _BINOM = "CASE WHEN p = m THEN 1.0 ELSE least(1.0, 2 * (SELECT sum(exp(lgamma(p + m + 1) - lgamma(k + 1) - lgamma(p + m - k + 1) - (p + m) * ln(2))) FROM range(0, least(p, m) + 1) t(k))) END"
 
 
-@query(f"WITH {sql('snps')} SELECT id, round({_BINOM}, 9) AS pvalue FROM snps")
+@query(f"WITH {sql('snps')} SELECT id, round({_BINOM} + 1e-12, 9) AS pvalue FROM snps")
 def binomial_bias(spark: SparkSession, sf: str) -> DataFrame:
     from lociflow.functions.statistics import binomial_half
 
-    return relation(spark, sf, "snps").select("id", F.round(binomial_half("p", "m"), 9).alias("pvalue"))
+    return relation(spark, sf, "snps").select("id", F.round(binomial_half("p", "m") + 1e-12, 9).alias("pvalue"))
 
 
 @query(f"WITH {sql('snps')}, k AS (SELECT id, pv, row_number() OVER (ORDER BY pv DESC, id DESC) AS k FROM snps) SELECT id, round(least(1.0, min(k * pv) OVER (ORDER BY k)), 9) AS padj FROM k")
@@ -784,10 +785,10 @@ def loop_phase(spark: SparkSession, sf: str) -> DataFrame:
 _BIASED = f"b AS (SELECT id, p, m, {_BINOM} AS pv FROM snps), k AS (SELECT *, row_number() OVER (ORDER BY pv DESC, id DESC) AS k FROM b), q AS (SELECT *, least(1.0, min(k * pv) OVER (ORDER BY k)) AS padj FROM k)"
 
 
-@query(f"WITH {sql('snps')}, {_BIASED} SELECT id, round(pv, 9) AS pvalue, round(padj, 6) AS padj, CASE WHEN padj < 0.1 THEN 'Yes' ELSE 'No' END AS biased FROM q")
+@query(f"WITH {sql('snps')}, {_BIASED} SELECT id, round(pv + 1e-12, 9) AS pvalue, round(padj + 1e-12, 6) AS padj, CASE WHEN padj < 0.1 THEN 'Yes' ELSE 'No' END AS biased FROM q")
 def allele_bias(spark: SparkSession, sf: str) -> DataFrame:
     t = phasing.allele_bias(relation(spark, sf, "snps").select("id", "p", "m"))
-    return t.select("id", F.round("pvalue", 9).alias("pvalue"), F.round("padj", 6).alias("padj"), "biased")
+    return t.select("id", F.round(F.col("pvalue") + 1e-12, 9).alias("pvalue"), F.round(F.col("padj") + 1e-12, 6).alias("padj"), "biased")
 
 
 @query(f"WITH {sql('snps')} SELECT chrom, pos AS start, pos + 200 AS \"end\", id AS name, '+' AS strand, p, m, pv AS pvalue, CASE WHEN p >= m THEN '26,152,80' ELSE '215,48,39' END AS colour FROM snps")
