@@ -232,14 +232,15 @@ def _components(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> D
     verified = functools.partial(_verified, known=known, texts=texts, width=width, percent=percent)
 
     links, roots, shared, pivots = _led(shared, verified)
-    pairs = stored(_meeting(shared, pivots, texts, width, percent))
-    links = links.union(verified(pairs))
-    roots = components(links)
-
-    found = sets.select("id", *KEY, F.col("first.doc_id").alias("doc_id")).join(roots.withColumnRenamed("node", "id"), "id", "left")
-    found = found.withColumn("root", F.coalesce("root", "id"))
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(_again("root").alias("_root"), "component_id")
-    return found.select(*KEY, "root").withColumn("_root", _again("root")).join(least, "_root").drop("_root")
+    pairs, left = counted(_meeting(shared, pivots, texts, width, percent))
+    if left["rows"]:
+        found, more = counted(verified(pairs))
+        roots = components(links.union(found)) if more["rows"] else roots
+
+    placed = sets.select("id", *KEY, F.col("first.doc_id").alias("doc_id")).join(roots.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "id"))
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(_again("root").alias("_root"), "component_id")
+    return placed.select(*KEY, "root").withColumn("_root", _again("root")).join(least, "_root").drop("_root")
 
 
 def _led(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
