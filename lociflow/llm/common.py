@@ -164,11 +164,11 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * powers(len(prefix), _INVERSE)[start] + (end - start).astype(np.uint64) * U64(0xA24BAED4963EE407))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all texts, their 64-bit hashes, and len + 1 offsets of each text's words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts, and len + 1 offsets of each text's words."""
     if not len(data):
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64)
+        return none, none, np.zeros(len(offsets), np.int64)
     letter = ~IS_SPACE[data]
     starts_at = letter.copy()
     starts_at[1:] &= ~letter[:-1]
@@ -179,5 +179,56 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
     starts_at[edges] = letter[edges]
     ends_at[edges - 1] = letter[edges - 1]
     starts, ends = np.flatnonzero(starts_at), np.flatnonzero(ends_at) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts, features of them, and len + 1 offsets of each text's words.
+
+    The features are polynomials modulo 2 ** 64, under which certain long words are alike: fit for statistics only. What
+    must tell words apart takes `word_hashes`."""
+    starts, ends, at = word_spans(data, offsets)
     prefix = prefix_hash((LOWER_VALUES if lower else BYTE_VALUES)[data])
-    return starts, ends, span_hash(prefix, starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, span_hash(prefix, starts, ends), at
+
+
+#: Places of a word that have values of their own for each letter.
+PLACES = 64
+_letters = np.random.default_rng(5 * 20240229).integers(0, 2**64, (2, PLACES * 256), dtype=np.uint64)
+_lower = np.arange(256, dtype=np.uint8)
+_lower[65:91] += 32
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """data[starts[i]:ends[i]] of all spans in a row, each followed by `gap` spaces, and where each begins."""
+    size = ends - starts
+    begin = np.cumsum(size + gap) - size - gap
+    at = np.arange(size.sum())
+    own = np.cumsum(size) - size
+    letters = data[at + np.repeat(starts - own, size)]
+    if not gap:
+        return letters, begin
+    out = np.full(len(letters) + gap * len(size), 32, np.uint8)
+    out[at + np.repeat(begin - own, size)] = letters
+    return out, begin
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, kinds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
+    """64-bit hashes of words, one for each of `kinds` (0, 1), which are independent.
+
+    A letter has a random value for each place of a word, and a word their sum; from place to place further on the values come
+    again, multiplied by a random odd number for each PLACES. No algebra of places makes two words alike."""
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in kinds]
+    letters, begin = gathered(_lower[data] if lower else data, starts, ends)
+    size = ends - starts
+    place = np.arange(len(letters)) - np.repeat(begin, size)
+    index = (place & (PLACES - 1)) << 8 | letters
+    far = np.flatnonzero(place >= PLACES)
+    out = []
+    for kind in kinds:
+        value = _letters[kind][index]
+        if len(far):
+            value[far] *= mix((place[far] >> 6).astype(np.uint64) * U64(0x9E3779B97F4A7C15 + 2 * kind)) | U64(1)
+        out.append(mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * U64(0xA24BAED4963EE407)))
+    return out

@@ -3,7 +3,8 @@
 A document's set holds the distinct shingles of its lower-cased words. Register j holds the truncated logarithm, to a base
 just above 1, of the least of the shingles' j-th exponential variates: sketches of parts merge by the larger register, and
 equal registers tell of similar sets. Bands of register values propose candidates; a candidate's similarity is estimated
-jointly from both sketches by likelihood; what may reach the threshold is verified on the full sets.
+jointly from both sketches by likelihood; what may reach the threshold is verified on the full sets of the words themselves. Equal
+sets are told by two sums of 64 bits over hashes that don't depend on each other.
 
 Equal sets are one class from the start; a class has a number of its own, so doc_ids may repeat or be missing. Pairing a
 bucket's members would cost its square, so candidates come in two ways:
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm.common import U64, counted, flat, in_small_batches, mix, stored, whole, words
+from lociflow.llm.common import U64, counted, flat, in_small_batches, mix, stored, whole, word_hashes, word_spans
 from lociflow.llm.components import components
 
 BANDS, ROWS = 20, 4
@@ -51,26 +52,36 @@ FACTORS = _random.integers(1, 2**63, REGISTERS, dtype=np.uint64) * U64(2) + U64(
 TERMS = _random.integers(0, 2**63, REGISTERS, dtype=np.uint64)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct shingle hashes of each text, and len + 1 offsets; a text of fewer words is one shingle."""
-    _, _, h, at = words(data, offsets, lower=True)
+def shingles(data: np.ndarray, offsets: np.ndarray, width: int, second: bool = False) -> tuple[np.ndarray, ...]:
+    """The sorted distinct shingle hashes of each text, and len + 1 offsets; a text of fewer words is one shingle. second: also
+    hashes of the same shingles that don't depend on the first."""
+    starts, ends, at = word_spans(data, offsets)
     n = np.diff(at)
     doc = np.repeat(np.arange(len(n)), n)
-    total = np.zeros(len(h), np.uint64)
-    for k in range(width):
-        here = np.arange(len(h)) + k < at[1:][doc]
-        part = np.zeros(len(h), np.uint64)
-        part[: len(h) - k] = mix(h[k:] + U64((k + 1) * 0xC2B2AE3D27D4EB4F % 2**64))
-        total += np.where(here, part, U64(0))
-    place = np.arange(len(h)) - at[:-1][doc]
+    place = np.arange(len(doc)) - at[:-1][doc]
     use = (place <= n[doc] - width) | (place == 0)
-    h, doc = mix(total[use]), doc[use]
+    here = [np.arange(len(doc)) + k < at[1:][doc] for k in range(width)]
+    found = []
+    for h in word_hashes(data, starts, ends, True, (0, 1) if second else (0,)):
+        total = np.zeros(len(h), np.uint64)
+        for k in range(width):
+            part = np.zeros(len(h), np.uint64)
+            part[: len(h) - k] = mix(h[k:] + U64((k + 1) * 0xC2B2AE3D27D4EB4F % 2**64))
+            total += np.where(here[k], part, U64(0))
+        found.append(mix(total[use]))
+    h, doc = found[0], doc[use]
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(n) + 1))
+    edges = np.searchsorted(doc[new], np.arange(len(n) + 1))
+    return (h[new], edges, found[1][order][new]) if second else (h[new], edges)
+
+
+def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves."""
+    own = text.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z, and the white space that separates words
+    return {tuple(own[i : i + width]) for i in range(max(1, len(own) - width + 1))} if own else set()
 
 
 def registers(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -107,12 +118,12 @@ def _sketch(width: int):
         for batch in batches:
             rows = []
             for at in range(0, batch.num_rows, SLICE):
-                h, edges = shingles(*flat(batch.column(3).slice(at, SLICE)), width)
+                h, edges, other = shingles(*flat(batch.column(3).slice(at, SLICE)), width, second=True)
                 n = np.diff(edges)
                 sums = []
-                for k in (1, 2):
+                for value in (h, other):
                     total = np.zeros(len(h) + 1, np.uint64)
-                    np.cumsum(mix(h * U64(2 * k + 1) + U64(k)), out=total[1:])
+                    np.cumsum(mix(value + U64(0x632BE59BD9B4E019)), out=total[1:])
                     sums.append((total[edges[1:]] - total[edges[:-1]]).astype(np.int64))
                 rows.append((n, *sums, registers(h, edges)))
             n, a, b, r = (np.concatenate(x) for x in zip(*rows, strict=True))
@@ -152,26 +163,20 @@ def _may_reach(threshold: float):
     return run
 
 
-def _common(h: np.ndarray, p: np.ndarray, g: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Shared elements of the i-th sets of both sides."""
-    side = np.concatenate((np.repeat(np.arange(len(p) - 1), np.diff(p)), np.repeat(np.arange(len(q) - 1), np.diff(q))))
-    both = np.concatenate((h, g))
-    order = np.lexsort((both, side))
-    both, side = both[order], side[order]
-    return np.bincount(side[1:][(both[1:] == both[:-1]) & (side[1:] == side[:-1])], minlength=len(p) - 1)
-
-
 def _verify(width: int, percent: int):
-    """a, b, linked."""
+    """a, b, linked: the words themselves are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                a, b, s, t = batch.slice(at, SLICE).columns
-                (h, p), (g, q) = shingles(*flat(s), width), shingles(*flat(t), width)
-                common = _common(h, p, g, q)
-                linked = 100 * common >= percent * (np.diff(p) + np.diff(q) - common)
-                yield pa.RecordBatch.from_arrays([a, b, pa.array(linked)], ["a", "b", "linked"])
+            linked, before, one = [], None, set()
+            for s, t in zip(batch.column(2), batch.column(3), strict=True):
+                s = s.as_py()
+                if s != before:
+                    before, one = s, shingle_set(s, width)
+                two = shingle_set(t.as_py(), width)
+                common = len(one & two)
+                linked.append(100 * common >= percent * (len(one) + len(two) - common))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     return run
 

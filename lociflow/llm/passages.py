@@ -7,11 +7,14 @@ candidates, and nothing is sampled. One text of each candidate, with how often i
 which a judge decides (an FM-index or a column-wise construction). Anchors with more than MAX_GROUP different pieces are
 recut to single windows, which are counted: equal windows add up before the shuffle, so that no shard grows without bound.
 
-Pieces, texts and windows are told apart by 128 bits of hashes: a piece by its anchor's and its own.
+Pieces are told apart by a 128-bit digest (BLAKE2b) of their bytes, words joined by one space each; single windows by two
+independent hashes that double nonlinearly (a block's is scrambled from its halves'), so that no algebra of places makes
+different ones alike; texts by two hashes of 64 bits.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import BYTE_VALUES, U64, blocks, counted, flat, in_small_batches, mix, powers, prefix_hash, span_hash, stored, whole, words
+from lociflow.llm.common import BYTE_VALUES, U64, blocks, counted, flat, gathered, in_small_batches, mix, powers, stored, whole, word_hashes, word_spans
 
 MAX_GROUP = 16_384
 SHARD_PIECES = 3000
 _PLACE = U64((1 << 28) - 1)
+PIECE = ["anchor", "piece_a", "piece_b"]
+TEXT = ["text_a", "text_b"]
+_PIECE = ", ".join(f"{c} long" for c in PIECE)
+_TEXT = ", ".join(f"{c} long" for c in TEXT)
 
 
 @dataclass(frozen=True)
@@ -33,12 +40,26 @@ class Units:
     window: int
     gram: int
 
-    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Values of all units, len + 1 offsets of each text's units, and where units begin and end in data."""
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> Laid:
+        if self.kind == "bytes":
+            return Laid(BYTE_VALUES[data], offsets, np.arange(len(data)), np.arange(1, len(data) + 1))
+        starts, ends, at = word_spans(data, offsets)
+        return Laid(word_hashes(data, starts, ends)[0], at, starts, ends)
+
+    def content(self, data: np.ndarray, laid: Laid) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The units' bytes, words parted by one space, and where each unit begins and ends there."""
         if self.kind == "bytes":
-            return BYTE_VALUES[data], offsets, np.arange(len(data)), np.arange(1, len(data) + 1)
-        starts, ends, hashes, at = words(data, offsets)
-        return hashes, at, starts, ends
+            return data.tobytes(), laid.starts, laid.ends
+        out, begin = gathered(data, laid.starts, laid.ends, 1)
+        return out.tobytes(), begin, begin + laid.ends - laid.starts
+
+
+@dataclass
+class Laid:
+    values: np.ndarray  # of all units
+    at: np.ndarray  # len + 1 offsets of each text's units
+    starts: np.ndarray  # where units begin and end in data
+    ends: np.ndarray
 
 
 @dataclass
@@ -48,18 +69,28 @@ class Pieces:
     count: np.ndarray  # of windows
     lead: np.ndarray  # units from there to the anchor
     anchor: np.ndarray
-    hash: np.ndarray
 
+    def bytes_of(self, units: Units, data: np.ndarray, laid: Laid, some: np.ndarray | None = None) -> list[bytes]:
+        raw, begin, end = units.content(data, laid)
+        first, count = (self.first, self.count) if some is None else (self.first[some], self.count[some])
+        return [raw[a:b] for a, b in zip(begin[first].tolist(), end[first + count + units.window - 2].tolist(), strict=True)]
+
+
+def digests(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each, as two halves."""
+    h = hashlib.blake2b
+    both = np.frombuffer(b"".join([h(c, digest_size=16).digest() for c in contents]), np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
-def cut_pieces(values: np.ndarray, at: np.ndarray, window: int, gram: int) -> tuple[Pieces, np.ndarray]:
-    """The pieces of texts whose units are values[at[i]:at[i + 1]], and the values' prefix hash."""
+
+def cut_pieces(values: np.ndarray, at: np.ndarray, window: int, gram: int) -> Pieces:
+    """The pieces of texts whose units are values[at[i]:at[i + 1]]."""
     n = len(values)
     count = np.maximum(np.diff(at) - window + 1, 0)
     total = int(count.sum())
-    prefix = prefix_hash(values)
     if not total:
         none = np.zeros(0, np.int64)
-        return Pieces(none, none, none, none, none.view(np.uint64), none.view(np.uint64)), prefix
+        return Pieces(none, none, none, none, none.view(np.uint64))
     g, span = values, 1
     while span < gram:  # a power of two
         h = g * powers(span)[span]
@@ -82,20 +113,35 @@ def cut_pieces(values: np.ndarray, at: np.ndarray, window: int, gram: int) -> tu
     k = np.flatnonzero(new)
     first, anchor, number = s[k], anchor[k], np.diff(np.append(k, total))
     text = np.searchsorted(ends, k, "right")
-    return Pieces(text, first, number, anchor - first, g[anchor], span_hash(prefix, first, first + number + window - 1)), prefix
+    return Pieces(text, first, number, anchor - first, g[anchor])
+
+
+def window_hashes(values: np.ndarray, start: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of values[s : s + size] for each s of start."""
+    out = []
+    for salt in (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47):
+        g, span = mix(values ^ U64(salt)), 1
+        while 2 * span <= size:
+            h = np.zeros_like(g)
+            h[: len(g) - span] = mix(g[: len(g) - span] * U64(salt) + g[span:])
+            g, span = h, 2 * span
+        out.append(mix(g[start] * U64(salt) + g[start + size - span]))
+    return out[0], out[1]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each different pair (a[i], b[i]), and how often it comes."""
-    order = np.lexsort((a, b))
-    new = np.ones(len(a), bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different row of keys, and how often it comes."""
+    order = np.lexsort(keys)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
     at = np.flatnonzero(new)
-    return order[at], np.diff(np.append(at, len(a)))
+    return order[at], np.diff(np.append(at, len(order)))
 
 
 def _survey(units: Units) -> Callable:
@@ -108,14 +154,14 @@ def _survey(units: Units) -> Callable:
             found = []
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
-                values, at, _, _ = units.of(part, offsets[i : j + 1] - offsets[i])
-                p, _ = cut_pieces(values, at, units.window, units.gram)
-                found.append((p.anchor, p.hash, one[i:j][p.text], two[i:j][p.text]))
+                laid = units.of(part, offsets[i : j + 1] - offsets[i])
+                p = cut_pieces(laid.values, laid.at, units.window, units.gram)
+                found.append((p.anchor, *digests(p.bytes_of(units, part, laid)), one[i:j][p.text], two[i:j][p.text]))
             if not found:
                 continue
-            anchor, piece, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            k, n = _distinct(anchor, piece)
-            yield pa.RecordBatch.from_arrays([_signed(anchor[k]), _signed(piece[k]), pa.array(n), pa.array(a[k]), pa.array(b[k])], ["anchor", "piece", "n", "text_a", "text_b"])
+            *piece, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            k, n = _distinct(*piece)
+            yield pa.RecordBatch.from_arrays([*(_signed(x[k]) for x in piece), pa.array(n), pa.array(a[k]), pa.array(b[k])], [*PIECE, "n", *TEXT])
 
     return run
 
@@ -128,9 +174,11 @@ def _occurrences(units: Units) -> Callable:
             data, offsets = flat(batch.column(2))
             one, two = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, j in blocks(offsets):
-                values, at, _, _ = units.of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                p, _ = cut_pieces(values, at, units.window, units.gram)
-                yield pa.RecordBatch.from_arrays([_signed(p.anchor), _signed(p.hash), pa.array(one[i:j][p.text]), pa.array(two[i:j][p.text])], ["anchor", "piece", "text_a", "text_b"])
+                part = data[offsets[i] : offsets[j]]
+                laid = units.of(part, offsets[i : j + 1] - offsets[i])
+                p = cut_pieces(laid.values, laid.at, units.window, units.gram)
+                piece = [p.anchor, *digests(p.bytes_of(units, part, laid))]
+                yield pa.RecordBatch.from_arrays([*map(_signed, piece), pa.array(one[i:j][p.text]), pa.array(two[i:j][p.text])], [*PIECE, *TEXT])
 
     return run
 
@@ -147,15 +195,18 @@ def _fetch(units: Units) -> Callable:
             edges = edges - edges[0]
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
-                values, at, starts, ends = units.of(part, offsets[i : j + 1] - offsets[i])
-                p, _ = cut_pieces(values, at, units.window, units.gram)
-                k = np.flatnonzero(np.isin(p.hash, wanted[1][edges[i] : edges[j]]) & np.isin(p.anchor, wanted[0][edges[i] : edges[j]]))
-                k = k[_distinct(p.anchor[k], p.hash[k])[0]]
-                a, b = starts[p.first[k]], ends[p.first[k] + p.count[k] + units.window - 2]
-                raw = part.tobytes()
+                laid = units.of(part, offsets[i : j + 1] - offsets[i])
+                p = cut_pieces(laid.values, laid.at, units.window, units.gram)
+                k = np.flatnonzero(np.isin(p.anchor, wanted[0][edges[i] : edges[j]]))
+                contents = p.bytes_of(units, part, laid, k)
+                a, b = digests(contents)
+                use = np.isin(a, wanted[1][edges[i] : edges[j]]) & np.isin(b, wanted[2][edges[i] : edges[j]])
+                own = np.flatnonzero(use)
+                own = own[_distinct(p.anchor[k][own], a[own], b[own])[0]]
+                k = k[own]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(p.anchor[k]), _signed(p.hash[k]), pa.array(p.lead[k].astype(np.int32)), pa.array(p.count[k].astype(np.int32)), pa.array([raw[x:y] for x, y in zip(a, b, strict=True)], pa.binary())],
-                    ["anchor", "piece", "lead", "windows", "content"],
+                    [_signed(p.anchor[k]), _signed(a[own]), _signed(b[own]), pa.array(p.lead[k].astype(np.int32)), pa.array(p.count[k].astype(np.int32)), pa.array([contents[x] for x in own], pa.binary())],
+                    [*PIECE, "lead", "windows", "content"],
                 )
 
     return run
@@ -166,14 +217,13 @@ def _windows(units: Units) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(2))
-            values, at, _, _ = units.of(data, offsets)
-            number = np.diff(at) - units.window + 1
+            data, offsets = flat(batch.column(3))
+            laid = units.of(data, offsets)
+            number = np.diff(laid.at) - units.window + 1
             place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-            s = np.repeat(at[:-1], number) + place
-            hashes = [span_hash(prefix_hash(v), s, s + units.window) for v in (values, mix(values))]
-            own = [pa.array(np.repeat(batch.column(k).to_numpy(), number)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*map(_signed, hashes), *own, pa.array(place.astype(np.int32))], ["hash_a", "hash_b", "anchor", "piece", "place"])
+            hashes = window_hashes(laid.values, np.repeat(laid.at[:-1], number) + place, units.window)
+            own = [pa.array(np.repeat(batch.column(k).to_numpy(), number)) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*map(_signed, hashes), *own, pa.array(place.astype(np.int32))], ["hash_a", "hash_b", *PIECE, "place"])
 
     return run
 
@@ -195,13 +245,11 @@ def _judged(judge: Judge) -> Callable:
         masks = judge(contents, lead, count, often)
         use = [k for k, m in enumerate(masks) if m.any()]
         bits = [None if masks[k].all() else np.packbits(masks[k]).tobytes() for k in use]
-        return pa.table({"anchor": table["anchor"].take(pa.array(use, pa.int64())), "piece": table["piece"].take(pa.array(use, pa.int64())), "mask": pa.array(bits, pa.binary())})
+        return pa.table({c: table[c].take(pa.array(use, pa.int64())) for c in PIECE} | {"mask": pa.array(bits, pa.binary())})
 
     return run
 
 
-PIECE = ["anchor", "piece"]
-TEXT = ["text_a", "text_b"]
 
 
 def _again(column: str) -> Column:
@@ -211,7 +259,7 @@ def _again(column: str) -> Column:
 
 def repeated_pieces(texts: DataFrame, units: Units, judge: Judge, max_group: int = MAX_GROUP, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """anchor, piece, mask: for every piece with a repeated window a bit for each window, or null if all are repeated."""
-    seen = texts.mapInArrow(_survey(units), "anchor long, piece long, n long, text_a long, text_b long")
+    seen = texts.mapInArrow(_survey(units), f"{_PIECE}, n long, {_TEXT}")
     seen = seen.groupBy(*PIECE).agg(F.sum("n").alias("n"), F.min(F.struct(*TEXT)).alias("text"))
     # Anchors that occur twice. Counts add up before the shuffle, and the join may split a crowded anchor.
     crowd = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("others"), F.sum("n").alias("total")).where("total > 1").select(_again("anchor"), "others")
@@ -219,20 +267,20 @@ def repeated_pieces(texts: DataFrame, units: Units, judge: Judge, max_group: int
 
     wanted = candidates.groupBy("text").agg(F.collect_list(F.struct(*PIECE)).alias("wanted")).select("text.*", "wanted")
     once = texts.groupBy(*TEXT).agg(F.first("text").alias("text"))
-    fetched = once.join(wanted, TEXT).select("text", "wanted").mapInArrow(_fetch(units), "anchor long, piece long, lead int, windows int, content binary")
+    fetched = once.join(wanted, TEXT).select("text", "wanted").mapInArrow(_fetch(units), f"{_PIECE}, lead int, windows int, content binary")
     shards = max(1, -(-number["rows"] // shard_pieces))
     known = candidates.select(*PIECE, "n", "others", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"))
     fetched = fetched.join(known, PIECE)
     fetched = stored(fetched) if number["crowded"] else fetched
     small = fetched.where(F.col("others") <= max_group).select("shard", *PIECE, "n", "lead", "windows", "content")
-    result = small.groupBy("shard").applyInArrow(_judged(judge), "anchor long, piece long, mask binary")
+    result = small.groupBy("shard").applyInArrow(_judged(judge), f"{_PIECE}, mask binary")
     if number["crowded"]:
         crowded = fetched.where(F.col("others") > max_group)
-        each = crowded.where("n = 1").select(*PIECE, "content").mapInArrow(_windows(units), "hash_a long, hash_b long, anchor long, piece long, place int")
-        all_windows = each.select("hash_a", "hash_b").union(crowded.where("n > 1").select(*PIECE, "content").mapInArrow(_windows(units), "hash_a long, hash_b long, anchor long, piece long, place int").select("hash_a", "hash_b"))
+        each = crowded.where("n = 1").select(*PIECE, "content").mapInArrow(_windows(units), f"hash_a long, hash_b long, {_PIECE}, place int")
+        all_windows = each.select("hash_a", "hash_b").union(crowded.where("n > 1").select(*PIECE, "content").mapInArrow(_windows(units), f"hash_a long, hash_b long, {_PIECE}, place int").select("hash_a", "hash_b"))
         twice = all_windows.groupBy("hash_a", "hash_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(_again("hash_a"), "hash_b")
         hits = each.withColumn("_hash_a", _again("hash_a")).join(twice, ["_hash_a", "hash_b"]).groupBy(*PIECE).agg(F.collect_set("place").alias("places"))
-        marked = hits.mapInArrow(lambda batches: (_marked(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows), "anchor long, piece long, mask binary")
+        marked = hits.mapInArrow(lambda batches: (_marked(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows), f"{_PIECE}, mask binary")
         result = result.union(marked).union(crowded.where("n > 1").select(*PIECE, F.lit(None).cast("binary")))
     return result
 
@@ -243,41 +291,41 @@ def with_repeats(docs: DataFrame, units: Units, judge: Judge, max_group: int = M
     rows = in_small_batches(docs).select("doc_id", whole("text").alias("text")).select("doc_id", "text", *hashes)
     texts = rows.select(*TEXT, "text")
     pieces = stored(repeated_pieces(texts, units, judge, max_group))
-    has = texts.mapInArrow(_occurrences(units), "anchor long, piece long, text_a long, text_b long").join(pieces, PIECE)
+    has = texts.mapInArrow(_occurrences(units), f"{_PIECE}, {_TEXT}").join(pieces, PIECE)
     has = has.groupBy(*TEXT).agg(F.collect_set(F.struct(*PIECE, "mask")).alias("found")).select(_again("text_a"), F.col("text_b").alias("_text_b"), "found")
     found = rows.withColumns({"_text_a": _again("text_a"), "_text_b": F.col("text_b")}).join(has, ["_text_a", "_text_b"], "left")
-    return found.select("doc_id", "text", F.col("found.anchor").alias("anchors"), F.col("found.piece").alias("pieces"), F.col("found.mask").alias("masks"))
+    return found.select("doc_id", "text", *(F.col(f"found.{c}").alias(f"found_{c}") for c in PIECE), F.col("found.mask").alias("masks"))
 
 
-def covered(values: np.ndarray, at: np.ndarray, units: Units, found: list[dict[tuple[int, int], bytes | None]]) -> np.ndarray:
+Found = list[dict[tuple[int, int, int], bytes | None]]
+
+
+def covered(data: np.ndarray, laid: Laid, units: Units, found: Found) -> np.ndarray:
     """Of each unit: whether a repeated window covers it. found: of each text its repeated pieces' masks."""
-    out = np.zeros(len(values) + 1, np.int32)
-    p, _ = cut_pieces(values, at, units.window, units.gram)
-    for t in np.unique(p.text):
-        by = found[t]
-        if not by:
+    out = np.zeros(len(laid.values) + 1, np.int32)
+    p = cut_pieces(laid.values, laid.at, units.window, units.gram)
+    use = np.flatnonzero(np.array([bool(x) for x in found], bool)[p.text])
+    keys = [p.anchor[use], *digests(p.bytes_of(units, data, laid, use))]
+    for k, key in zip(use.tolist(), zip(*(x.view(np.int64).tolist() for x in keys), strict=True), strict=True):
+        by = found[p.text[k]]
+        if key not in by:
             continue
-        first_piece, last_piece = np.searchsorted(p.text, t), np.searchsorted(p.text, t, "right")
-        keys = zip(p.anchor[first_piece:last_piece].view(np.int64).tolist(), p.hash[first_piece:last_piece].view(np.int64).tolist(), strict=True)
-        for k, h in enumerate(keys, first_piece):
-            if h not in by:
-                continue
-            mask, first, count = by[h], p.first[k], p.count[k]
-            if mask is None:
-                out[first] += 1
-                out[first + count + units.window - 1] -= 1
-            else:
-                s = first + np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8))[:count])
-                out[s] += 1  # distinct
-                out[s + units.window] -= 1
+        mask, first, count = by[key], p.first[k], p.count[k]
+        if mask is None:
+            out[first] += 1
+            out[first + count + units.window - 1] -= 1
+        else:
+            s = first + np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8))[:count])
+            out[s] += 1  # distinct
+            out[s + units.window] -= 1
     return np.cumsum(out[:-1]) > 0
 
 
-def found_of(batch: pa.RecordBatch) -> list[dict[tuple[int, int], bytes | None]]:
+def found_of(batch: pa.RecordBatch) -> Found:
     out = []
-    for anchors, pieces, masks in zip(*(batch.column(c) for c in ("anchors", "pieces", "masks")), strict=True):
-        if not pieces.is_valid:
+    for *piece, masks in zip(*(batch.column(c) for c in (*(f"found_{c}" for c in PIECE), "masks")), strict=True):
+        if not masks.is_valid:
             out.append({})
         else:
-            out.append(dict(zip(zip(anchors.values.to_numpy().tolist(), pieces.values.to_numpy().tolist(), strict=True), masks.as_py(), strict=True)))
+            out.append(dict(zip(zip(*(x.values.to_numpy().tolist() for x in piece), strict=True), masks.as_py(), strict=True)))
     return out

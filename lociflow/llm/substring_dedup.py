@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lociflow.llm.common import flat, mix, words
+from lociflow.llm.common import flat, mix
 from lociflow.llm.fm_index import FmIndex
 from lociflow.llm.passages import MAX_GROUP, Judge, Units, covered, found_of, with_repeats
 
@@ -33,9 +33,11 @@ SLICE = 256
 
 def judge(window: int) -> Judge:
     def run(contents: list[bytes], lead: np.ndarray, count: np.ndarray, often: np.ndarray) -> list[np.ndarray]:
-        sizes = np.array([len(c) for c in contents])
-        _, _, hashes, at = words(np.frombuffer(b"".join(contents), np.uint8), np.concatenate(([0], np.cumsum(sizes))))
-        symbols = np.unique(hashes, return_inverse=True)[1] + 1
+        # Symbols are words themselves, not hashes of them.
+        pieces = [c.split(b" ") for c in contents]
+        at = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+        number: dict[bytes, int] = {}
+        symbols = np.array([number.setdefault(w, len(number) + 1) for p in pieces for w in p], np.int64)
         weight = np.where(often > 1, 2, 1)
         own = np.repeat(np.arange(len(contents)), np.diff(at))
         # A separator after each piece.
@@ -46,10 +48,10 @@ def judge(window: int) -> Judge:
         masks = [np.zeros(c, bool) for c in count]
         # The parts to stream: piece, first and last word.
         few = min(FEW, window)
-        gram = np.zeros(len(hashes), np.uint64)
+        gram = np.zeros(len(symbols), np.uint64)
         for i in range(few):
-            gram[: len(hashes) - i] = mix(gram[: len(hashes) - i] + hashes[i:])
-        place = np.flatnonzero(np.arange(len(hashes)) + few <= at[1:][own])
+            gram[: len(symbols) - i] = mix(gram[: len(symbols) - i] + symbols[i:].astype(np.uint64))
+        place = np.flatnonzero(np.arange(len(symbols)) + few <= at[1:][own])
         known = np.unique(gram[place], return_inverse=True)[1]
         twice = place[np.bincount(known, weight[own[place]])[known] > 1]
         new = np.ones(len(twice), bool)
@@ -89,8 +91,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False, m
             for i in range(0, whole_batch.num_rows, SLICE):
                 batch = whole_batch.slice(i, SLICE)
                 data, offsets = flat(batch.column("text"))
-                values, at, starts, ends = units.of(data, offsets)
-                gone = covered(values, at, units, found_of(batch))
+                laid = units.of(data, offsets)
+                at, starts, ends = laid.at, laid.starts, laid.ends
+                gone = covered(data, laid, units, found_of(batch))
                 doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
                 # Of a kept word its bytes stay, and one for a space, unless it is its text's last.
                 keep = ~gone

@@ -99,8 +99,7 @@ def remove_repeats(docs: DataFrame, window: int = 400, with_bytes: bool = False,
             for i in range(0, whole_batch.num_rows, SLICE):
                 batch = whole_batch.slice(i, SLICE)
                 data, offsets = flat(batch.column("text"))
-                values, at, _, _ = units.of(data, offsets)
-                gone = covered(values, at, units, found_of(batch))
+                gone = covered(data, units.of(data, offsets), units, found_of(batch))
                 kept = np.concatenate(([0], np.cumsum(~gone)))[offsets]
                 raw = data[~gone].tobytes()
                 before = np.concatenate(([False], gone))[:-1]

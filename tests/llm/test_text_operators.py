@@ -239,38 +239,100 @@ def test_suffix_dedup(docs, empty, crowd):
     assert remove_repeats(empty, window).count() == 0
 
 
-def test_suffix_dedup_of_a_larger_table(spark):
-    """Against windows told apart by two sums of their bytes, over a whole table."""
+def repeated(units, offsets, window):
+    """Of each unit whether a window that covers it starts twice. Windows have exact numbers: equal ones, and only those, the same."""
+    rank, span, n = np.unique(units, return_inverse=True)[1].astype(np.int64), 1, len(units)
+
+    def pairs(step):
+        key = np.full(n, -1, np.int64)
+        key[: n - step] = rank[: n - step] * (n + 1) + rank[step:]
+        return np.unique(key, return_inverse=True)[1].astype(np.int64)
+
+    while 2 * span <= window:
+        rank, span = pairs(span), 2 * span
+    rank = pairs(window - span) if window > span else rank
+    number = np.maximum(np.diff(offsets) - window + 1, 0)
+    at = np.arange(number.sum()) + np.repeat(offsets[:-1] - (np.cumsum(number) - number), number)
+    hit = at[np.bincount(rank[at], minlength=n)[rank[at]] > 1]
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, hit, 1)
+    np.add.at(change, hit + window, -1)
+    return np.cumsum(change)[:-1] > 0
+
+
+def test_suffix_dedup_of_a_whole_table(spark):
     from lociflow.llm.suffix_dedup import remove_repeats
 
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     table = docs.collect()
-    texts, window = [(r.text or "").encode() for r in table], 400
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+    texts = [(r.text or "").encode() for r in table]
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    number = np.maximum(np.diff(offsets) - window + 1, 0)
-    at = np.arange(number.sum()) + np.repeat(offsets[:-1] - (np.cumsum(number) - number), number)
-    key = np.zeros(len(at), np.uint64)
-    for odd in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
-        # Weights by place modulo 2 ** 64, shifted back to the window's start by the inverse.
-        power, inverse = (np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(data), b, np.uint64)))) for b in (odd, pow(odd, -1, 2**64)))
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data + np.uint64(odd % 251)) * (data + np.uint64(7)) * power[:-1], dtype=np.uint64)))
-        value = (prefix[at + window] - prefix[at]) * inverse[at]
-        key ^= (value ^ (value >> np.uint64(31))) * np.uint64(odd)
-    order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    hit = np.zeros(len(at), bool)
-    hit[order[1:][same]] = hit[order[:-1][same]] = True
-    change = np.zeros(len(data) + 1, np.int64)
-    np.add.at(change, at[hit], 1)
-    np.add.at(change, at[hit] + window, -1)
-    gone = np.cumsum(change)[:-1] > 0
+    gone = repeated(np.frombuffer(b"".join(texts), np.uint8), offsets, 400)
     want = {}
     for r, t, a, b in zip(table, texts, offsets[:-1], offsets[1:], strict=True):
         kept = np.frombuffer(t, np.uint8)[~gone[a:b]].tobytes()
         want[r.doc_id] = (len(t), int(gone[a:b].sum()), hashlib.sha256(kept).hexdigest())
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in remove_repeats(docs, window).collect()}
-    assert got == want and sum(n for _, n, _ in want.values()) > 1_000_000
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in remove_repeats(docs, 400).collect()}
+    assert got == want and sum(n for _, n, _ in want.values()) > 100_000
+
+
+def test_substring_dedup_of_a_whole_table(spark):
+    from lociflow.llm.substring_dedup import remove_repeats
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    table = docs.collect()
+    texts = [(r.text or "").encode().split() for r in table]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    numbers = {}
+    gone = repeated(np.array([numbers.setdefault(w, len(numbers)) for t in texts for w in t]), offsets, 35)
+    want = {}
+    for r, t, a, b in zip(table, texts, offsets[:-1], offsets[1:], strict=True):
+        kept = b" ".join(w for w, g in zip(t, gone[a:b], strict=True) if not g)
+        want[r.doc_id] = (len(t), int(gone[a:b].sum()), hashlib.sha256(kept).hexdigest())
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(docs, 35).collect()}
+    assert got == want and sum(n for _, n, _ in want.values()) > 10_000
+
+
+def thue_morse(n, a="a", b="b"):
+    """Under any polynomial modulo 2 ** 64 this text and the one with its letters swapped are alike from 1,024 letters on."""
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Near-dedup, substring dedup and suffix dedup tell them apart, with crowded anchors too."""
+    from lociflow.llm import near_dedup, substring_dedup, suffix_dedup
+
+    pairs = [(thue_morse(n), thue_morse(n, "b", "a")) for n in (1024, 2048, 4096)]
+    odd = [w for pair in pairs for w in pair]
+    assert len({int(x) for k in (0, 1) for x in near_hashes(odd, k)}) == 2 * len(odd)
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert all(r.component_id == r.doc_id and r.kept for r in near_dedup.link(docs, 3, 85).collect())
+
+    lead = " ".join(f"word{i}" for i in range(34))
+    docs = spark.createDataFrame([(k, f"{lead} {w}") for k, w in enumerate(odd)] + [(90, f"x {lead} twice"), (91, f"y {lead} twice")], "doc_id long, text string")
+    for crowd in (16_384, 1):
+        got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs, window=35, max_group=crowd).collect()}
+        assert got == {k: 0 for k in range(len(odd))} | {90: 35, 91: 35}
+
+    docs = spark.createDataFrame([(0, pairs[0][0]), (1, pairs[0][1]), (2, "z" + thue_morse(1200) + "1"), (3, "y" + thue_morse(1200) + "2")], "doc_id long, text string")
+    want = dict(zip(range(4), plain_bytes([r.text for r in docs.orderBy("doc_id").collect()], 1024), strict=True))
+    for crowd in (16_384, 1):
+        got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs, window=1024, max_group=crowd).collect()}
+        assert got == want and got[1] == 0
+
+
+def near_hashes(texts, kind):
+    from lociflow.llm.common import word_hashes
+
+    data = "".join(texts).encode()
+    ends = np.cumsum([len(t) for t in texts])
+    return word_hashes(np.frombuffer(data, np.uint8), ends - [len(t) for t in texts], ends, kinds=(kind,))[0]
+
+
+def plain_bytes(texts, window):
+    """How many bytes of each text a window covers that starts twice."""
+    starts = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+    return [len({j for i in range(len(t) - window + 1) if starts[t[i : i + window]] > 1 for j in range(i, i + window)}) for t in texts]
 
 
 def test_fm_index_counts():
