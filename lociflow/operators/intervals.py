@@ -1,8 +1,9 @@
 """Interval joins, merging and coverage.
 
-Joins turn the range predicate into an equi-join: both sides are spread over the fixed-width bins that they touch, joined
-on chromosome and bin, and a pair is kept in the bin where the later start lies, so that it comes once. Catalyst is then
-free to broadcast, to sort-merge, or to split a skewed bin.
+Joins turn the range predicate into an equi-join. Bins come in levels, each wider than the last; an interval belongs to the
+level whose bins are as wide as it is long, where it touches two at most. Two intervals meet at the coarser of their levels, so each is
+spread over its own and over the coarser ones that occur on the other side. Joined on chromosome, level and bin, a pair is kept in the bin
+where the later start lies, so that it comes once. Catalyst is then free to broadcast, to sort-merge, or to split a skewed bin.
 
 Merging and coverage are windows. A chromosome is few keys, so both work in two levels: over distinct positions within
 coarse tiles first, then over a row a tile.
@@ -14,33 +15,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lociflow.functions.lineage import kept
 from lociflow.functions.overlap import Overlap, overlaps
 
-BIN = 4096
+#: Width of the finest bins, and how much wider those of the next level are.
+BIN, WIDER = 4096, 16
+LEVELS = 6
 
 
-def _spread(df: DataFrame, start: str, end: str, name: str, how: Overlap, bin_width: int) -> DataFrame:
-    last = F.col(end) if how is Overlap.CLOSED else F.greatest(F.col(end) - 1, F.col(start))
-    first_bin = F.floor(F.col(start) / bin_width)
-    return df.withColumn(name, F.explode(F.sequence(first_bin, F.floor(last / bin_width))))
+def _last(start: str, end: str, how: Overlap) -> Column:
+    return F.col(end) if how is Overlap.CLOSED else F.greatest(F.col(end) - 1, F.col(start))
+
+
+def _level(start: str, end: str, how: Overlap, bin_width: int) -> Column:
+    """The finest level whose bins are no narrower than the interval."""
+    size = _last(start, end, how) - F.col(start) + 1
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(size <= bin_width * WIDER**k, k).otherwise(level)
+    return level
+
+
+def _levels(sides: list[tuple[DataFrame, str, str]], how: Overlap, bin_width: int) -> list[set[int]]:
+    """The levels that occur on each side: a handful of numbers, from one job."""
+    each = [df.select(F.lit(k).alias("side"), _level(s, e, how, bin_width).alias("level")) for k, (df, s, e) in enumerate(sides)]
+    found = each[0].union(each[1]).distinct().collect()
+    return [{r["level"] for r in found if r["side"] == k} for k in (0, 1)]
+
+
+def _bins(start: Column, last: Column, width: int, rest: Column, name: str) -> Column:
+    """The bins that an interval touches, each with what `rest` holds."""
+    return F.transform(F.sequence(F.floor(start / width), F.floor(last / width)), lambda b: F.struct(b.alias(name), rest.alias("rest")))
+
+
+def _spread(df: DataFrame, start: str, end: str, names: tuple[str, str, str], how: Overlap, bin_width: int, own: set[int], other: set[int]) -> DataFrame:
+    """A row for each bin of each level at which an interval may meet one of the other side: the coarser of both intervals'
+    levels. So it spreads to the level of its length, if the other side has finer or equal ones, and to coarser ones that the other side has.
+
+    names: of the bin, its level, and whether that is the interval's own. The coarsest level alone may take more than two bins."""
+    bin_, level, is_own = names
+    mine, last = _level(start, end, how, bin_width), _last(start, end, how)
+    parts = []
+    for k in sorted(own | other):
+        use = (mine == k) if k not in other else (mine <= k)
+        if k in other and not any(x <= k for x in own):
+            continue
+        if k not in other and not any(x < k for x in other):
+            continue
+        width = bin_width * WIDER**k
+        at = F.struct(F.lit(k).alias(level), (mine == k).alias(is_own))
+        bins = _bins(F.col(start), last, width, at, bin_)
+        parts.append(F.when(use, bins).otherwise(F.array().cast(f"array<struct<{bin_}:bigint,rest:struct<{level}:int,{is_own}:boolean>>>")))
+    if not parts:
+        return df.where("false").select("*", F.lit(None).cast("long").alias(bin_), F.lit(None).cast("int").alias(level), F.lit(None).cast("boolean").alias(is_own))
+    return df.select("*", F.inline(parts[0] if len(parts) == 1 else F.concat(*parts))).select(*df.columns, bin_, "rest.*")
 
 
 def inner_join(left: DataFrame, right: DataFrame, keys: list[str], how: Overlap = Overlap.HALF_OPEN, bin_width: int = BIN, start: str = "start", end: str = "end") -> DataFrame:
     """Pairs of overlapping intervals. Left columns get the prefix l_, right ones r_."""
-    a = _spread(left.select(*(F.col(c).alias(f"l_{c}") for c in left.columns)), f"l_{start}", f"l_{end}", "_bin", how, bin_width)
-    b = _spread(right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns)), f"r_{start}", f"r_{end}", "_rbin", how, bin_width)
-    same = F.col("_bin") == F.col("_rbin")
+    a, b = (df.select(*(F.col(c).alias(f"{p}_{c}") for c in df.columns)) for p, df in (("l", left), ("r", right)))
+    one, two = _levels([(a, f"l_{start}", f"l_{end}"), (b, f"r_{start}", f"r_{end}")], how, bin_width)
+    a = _spread(a, f"l_{start}", f"l_{end}", ("_bin", "_level", "_own"), how, bin_width, one, two)
+    b = _spread(b, f"r_{start}", f"r_{end}", ("_rbin", "_rlevel", "_rown"), how, bin_width, two, one)
+    same = (F.col("_bin") == F.col("_rbin")) & (F.col("_level") == F.col("_rlevel")) & (F.col("_own") | F.col("_rown"))
     for k in keys:
         same = same & (F.col(f"l_{k}") == F.col(f"r_{k}"))
     s1, e1, s2, e2 = (F.col(f"{p}_{c}") for p in "lr" for c in (start, end))
-    once = F.col("_bin") == F.floor(F.greatest(s1, s2) / bin_width)
-    return a.join(b, same & overlaps(how, s1, e1, s2, e2) & once).drop("_bin", "_rbin")
+    width = F.element_at(F.array(*(F.lit(bin_width * WIDER**k) for k in range(LEVELS))), F.col("_level") + 1)
+    once = F.col("_bin") == F.floor(F.greatest(s1, s2) / width)
+    return a.join(b, same & overlaps(how, s1, e1, s2, e2) & once).drop("_bin", "_rbin", "_level", "_rlevel", "_own", "_rown")
 
 
 def _matched(left: DataFrame, right: DataFrame, keys: list[str], kind: str, how: Overlap, bin_width: int, start: str, end: str, row_id: str) -> DataFrame:
-    a = _spread(left.select(row_id, *keys, start, end), start, end, "_bin", how, bin_width)
-    b = _spread(right.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(start).alias("_s"), F.col(end).alias("_e")), "_s", "_e", "_rbin", how, bin_width)
-    same = F.col("_bin") == F.col("_rbin")
+    a = left.select(row_id, *keys, start, end)
+    b = right.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(start).alias("_s"), F.col(end).alias("_e"))
+    one, two = _levels([(a, start, end), (b, "_s", "_e")], how, bin_width)
+    a = _spread(a, start, end, ("_bin", "_level", "_own"), how, bin_width, one, two)
+    b = _spread(b, "_s", "_e", ("_rbin", "_rlevel", "_rown"), how, bin_width, two, one)
+    same = (F.col("_bin") == F.col("_rbin")) & (F.col("_level") == F.col("_rlevel")) & (F.col("_own") | F.col("_rown"))
     for k in keys:
         same = same & (F.col(k) == F.col(f"_{k}"))
     hit = a.join(b, same & overlaps(how, F.col(start), F.col(end), F.col("_s"), F.col("_e")), "left_semi").select(row_id).distinct()
@@ -57,40 +109,64 @@ def anti_join(left: DataFrame, right: DataFrame, keys: list[str], row_id: str, h
     return _matched(left, right, keys, "left_anti", how, bin_width, start, end, row_id)
 
 
-def with_islands(df: DataFrame, partition: list[str], start: str, end: str, order: list[Column], name: str, touching: bool = True) -> DataFrame:
-    """Numbers runs of intervals in which each meets the extent of those before. With touching, start == extent continues."""
-    by = Window.partitionBy(*partition).orderBy(*order)
+def _local_runs(points: DataFrame, keys: list[str], start: str, end: str, touching: bool) -> DataFrame:
+    """Adds _new, whether a run begins at this point as far as its tile tells, and _local, the run's number within the tile."""
+    by = Window.partitionBy(*keys, "_tile").orderBy(start)
     reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
     gap = (F.col(start) > reach) if touching else (F.col(start) >= reach)
-    t = df.withColumn("_new", F.coalesce(gap, F.lit(True)).cast("int"))
-    return t.withColumn(name, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    t = points.withColumn("_new", F.coalesce(gap, F.lit(True)))
+    return t.withColumn("_local", F.sum(F.col("_new").cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def number_islands(df: DataFrame, keys: list[str], start: str, end: str, name: str, touching: bool = True, tile: int = 1 << 20) -> DataFrame:
-    """Adds the number of the run of intervals that a row belongs to, from 1 in the order of starts.
-
-    Starts are made distinct, with their greatest end, so a window sees at most a tile's positions. A tile's first runs may
-    go on from the tiles before; how many do, and how many runs came before, are sums over a row a tile."""
-    points = df.groupBy(*keys, start).agg(F.max(end).alias("_end")).withColumn("_tile", F.floor(F.col(start) / tile))
-    local = with_islands(points, [*keys, "_tile"], start, "_end", [F.col(start)], "_local", touching)
-    runs = local.groupBy(*keys, "_tile", "_local").agg(F.min(start).alias("_start"), F.max("_end").alias("_end"))
-    tiles = runs.groupBy(*keys, "_tile").agg(F.max("_end").alias("_end"))
+def _tile_bases(local: DataFrame, keys: list[str], start: str, end: str, touching: bool) -> DataFrame:
+    """keys, _tile, _joined, _base: how many of a tile's first runs go on from the tiles before, and how many runs came before.
+
+    A row a tile, with the starts of its runs, goes through a chromosome's window."""
+    tiles = local.groupBy(*keys, "_tile").agg(F.max(end).alias("_end"), F.collect_list(F.when(F.col("_new"), F.col(start))).alias("_heads"))
     before = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    tiles = tiles.withColumn("_reach", F.max("_end").over(before)).drop("_end")
-    goes_on = F.coalesce(F.col("_start") <= F.col("_reach") if touching else F.col("_start") < F.col("_reach"), F.lit(False))
-    tiles = runs.join(tiles, [*keys, "_tile"]).groupBy(*keys, "_tile").agg(F.count_if(goes_on).alias("_joined"), F.count(F.lit(1)).alias("_runs"))
-    tiles = tiles.select(*keys, "_tile", "_joined", F.coalesce(F.sum(F.col("_runs") - F.col("_joined")).over(before), F.lit(0)).alias("_base"))
-    number = F.col("_base") + F.greatest(F.col("_local") - F.col("_joined"), F.lit(0))
-    numbered = local.join(tiles, [*keys, "_tile"]).select(*keys, start, number.alias(name))
-    return df.join(numbered, [*keys, start]).select(*df.columns, name)
+    tiles = tiles.withColumn("_reach", F.max("_end").over(before))
+    goes_on = F.filter("_heads", lambda h: (h <= F.col("_reach")) if touching else (h < F.col("_reach")))
+    tiles = tiles.select(*keys, "_tile", F.size(goes_on).alias("_joined"), F.size("_heads").alias("_runs"))
+    return tiles.select(*keys, "_tile", "_joined", F.coalesce(F.sum(F.col("_runs") - F.col("_joined")).over(before), F.lit(0)).alias("_base"))
+
+
+_NUMBER = F.col("_base") + F.greatest(F.col("_local") - F.col("_joined"), F.lit(0))
+
+
+def number_sides(df: DataFrame, keys: list[str], sides: dict[str, tuple[str, str]], touching: bool = True, tile: int = 1 << 20) -> DataFrame:
+    """Adds for each side (name: start, end) the number of the run of intervals that a row's belongs to, from 1 in the order of starts.
+
+    One scan makes the starts of all sides distinct, with their greatest ends, so a window sees at most a tile's positions. These and
+    a row a tile are written once; a second scan looks the rows' numbers up."""
+    points = df.select(*keys, F.inline(F.array(*(F.struct(F.lit(k).alias("_side"), F.col(s).alias("_at"), F.col(e).alias("_end")) for k, (s, e) in enumerate(sides.values())))))
+    by = [*keys, "_side"]
+    points = points.groupBy(*by, "_at").agg(F.max("_end").alias("_end")).withColumn("_tile", F.floor(F.col("_at") / tile))
+    local = kept(_local_runs(points, by, "_at", "_end", touching))
+    tiles = kept(_tile_bases(local, by, "_at", "_end", touching))
+    numbered = local.join(tiles, [*by, "_tile"])
+    out = df
+    for k, (name, (start, _)) in enumerate(sides.items()):
+        own = numbered.where(F.col("_side") == k).select(*keys, F.col("_at").alias(start), _NUMBER.alias(name))
+        out = out.join(own, [*keys, start])
+    return out.select(*df.columns, *sides)
+
+
+def number_islands(df: DataFrame, keys: list[str], start: str, end: str, name: str, touching: bool = True, tile: int = 1 << 20) -> DataFrame:
+    """`number_sides` of one side."""
+    return number_sides(df, keys, {name: (start, end)}, touching, tile)
 
 
 def merge(df: DataFrame, keys: list[str], touching: bool = True, tile: int = 1 << 20, start: str = "start", end: str = "end", weight: str | None = None) -> DataFrame:
-    """Unions of overlapping (with touching: or book-ended) intervals: keys, start, end, n."""
+    """Unions of overlapping (with touching: or book-ended) intervals: keys, start, end, n.
+
+    A tile's runs are written once; those that go on over tiles are put together by their numbers."""
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    points = df.groupBy(*keys, start).agg(F.max(end).alias(end), n.alias("n"))
-    runs = number_islands(points, keys, start, end, "_island", touching, tile)
-    return runs.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_island")
+    points = df.groupBy(*keys, start).agg(F.max(end).alias(end), n.alias("n")).withColumn("_tile", F.floor(F.col(start) / tile))
+    local = _local_runs(points, keys, start, end, touching)
+    runs = kept(local.groupBy(*keys, "_tile", "_local").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")))
+    tiles = _tile_bases(runs.withColumn("_new", F.lit(True)), keys, start, end, touching)
+    whole = runs.join(tiles, [*keys, "_tile"]).groupBy(*keys, _NUMBER.alias("_island"))
+    return whole.agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_island")
 
 
 def coverage(df: DataFrame, keys: list[str], tile: int = 1 << 22, start: str = "start", end: str = "end") -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lociflow.functions.lineage import kept
 from lociflow.functions.overlap import Overlap
 from lociflow.operators.intervals import coverage, inner_join, merge, semi_join
 
 
 def loops_of(clusters: DataFrame, min_count: int = 2) -> DataFrame:
     """Cis clusters of enough tags, numbered by place. Numbers within a chromosome start after those of the ones before."""
-    cis = clusters.where((F.col("tid") == F.col("mtid")) & (F.col("n") >= min_count))
+    cis = kept(clusters.where((F.col("tid") == F.col("mtid")) & (F.col("n") >= min_count)))  # few, and read twice
     order = [F.col(c) for c in ("s1", "e1", "s2", "e2", "island1", "island2")]
     counts = cis.groupBy("tid").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("tid", F.coalesce(F.sum("_n").over(Window.orderBy("tid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.functions.overlap import centre_span, outer_span
-from lociflow.operators.intervals import number_islands
+from lociflow.operators.intervals import number_sides
 
 SIDES = (("tid", "mtid"), ("pos", "mpos"), ("endpos", "mendpos"), ("strand", "mstrand"))
 DUPLICATE_KEYS = ["tid", "pos", "endpos", "mtid", "mpos", "mendpos", "strand", "mstrand"]
@@ -114,8 +114,7 @@ def usable(threshold: int = SELF_LIGATION) -> Column:
 
 def first_pass_bins(extended: DataFrame) -> DataFrame:
     """Adds island1 and island2: runs of overlapping windows on either side, within a pair of chromosomes."""
-    pair = ["tid", "mtid"]
-    return number_islands(number_islands(extended, pair, "s1", "e1", "island1"), pair, "s2", "e2", "island2")
+    return number_sides(extended, ["tid", "mtid"], {"island1": ("s1", "e1"), "island2": ("s2", "e2")})
 
 
 def first_pass_clusters(extended: DataFrame) -> DataFrame:

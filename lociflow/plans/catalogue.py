@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociflow.functions.lineage import kept
 from lociflow.functions.sequence import first_match, pileup_counts, reverse_complement
 from lociflow.operators import alignments, density, intervals, linker, loops, pairs, pets, phasing, qc, reproducibility, significance, tagging
 from lociflow.plans.proxies import relation, sql
@@ -46,11 +47,11 @@ def _usable(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _loops(spark: SparkSession, sf: str, least: int = 2) -> DataFrame:
-    return loops.loops_of(pets.first_pass_clusters(_usable(spark, sf)), least)
+    return kept(loops.loops_of(pets.first_pass_clusters(_usable(spark, sf)), least))
 
 
 def _half(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    return loops.loops_of(pets.first_pass_clusters(_usable(spark, sf).where(F.col("pet_id") % 2 == k)), 1)
+    return kept(loops.loops_of(pets.first_pass_clusters(_usable(spark, sf).where(F.col("pet_id") % 2 == k)), 1))
 
 
 def _peaks(spark: SparkSession, sf: str, *kinds: str) -> DataFrame:
