@@ -199,36 +199,41 @@ _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 
 
-def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """data[starts[i]:ends[i]] of all spans in a row, each followed by `gap` spaces, and where each begins."""
+def _letters_of(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of spans in a row, and of each its span and its place there."""
+    own = np.cumsum(size, dtype=np.int32) - size.astype(np.int32)
+    span = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    place = np.arange(len(span), dtype=np.int32) - own[span]
+    return data[starts[span] + place], span, place
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """data[starts[i]:ends[i]] of all spans in a row, each followed by a space, and where each begins."""
     size = ends - starts
-    begin = np.cumsum(size + gap) - size - gap
-    at = np.arange(size.sum())
-    own = np.cumsum(size) - size
-    letters = data[at + np.repeat(starts - own, size)]
-    if not gap:
-        return letters, begin
-    out = np.full(len(letters) + gap * len(size), 32, np.uint8)
-    out[at + np.repeat(begin - own, size)] = letters
-    return out, begin
+    begin = np.concatenate(([0], np.cumsum(size + 1)))
+    out = np.full(begin[-1], 32, np.uint8)
+    for i, j in blocks(begin):
+        letters, span, place = _letters_of(data, starts[i:j], size[i:j])
+        out[begin[i:j][span] + place] = letters
+    return out, begin[:-1]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, kinds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
     """64-bit hashes of words, one for each of `kinds` (0, 1), which are independent.
 
     A letter has a random value for each place of a word, and a word their sum; from place to place further on the values come
-    again, multiplied by a random odd number for each PLACES. No algebra of places makes two words alike."""
-    if not len(starts):
-        return [np.zeros(0, np.uint64) for _ in kinds]
-    letters, begin = gathered(_lower[data] if lower else data, starts, ends)
+    again, multiplied by a random odd number for each PLACES. No algebra of places makes two words alike. Few words are
+    worked on together, since a letter takes tens of bytes meanwhile."""
     size = ends - starts
-    place = np.arange(len(letters)) - np.repeat(begin, size)
-    index = (place & (PLACES - 1)) << 8 | letters
-    far = np.flatnonzero(place >= PLACES)
-    out = []
-    for kind in kinds:
-        value = _letters[kind][index]
-        if len(far):
-            value[far] *= mix((place[far] >> 6).astype(np.uint64) * U64(0x9E3779B97F4A7C15 + 2 * kind)) | U64(1)
-        out.append(mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * U64(0xA24BAED4963EE407)))
+    out = [np.zeros(len(size), np.uint64) for _ in kinds]
+    edges = np.concatenate(([0], np.cumsum(size)))
+    for i, j in blocks(edges):
+        letters, _, place = _letters_of(data, starts[i:j], size[i:j])
+        index = (place & (PLACES - 1)) << 8 | (_lower[letters] if lower else letters)
+        far = np.flatnonzero(place >= PLACES)
+        for kind, found in zip(kinds, out, strict=True):
+            value = _letters[kind][index]
+            if len(far):
+                value[far] *= mix((place[far] >> 6).astype(np.uint64) * U64(0x9E3779B97F4A7C15 + 2 * kind)) | U64(1)
+            found[i:j] = mix(np.add.reduceat(value, edges[i:j] - edges[i]) + size[i:j].astype(np.uint64) * U64(0xA24BAED4963EE407))
     return out

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm.common import U64, counted, flat, in_small_batches, mix, stored, whole, word_hashes, word_spans
+from lociflow.llm.common import U64, blocks, counted, flat, in_small_batches, mix, stored, whole, word_hashes, word_spans
 from lociflow.llm.components import components
 
 BANDS, ROWS = 20, 4
@@ -117,8 +117,9 @@ def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at in range(0, batch.num_rows, SLICE):
-                h, edges, other = shingles(*flat(batch.column(3).slice(at, SLICE)), width, second=True)
+            data, offsets = flat(batch.column(3))
+            for i, j in blocks(offsets):
+                h, edges, other = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width, second=True)
                 n = np.diff(edges)
                 sums = []
                 for value in (h, other):
@@ -126,6 +127,8 @@ def _sketch(width: int):
                     np.cumsum(mix(value + U64(0x632BE59BD9B4E019)), out=total[1:])
                     sums.append((total[edges[1:]] - total[edges[:-1]]).astype(np.int64))
                 rows.append((n, *sums, registers(h, edges)))
+            if not rows:
+                continue
             n, a, b, r = (np.concatenate(x) for x in zip(*rows, strict=True))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * REGISTERS), len(n), [None, pa.py_buffer(np.ascontiguousarray(r))]).cast(pa.binary())
             names = ["doc_id", "hash_a", "hash_b", "n_shingles", "set_a", "set_b", "sketch"]

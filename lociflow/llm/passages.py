@@ -50,7 +50,7 @@ class Units:
         """The units' bytes, words parted by one space, and where each unit begins and ends there."""
         if self.kind == "bytes":
             return data.tobytes(), laid.starts, laid.ends
-        out, begin = gathered(data, laid.starts, laid.ends, 1)
+        out, begin = gathered(data, laid.starts, laid.ends)
         return out.tobytes(), begin, begin + laid.ends - laid.starts
 
 
