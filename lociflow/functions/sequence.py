@@ -12,6 +12,13 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
+def linker_place(seq: Column, linker: str, mismatches: int) -> Column:
+    """0-based place at which a read is cut: the first exact copy of the linker, only without one the first with mismatches."""
+    exact = F.instr(seq, linker)
+    found = F.when(exact > 0, exact - 1)
+    return F.coalesce(found, first_match(seq, linker, mismatches)) if mismatches else found
+
+
 def first_match(seq: Column, linker: str, mismatches: int) -> Column:
     """0-based place of the first substring with at most so many mismatches, null if there is none.
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.functions.sequence import first_match
+from lociflow.functions.sequence import linker_place
 
 MIN_TAG = 18
 #: Letters of a stretch of a read, and stretches that are aligned together.
@@ -18,13 +18,13 @@ STRETCH, LANES = 256, 4096
 
 def tag_before(seq: Column, linker: str, mismatches: int = 2) -> Column:
     """What a read holds left of the linker; the whole read if there is none, `A` if nothing is left of it."""
-    at = first_match(seq, linker, mismatches)
+    at = linker_place(seq, linker, mismatches)
     return F.when(at.isNull(), seq).when(at == 0, F.lit("A")).otherwise(F.substring(seq, F.lit(1), at))
 
 
 def route(pairs: DataFrame, linker: str, mismatches: int = 2, least: int = MIN_TAG) -> DataFrame:
     """Adds linkers (reads of the pair that hold it), tags (long enough) and route: none, conflict, one_tag or two_tag."""
-    t = pairs.withColumns({f"_at{k}": first_match(F.col(f"seq{k}"), linker, mismatches) for k in (1, 2)})
+    t = pairs.withColumns({f"_at{k}": linker_place(F.col(f"seq{k}"), linker, mismatches) for k in (1, 2)})
     found = sum((F.col(f"_at{k}").isNotNull().cast("int") for k in (1, 2)), F.lit(0))
     length = {k: F.when(F.col(f"_at{k}").isNull(), F.length(f"seq{k}")).otherwise(F.greatest(F.col(f"_at{k}"), F.lit(1))) for k in (1, 2)}
     tags = sum(((length[k] >= least).cast("int") for k in (1, 2)), F.lit(0))

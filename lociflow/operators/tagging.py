@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from lociflow.operators.linker import MIN_TAG, local_alignment
 
 NONE, TIED = "none", "tied"
-# A linker that runs over a read's end counts if it covers so many letters with at most so many lost points.
-SINGLE_ENDS = ((18, 4), (12, 2))
-HALF_ENDS = ((17, 4), (14, 3), (12, 2))
-FULL_ENDS = ((36, 8), (32, 6))
+# A linker that runs over a read's end counts if, from so many letters covered on, it has at least and at most
+# so many lost points.
+SINGLE_ENDS = ((18, 0, 4), (12, 0, 2))
+HALF_ENDS = ((17, 0, 4), (14, 0, 2), (13, 2, 2))
+FULL_ENDS = ((36, 0, 8), (32, 0, 6))
+ADAPTER_ENDS = ((28, 0, 6), (18, 0, 4), (12, 0, 2))
 # The pair's final linker by those of both reads; any other two are in conflict.
 SINGLE_PAIRS = (("S", "rcS", "S"), ("rcS", "S", "rcS"))
 DI_PAIRS = (
@@ -34,16 +36,20 @@ MIXED = ("AB", "BA")
 
 @dataclass(frozen=True)
 class Accept:
-    """A placement is good from `full` points on, or from `partial` points where it runs over an end of the read."""
+    """A placement is good from `full` points on, or from `partial` points where it runs over an end of the read, or over its last
+    one only."""
 
     full: int
     partial: int
-    ends: tuple[tuple[int, int], ...]
+    ends: tuple[tuple[int, int, int], ...]
+    at_start: bool = True
 
 
 SINGLE_ACCEPT = Accept(16, 11, SINGLE_ENDS)
 FULL_ACCEPT = Accept(30, 26, FULL_ENDS)
 HALF_ACCEPT = Accept(14, 11, HALF_ENDS)
+# Of the adapters of side 1 and side 2.
+ADAPTER_ACCEPT = (Accept(28, 11, ADAPTER_ENDS, False), Accept(27, 11, ADAPTER_ENDS, False))
 
 
 def reverse_of(linker: str) -> str:
@@ -74,9 +80,9 @@ def placed(reads: DataFrame, linkers: dict[str, str], seq: str = "seq") -> DataF
 def _good(place: Column, linker_length: int, accept: Accept) -> Column:
     span = place["last"] - place["first"]
     lost = F.lit(False)
-    for least, most in reversed(accept.ends):
-        lost = F.when(span >= least, span - place["score"] <= most).otherwise(lost)
-    start = (place["begin"] == 0) & (place["last"] == linker_length)
+    for covered, least, most in reversed(accept.ends):
+        lost = F.when(span >= covered, (span - place["score"]).between(least, most)).otherwise(lost)
+    start = (place["begin"] == 0) & (place["last"] == linker_length) if accept.at_start else F.lit(False)
     end = (place["first"] == 0) & (place["end"] == F.col("length"))
     return (place["score"] >= accept.full) | ((place["score"] >= accept.partial) & (start | end) & lost)
 
@@ -188,13 +194,13 @@ def trimmed_length(qual: str = "qual", least: int = 20, offset: int = 33) -> Col
     return F.length(F.regexp_replace(F.coalesce(F.col(qual), F.lit("")), f"[^{high}]+$", ""))
 
 
-def trim_adapters(mates: DataFrame, adapter1: str, adapter2: str, accept: Accept = SINGLE_ACCEPT, least: int = MIN_TAG, quality: int = 20) -> DataFrame:
+def trim_adapters(mates: DataFrame, adapter1: str, adapter2: str, accept: tuple[Accept, Accept] = ADAPTER_ACCEPT, least: int = MIN_TAG, quality: int = 20) -> DataFrame:
     """Reads of mates(pair_id, side, seq, qual) cut where side 1's or side 2's adapter begins, and where quality ends: pair_id,
     side, seq, qual, and route: paired, unpaired (its mate is short), unpaired_short or paired_short. A read is long if it has
-    more than `least` letters."""
+    more than `least` letters. A short piece of an adapter counts at the read's last letters only."""
     t = placed(mates.withColumn("_seq", F.col("seq")), {"one": adapter1, "two": adapter2}, "_seq")
     here = F.when(F.col("side") == 1, F.col("one")).otherwise(F.col("two"))
-    good = F.when(F.col("side") == 1, _good(F.col("one"), len(adapter1), accept)).otherwise(_good(F.col("two"), len(adapter2), accept))
+    good = F.when(F.col("side") == 1, _good(F.col("one"), len(adapter1), accept[0])).otherwise(_good(F.col("two"), len(adapter2), accept[1]))
     keep = F.least(F.when(good, here["begin"]).otherwise(F.col("length")), trimmed_length("qual", quality))
     t = t.withColumn("_keep", keep)
     long = t.groupBy("pair_id").agg(*(F.max(F.when(F.col("side") == k, F.col("_keep") > least)).alias(f"_long{k}") for k in (1, 2)))

@@ -404,7 +404,8 @@ def fuzzy_linker(spark: SparkSession, sf: str) -> DataFrame:
     return relation(spark, sf, "reads").select("read_id", first_match(F.col("seq"), "GATCGATC", 1).alias("place"))
 
 
-_FIRST = "(SELECT min(i) FROM range(1, length({s}) - 10) t(i) WHERE hamming(substr({s}, i, 12), '" + FUZZY + "') <= 2)"
+# An exact copy of the linker comes first, wherever it is; only without one, one of at most two other letters.
+_FIRST = "coalesce(nullif(position('" + FUZZY + "' IN {s}), 0), (SELECT min(i) FROM range(1, length({s}) - 10) t(i) WHERE hamming(substr({s}, i, 12), '" + FUZZY + "') <= 2))"
 
 
 @query(
@@ -764,7 +765,9 @@ def hochberg_adjust(spark: SparkSession, sf: str) -> DataFrame:
 
 _PHASED = f"""{sql('peaks', 'snps')}, s AS (SELECT chrom, pos, p + m AS coverage, CASE WHEN p > m THEN 'P' WHEN p < m THEN 'M' ELSE 'N' END AS allele FROM snps),
 hit AS (SELECT k.id, s.*, row_number() OVER (PARTITION BY k.id ORDER BY coverage DESC, pos) AS r FROM peaks k JOIN s ON s.chrom = k.chrom AND s.pos >= k.start AND s.pos <= k."end"),
-phased AS (SELECT id, CASE WHEN max(allele) FILTER (r = 1) = 'N' THEN 'Unphased' WHEN bool_or(allele = 'P') AND bool_or(allele = 'M') THEN 'Mix' WHEN bool_or(allele = 'P') THEN 'P' ELSE 'M' END AS phase FROM hit GROUP BY id)"""
+phased AS (SELECT id, coalesce(phase, 'Unphased') AS phase, CASE WHEN coalesce(phase, 'Unphased') = 'Unphased' THEN 0 ELSE sided END::BIGINT AS phased_snps
+  FROM (SELECT k.id, count(*) FILTER (allele IN ('P', 'M')) AS sided, CASE WHEN coalesce(max(allele) FILTER (r = 1 AND coverage > 0), 'N') = 'N' THEN 'Unphased'
+    WHEN bool_or(allele = 'P') AND bool_or(allele = 'M') THEN 'Mix' WHEN bool_or(allele = 'P') THEN 'P' WHEN bool_or(allele = 'M') THEN 'M' END AS phase FROM peaks k LEFT JOIN hit h ON h.id = k.id GROUP BY 1))"""
 
 
 @query(f"WITH {_PHASED} SELECT * FROM phased")
@@ -772,9 +775,28 @@ def peak_phase(spark: SparkSession, sf: str) -> DataFrame:
     return phasing.peak_phase(relation(spark, sf, "peaks"), _snps(spark, sf))
 
 
+@query(f"""WITH {_PHASED} SELECT sink, chrom, start, "end", CASE phase WHEN 'M' THEN 'Maternal' WHEN 'P' THEN 'Paternal' ELSE phase END AS name,
+CASE phase WHEN 'M' THEN '215,48,39' WHEN 'P' THEN '26,152,80' WHEN 'Mix' THEN '209,229,240' ELSE '153,153,153' END AS colour
+FROM peaks JOIN phased USING (id), (VALUES ('browser'), ('Maternal'), ('Paternal')) v(sink) WHERE NOT (sink = 'Maternal' AND phase = 'P') AND NOT (sink = 'Paternal' AND phase = 'M')""")
+def phased_peak_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    peaks = relation(spark, sf, "peaks")
+    return phasing.phased_peak_rows(peaks, phasing.peak_phase(peaks, _snps(spark, sf)))
+
+
+@query(
+    f"""WITH {_PHASED} SELECT k.chrom || ':' || k.start || '-' || k."end" AS place, any_value(phased_snps) AS phased_snps, any_value(phase) AS phase,
+string_agg(n.pos || ',' || CASE WHEN p > m THEN 'P' ELSE 'M' END || ',' || p || ':' || m || ',' || n.id, '|' ORDER BY n.pos) AS snps
+FROM peaks k JOIN phased h USING (id) JOIN snps n ON n.chrom = k.chrom AND n.pos BETWEEN k.start AND k."end" WHERE phase <> 'Unphased' AND p <> m GROUP BY k.id, 1"""
+)
+def phased_peak_annotation(spark: SparkSession, sf: str) -> DataFrame:
+    peaks, snps = relation(spark, sf, "peaks"), relation(spark, sf, "snps")
+    named = snps.select("chrom", "pos", F.col("id").cast("string").alias("name"), "p", "m", phasing.allele().alias("allele"))
+    return phasing.peak_annotation(peaks, named, phasing.peak_phase(peaks, _snps(spark, sf)))
+
+
 @query(
-    f"""{_LOOPS}, {_ANCHORS}, {_PHASED}, pk AS (SELECT k.*, phase FROM peaks k JOIN phased USING (id)),
-ty AS (SELECT x.loop_id, x.side, coalesce((SELECT k.phase FROM pk k WHERE x.chrom = k.chrom AND x.start <= k."end" AND k.start <= x."end" ORDER BY k.start, k."end", k.id LIMIT 1), 'NA') AS t FROM anchors x),
+    f"""{_LOOPS}, {_ANCHORS}, {_PHASED}, pk AS (SELECT k.*, phase FROM peaks k JOIN phased USING (id) WHERE phase IN ('P', 'M')),
+ty AS (SELECT x.loop_id, x.side, coalesce((SELECT k.phase FROM pk k WHERE x.chrom = k.chrom AND x.start <= k."end" AND k.start <= x."end" ORDER BY k.start, k."end", k.id LIMIT 1), 'NA') AS t FROM anchors x WHERE x.loop_id IN (SELECT max(loop_id) FROM loops GROUP BY chrom, s1, e1, s2, e2)),
 ht AS (SELECT a.loop_id, a.t AS head, b.t AS tail FROM ty a JOIN ty b ON a.loop_id = b.loop_id AND a.side = 1 AND b.side = 2)
 SELECT *, CASE WHEN 'P' IN (head, tail) AND 'M' IN (head, tail) THEN 'Crossed' WHEN 'P' IN (head, tail) THEN 'Paternal' WHEN 'M' IN (head, tail) THEN 'Maternal' ELSE 'nonPhased' END AS phase FROM ht"""
 )

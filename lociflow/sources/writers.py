@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociflow.functions.lineage import kept
+from lociflow.operators.phasing import peak_annotation, peak_phase, phased_peak_rows
+
 
 def _line(*columns: Column | str) -> Column:
     return F.concat_ws("\t", *(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(".")) for c in columns)).alias("value")
@@ -59,3 +62,14 @@ def write_table(pairs: DataFrame, path: str, force: bool = False) -> None:
 
 def write_by_phase(loops: DataFrame, path: str) -> None:
     loops.write.partitionBy("phase").parquet(path)
+
+
+def write_phased_peaks(peaks: DataFrame, snps: DataFrame, path: str) -> None:
+    """The peaks' four outputs, a folder each: annotation (peaks with a phase and their SNPs), browser (all, with colours), Maternal
+    and Paternal (all but the other side's)."""
+    phases = kept(peak_phase(peaks, snps.withColumn("coverage", F.col("p") + F.col("m"))))
+    peak_annotation(peaks, snps, phases).select(_line("place", "phased_snps", "phase", "snps")).write.text(f"{path}/annotation")
+    rows = phased_peak_rows(peaks, phases)
+    rows.where("sink = 'browser'").select(_line("chrom", "start", "end", "name", "colour")).write.text(f"{path}/browser")
+    for side in ("Maternal", "Paternal"):
+        rows.where(F.col("sink") == side).select(_line("chrom", "start", "end")).write.text(f"{path}/{side}")
