@@ -97,6 +97,38 @@ def noncentral_p(n: pd.Series, row: pd.Series, column: pd.Series, total: pd.Seri
     return p.where(table["odds"].notna() | table.drop(columns="odds").isna().any(axis=1), 1.0)
 
 
+def poisson_tails(n: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """P(X >= n) of Poisson distributions. Above the mean the tail's own terms are summed, so that small values stay exact."""
+    n, mean = np.asarray(n, np.int64), np.asarray(mean, float)
+    out = np.ones(len(n))
+    log_factorial = np.concatenate((np.zeros(1), np.cumsum(np.log(np.arange(1, max(int(n.max(initial=0)), 1) + 1)))))
+    some = np.flatnonzero((n > 0) & (mean > 0))
+    k, m = n[some], mean[some]
+    with np.errstate(under="ignore"):
+        term = np.exp(k * np.log(m) - m - log_factorial[k])
+        up = k > m
+        total, part, j = np.where(up, term, 0.0), np.where(up, term, 0.0), k.astype(float)
+        while (part > total * 1e-17).any():
+            j += 1
+            part = part * m / j
+            total += part
+        low, part, j = np.zeros(len(k)), np.where(up, 0.0, term), k.astype(float)
+        while (part > 1e-18).any():
+            part = np.where(j > 0, part * j / m, 0.0)
+            j -= 1
+            low += part
+    out[some] = np.where(up, total, np.clip(1 - low, 0, 1))
+    out[(n > 0) & (mean <= 0)] = 0.0
+    return out
+
+
+@F.pandas_udf(DoubleType())
+def poisson_p(n: pd.Series, mean: pd.Series) -> pd.Series:
+    """P(X >= n), null where one is."""
+    known = n.notna() & mean.notna()
+    return pd.Series(poisson_tails(n[known].to_numpy(), mean[known].to_numpy()), n[known].index).reindex(n.index)
+
+
 def _tile_of(p: Column) -> Column:
     """A tile of p, in its order: by thousandths, and by powers where p is small."""
     return F.when(p >= 0.01, F.floor(p * 1000)).otherwise(F.floor(F.log(F.greatest(p, F.lit(1e-300))) * 20) - 1000)
@@ -120,33 +152,68 @@ def hochberg(df: DataFrame, p: str, order: str, name: str = "padj") -> DataFrame
     return df.join(t, F.col(p) == F.col("_p"), "left").select(*df.columns, F.col("_adjusted").alias(name))
 
 
-def spline(x: list[float], y: list[float]):
+def step_up(df: DataFrame, p: str, weight: str, total: float, name: str = "qvalue") -> DataFrame:
+    """Adds step-up q-values: the least over all p' >= p of p' * total / (weight of the rows with at most p'), 1 at most.
+
+    Equal p get the same value. Windows see a row for each distinct p: within tiles of p first, then what the tiles add."""
+    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.sum(weight).alias("_w")).withColumn("_tile", _tile_of(F.col("_p")))
+    up, below = Window.partitionBy("_tile").orderBy("_p"), Window.orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counts.groupBy("_tile").agg(F.sum("_w").alias("_w"))
+    sizes = sizes.select("_tile", F.coalesce(F.sum("_w").over(below), F.lit(0)).alias("_before"))
+    rank = F.col("_before") + F.sum("_w").over(up.rowsBetween(Window.unboundedPreceding, 0))
+    t = counts.join(sizes, "_tile").withColumn("_v", F.col("_p") * F.lit(float(total)) / rank)
+    above = Window.orderBy(F.desc("_tile")).rowsBetween(Window.unboundedPreceding, -1)
+    best = t.groupBy("_tile").agg(F.min("_v").alias("_m")).select("_tile", F.min("_m").over(above).alias("_least"))
+    t = t.withColumn("_run", F.min("_v").over(up.rowsBetween(0, Window.unboundedFollowing))).join(best, "_tile")
+    t = t.select("_p", F.least(F.lit(1.0), "_run", F.coalesce("_least", "_run")).alias("_q"))
+    return df.join(t, F.col(p) == F.col("_p"), "left").select(*df.columns, F.col("_q").alias(name))
+
+
+class Spline:
     """A natural cubic spline through a few hundred knots; beyond them it goes on in a straight line."""
-    x_, y_ = np.asarray(x, float), np.asarray(y, float)
-    n = len(x_)
-    if n < 3:
-        slope = (y_[1] - y_[0]) / (x_[1] - x_[0]) if n == 2 else 0.0
-        return lambda t: y_[0] + slope * (np.asarray(t, float) - x_[0])
-    h = np.diff(x_)
-    a = np.zeros((n, n))
-    b = np.zeros(n)
-    a[0, 0] = a[-1, -1] = 1
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        b[i] = 6 * ((y_[i + 1] - y_[i]) / h[i] - (y_[i] - y_[i - 1]) / h[i - 1])
-    m = np.linalg.solve(a, b)
-    left = (y_[1] - y_[0]) / h[0] - h[0] * m[1] / 6
-    right = (y_[-1] - y_[-2]) / h[-1] + h[-1] * m[-2] / 6
-
-    def at(t: np.ndarray) -> np.ndarray:
-        whole = np.asarray(t, float)
-        t = np.clip(whole, x_[0], x_[-1])
-        i = np.clip(np.searchsorted(x_, t, "right") - 1, 0, n - 2)
-        u, v, w = x_[i + 1] - t, t - x_[i], h[i]
-        inside = m[i] * u**3 / (6 * w) + m[i + 1] * v**3 / (6 * w) + (y_[i] / w - m[i] * w / 6) * u + (y_[i + 1] / w - m[i + 1] * w / 6) * v
-        return inside + (whole - t) * np.where(whole < x_[0], left, right)
-
-    return at
+
+    def __init__(self, x: list[float], y: list[float]):
+        self.x, self.y = x_, y_ = np.asarray(x, float), np.asarray(y, float)
+        n = len(x_)
+        self.second = np.zeros(n)
+        if n < 3:
+            self.left = self.right = (y_[1] - y_[0]) / (x_[1] - x_[0]) if n == 2 else 0.0
+            return
+        h = np.diff(x_)
+        a = np.zeros((n, n))
+        b = np.zeros(n)
+        a[0, 0] = a[-1, -1] = 1
+        for i in range(1, n - 1):
+            a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+            b[i] = 6 * ((y_[i + 1] - y_[i]) / h[i] - (y_[i] - y_[i - 1]) / h[i - 1])
+        self.second = m = np.linalg.solve(a, b)
+        self.left = (y_[1] - y_[0]) / h[0] - h[0] * m[1] / 6
+        self.right = (y_[-1] - y_[-2]) / h[-1] + h[-1] * m[-2] / 6
+
+    def _powers(self) -> np.ndarray:
+        """Of the line before the knots, of each piece and of the line behind: coefficients of t ** 0 .. 3 from its start on."""
+        x, y, m, h = self.x, self.y, self.second, np.diff(self.x)
+        inner = np.stack((y[:-1], np.diff(y) / h - h * (2 * m[:-1] + m[1:]) / 6, m[:-1] / 2, np.diff(m) / (6 * h)), 1)
+        return np.concatenate(([[y[0], self.left, 0, 0]], inner, [[y[-1], self.right, 0, 0]]))
+
+    def __call__(self, t: np.ndarray) -> np.ndarray:
+        t = np.asarray(t, float)
+        i = np.searchsorted(self.x, t, "right")
+        u = t - self.x[np.maximum(i - 1, 0)]
+        a, b, c, d = self._powers()[i].T
+        return a + u * (b + u * (c + u * d))
+
+    def pieces(self, low: int, high: int, widest: int) -> list[tuple[int, int, np.ndarray]]:
+        """Integers low .. high in runs [start, stop) of at most `widest`, none over a knot, each with its coefficients from start on."""
+        cuts = sorted({low, high + 1, *(int(np.ceil(k)) for k in self.x if low < np.ceil(k) <= high)})
+        cuts = [c for a, b in zip(cuts[:-1], cuts[1:], strict=True) for c in range(a, b, widest)] + cuts[-1:]
+        out, powers = [], self._powers()
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            i = int(np.searchsorted(self.x, start, "right"))
+            u = start - self.x[max(i - 1, 0)]
+            a, b, c, d = powers[i]
+            out.append((start, stop, np.array([a + u * (b + u * (c + u * d)), b + u * (2 * c + 3 * u * d), c + 3 * u * d, d])))
+        return out
 
 
 def odds(pair: Column, left: Column, right: Column, total: Column, least: float = 0.1) -> Column:

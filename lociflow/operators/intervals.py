@@ -130,7 +130,8 @@ def _tile_bases(local: DataFrame, keys: list[str], start: str, end: str, touchin
     return tiles.select(*keys, "_tile", "_joined", F.coalesce(F.sum(F.col("_runs") - F.col("_joined")).over(before), F.lit(0)).alias("_base"))
 
 
-_NUMBER = F.col("_base") + F.greatest(F.col("_local") - F.col("_joined"), F.lit(0))
+def _number() -> Column:
+    return F.col("_base") + F.greatest(F.col("_local") - F.col("_joined"), F.lit(0))
 
 
 def number_sides(df: DataFrame, keys: list[str], sides: dict[str, tuple[str, str]], touching: bool = True, tile: int = 1 << 20) -> DataFrame:
@@ -146,7 +147,7 @@ def number_sides(df: DataFrame, keys: list[str], sides: dict[str, tuple[str, str
     numbered = local.join(tiles, [*by, "_tile"])
     out = df
     for k, (name, (start, _)) in enumerate(sides.items()):
-        own = numbered.where(F.col("_side") == k).select(*keys, F.col("_at").alias(start), _NUMBER.alias(name))
+        own = numbered.where(F.col("_side") == k).select(*keys, F.col("_at").alias(start), _number().alias(name))
         out = out.join(own, [*keys, start])
     return out.select(*df.columns, *sides)
 
@@ -165,10 +166,29 @@ def merge(df: DataFrame, keys: list[str], touching: bool = True, tile: int = 1 <
     local = _local_runs(points, keys, start, end, touching)
     runs = kept(local.groupBy(*keys, "_tile", "_local").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")))
     tiles = _tile_bases(runs.withColumn("_new", F.lit(True)), keys, start, end, touching)
-    whole = runs.join(tiles, [*keys, "_tile"]).groupBy(*keys, _NUMBER.alias("_island"))
+    whole = runs.join(tiles, [*keys, "_tile"]).groupBy(*keys, _number().alias("_island"))
     return whole.agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_island")
 
 
+def layers(df: DataFrame, keys: list[str], names: list[str], layer: str = "layer", tile: int = 1 << 22, start: str = "start", end: str = "end") -> DataFrame:
+    """Depths of several layers of intervals at once, as runs: keys, start, end, and a depth for each of `names` (the layers 0, 1, ...).
+
+    Opening and closing events add up by position before they are summed along a chromosome; running sums start in each tile
+    from what the tiles before add up to. Runs from the first position of a chromosome to the last come out, those without depth too."""
+    step = lambda at, by: F.struct(F.col(at).alias("pos"), *(F.when(F.col(layer) == k, F.lit(by)).otherwise(F.lit(0)).alias(n) for k, n in enumerate(names)))
+    events = df.where(F.col(start) < F.col(end)).select(*keys, F.inline(F.array(step(start, 1), step(end, -1))))
+    steps = events.groupBy(*keys, "pos").agg(*(F.sum(n).alias(n) for n in names)).where(" OR ".join(f"`{n}` <> 0" for n in names))
+    steps = steps.withColumn("_tile", F.floor(F.col("pos") / tile))
+    sums = steps.groupBy(*keys, "_tile").agg(*(F.sum(n).alias(n) for n in names), F.min("pos").alias("_first"))
+    by_key, in_tile = Window.partitionBy(*keys).orderBy("_tile"), Window.partitionBy(*keys, "_tile").orderBy("pos")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "_tile", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in names), F.lead("_first").over(by_key).alias("_next"))
+    upto = in_tile.rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.join(sums, [*keys, "_tile"])
+    runs = runs.select(*keys, F.col("pos").alias(start), F.coalesce(F.lead("pos").over(in_tile), "_next").alias(end), *((F.col(f"_{n}") + F.sum(n).over(upto)).alias(n) for n in names))
+    return runs.where(F.col(end).isNotNull())
+
+
 def coverage(df: DataFrame, keys: list[str], tile: int = 1 << 22, start: str = "start", end: str = "end") -> DataFrame:
     """Runs of equal depth above zero: keys, start, end, depth.
 

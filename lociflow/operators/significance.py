@@ -2,7 +2,13 @@
 
 Segments are a chromosome's anchors by mid-point. Pairs of segments within a band of distances have an expected count from
 a spline over equal-count distance quantiles; a noncentral hypergeometric tail gives a p-value, a bisection the cutoff;
-false positives are summed over all pairs of the band."""
+false positives are summed over all pairs of the band.
+
+The fit lists no pairs. A chromosome's segments are dealt in tiles with a rim as wide as the band. How many pairs have each
+distance comes from differences to the next, the next but one, ... segment, added up by distance in the task. What is expected of a segment with
+all others is a sum of cubics of distances, one for each pair of neighbouring knots: it follows from the sums of the others'
+mid-points to the powers 0 to 3 between the two places, differences of prefix sums. Those are integers modulo 2 ** 64, exact since
+no piece's own sum reaches that."""
 
 from __future__ import annotations
 
@@ -15,9 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.functions.lineage import kept
-from lociflow.functions.statistics import noncentral_p, noncentral_steps, odds, spline
+from lociflow.functions.statistics import Spline, noncentral_p, noncentral_steps, odds
 
 QUANTILES = 500
+#: Least expected count of a pair.
+LEAST_EXPECTED = 1e-20
+#: Tiles are as wide as so many bands.
+TILE_BANDS = 4
+#: Widest run of distances of one cubic: the sum of so many cubes of distances stays below 2 ** 63.
+WIDEST = 1 << 15
 
 
 def segments(loops: DataFrame) -> DataFrame:
@@ -47,11 +59,78 @@ def band_pairs(points: DataFrame, least: int, most: int) -> DataFrame:
     return a.join(b, ["chrom", "_bin"]).withColumn("delta", F.col("j") - F.col("i")).where((F.col("delta") >= least) & (F.col("delta") <= most)).drop("_bin")
 
 
-def distance_quantiles(band: DataFrame, quantiles: int = QUANTILES) -> DataFrame:
-    """quantile, low, high, median, pairs of chunks of equally many distances; a remainder widens the last one only.
-
-    Ranks come from counts of distinct distances, of which there are far fewer than pairs."""
-    return _chunks(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")), quantiles)
+def _tiled(points: DataFrame, most: int) -> DataFrame:
+    """chrom, tile, mid, own: each tile's segments, and those of its rim (not own)."""
+    width = TILE_BANDS * max(most, 1)
+    tiles = F.sequence(F.floor((F.col("mid") - most) / width), F.floor((F.col("mid") + most) / width))
+    return points.select("chrom", "mid", F.explode(tiles).alias("tile")).withColumn("own", F.floor(F.col("mid") / width) == F.col("tile"))
+
+
+def distance_counts(points: DataFrame, least: int, most: int) -> DataFrame:
+    """delta, n: how many pairs of a chromosome's segments have each distance in [least, most]. At most a row a distance and task
+    is shuffled."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("mid")
+        mid = group["mid"].to_numpy(np.int64)
+        counts = np.zeros(most + 1, np.int64)
+        at, step = np.flatnonzero(group["own"].to_numpy(bool)), 0
+        while len(at):
+            step += 1
+            at = at[at + step < len(mid)]
+            delta = mid[at + step] - mid[at]
+            near = delta <= most
+            at, delta = at[near], delta[near]
+            counts += np.bincount(delta, minlength=most + 1)
+        found = np.flatnonzero(counts[least:]) + least
+        return pd.DataFrame({"delta": found, "n": counts[found]})
+
+    if least == 0:
+        run_least = distance_counts(points, 1, most)
+        own = points.agg(F.lit(0).cast("long").alias("delta"), F.count(F.lit(1)).alias("n"))
+        return run_least.union(own).where("n > 0")
+    parts = _tiled(points, most).groupBy("chrom", "tile").applyInPandas(run, "delta long, n long")
+    return parts.groupBy("delta").agg(F.sum("n").alias("n"))
+
+
+def range_sums(mid: np.ndarray, at: np.ndarray, pieces: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
+    """Of each place in `at` the sum over sorted `mid` of the cubic of the distance to the right."""
+    m = mid.astype(np.uint64)
+    prefix = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(p, dtype=np.uint64))) for p in (np.ones_like(m), m, m * m, m * m * m)]
+    out = np.zeros(len(at))
+    for start, stop, cubic in pieces:
+        low, high = np.searchsorted(mid, at + start), np.searchsorted(mid, at + stop)
+        s0, s1, s2, s3 = (p[high] - p[low] for p in prefix)
+        # Sums of (mid - base) to the powers 0 to 3.
+        base = (at + start).astype(np.uint64)
+        t1 = s1 - base * s0
+        t2 = s2 - np.uint64(2) * base * s1 + base * base * s0
+        t3 = s3 - np.uint64(3) * base * s2 + np.uint64(3) * base * base * s1 - base * base * base * s0
+        for power, total in zip(cubic, (s0, t1, t2, t3), strict=True):
+            out += power * total.view(np.int64)
+    return out
+
+
+def expected_sums(points: DataFrame, curve: Spline, least: int, most: int) -> DataFrame:
+    """chrom, mid, total: of each segment what is expected of all its pairs in the band."""
+    pieces = curve.pieces(least, most, WIDEST)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("mid")
+        mid, own = group["mid"].to_numpy(np.int64), group["own"].to_numpy(bool)
+        origin = mid[0]
+        right = mid - origin
+        left = (right[-1] - right)[::-1].copy()
+        total = range_sums(right, right[own], pieces) + range_sums(left, left[::-1][own], pieces)
+        return pd.DataFrame({"chrom": group["chrom"].to_numpy()[own], "mid": mid[own], "total": total})
+
+    kind = dict(points.dtypes)
+    return _tiled(points, most).groupBy("chrom", "tile").applyInPandas(run, f"chrom {kind['chrom']}, mid {kind['mid']}, total double")
+
+
+def distance_quantiles(counts: DataFrame, quantiles: int = QUANTILES) -> DataFrame:
+    """quantile, low, high, median, pairs of chunks of equally many distances, from `distance_counts`; a remainder widens the last one only."""
+    return _chunks(counts, quantiles)
 
 
 def _chunks(counts: DataFrame, quantiles: int) -> DataFrame:
@@ -70,12 +149,12 @@ def _chunks(counts: DataFrame, quantiles: int) -> DataFrame:
     return q.select("quantile", "low", "high", F.floor((F.col("_m") + F.col("_u")) / 2).alias("median"), "pairs")
 
 
-def decay(band: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataFrame:
+def decay(counts: DataFrame, seen: DataFrame, quantiles: int = QUANTILES) -> DataFrame:
     """median, mean: the mean count of a quantile's pairs, those without contacts included. At most `quantiles` rows.
 
     A distance that reaches over several chunks counts in the first of them, so a chunk in which no distance begins (its upper
     edge is the one before) has no row."""
-    return _decay(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")), seen, quantiles)
+    return _decay(counts, seen, quantiles)
 
 
 def _decay(counts: DataFrame, seen: DataFrame, quantiles: int) -> DataFrame:
@@ -89,34 +168,31 @@ def _decay(counts: DataFrame, seen: DataFrame, quantiles: int) -> DataFrame:
     return mean.join(_chunks(counts, quantiles).select("quantile", "median"), "quantile").groupBy("median").agg(F.avg("mean").alias("mean"))
 
 
-def _fit(seen: DataFrame, band: DataFrame, counts: DataFrame, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+def _fit(seen: DataFrame, points: DataFrame, counts: DataFrame, least: int, most: int, quantiles: int, masked: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
     """What adds expected, _ni, _nj, _total and _odds to pairs of the band, of which `counts` holds delta, n. `seen` is what was
-    observed. Masked pairs don't take part in the decay.
-
-    Pairs of the band are gone through once, for the sums of what is expected of each segment; all else is a row a distance."""
+    observed. Masked pairs don't take part in the decay. Totals are each chromosome's."""
     free, within = counts, seen
     if masked is not None:
         gone = masked.groupBy((F.col("j") - F.col("i")).alias("delta")).agg((-F.count(F.lit(1))).alias("n"))
         free = counts.unionByName(gone).groupBy("delta").agg(F.sum("n").alias("n")).where("n > 0")
         within = seen.join(masked.select("chrom", "i", "j"), ["chrom", "i", "j"], "left_anti")
     knots = _decay(free, within, quantiles).orderBy("median").collect()  # a row per quantile
-    curve = spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else None
+    curve = Spline([r["median"] for r in knots], [r["mean"] for r in knots]) if knots else Spline([0.0], [0.0])
 
     @F.pandas_udf("double")
     def expected(delta: pd.Series) -> pd.Series:
-        return pd.Series(curve(delta.to_numpy()).clip(1e-9) if curve else 0.0 * delta)
+        return pd.Series(np.maximum(curve(delta.to_numpy()), LEAST_EXPECTED))
 
-    lengths = kept(counts.withColumn("expected", expected("delta")))
-    sides, sums = marginals(seen), kept(marginals(band.join(lengths.drop("n"), "delta"), "expected"))
-    all_seen = seen.agg(F.sum("n")).first()[0] or 0  # two numbers
-    all_expected = lengths.agg(F.sum(F.col("n") * F.col("expected"))).first()[0] or 0.0
+    sums = expected_sums(points, curve, least, most).join(marginals(seen).withColumnRenamed("total", "_n"), ["chrom", "mid"])
+    sides = kept(sums)  # a row a segment
+    all_seen = seen.groupBy("chrom").agg((2 * F.sum("n")).alias("_total"))
+    totals = sides.groupBy("chrom").agg((F.sum("total") / 2).alias("_expected")).join(all_seen, "chrom")
 
     def add(t: DataFrame) -> DataFrame:
-        t = t.join(lengths.drop("n"), "delta")
+        t = t.withColumn("expected", expected("delta")).join(totals, "chrom")
         for k in "ij":
-            t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_n{k}")), ["chrom", k])
-            t = t.join(sums.select("chrom", F.col("mid").alias(k), F.col("total").alias(f"_l{k}")), ["chrom", k])
-        return t.withColumns({"_total": F.lit(2 * all_seen), "_odds": odds(F.col("expected"), F.col("_li"), F.col("_lj"), F.lit(all_expected))})
+            t = t.join(sides.select("chrom", F.col("mid").alias(k), F.col("_n").alias(f"_n{k}"), F.col("total").alias(f"_l{k}")), ["chrom", k])
+        return t.withColumn("_odds", odds(F.col("expected"), F.col("_li"), F.col("_lj"), F.col("_expected")))
 
     return add
 
@@ -128,17 +204,17 @@ def _tested(seen: DataFrame, least: int, most: int, add: Callable[[DataFrame], D
     return t.select("chrom", "i", "j", "n", "expected", p.alias("pvalue"))
 
 
-def _band_of(seen: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """The band's pairs, and how many there are of each distance."""
-    band = band_pairs(seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct(), least, most)
-    return band, kept(band.groupBy("delta").agg(F.count(F.lit(1)).alias("n")))
+def _points_of(seen: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The segments, and how many pairs of them have each distance of the band."""
+    points = kept(seen.select("chrom", F.explode(F.array("i", "j")).alias("mid")).distinct())
+    return points, kept(distance_counts(points, least, most))
 
 
 def p_values(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles: int = QUANTILES) -> DataFrame:
     """chrom, i, j, n, expected, pvalue of the observed pairs within the band."""
     seen = kept(observed(loops))  # read by the knots, the sums and the test
-    band, counts = _band_of(seen, least, most)
-    return _tested(seen, least, most, _fit(seen, band, counts, quantiles))
+    points, counts = _points_of(seen, least, most)
+    return _tested(seen, least, most, _fit(seen, points, counts, least, most, quantiles))
 
 
 def tails(fitted: DataFrame, fdr: float, least_count: int = 3, steps: int = 22) -> DataFrame:
@@ -205,10 +281,10 @@ def refined(loops: DataFrame, least: int = 0, most: int = 1_000_000, quantiles:
 
     Tables that steps read again are cut from their plans, which would otherwise grow with each and fill the driver."""
     seen = kept(observed(loops))
-    band, counts = _band_of(seen, least, most)
+    points, counts = _points_of(seen, least, most)
     masked = None
     for rate in (refine_fdr, fdr):
-        add = _fit(seen, band, counts, quantiles, masked)
-        tested, tail = kept(_tested(seen, least, most, add)), kept(tails(add(band), rate, least_count))
+        add = _fit(seen, points, counts, least, most, quantiles, masked)
+        tested, tail = kept(_tested(seen, least, most, add)), kept(tails(add(band_pairs(points, least, most)), rate, least_count))
         masked = significant(tested, rate, least_count, tail)
     return masked

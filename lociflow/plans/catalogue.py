@@ -4,6 +4,7 @@ The SQL is written apart from the operators: theta joins, windows over whole chr
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -734,6 +735,100 @@ def call_peaks(spark: SparkSession, sf: str) -> DataFrame:
     return density.call_peaks(relation(spark, sf, "peaks"), 20_000_000, 0.01, 100, 50)
 
 
+# Depths of several layers of intervals (chrom, start, end, layer) as runs.
+_LAYERS = """ev AS (SELECT chrom, start AS pos, layer, 1 AS d FROM lay WHERE start < "end" UNION ALL SELECT chrom, "end", layer, -1 FROM lay WHERE start < "end"),
+st AS (SELECT chrom, pos, {sums} FROM ev GROUP BY ALL HAVING {some}),
+runs AS (SELECT chrom, pos AS start, lead(pos) OVER w AS "end", {upto} FROM st WINDOW w AS (PARTITION BY chrom ORDER BY pos) QUALIFY lead(pos) OVER w IS NOT NULL)"""
+
+
+def _layers(*names: str) -> str:
+    sums = ", ".join(f"sum(d) FILTER (layer = {k}) AS {n}" for k, n in enumerate(names))
+    some = " OR ".join(f"coalesce(sum(d) FILTER (layer = {k}), 0) <> 0" for k in range(len(names)))
+    return _LAYERS.format(sums=sums, some=some, upto=", ".join(f"sum(coalesce({n}, 0)) OVER w::BIGINT AS {n}" for n in names))
+
+
+def _window_sql(source: str, width: int, layer: int, shift: int = 0) -> str:
+    at = f"(pos + CASE WHEN strand = '+' THEN {shift} ELSE -{shift} END - {width // 2 - (1 - width % 2)})"
+    return f"SELECT chrom, greatest({at}, 0) AS start, greatest({at} + {width}, 0) AS \"end\", {layer} AS layer FROM {source}"
+
+
+_ENRICHED = f"""{_POINTS}, tr AS (SELECT * FROM points WHERE id % 4 <> 0), co AS (SELECT * FROM points WHERE id % 4 = 0), sc AS (SELECT (SELECT count(*) FROM tr) AS n, (SELECT count(*) FROM tr) / (SELECT count(*) FROM co) AS k),
+lay AS (SELECT chrom, greatest(CASE WHEN strand = '+' THEN pos ELSE pos - 299 END, 0) AS start, CASE WHEN strand = '+' THEN pos + 300 ELSE pos + 1 END AS "end", 0 AS layer FROM tr
+  UNION ALL {_window_sql('co', 300, 1)} UNION ALL {_window_sql('co', 2000, 2)} UNION ALL {_window_sql('co', 20000, 3)}), {_layers('depth', 'n1', 'n2', 'n3')},
+kd AS (SELECT depth, n1, n2, n3, sum("end" - start) AS bases, greatest(any_value(n) * 300 / 20000000.0, n1 * any_value(k), n2 * any_value(k) * 300 / 2000, n3 * any_value(k) * 300 / 20000) AS bg FROM runs, sc WHERE depth > 0 GROUP BY depth, n1, n2, n3),
+pv AS (SELECT *, list_sum(list_transform(range(depth, depth + 400), lambda j: exp(j * ln(bg) - bg - lgamma(j + 1)))) AS p FROM kd),
+cu AS (SELECT *, p * 20000000.0 / sum(bases) OVER (ORDER BY p) AS v FROM pv), qv AS (SELECT *, least(1.0, min(v) OVER (ORDER BY p DESC)) AS q FROM cu),
+enriched AS (SELECT chrom, start, "end", r.depth, bg, p, q FROM runs r JOIN qv USING (depth, n1, n2, n3))"""
+
+
+@query(f"{_ENRICHED} SELECT chrom, start, \"end\", depth, round(bg, 8) AS background, round(p, 9) AS pvalue, round(q, 7) AS qvalue FROM enriched")
+def local_enrichment(spark: SparkSession, sf: str) -> DataFrame:
+    t = _points(spark, sf)
+    out = density.local_enrichment(t.where("id % 4 <> 0"), 20_000_000, t.where("id % 4 = 0"), 300, (2000, 20_000))
+    return out.withColumns({"background": F.round("background", 8), "pvalue": F.round("pvalue", 9), "qvalue": F.round("qvalue", 7)})
+
+
+@query(
+    f"""{_ENRICHED}, g1 AS (SELECT *, max("end" + 100) OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM enriched WHERE q <= 0.9),
+g2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start) AS g FROM g1),
+g3 AS (SELECT *, row_number() OVER (PARTITION BY chrom, g ORDER BY depth DESC, p, start) AS k, min(start) OVER (PARTITION BY chrom, g) AS a, max("end") OVER (PARTITION BY chrom, g) AS b FROM g2)
+SELECT chrom, a AS start, b AS "end", (start + "end") // 2 AS summit, depth AS height, round(bg, 8) AS background, round(p, 9) AS pvalue, round(q, 7) AS qvalue FROM g3 WHERE k = 1 AND b - a >= 300"""
+)
+def local_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    t = _points(spark, sf)
+    out = density.local_peaks(t.where("id % 4 <> 0"), 20_000_000, t.where("id % 4 = 0"), 0.9, 300, 100, (2000, 20_000))
+    return out.withColumns({"background": F.round("background", 8), "pvalue": F.round("pvalue", 9), "qvalue": F.round("qvalue", 7)})
+
+
+@query(
+    f"""{_POINTS}, tr AS (SELECT * FROM points WHERE id % 4 <> 0), co AS (SELECT * FROM points WHERE id % 4 = 0), sc AS (SELECT (SELECT count(*) FROM tr) / (SELECT count(*) FROM co) AS k),
+lay AS ({_window_sql('tr', 5000, 0, 75)} UNION ALL {_window_sql('co', 5000, 1, 75)}), {_layers('s', 'c')},
+zs AS (SELECT *, (s - k * c) / sqrt(s + k * k * c) AS z FROM runs, sc WHERE s > 0), hi AS (SELECT * FROM zs WHERE z >= 1.0),
+g1 AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hi),
+g2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start) AS g FROM g1)
+SELECT chrom, min(start) AS start, max("end") AS "end", round(max(z), 8) AS z FROM g2 GROUP BY chrom, g HAVING max(z) >= 2.5"""
+)
+def broad_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    t = _points(spark, sf)
+    return density.broad_clusters(t.where("id % 4 <> 0"), t.where("id % 4 = 0"), 5000, 75, 2.5, 1.0).withColumn("z", F.round("z", 8))
+
+
+def _maxima_sql(source: str, x: str) -> str:
+    """Local maxima of the binding score among `source`'s tags, as maxima{x}."""
+    sides = [("+", 150, 0), ("+", -150, 1), ("-", -150, 2), ("-", 150, 3)]
+    lay = " UNION ALL ".join(f"SELECT chrom, greatest(pos + {d} - 100, 0) AS start, greatest(pos + {d} + 101, 0) AS \"end\", {k} AS layer FROM {source} WHERE strand = '{s}'" for s, d, k in sides)
+    runs = _layers("fb", "fa", "ra", "rb")
+    for name in ("ev", "st", "runs", "lay"):
+        runs = re.sub(rf"\b{name}\b", name + x, runs)
+    return f"""lay{x} AS ({lay}), {runs},
+sco{x} AS (SELECT chrom, (start + "end" - 1) // 2 AS pos, 2 * sqrt((fb * ra)::DOUBLE) - fa - rb AS score FROM runs{x} WHERE fb > 0 AND ra > 0),
+cand{x} AS (SELECT * FROM sco{x} WHERE score >= 1),
+maxima{x} AS (SELECT * FROM cand{x} a WHERE NOT EXISTS (SELECT 1 FROM cand{x} b WHERE b.chrom = a.chrom AND b.pos BETWEEN a.pos - 300 AND a.pos + 300 AND (b.score > a.score OR (b.score = a.score AND b.pos < a.pos))))"""
+
+
+# Tags on both sides of a place: forward ones before it, reverse ones behind.
+_BOTH_SIDES = f"""WITH {sql('pets')}, points AS (SELECT 'chr' || tid AS chrom, pos + pet_id % 40 AS pos, '+' AS strand, 2 * pet_id AS id FROM pets
+  UNION ALL SELECT 'chr' || tid, pos + 300 - pet_id % 30, '-', 2 * pet_id + 1 FROM pets)"""
+
+
+def _both_sides(spark: SparkSession, sf: str) -> DataFrame:
+    t, chrom = _pets(spark, sf), F.concat(F.lit("chr"), F.col("tid")).alias("chrom")
+    forward = t.select(chrom, (F.col("pos") + F.col("pet_id") % 40).alias("pos"), F.lit("+").alias("strand"), (2 * F.col("pet_id")).alias("id"))
+    return forward.union(t.select(chrom, F.col("pos") + 300 - F.col("pet_id") % 30, F.lit("-"), 2 * F.col("pet_id") + 1))
+
+
+@query(
+    f"""{_BOTH_SIDES}, drawn AS (SELECT chrom, strand, id, ('0x' || substr(md5('1:' || id), 1, 12))::BIGINT % 5000000 AS pos FROM points), {_maxima_sql('points', '_a')}, {_maxima_sql('drawn', '_b')},
+sc AS (SELECT score, sum(n) AS n, sum(f) AS f FROM (SELECT score, 1 AS n, 0 AS f FROM maxima_a UNION ALL SELECT score, 0, 1 FROM maxima_b) GROUP BY 1),
+ra AS (SELECT score, n, sum(f) OVER (ORDER BY score DESC) / greatest(sum(n) OVER (ORDER BY score DESC), 1) AS fdr FROM sc)
+SELECT chrom, pos, round(score, 9) AS score, round(fdr, 9) AS fdr FROM maxima_a JOIN ra USING (score) WHERE score >= (SELECT min(score) FROM ra WHERE n > 0 AND fdr <= 0.05)"""
+)
+def binding_positions(spark: SparkSession, sf: str) -> DataFrame:
+    lengths = {f"chr{k}": 5_000_000 for k in range(4)}
+    out = density.binding_positions(_both_sides(spark, sf), lengths, 300, 100, fdr=0.05)
+    return out.withColumns({"score": F.round("score", 9), "fdr": F.round("fdr", 9)})
+
+
 # --- phasing -------------------------------------------------------------------------------------------------------
 
 
@@ -848,8 +943,11 @@ def join_pileups(spark: SparkSession, sf: str) -> DataFrame:
 
 _SEEN = "seen AS (SELECT chrom, least((s1 + e1) // 2, (s2 + e2) // 2) AS i, greatest((s1 + e1) // 2, (s2 + e2) // 2) AS j, sum(n) AS n FROM loops GROUP BY 1, 2, 3)"
 _BAND = "seg AS (SELECT DISTINCT chrom, unnest([(s1 + e1) // 2, (s2 + e2) // 2]) AS mid FROM loops), band AS (SELECT a.chrom, a.mid AS i, b.mid AS j, b.mid - a.mid AS delta FROM seg a JOIN seg b ON a.chrom = b.chrom AND b.mid - a.mid BETWEEN 5000 AND 200000)"
-_QUANT = """rk AS (SELECT delta, row_number() OVER (ORDER BY delta) - 1 AS k, greatest(count(*) OVER () // 20, 1) AS z FROM band), qs AS (SELECT delta, k, z, least(k // z, 19) AS quantile FROM rk),
+_QUANTILE = """rk AS (SELECT delta, row_number() OVER (ORDER BY delta) - 1 AS k, greatest(count(*) OVER () // {q}, 1) AS z FROM band), qs AS (SELECT delta, k, z, least(k // z, {q} - 1) AS quantile FROM rk),
 quant AS (SELECT quantile, min(delta) AS low, max(delta) AS high, (max(delta) FILTER (k = quantile * z + (z - 1) // 2) + max(delta) FILTER (k = quantile * z + z // 2)) // 2 AS median, count(*) AS pairs FROM qs GROUP BY 1)"""
+_QUANT = _QUANTILE.format(q=20)
+_MEANS = """bn AS (SELECT b.delta, coalesce(s.n, 0) AS n FROM band b LEFT JOIN seen s USING (chrom, i, j)), fq AS (SELECT delta, min(quantile) AS quantile FROM qs GROUP BY 1),
+me AS (SELECT quantile, sum(n) / count(*) AS mean FROM bn JOIN fq USING (delta) GROUP BY 1), knots AS (SELECT median AS x, avg(mean) AS y FROM me JOIN quant USING (quantile) GROUP BY 1)"""
 
 
 @query(f"{_LOOPS}, {_SEEN} SELECT chrom, mid, sum(n)::BIGINT AS total FROM (SELECT chrom, i AS mid, n FROM seen UNION ALL SELECT chrom, j, n FROM seen) GROUP BY 1, 2")
@@ -859,21 +957,43 @@ def marginals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_LOOPS}, {_BAND}, {_QUANT} SELECT * FROM quant")
 def distance_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    return significance.distance_quantiles(significance.band_pairs(significance.segments(_loops(spark, sf)), 5000, 200_000), 20)
+    return significance.distance_quantiles(significance.distance_counts(significance.segments(_loops(spark, sf)), 5000, 200_000), 20)
 
 
-@query(
-    f"""{_LOOPS}, {_SEEN}, {_BAND}, {_QUANT}, bn AS (SELECT b.delta, coalesce(s.n, 0) AS n FROM band b LEFT JOIN seen s USING (chrom, i, j)), fq AS (SELECT delta, min(quantile) AS quantile FROM qs GROUP BY 1),
-me AS (SELECT quantile, sum(n) / count(*) AS mean FROM bn JOIN fq USING (delta) GROUP BY 1) SELECT median, round(avg(mean), 9) AS mean FROM me JOIN quant USING (quantile) GROUP BY 1"""
-)
+@query(f"{_LOOPS}, {_SEEN}, {_BAND}, {_QUANT}, {_MEANS} SELECT x AS median, round(y, 9) AS mean FROM knots")
 def expected_by_distance(spark: SparkSession, sf: str) -> DataFrame:
     t = _loops(spark, sf)
-    return significance.decay(significance.band_pairs(significance.segments(t), 5000, 200_000), significance.observed(t), 20).select("median", F.round("mean", 9).alias("mean"))
-
-
-@query()
+    return significance.decay(significance.distance_counts(significance.segments(t), 5000, 200_000), significance.observed(t), 20).select("median", F.round("mean", 9).alias("mean"))
+
+
+# A natural cubic spline through the knots by elimination and back-substitution, then tails by log gamma over all pairs of the band.
+_NCHG = f"""{_LOOPS.replace("WITH", "WITH RECURSIVE", 1)}, {_SEEN}, {_BAND}, {_QUANTILE.format(q=100)}, {_MEANS},
+kn AS (SELECT *, row_number() OVER (ORDER BY x) - 1 AS k, count(*) OVER () AS z, lead(x) OVER (ORDER BY x) - x AS h, lead(y) OVER (ORDER BY x) - y AS dy FROM knots),
+st AS (SELECT k, z, h, dy, lag(h) OVER (ORDER BY k) AS g, lag(dy) OVER (ORDER BY k) AS gy FROM kn),
+fw AS (SELECT 0::BIGINT AS k, 0.0::DOUBLE AS c, 0.0::DOUBLE AS d
+  UNION ALL SELECT st.k, h / (2 * (g + h) - g * c), (6 * (dy / h - gy / g) - g * d) / (2 * (g + h) - g * c) FROM fw JOIN st ON st.k = fw.k + 1 WHERE st.k < st.z - 1),
+bw AS (SELECT (SELECT max(z) - 1 FROM st) AS k, 0.0::DOUBLE AS m UNION ALL SELECT fw.k, CASE WHEN fw.k = 0 THEN 0.0 ELSE fw.d - fw.c * bw.m END FROM bw JOIN fw ON fw.k = bw.k - 1),
+pc AS (SELECT kn.k, z, x, y, h, dy, bw.m AS m1, lead(bw.m) OVER (ORDER BY kn.k) AS m2, lead(x) OVER (ORDER BY kn.k) AS x2 FROM kn JOIN bw USING (k)),
+ln AS (SELECT min(x) AS x0, arg_min(y, x) AS y0, arg_min(dy / h - h * m2 / 6, CASE WHEN h IS NOT NULL THEN x END) AS b0, max(x) AS x1, arg_max(y, x) AS y1, arg_max(dy / h + h * m1 / 6, CASE WHEN h IS NOT NULL THEN x END) AS b1 FROM pc),
+dl AS (SELECT DISTINCT delta FROM band),
+ex AS (SELECT delta, CASE WHEN delta < x0 THEN y0 + b0 * (delta - x0) WHEN delta >= x1 THEN y1 + b1 * (delta - x1)
+  ELSE y + (delta - x) * (dy / h - h * (2 * m1 + m2) / 6 + (delta - x) * (m1 / 2 + (delta - x) * (m2 - m1) / (6 * h))) END AS e FROM dl, ln LEFT JOIN pc ON delta >= x AND delta < x2),
+be AS (SELECT chrom, i, j, e FROM band JOIN ex USING (delta)), li AS (SELECT chrom, mid, sum(e) AS l FROM (SELECT chrom, i AS mid, e FROM be UNION ALL SELECT chrom, j, e FROM be) GROUP BY 1, 2),
+ni AS (SELECT chrom, mid, sum(n)::BIGINT AS n FROM (SELECT chrom, i AS mid, n FROM seen UNION ALL SELECT chrom, j, n FROM seen) GROUP BY 1, 2),
+lt AS (SELECT chrom, sum(e) AS l FROM be GROUP BY 1), nt AS (SELECT chrom, (2 * sum(n))::BIGINT AS n FROM seen GROUP BY 1),
+ar AS (SELECT s.chrom, s.i, s.j, s.n::BIGINT AS n, greatest(b.e, 1e-20) AS e, a.n AS r, c.n AS c, nt.n AS t, x.l AS lx, y.l AS ly, lt.l AS lt FROM seen s JOIN be b USING (chrom, i, j)
+  JOIN ni a ON a.chrom = s.chrom AND a.mid = s.i JOIN ni c ON c.chrom = s.chrom AND c.mid = s.j JOIN li x ON x.chrom = s.chrom AND x.mid = s.i JOIN li y ON y.chrom = s.chrom AND y.mid = s.j
+  JOIN lt ON lt.chrom = s.chrom JOIN nt ON nt.chrom = s.chrom),
+od AS (SELECT *, greatest(0, r + c - t) AS low, CASE WHEN (lx - e) * (ly - e) > 1e-20 THEN greatest(e * (2 * lt - lx - ly + e) / ((lx - e) * (ly - e)), 0.1) END AS o FROM ar),
+lw AS (SELECT *, list_transform(range(low, least(r, c) + 1), lambda k: k * ln(o) - lgamma(k + 1) - lgamma(r - k + 1) - lgamma(c - k + 1) - lgamma(t - r - c + k + 1)) AS w FROM od),
+ew AS (SELECT *, list_transform(w, lambda v: exp(v - list_max(w))) AS x FROM lw)
+SELECT chrom, i, j, n, round(e, 7) AS expected, round(CASE WHEN o IS NULL OR n <= low THEN 1.0 ELSE least(1.0, coalesce(list_sum(x[n - low + 1:]), 0) / list_sum(x)) END + 1e-12, 7) AS pvalue FROM ew"""
+
+
+@query(_NCHG)
 def nchg_pvalues(spark: SparkSession, sf: str) -> DataFrame:
-    return significance.p_values(_loops(spark, sf), 5000, 200_000, 100)
+    t = significance.p_values(_loops(spark, sf), 5000, 200_000, 100)
+    return t.select("chrom", "i", "j", F.col("n").cast("long").alias("n"), F.round("expected", 7).alias("expected"), F.round(F.col("pvalue") + 1e-12, 7).alias("pvalue"))
 
 
 @query()

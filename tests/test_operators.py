@@ -194,10 +194,10 @@ def test_statistics(spark):
     assert [r.v for r in odd.collect()] == [0.625, None, None, 1.0]
     with_null = statistics.hochberg(frame(spark, [(1, None), (2, 0.5), (3, 0.5), (4, 0.0)], "id long, p double"), "p", "id").orderBy("id").collect()
     assert [r.padj for r in with_null] == [None, 0.5, 0.5, 0.0]
-    curve = statistics.spline([0, 1, 2, 3], [0, 1, 8, 27])
+    curve = statistics.Spline([0, 1, 2, 3], [0, 1, 8, 27])
     assert np.allclose(curve([0, 1, 2, 3]), [0, 1, 8, 27])
     assert np.allclose(np.diff(curve([3, 4, 5, 9])), [curve([4])[0] - 27] * 2 + [4 * (curve([4])[0] - 27)]) and abs((curve([3 + 1e-6])[0] - 27) / 1e-6 - (27 - curve([3 - 1e-6])[0]) / 1e-6) < 1e-3
-    assert np.allclose(statistics.spline([1, 3], [2, 6])([0, 5]), [0, 10]) and statistics.spline([4], [2])([9])[0] == 2
+    assert np.allclose(statistics.Spline([1, 3], [2, 6])([0, 5]), [0, 10]) and statistics.Spline([4], [2])([9])[0] == 2
 
 
 def test_significance(spark):
@@ -230,10 +230,10 @@ def test_false_positives_of_the_whole_band(spark):
         for q in sorted(set(begins.values())):
             inside = [n for d, n in deltas if begins[d] == q]
             knots.append(((deltas[q * size + (size - 1) // 2][0] + deltas[q * size + size // 2][0]) // 2, sum(inside) / len(inside)))
-        curve = statistics.spline(*zip(*knots, strict=True))
-        lam = {(i, j): max(float(curve([j - i])[0]), 1e-9) for i, j in band}
-        sums = {x: sum(v for c, v in lam.items() if x in c) for x in points}
-        total = 2 * sum(lam.values())
+        curve = statistics.Spline(*zip(*knots, strict=True))
+        raw = {(i, j): float(curve([j - i])[0]) for i, j in band}
+        sums = {x: sum(v for c, v in raw.items() if x in c) for x in points}
+        total, lam = 2 * sum(raw.values()), {c: max(v, 1e-20) for c, v in raw.items()}
         odd = {(i, j): max(v * (total - sums[i] - sums[j] + v) / ((sums[i] - v) * (sums[j] - v)), 0.1) for (i, j), v in lam.items() if (sums[i] - v) * (sums[j] - v) > 1e-20}
         tail = lambda c, n: statistics.noncentral_tail(n, side[c[0]], side[c[1]], 2 * sum(cells.values()), odd[c])
         return lam, {c: tail(c, n) if c in odd else 1.0 for c, n in cells.items() if c in lam}, tail, odd
