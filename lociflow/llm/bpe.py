@@ -1,14 +1,20 @@
 """Byte-level BPE by recursive DuckDB queries.
 
 Spark splits the texts by the tokenizer's pattern; each task hands their distinct words to DuckDB. There, rows (word,
-position, token) join the merge table, and a recursive query contracts each word's leftmost pair of least rank until no pair
+position, token) join the merge table, and a recursive query contracts each word's pair of least rank, the leftmost first, until no pair
 is left; a word that is a token of the vocabulary comes in as that token. Ordered aggregation turns a word's tokens back
 into bytes. A task's documents are then put together from their words.
 
-A worker remembers words: those that come again after their batch are settled, the others are forgotten when they are too many.
+Whatever a merge makes is a token, and occurs in the word at its place. So a word falls apart wherever no token of the
+vocabulary that occurs in it lies over a border (found by an automaton of all tokens), and only the parts, most of a few letters,
+go through the query; equal parts of different words are worked out once. A step contracts all of a part's pairs of its least rank,
+which are next one after the other anyway; of a run of pairs of equal tokens (aaaa) every other; and none
+behind one whose token makes another of a lower rank with its neighbours, which comes first then. So steps are as many as ranks that a part
+contracts, not as letters.
 
-Contracting one pair a step costs as many steps as a word has tokens. In long words, where no token that a pair makes can start or end a
-pair of a lower rank, all of the word's pairs of that least rank are next anyway, and are contracted in one step.
+A worker remembers words: those that come again after their batch are settled, the others are forgotten when they are too many.
+DuckDB holds all in memory (MEMORY a worker) and never spills: a part of several million letters without a border is more than
+that, and ends with DuckDB's error.
 
 Defined results: null counts as empty, and an empty text has no tokens; null or repeated doc_ids keep a row each; an
 empty table gives an empty result; other columns are not read.
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,74 +34,69 @@ from pyspark.sql import functions as F
 
 from lociflow.llm.common import in_small_batches, whole
 
-#: Words that one recursive query takes, and settled and new words that a Python worker remembers.
-QUERY_WORDS, SETTLED_WORDS, NEW_WORDS = 10_000, 300_000, 100_000
+#: Letters that one recursive query takes, and settled and new words that a Python worker remembers.
+QUERY_LETTERS, SETTLED_WORDS, NEW_WORDS = 100_000, 300_000, 100_000
+MEMORY = "600MB"
 
-# The leftmost pair of least rank of each word, a step. Positions and sizes count bytes.
+# A step contracts pairs of least rank. Positions and sizes count bytes; kind is 0 for pairs of different tokens, 1 for equal
+# ones, of which neighbours overlap. Of 2 and 3, the same, the vocabulary has tokens of a lower rank with the pair's token as a
+# part: of 2 all go up to the first whose neighbours make such a token, of 3 one at a time.
 CONTRACT = """
 WITH RECURSIVE step(word, pos, size, token, done) AS (
     SELECT word, pos, 1, token, false FROM start
   UNION ALL
     (WITH live AS MATERIALIZED (SELECT * FROM step WHERE NOT done),
      paired AS MATERIALIZED (
-        SELECT a.word, a.pos, b.pos AS next_pos, b.size AS next_size, m.rank, CAST(m.rank AS BIGINT) * 1048576 + a.pos AS place
+        SELECT a.word, a.pos, b.pos AS next_pos, b.size AS next_size, m.rank, m.kind
         FROM live a
         JOIN live b ON b.word = a.word AND b.pos = a.pos + a.size
         JOIN merges m ON m.first = a.token AND m.second = b.token),
-     best AS (
-        SELECT word, arg_min(pos, place) AS pos, arg_min(next_pos, place) AS next_pos, arg_min(next_size, place) AS next_size, min(rank) AS rank
-        FROM paired GROUP BY word)
-     SELECT l.word, l.pos, CASE WHEN l.pos = x.pos THEN l.size + x.next_size ELSE l.size END, CASE WHEN l.pos = x.pos THEN x.rank ELSE l.token END, x.word IS NULL
-     FROM live l LEFT JOIN best x ON x.word = l.word
-     WHERE x.next_pos IS NULL OR l.pos <> x.next_pos)
-)
-SELECT word, pos, token FROM step WHERE done
-"""
-
-# For long words. Positions count a word's tokens; a run of equal pairs (aaaa) is contracted at every other place.
-CONTRACT_RUNS = """
-WITH RECURSIVE step(word, pos, token, done) AS (
-    SELECT word, pos, token, false FROM start
-  UNION ALL
-    (WITH paired AS (
-        SELECT s.word, s.pos, s.token, m.rank, m.together,
-               min(m.rank) OVER (PARTITION BY s.word) AS least
-        FROM (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM step WHERE NOT done) s
-        LEFT JOIN merges m ON m.first = s.token AND m.second = s.following),
-     hits AS (
-        SELECT word, pos, together,
-               row_number() OVER (PARTITION BY word ORDER BY pos) AS nth,
-               pos - row_number() OVER (PARTITION BY word ORDER BY pos) AS run
-        FROM paired WHERE rank = least),
-     chosen AS (
-        SELECT h.word, h.pos FROM hits h LEFT JOIN alone a ON a.token = h.together
-        QUALIFY CASE WHEN a.token IS NULL THEN (row_number() OVER (PARTITION BY h.word, h.run ORDER BY h.pos)) % 2 = 1 ELSE h.nth = 1 END),
-     marked AS (
-        SELECT p.word, p.pos, p.token, p.together, p.least, c.pos IS NOT NULL AS starts,
-               lag(c.pos IS NOT NULL, 1, false) OVER (PARTITION BY p.word ORDER BY p.pos) AS ends
-        FROM paired p LEFT JOIN chosen c ON c.word = p.word AND c.pos = p.pos)
-     SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY pos) - 1 AS INTEGER), CASE WHEN starts THEN together ELSE token END, least IS NULL
-     FROM marked WHERE NOT ends)
+     least AS MATERIALIZED (SELECT word, min(rank) AS rank FROM paired GROUP BY word),
+     hits AS MATERIALIZED (SELECT p.* FROM paired p JOIN least l ON l.word = p.word AND l.rank = p.rank),
+     counted AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY pos) AS nth FROM hits WHERE kind IN (1, 3)),
+     near AS MATERIALIZED (
+        SELECT h.word, h.pos, h.rank, p.token AS before, n.token AS after FROM hits h
+        LEFT JOIN live p ON p.word = h.word AND p.pos + p.size = h.pos
+        LEFT JOIN live n ON n.word = h.word AND n.pos = h.next_pos + h.next_size
+        WHERE h.kind = 2),
+     stops AS (
+        SELECT word, min(pos) AS pos FROM (
+            SELECT s.word, s.pos FROM near s JOIN merges m ON m.first = s.before AND m.second = s.rank AND m.rank < s.rank
+          UNION ALL
+            SELECT s.word, s.pos FROM near s JOIN merges m ON m.first = s.rank AND m.second = s.after AND m.rank < s.rank
+          UNION ALL
+            SELECT s.word, s.pos FROM near s JOIN merges m ON m.first = s.rank AND m.second = s.rank AND m.rank < s.rank)
+        GROUP BY word),
+     chosen AS MATERIALIZED (
+        SELECT h.word, h.pos, next_pos, next_size, rank FROM hits h LEFT JOIN stops s ON s.word = h.word WHERE kind = 0 OR (kind = 2 AND (s.pos IS NULL OR h.pos <= s.pos))
+      UNION ALL
+        SELECT word, pos, next_pos, next_size, rank FROM counted
+        QUALIFY CASE kind WHEN 1 THEN row_number() OVER (PARTITION BY word, pos - nth * (next_pos - pos) ORDER BY pos) % 2 = 1 ELSE nth = 1 END)
+     SELECT l.word, l.pos, l.size + coalesce(c.next_size, 0), coalesce(c.rank, l.token), x.word IS NULL
+     FROM live l
+     LEFT JOIN least x ON x.word = l.word
+     LEFT JOIN chosen c ON c.word = l.word AND c.pos = l.pos
+     ANTI JOIN chosen g ON g.word = l.word AND g.next_pos = l.pos)
 )
 SELECT word, pos, token FROM step WHERE done
 """
 
 
-#: Bytes of a word from which on its equal pairs are contracted together.
-LONG_WORD = 200
-
-
 class Bpe:
     """The vocabulary of one rank file in a DuckDB connection."""
 
     def __init__(self, path: str):
+        import ahocorasick
         import duckdb
 
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
         self.bytes_of = {r: b for b, r in self.ranks.items()}
         first, second, rank, alone = [], [], [], set()
+        self.tokens = ahocorasick.Automaton()
         for token, r in self.ranks.items():
+            if len(token) > 1:
+                self.tokens.add_word(token.decode("latin-1"), len(token))
             for i in range(1, len(token)):
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
@@ -103,10 +105,11 @@ class Bpe:
                     rank.append(r)
                     # A pair that this token's part makes later than the token: contract such pairs one at a time.
                     alone.update(x for x in (a, b) if x >= r)
-        db = self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB"})
+        self.tokens.make_automaton()
+        kind = [2 * (r in alone) + int(a == b) for a, b, r in zip(first, second, rank, strict=True)]
+        db = self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         for name, table in (
-            ("merges", pa.table({"first": pa.array(first, pa.int32()), "second": pa.array(second, pa.int32()), "rank": pa.array(rank, pa.int32()), "together": pa.array(rank, pa.int32())})),
-            ("alone", pa.table({"token": pa.array(sorted(alone), pa.int32())})),
+            ("merges", pa.table({n: pa.array(v, pa.int32()) for n, v in (("first", first), ("second", second), ("rank", rank), ("kind", kind))})),
             ("vocabulary", pa.table({"token": pa.array(list(self.bytes_of), pa.int32()), "bytes": pa.array(list(self.bytes_of.values()), pa.binary())})),
         ):
             db.register("given", table)
@@ -118,24 +121,39 @@ class Bpe:
         self.new: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
 
+    def parts(self, word: bytes) -> list[bytes]:
+        """The word between the borders over which no token lies."""
+        if word in self.ranks or len(word) < 2:
+            return [word]
+        change = [0] * (len(word) + 1)
+        for end, size in self.tokens.iter(word.decode("latin-1")):
+            change[end - size + 2] += 1  # the border before the token's second letter
+            change[end + 1] -= 1
+        edges = [0, *(k for k, open_ in enumerate(itertools.accumulate(change)) if not open_ and 0 < k < len(word)), len(word)]
+        return [word[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
     def learn(self, words: list[str]) -> None:
         """Encodes and decodes words."""
-        short, long = [], []
-        for word in words:
-            raw = word.encode("utf-8", "surrogatepass")
-            (short if len(raw) <= LONG_WORD else long).append((word, raw))
-        for query, some, at_once in ((CONTRACT, short, QUERY_WORDS), (CONTRACT_RUNS, long, QUERY_WORDS // 100)):
-            for i in range(0, len(some), at_once):
-                names, raws = zip(*some[i : i + at_once], strict=True)
-                ids, pieces, edges = self.contract(list(raws), query)
-                data = memoryview(ids.tobytes())
-                self.new.update(zip(names, (bytes(data[4 * a : 4 * b]) for a, b in zip(edges[:-1], edges[1:], strict=True)), strict=True))
-                if b"".join(pieces) != b"".join(raws):
-                    for word, raw, a, b in zip(names, raws, edges[:-1], edges[1:], strict=True):
-                        if (back := b"".join(pieces[a:b])) != raw:
-                            self.odd[word] = back
-
-    def contract(self, words: list[bytes], query: str) -> tuple[np.ndarray, list[bytes], list[int]]:
+        raws = [w.encode("utf-8", "surrogatepass") for w in words]
+        split = [self.parts(raw) for raw in raws]
+        fresh = list(dict.fromkeys(p for ps in split for p in ps))
+        known: dict[bytes, tuple[bytes, bytes]] = {}  # ids and what they decode to
+        at = 0
+        while at < len(fresh):
+            some, letters = [], 0
+            while at < len(fresh) and (not some or letters + len(fresh[at]) <= QUERY_LETTERS):
+                letters += len(fresh[at])
+                some.append(fresh[at])
+                at += 1
+            ids, pieces, edges = self.contract(some)
+            data = memoryview(ids.tobytes())
+            known.update((p, (bytes(data[4 * a : 4 * b]), b"".join(pieces[a:b]))) for p, a, b in zip(some, edges[:-1], edges[1:], strict=True))
+        for word, raw, ps in zip(words, raws, split, strict=True):
+            self.new[word] = b"".join([known[p][0] for p in ps])
+            if (back := b"".join([known[p][1] for p in ps])) != raw:
+                self.odd[word] = back
+
+    def contract(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes], list[int]]:
         """Token ids and bytes of all words in a row, and len + 1 offsets of each word's."""
         whole = [self.ranks.get(w) for w in words]
         sizes = np.array([len(w) if t is None else 1 for w, t in zip(words, whole, strict=True)])
@@ -152,7 +170,7 @@ class Bpe:
         self.db.execute("CREATE OR REPLACE TEMP TABLE start AS SELECT * FROM given")
         self.db.unregister("given")
         found = self.db.sql(
-            f"SELECT list(e.token ORDER BY pos) AS ids, list(v.bytes ORDER BY pos) AS back FROM ({query}) e JOIN vocabulary v ON v.token = e.token GROUP BY word ORDER BY word"
+            f"SELECT list(e.token ORDER BY pos) AS ids, list(v.bytes ORDER BY pos) AS back FROM ({CONTRACT}) e JOIN vocabulary v ON v.token = e.token GROUP BY word ORDER BY word"
         ).to_arrow_table()
         ids, parts = found["ids"].combine_chunks(), found["back"].combine_chunks()
         return ids.flatten().to_numpy().astype("<u4"), parts.flatten().to_pylist(), ids.offsets.to_numpy().tolist()

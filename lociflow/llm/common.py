@@ -207,17 +207,6 @@ def _letters_of(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple
     return data[starts[span] + place], span, place
 
 
-def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """data[starts[i]:ends[i]] of all spans in a row, each followed by a space, and where each begins."""
-    size = ends - starts
-    begin = np.concatenate(([0], np.cumsum(size + 1)))
-    out = np.full(begin[-1], 32, np.uint8)
-    for i, j in blocks(begin):
-        letters, span, place = _letters_of(data, starts[i:j], size[i:j])
-        out[begin[i:j][span] + place] = letters
-    return out, begin[:-1]
-
-
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, kinds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
     """64-bit hashes of words, one for each of `kinds` (0, 1), which are independent.
 

@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import BYTE_VALUES, U64, blocks, counted, flat, gathered, in_small_batches, mix, powers, stored, whole, word_hashes, word_spans
+from lociflow.llm.common import BYTE_VALUES, SPACE_BYTES, U64, blocks, counted, flat, in_small_batches, mix, powers, stored, whole, word_hashes, words
 
 MAX_GROUP = 16_384
 SHARD_PIECES = 3000
 _PLACE = U64((1 << 28) - 1)
+_SPACED = bytes(32 if k in SPACE_BYTES else k for k in range(256))
 PIECE = ["anchor", "piece_a", "piece_b"]
 TEXT = ["text_a", "text_b"]
 _PIECE = ", ".join(f"{c} long" for c in PIECE)
@@ -41,17 +42,22 @@ class Units:
     gram: int
 
     def of(self, data: np.ndarray, offsets: np.ndarray) -> Laid:
+        """Values choose anchors only: they don't have to tell units apart, but equal ones must have equal values."""
         if self.kind == "bytes":
             return Laid(BYTE_VALUES[data], offsets, np.arange(len(data)), np.arange(1, len(data) + 1))
-        starts, ends, at = word_spans(data, offsets)
-        return Laid(word_hashes(data, starts, ends)[0], at, starts, ends)
+        starts, ends, values, at = words(data, offsets)
+        return Laid(values, at, starts, ends)
 
-    def content(self, data: np.ndarray, laid: Laid) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """The units' bytes, words parted by one space, and where each unit begins and ends there."""
-        if self.kind == "bytes":
-            return data.tobytes(), laid.starts, laid.ends
-        out, begin = gathered(data, laid.starts, laid.ends)
-        return out.tobytes(), begin, begin + laid.ends - laid.starts
+    def exact(self, data: np.ndarray, laid: Laid) -> np.ndarray:
+        """Values that tell units apart."""
+        return laid.values if self.kind == "bytes" else word_hashes(data, laid.starts, laid.ends)[0]
+
+    def odd_gaps(self, laid: Laid) -> np.ndarray:
+        """How many words before each aren't parted from the next by one white space."""
+        odd = np.zeros(len(laid.values) + 1, np.int32)
+        if self.kind == "words":
+            np.cumsum(laid.starts[1:] != laid.ends[:-1] + 1, out=odd[1:-1])
+        return odd
 
 
 @dataclass
@@ -71,9 +77,15 @@ class Pieces:
     anchor: np.ndarray
 
     def bytes_of(self, units: Units, data: np.ndarray, laid: Laid, some: np.ndarray | None = None) -> list[bytes]:
-        raw, begin, end = units.content(data, laid)
+        """The pieces' bytes, words parted by one space each."""
         first, count = (self.first, self.count) if some is None else (self.first[some], self.count[some])
-        return [raw[a:b] for a, b in zip(begin[first].tolist(), end[first + count + units.window - 2].tolist(), strict=True)]
+        last = first + count + units.window - 2
+        odd = units.odd_gaps(laid)
+        raw = data.tobytes() if units.kind == "bytes" else data.tobytes().translate(_SPACED)
+        out = [raw[a:b] for a, b in zip(laid.starts[first].tolist(), laid.ends[last].tolist(), strict=True)]
+        for k in np.flatnonzero(odd[last] > odd[first]).tolist():
+            out[k] = b" ".join(out[k].split())
+        return out
 
 
 def digests(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +233,7 @@ def _windows(units: Units) -> Callable:
             laid = units.of(data, offsets)
             number = np.diff(laid.at) - units.window + 1
             place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-            hashes = window_hashes(laid.values, np.repeat(laid.at[:-1], number) + place, units.window)
+            hashes = window_hashes(units.exact(data, laid), np.repeat(laid.at[:-1], number) + place, units.window)
             own = [pa.array(np.repeat(batch.column(k).to_numpy(), number)) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*map(_signed, hashes), *own, pa.array(place.astype(np.int32))], ["hash_a", "hash_b", *PIECE, "place"])
 

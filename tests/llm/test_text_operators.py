@@ -372,17 +372,42 @@ def test_bpe(docs, empty):
     assert encode(empty, path, P.PATTERN).count() == 0
 
 
-def test_bpe_queries_agree():
-    """Both recursive queries, on words long and short."""
+def test_bpe_of_odd_words():
+    """Words of equal letters, alternating ones, without borders and with nothing but borders, as the tokenizer's library has them,
+    and in a time that grows with their letters."""
+    import time
+
+    import public_tokenizers as P
+    import tiktoken
+
+    from lociflow.llm import bpe as B
+
+    b = B.tokenizer(P.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=b.ranks, special_tokens={})
+    r = np.random.default_rng(4)
+    letters = lambda n, of: "".join(r.choice(list(of), n))
+    words = ["aaaaaaaa", "aaaaaaa", "banana" * 9, "überraschung", " the" * 7, "x" * 150, "éèê" * 20, "ab" * 500, "aab" * 333, "abcabd" * 99, "", "\ud800"]
+    words += [letters(n, "aab") for n in range(1, 120)] + [letters(n, "中文字漢ab") for n in range(1, 60)] + [letters(80, " \u3000🙂\u0301a") for _ in range(60)]
+    words += [letters(3000, "etaoinshrdlu"), "thequickbrownfoxjumpsoverthelazydog" * 40]
+    words = [w for w in dict.fromkeys(words) if w and "\ud800" not in w]
+    for word, ids in zip(words, b.find(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain._encode_single_piece(word), word[:40]
+    start = time.time()
+    many = [letters(190, "abcdefghijklmnopqrstuvwxyz") for _ in range(2000)]
+    long = [letters(100_000, "abcdefghijklmnopqrstuvwxyz"), "a" * 100_000, "ab" * 50_000]
+    found = b.find(many + long)
+    assert time.time() - start < 30  # seconds where nothing else runs
+    for word, ids in zip(many[::100] + long, found[:2000:100] + found[2000:], strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain._encode_single_piece(word)
+
+
+def test_bpe_never_spills():
     import public_tokenizers as P
 
     from lociflow.llm import bpe as B
 
     b = B.tokenizer(P.path("byte_bpe_multi_50k.tiktoken"))
-    words = [w.encode() for w in ("aaaaaaaa", "aaaaaaa", "banana" * 9, "überraschung", " the" * 7, "x" * 150, "éèê" * 20)]
-    (ids, parts, edges), (ids2, parts2, edges2) = (b.contract(words, q) for q in (B.CONTRACT, B.CONTRACT_RUNS))
-    assert ids.tolist() == ids2.tolist() and parts == parts2 and edges == edges2
-    assert b"".join(parts) == b"".join(words)
+    assert b.db.execute("SELECT current_setting('temp_directory')").fetchone()[0] == ""
 
 
 def test_bpe_remembers_and_forgets(monkeypatch):
