@@ -64,10 +64,51 @@ def query(pairs: DataFrame, text: str, separator: str = "|", flip: bool = False)
     return pairs.where(a.holds("chr1", "pos1") & b.holds("chr2", "pos2"))
 
 
+#: Widths of the cells of a region list's grid: the levels of regions' sides.
+CELL, WIDER, LEVELS = 1 << 12, 8, 7
+_SIDE = tuple[int, str, int, int]  # level, chromosome, first and last cell
+
+
+def _side(region: Region) -> _SIDE:
+    """Where a side of a query is looked up: -2 all chromosomes, -1 a whole one, else cells of the level that is as wide as it is long."""
+    if region.chrom is None:
+        return -2, "", 0, 0
+    if (region.start, region.end) == (0, OPEN_END):
+        return -1, region.chrom, 0, 0
+    first, last = region.start + 1, max(region.end, region.start + 1)
+    level = next((k for k in range(LEVELS) if last - first < CELL * WIDER**k), LEVELS - 1)
+    width = CELL * WIDER**level
+    return level, region.chrom, first // width, last // width
+
+
+def _cell(level: int, chrom: str, pos: str) -> list[Column]:
+    if level == -2:
+        return [F.lit(""), F.lit(0).cast("long")]
+    return [F.col(chrom), F.lit(0).cast("long") if level == -1 else F.floor(F.col(pos) / (CELL * WIDER**level))]
+
+
 def query_list(pairs: DataFrame, texts: list[str], separator: str = "|") -> DataFrame:
-    """Rows of each query, with its number; a row comes once for each query that it answers."""
-    hit = F.array(*(F.when(a.holds("chr1", "pos1") & b.holds("chr2", "pos2"), F.lit(k)) for k, (a, b) in enumerate(parse_query(t, separator) for t in texts)))
-    return pairs.withColumn("query", F.explode(F.array_compact(hit)))
+    """Rows of each query, with its number; a row comes once for each query that it answers.
+
+    Queries lie in cells of a two-dimensional grid, at a level for each side that is as wide as the side is long, wildcards in one cell
+    without a chromosome. A pair looks up one cell for each pair of levels that occurs: a handful, whatever the list's length. The join is an
+    equi-join with a small table, which the planner broadcasts by its size."""
+    rows, kinds = [], set()
+    for number, text in enumerate(texts):
+        a, b = parse_query(text, separator)
+        (p, chr1, x1, x2), (q, chr2, y1, y2) = _side(a), _side(b)
+        kinds.add((p, q))
+        bounds = (-1 if p < 0 else a.start, OPEN_END * 4 if p < 0 else a.end, -1 if q < 0 else b.start, OPEN_END * 4 if q < 0 else b.end)
+        rows += [(number, p * 100 + q, chr1, x, chr2, y, *bounds) for x in range(x1, x2 + 1) for y in range(y1, y2 + 1)]
+    schema = "query int, _kind int, _c1 string, _x long, _c2 string, _y long, _s1 long, _e1 long, _s2 long, _e2 long"
+    table = pairs.sparkSession.createDataFrame(rows, schema)
+    names = ["_kind", "_c1", "_x", "_c2", "_y"]
+    cells = [F.struct(*(c.alias(n) for c, n in zip((F.lit(p * 100 + q), *_cell(p, "chr1", "pos1"), *_cell(q, "chr2", "pos2")), names, strict=True))) for p, q in sorted(kinds)]
+    if not cells:
+        return pairs.withColumn("query", F.lit(None).cast("int")).where("false")
+    found = pairs.select("*", F.inline(F.array(*cells))).join(table, names)
+    inside = (F.col("pos1") > F.col("_s1")) & (F.col("pos1") <= F.col("_e1")) & (F.col("pos2") > F.col("_s2")) & (F.col("pos2") <= F.col("_e2"))
+    return found.where(inside).select(*pairs.columns, "query")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:

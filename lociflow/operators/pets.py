@@ -5,13 +5,12 @@ Columns: tid, pos, endpos, strand of the first tag and mtid, mpos, mendpos, mstr
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from lociflow.functions.lineage import counted, kept
 from lociflow.functions.overlap import centre_span, outer_span
+from lociflow.operators.graphs import components
 from lociflow.operators.intervals import number_sides
 
 SIDES = (("tid", "mtid"), ("pos", "mpos"), ("endpos", "mendpos"), ("strand", "mstrand"))
@@ -123,46 +122,72 @@ def first_pass_clusters(extended: DataFrame) -> DataFrame:
     return first_pass_bins(extended).groupBy("tid", "mtid", "island1", "island2").agg(*box, F.count(F.lit(1)).alias("n"))
 
 
-def _closure(boxes: pd.DataFrame) -> pd.DataFrame:
-    """Merges boxes that overlap on both sides until none do. Growing a box only adds overlaps, so the end is unique."""
-    rows, before = boxes[["s1", "e1", "s2", "e2", "n"]], len(boxes) + 1
-    while 1 < len(rows) < before:
-        before = len(rows)
-        rows = rows.sort_values(["s1", "e1", "s2", "e2"], ignore_index=True)
-        s1, e1, s2, e2, _ = rows.to_numpy().T
-        root = np.arange(len(rows))
-        live = np.zeros(0, np.int64)  # boxes that reach as far as here on the first side
-        for k in range(len(rows)):
-            live = live[e1[live] >= s1[k]]
-            hit = live[(s2[live] <= e2[k]) & (s2[k] <= e2[live])]
-            if len(hit):
-                roots = np.unique(root[hit])
-                root[k] = roots[0]
-                if len(roots) > 1:
-                    root[np.isin(root, roots)] = roots[0]
-            live = np.append(live, k)
-        rows = rows.groupby(root, as_index=False).agg({"s1": "min", "e1": "max", "s2": "min", "e2": "max", "n": "sum"})
-    return rows.sort_values(["s1", "e1", "s2", "e2"], ignore_index=True)
+BOX = ["tid", "mtid", "s1", "e1", "s2", "e2"]
+#: How much wider the cells of the next level are, for boxes of any size; the widest cells are 2 ** 36 bases.
+CELL, WIDER, LEVELS = 512, 8, 10
+
+
+def _common_points(boxes: DataFrame) -> DataFrame:
+    """a, b: each box with the first box that holds the same point of a grid as it does.
+
+    A box has points at the multiples of a power of two that is at most its side's length, so one to three on either side;
+    those of larger boxes are points of smaller ones' grids too."""
+    points = []
+    for s, e in (("s1", "e1"), ("s2", "e2")):
+        step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.col(e) - F.col(s) + 1, F.lit(1)).cast("double")))).cast("long")
+        points.append(F.sequence(F.ceil(F.col(s) / step) * step, F.floor(F.col(e) / step) * step, step))
+    t = boxes.select("tid", "mtid", "id", points[0].alias("_x"), points[1].alias("_y")).withColumn("x", F.explode("_x")).withColumn("y", F.explode("_y"))
+    at = ["tid", "mtid", "x", "y"]
+    first = t.groupBy(*at).agg(F.min("id").alias("b"), F.max("id").alias("_last")).where("b < _last").drop("_last")
+    return t.join(first, at).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+
+
+def _overlapping(boxes: DataFrame) -> DataFrame:
+    """a, b: pairs of boxes that overlap on both sides. They meet in cells of a grid, at the level of the larger box, where either
+    touches two cells a side at most; a pair counts in the cell of the later starts."""
+    size = F.greatest(F.col("e1") - F.col("s1"), F.col("e2") - F.col("s2")) + 1
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(size <= CELL * WIDER**k, k).otherwise(level)
+    t = boxes.withColumn("_own", level)
+    levels = sorted(r[0] for r in t.select("_own").distinct().collect())  # a handful of numbers
+    width = F.element_at(F.array(*(F.lit(CELL * WIDER**k) for k in range(LEVELS))), F.col("level") + 1)
+    t = t.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda k: k >= F.col("_own"))))
+    for s, e, n in (("s1", "e1", "x"), ("s2", "e2", "y")):
+        t = t.withColumn(n, F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width))))
+    names = ["tid", "mtid", "level", "x", "y"]
+    one, two = (t.select(*names, *(F.col(c).alias(f"{c}_{k}") for c in ("id", "_own", "s1", "e1", "s2", "e2"))) for k in "ab")
+    meet = (F.col("s1_a") <= F.col("e1_b")) & (F.col("s1_b") <= F.col("e1_a")) & (F.col("s2_a") <= F.col("e2_b")) & (F.col("s2_b") <= F.col("e2_a"))
+    once = (F.floor(F.greatest("s1_a", "s1_b") / width) == F.col("x")) & (F.floor(F.greatest("s2_a", "s2_b") / width) == F.col("y")) & (F.greatest("_own_a", "_own_b") == F.col("level"))
+    return one.join(two, names).where((F.col("id_a") < F.col("id_b")) & meet & once).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+def closed_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes (tid, mtid, s1, e1, s2, e2, n) merged until no two overlap on both sides. Growing a box only adds overlaps, so the end is
+    unique.
+
+    A round links boxes with the first that shares a grid point with them, and contracts what is linked to grown boxes. Only where
+    no two share a point any more, so that few can overlap one place, overlapping pairs are listed and contracted."""
+    boxes = counted(boxes.select(*BOX, "n").withColumn("id", F.monotonically_increasing_id()))[0]
+    pairs_next = False
+    while True:
+        edges, seen = counted(_overlapping(boxes) if pairs_next else _common_points(boxes))
+        if not seen["rows"]:
+            if pairs_next:
+                return boxes.drop("id")
+            pairs_next = True
+            continue
+        pairs_next = False
+        roots = components(edges)
+        grown = boxes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("id", F.coalesce("root", "id"))
+        box = [F.min("s1").alias("s1"), F.max("e1").alias("e1"), F.min("s2").alias("s2"), F.max("e2").alias("e2"), F.sum("n").alias("n")]
+        boxes = kept(grown.groupBy("tid", "mtid", "id").agg(*box).select(*BOX, "n", "id"))
 
 
 def refined_clusters(extended: DataFrame) -> DataFrame:
-    """Bounding boxes of tags that overlap, directly or through others, on both sides at once.
-
-    Equal windows are added up first; bins with one kind of window need no closure and stay in the JVM."""
-    key = ["tid", "mtid", "island1", "island2"]
-    kinds = first_pass_bins(extended).groupBy(*key, "s1", "e1", "s2", "e2").agg(F.count(F.lit(1)).alias("n"))
-    sized = kinds.withColumn("_kinds", F.count(F.lit(1)).over(Window.partitionBy(*key)))
-    schema = "tid long, mtid long, s1 long, e1 long, s2 long, e2 long, n long"
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        out = _closure(group)
-        out.insert(0, "tid", group["tid"].iloc[0])
-        out.insert(1, "mtid", group["mtid"].iloc[0])
-        return out
-
-    alone = sized.where("_kinds = 1").select(*(F.col(c).cast("long").alias(c) for c in ("tid", "mtid", "s1", "e1", "s2", "e2", "n")))
-    many = sized.where("_kinds > 1").drop("_kinds").groupBy(*key).applyInPandas(run, schema)
-    return alone.unionByName(many)
+    """Bounding boxes of tags that overlap, directly or through others, on both sides at once. Equal windows are added up first."""
+    kinds = extended.select(*(F.col(c).cast("long").alias(c) for c in BOX)).groupBy(*BOX).agg(F.count(F.lit(1)).alias("n"))
+    return closed_boxes(kinds)
 
 
 def spectrum(clusters: DataFrame, top: int = 10) -> DataFrame:

@@ -270,7 +270,7 @@ def test_phasing(spark):
     peaks = frame(spark, [(1, "c", 0, 10), (2, "c", 20, 30), (3, "c", 40, 50), (4, "c", 60, 70)], "id long, chrom string, start long, end long")
     snps = frame(spark, [("c", 1, 5, "P"), ("c", 10, 5, "M"), ("c", 25, 9, "N"), ("c", 26, 9, "P"), ("c", 45, 1, "M")], "chrom string, pos long, coverage long, allele string")
     phased = phasing.peak_phase(peaks, snps)
-    assert {r.id: r.phase for r in phased.collect()} == {1: "Mix", 2: "Unphased", 3: "M"}
+    assert {r.id: r.phase for r in phased.collect()} == {1: "Mix", 2: "Unphased", 3: "M", 4: "Unphased"}
     loop = frame(spark, [(1, "c", 41, 42, 44, 46, 3)], "loop_id long, chrom string, s1 long, e1 long, s2 long, e2 long, n long")
     assert phasing.loop_phase(loop, peaks.join(phased, "id")).first().phase == "Maternal"
     assert phasing.allele_bias(frame(spark, [(1, 0, 40), (2, 5, 5)], "id long, p long, m long")).where("biased = 'Yes'").first().id == 1
