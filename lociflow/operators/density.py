@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -179,11 +179,15 @@ def local_maxima(runs: DataFrame, distance: int) -> DataFrame:
     return best.join(beaten.select("chrom", "_bin").distinct(), ["chrom", "_bin"], "left_anti").select("chrom", "pos", "score")
 
 
+def _drawn(seed: int, key: str) -> Column:
+    """A number below 16 ** 12 from a hash of the seed and `key`."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 12), 16, 10).cast("long")
+
+
 def redrawn(tags: DataFrame, lengths: dict[str, int], seed: int = 1, key: str = "id") -> DataFrame:
     """Tags on their own strand at places that a hash of the seed and `key` draws from the whole chromosome (a row of `lengths` each)."""
-    digest = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 12), 16, 10).cast("long")
     length = F.element_at(F.create_map(*(F.lit(x) for item in lengths.items() for x in item)), F.col("chrom"))
-    return tags.withColumn("pos", digest % length)
+    return tags.withColumn("pos", _drawn(seed, key) % length)
 
 
 def binding_positions(tags: DataFrame, lengths: dict[str, int], separation: int, half: int, distance: int | None = None, fdr: float = 0.01, least: float = 1.0, seed: int = 1, key: str = "id") -> DataFrame:
@@ -204,3 +208,49 @@ def separation_of(correlation: DataFrame, least: int = 0) -> int:
     """The shift at which forward and reverse tags meet most, the smallest of equals: one number."""
     top = correlation.where(F.col("shift") >= least).orderBy(F.desc("n"), "shift").first()
     return int(top["shift"]) if top else 0
+
+
+def nested_counts(tags: DataFrame, control: DataFrame, shares: tuple[float, ...], width: int = 1000, seed: int = 1, key: str = "id") -> DataFrame:
+    """chrom, bin, background, and signal1, signal2, ...: tags of each bin in nested subsamples, one for each of the growing `shares`.
+
+    A tag's hash puts it into every subsample whose share is above it, so one pass counts them all."""
+    drawn = _drawn(seed, key)
+    names = [f"signal{k}" for k in range(1, len(shares) + 1)]
+    at = F.floor(F.col("pos") / width).alias("bin")
+    own = tags.select("chrom", at, F.lit(0).alias("background"), *((drawn < math.floor(f * 16**12)).cast("int").alias(n) for n, f in zip(names, shares, strict=True)))
+    other = control.select("chrom", at, F.lit(1).alias("background"), *(F.lit(0).alias(n) for n in names))
+    return own.union(other).groupBy("chrom", "bin").agg(*(F.sum(c).alias(c) for c in ("background", *names)))
+
+
+def saturation(tags: DataFrame, control: DataFrame, shares: tuple[float, ...] = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0), width: int = 1000, p: float = 1e-3, accept: float = 0.99, seed: int = 1, key: str = "id") -> DataFrame:
+    """depth, tags, mser: of each subsample but the first its number of tags and its minimal saturated enrichment ratio.
+
+    A bin is found in a subsample if its count has a Poisson p-value of at most `p` over the scaled control (and one more). The ratio is the least
+    fold, in tenths, from which on `accept` of the bins found were found in the subsample before; null if there is none. Its
+    dependency on the number of tags: `interpolated`. Folds that occur are few, so the running sums see a row for each."""
+    names = [f"signal{k}" for k in range(1, len(shares) + 1)]
+    t = kept(nested_counts(tags, control, shares, width, seed, key))
+    totals = t.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("background", *names))).first()  # a number a subsample
+    expected = [(F.col("background") + 1) * (totals[n] / (totals["background"] or 1)) for n in names]
+    fold = lambda n, e: F.floor(10 * F.col(n) / e)
+    each = F.array(*(F.struct(F.col(n).alias("n"), e.alias("mean"), fold(n, e).alias("fold"), F.lit(k).alias("depth")) for k, (n, e) in enumerate(zip(names, expected, strict=True))))
+    found = t.select("chrom", "bin", F.inline(each)).where((F.col("n") > 0) & (F.col("n") > F.col("mean"))).withColumn("p", poisson_p("n", "mean")).where(F.col("p") <= p)
+    before = F.lag("depth").over(Window.partitionBy("chrom", "bin").orderBy("depth"))
+    counts = found.select("depth", "fold", F.coalesce(before == F.col("depth") - 1, F.lit(False)).cast("int").alias("again")).where("depth > 0")
+    counts = counts.groupBy("depth", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("again").alias("again"))
+    down = Window.partitionBy("depth").orderBy(F.desc("fold")).rowsBetween(Window.unboundedPreceding, 0)
+    share = F.sum("again").over(down) / F.sum("n").over(down)
+    least = counts.withColumn("share", share).groupBy("depth").agg(F.min(F.when(F.col("share") >= accept, F.col("fold"))).alias("mser"))
+    sizes = tags.sparkSession.createDataFrame([(k, int(totals[n])) for k, n in enumerate(names)][1:], "depth int, tags long")
+    return sizes.join(least, "depth", "left").select("depth", "tags", (F.col("mser") / 10).alias("mser"))
+
+
+def interpolated(ratios: DataFrame, tags: int) -> float | None:
+    """The ratio that a line through log(tags), log(mser) of a few subsamples has at a number of tags."""
+    points = [(math.log(r["tags"]), math.log(r["mser"])) for r in ratios.collect() if r["mser"]]  # a row a subsample
+    if len(points) < 2:
+        return math.exp(points[0][1]) if points else None
+    x, y = (sum(v) / len(points) for v in zip(*points, strict=True))
+    spread = sum((a - x) ** 2 for a, _ in points)
+    slope = sum((a - x) * (b - y) for a, b in points) / spread if spread else 0.0
+    return math.exp(y + slope * (math.log(tags) - x))

@@ -829,6 +829,15 @@ def binding_positions(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({"score": F.round("score", 9), "fdr": F.round("fdr", 9)})
 
 
+@query(
+    f"""{_POINTS}, h AS (SELECT *, ('0x' || substr(md5('1:' || id), 1, 12))::BIGINT AS d FROM points) SELECT chrom, pos // 10000 AS bin, count(*) FILTER (id % 4 = 0) AS background,
+count(*) FILTER (id % 4 <> 0 AND d < floor(0.25 * 281474976710656)) AS signal1, count(*) FILTER (id % 4 <> 0 AND d < floor(0.5 * 281474976710656)) AS signal2, count(*) FILTER (id % 4 <> 0) AS signal3 FROM h GROUP BY 1, 2"""
+)
+def nested_tag_counts(spark: SparkSession, sf: str) -> DataFrame:
+    t = _points(spark, sf)
+    return density.nested_counts(t.where("id % 4 <> 0"), t.where("id % 4 = 0"), (0.25, 0.5, 1.0), 10_000)
+
+
 # --- phasing -------------------------------------------------------------------------------------------------------
 
 

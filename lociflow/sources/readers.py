@@ -173,6 +173,55 @@ def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return t.select(F.regexp_extract("value", r"^(\S+)", 1).alias("name"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n", ""), r"\s", "").alias("seq"))
 
 
+#: Bases of a chunk of a sequence.
+CHUNK = 1 << 16
+
+
+def read_fasta_chunks(spark: SparkSession, path: str | list[str], size: int = CHUNK) -> DataFrame:
+    """name, chunk, seq: records cut into chunks of `size` bases, numbered from 0, so that a chromosome is many rows.
+
+    A line's place in its record is what the lines before it in its block of the file hold, and, before a block's first header, what the
+    blocks before hold of the same record: sums within a block, then a row a block."""
+    t = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    t = t.withColumn("_at", F.monotonically_increasing_id()).where("value <> ''").withColumn("_head", F.col("value").startswith(">"))
+    bases = F.when(F.col("_head"), 0).otherwise(F.length("value"))
+    name = F.when(F.col("_head"), F.regexp_extract("value", r"^>\s*(\S*)", 1))
+    here = Window.partitionBy("_file", "_block").orderBy("_at")
+    t = t.withColumns({"_size": bases, "_name": name, "_record": F.count_if("_head").over(here.rowsBetween(Window.unboundedPreceding, 0))})
+    own = Window.partitionBy("_file", "_block", "_record").orderBy("_at")
+    t = t.withColumns({"_name": F.max("_name").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "_offset": F.coalesce(F.sum("_size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    parts = t.groupBy("_file", "_block", "_record").agg(F.max("_name").alias("_name"), F.sum("_size").alias("_size"))
+    last = parts.groupBy("_file", "_block").agg(F.max_by(F.struct("_name", "_size"), "_record").alias("_l"), (F.max("_record") > 0).alias("_heads"))
+    upto = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    last = last.withColumn("_run", F.count_if("_heads").over(upto))
+    run = Window.partitionBy("_file", "_run").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    last = last.select("_file", "_block", F.max("_l._name").over(run).alias("_name"), F.sum("_l._size").over(run).alias("_size"))
+    prior = Window.partitionBy("_file").orderBy("_block")
+    carried = last.select("_file", "_block", F.lag("_name").over(prior).alias("_carried"), F.lag("_size").over(prior).alias("_carry"))
+    first = F.col("_record") == 0
+    t = t.join(carried, ["_file", "_block"]).where("NOT _head")
+    t = t.select(F.when(first, F.col("_carried")).otherwise(F.col("_name")).alias("name"), (F.col("_offset") + F.when(first, F.coalesce("_carry", F.lit(0))).otherwise(0)).alias("at"), "value").where("name IS NOT NULL")
+    chunks = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.length("value") - 1) / size))
+    t = t.withColumn("chunk", F.explode(chunks))
+    begin = F.greatest(F.col("chunk") * size - F.col("at"), F.lit(0)).cast("int")
+    end = F.least((F.col("chunk") + 1) * size - F.col("at"), F.length("value")).cast("int")
+    pieces = t.select("name", "chunk", F.struct((F.col("at") + begin).alias("at"), F.substring("value", begin + 1, end - begin).alias("part")).alias("piece"))
+    return pieces.groupBy("name", "chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["part"]), "").alias("seq"))
+
+
+def fetch_ranges(chunks: DataFrame, regions: DataFrame, size: int = CHUNK) -> DataFrame:
+    """regions(name, start, end; 1-based, closed, and other columns) with their bases from `read_fasta_chunks`: each is joined with
+    the chunks that it touches, and put together in their order. Places beyond a sequence's end have no bases; regions of unknown names go."""
+    t = regions.withColumn("_id", F.monotonically_increasing_id())
+    wanted = t.select("_id", "name", "start", "end", F.explode(F.sequence(F.floor((F.greatest("start", F.lit(1)) - 1) / size), F.floor((F.greatest("end", F.lit(1)) - 1) / size))).alias("chunk"))
+    begin = F.greatest(F.col("start") - 1 - F.col("chunk") * size, F.lit(0)).cast("int")
+    end = F.least(F.col("end") - F.col("chunk") * size, F.lit(size)).cast("int")
+    parts = wanted.join(chunks, ["name", "chunk"]).select("_id", F.struct("chunk", F.substring("seq", begin + 1, F.greatest(end - begin, F.lit(0))).alias("part")).alias("part"))
+    bases = parts.groupBy("_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["part"]), "").alias("bases"))
+    known = t.join(chunks.select("name").distinct(), "name", "left_semi")
+    return known.join(bases, "_id", "left").select(*regions.columns, F.coalesce("bases", F.lit("")).alias("bases"))
+
+
 def fetch(sequences: DataFrame, regions: DataFrame) -> DataFrame:
     """regions(name, start, end; 1-based, closed) with their bases."""
     return regions.join(sequences, "name").withColumn("bases", F.substring("seq", F.col("start"), F.col("end") - F.col("start") + 1)).drop("seq")
@@ -225,6 +274,7 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
 # 1-based places of name, strand, chromosome and position in the outputs of short-read aligners, what a position
 # counts from, and how the reverse strand is written.
 ALIGNERS = {"bowtie": (1, 2, 3, 4, 0, "-"), "eland": (1, 9, 7, 8, 1, "R"), "maq": (1, 4, 2, 3, 1, "-")}
+REVERSE_FLAG = 16
 
 
 def read_aligner(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
@@ -236,6 +286,29 @@ def read_aligner(spark: SparkSession, path: str | list[str], kind: str) -> DataF
     return t.where("chrom <> '' AND pos IS NOT NULL")
 
 
+def tags_of(alignments: DataFrame) -> DataFrame:
+    """name, chrom, pos, strand, length, quality of mapped alignments (the SAM columns): pos is the 5' end, 1-based, and length the bases
+    of the reference that are taken."""
+    length = F.greatest(reference_length(F.col("cigar"), "MDN=X"), F.lit(1))
+    reverse = F.col("flag").bitwiseAND(REVERSE_FLAG) != 0
+    mapped = alignments.where((F.col("flag").bitwiseAND(4) == 0) & (F.col("rname") != "*") & (F.col("pos") > 0))
+    pos = F.col("pos").cast("long") + F.when(reverse, length - 1).otherwise(0)
+    return mapped.select(F.col("qname").alias("name"), F.col("rname").alias("chrom"), pos.alias("pos"), F.when(reverse, "-").otherwise("+").alias("strand"), length.alias("length"), F.col("mapq").alias("quality"))
+
+
+def read_alignment_tags(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """`tags_of` a SAM file."""
+    return tags_of(read_sam(spark, path))
+
+
+def read_meland(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """chrom, pos, strand, length of tags in a modified BED file of matches of varying length: chromosome, start, end (half-open), a
+    name or mismatches, a score, strand. pos is the 5' end, 1-based."""
+    t = _lines(spark, path).select(*_typed(F.split("value", r"\s+"), "chrom string, start long, end long, name string, score string, strand string"))
+    pos = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start") + 1)
+    return t.where("start IS NOT NULL AND end IS NOT NULL").select("chrom", pos.alias("pos"), F.when(F.col("strand") == "-", "-").otherwise("+").alias("strand"), (F.col("end") - F.col("start")).alias("length"))
+
+
 def merge_lanes(spark: SparkSession, first: list[str], second: list[str]) -> DataFrame:
     """Mates of several lanes: lane, pair_id, seq1, qual1, seq2, qual2."""
     out = None
