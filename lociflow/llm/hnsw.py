@@ -138,9 +138,13 @@ class Graph:
         return self.beam(q, self.descend(q, 0), 0, width)[0]
 
 
+#: Tasks of a search at most: more pairs of a shard and a block share one.
+MOST_TASKS = 50_000
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
-    x = x / np.abs(x).max(1, keepdims=True)
+    x = _scaled(x)
     return (x / np.sqrt((x * x).sum(1, keepdims=True))).astype(np.float32)
 
 
@@ -159,8 +163,14 @@ def build(vectors: np.ndarray) -> Graph:
     return g
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times the power of two that brings their largest component near one: exact, and squares stay finite and above zero."""
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(-1, keepdims=True))[1]) if x.size else x
+
+
 def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    q, v = q.astype(np.float64), v.astype(np.float64)
+    q, v = _scaled(q), _scaled(v)
     return (v * q).sum(-1) / (np.sqrt((q * q).sum(-1)) * np.sqrt((v * v).sum(-1)))
 
 
@@ -234,7 +244,7 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, vector: str = "embeddi
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("block").applyInArrow(_block(dim), "block int, queries binary")
     met = asked.select("queries", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")).join(graphs, "shard")
-    met = met.repartition(shards * blocks) if shards * blocks > 1 else met
+    met = met.repartition(min(shards * blocks, MOST_TASKS)) if shards * blocks > 1 else met
     found = met.select("graph", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

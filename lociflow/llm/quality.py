@@ -154,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     size = F.greatest(F.ceil(F.octet_length(whole("text")) / PASSAGE), F.lit(1))
     sizes = docs.select("doc_id", size.alias("_size")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.max("_size").alias("_size"))
     upto = F.sum("_size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = cut(sizes.withColumn("_upto", upto).where(F.col("_upto") <= sample_passages).select("doc_id", "_label"))
+    # A text that alone has more passages than the sample may hold isn't one of it.
+    chosen = cut(sizes.where(F.col("_size") <= sample_passages).withColumn("_upto", upto).where(F.col("_upto") <= sample_passages).select("doc_id", "_label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_label").cast(pa.float64()), lists], ["doc_id", "label", "x"])
 
     rows = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.max("text").alias("text"))
-    table = rows.mapInArrow(run, "doc_id long, label double, x array<float>").toArrow().sort_by("doc_id")
+    table = rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, label double, x array<float>").toArrow().sort_by("doc_id")
     x = table["x"].combine_chunks()
     x = x if isinstance(x, pa.Array) else x.chunk(0)
     sizes = np.diff(x.offsets.to_numpy()) // FEATURES

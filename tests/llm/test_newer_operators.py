@@ -244,3 +244,28 @@ def test_manifest_of_odd_rows(spark):
     assert tampering(documents(rows, spark).limit(0)).count() == 0
     whole = manifest(documents(rows, spark))
     assert whole.where(folded(whole.leaf, whole.proof) == whole.root).count() == len(rows)
+
+
+# --- earlier operators' odd inputs
+
+
+def test_nearest_of_extreme_magnitudes(spark):
+    from lociflow.llm.hnsw import cosines, nearest
+
+    assert np.allclose(cosines(np.array([1e-200, 2e-200]), np.array([[1.0, 2.0], [1e300, -1e300], [-3e-320, -6e-320]])), [1.0, -1 / np.sqrt(10), -1.0])
+    vectors = [(0, [1e-200, 2e-200]), (1, [1.0, 2.0]), (2, [1e300, 2.1e300]), (3, [1e-310, 0.0]), (50, [-1e250, 5e250])]
+    got = nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect()
+    mine = {(g.query_id, g["rank"]): (g.vec_id, g.score) for g in got}
+    assert [mine[0, k][0] for k in (1, 2, 3, 4)] == [1, 2, 50, 3] and abs(mine[0, 1][1] - 1) < 1e-12 and all(np.isfinite(s) for _, s in mine.values())
+
+
+def test_quality_of_other_ids(spark):
+    from lociflow.llm.quality import score, train
+
+    r = np.random.default_rng(3)
+    good = lambda k: " ".join("".join(r.choice(list("abcdefg"), 5)) for _ in range(60)) + f" {k}."
+    rows = [(f"d{k}", good(k) if k % 2 else "#$%^ " * 60 + str(k)) for k in range(200)] + [("big", "x" * 40_000)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{k}", k % 2) for k in range(200)] + [("big", 1)], "doc_id string, quality int")
+    got = {g.doc_id: g.predicted for g in score(docs, train(docs, labels, sample_passages=60)).collect()}
+    assert len(got) == 201 and sum(got[f"d{k}"] == k % 2 for k in range(200)) > 190
