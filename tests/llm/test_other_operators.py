@@ -179,7 +179,9 @@ def test_pipeline(spark, tmp_path, sf):
 def test_pipeline_stages_of_odd_rows(spark, tmp_path):
     """Nulls, empty texts, repeated rows, an empty table, columns whose names stages use themselves."""
     import corpus_pipeline as P
+    from lociflow.llm import quality
     from lociflow.llm.common import read
+    from tests.llm.test_text_operators import fill
 
     sf, extra = "/root/testdata/sf0.001", ["_text", "_score", "_sha", "_gone", "_doc_id", "hash_a", "root", "row", "key", "range", "start", "_copy", "words"]
     base = read(spark, sf, "documents").limit(60).collect()
@@ -187,13 +189,40 @@ def test_pipeline_stages_of_odd_rows(spark, tmp_path):
     rows += [rows[0], rows[0], (None, None, None, None, None), (None, None, None, None, None), (901, "", "en", None, 0), (902, " \t\n", None, "x", 3), (None, rows[1][1], None, None, 1), (903, "word " * 30_000, "en", "x", 5)]
     schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {c} string" for c in extra)
     docs = spark.createDataFrame([(*r, *("v" for _ in extra)) for r in rows], schema)
+    norm = lambda r: re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")
+    words = lambda r: len(WORD.findall(r.text or ""))
+    order = lambda r: (r.doc_id is None, r.doc_id or 0)
+    plain = lambda rows: Counter((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in rows)
     for k, (_, stage) in enumerate(P.STAGES):
         out = stage(spark, docs, sf)
         assert stage(spark, docs.limit(0), sf).count() == 0
         out.write.parquet(f"{tmp_path}/{k}")
         before, docs = docs, spark.read.parquet(f"{tmp_path}/{k}")
+        have, got = before.collect(), docs.collect()
         if k < 4:
-            assert docs.columns == before.columns and set(docs.collect()) <= set(before.collect())
-            assert docs.count() > 0
+            assert docs.columns == before.columns and len(got) > 0
+        if k == 0:  # by the text alone, each row by itself
+            model = quality.train(before, read(spark, sf, "labels"))
+            score = {t: model.score(*quality.passages(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])))[0] for t in {r.text or "" for r in have}}
+            assert plain(got) == plain(r for r in have if score[r.text or ""] >= quality.THRESHOLD)
+            # Whatever it rejected, the next stages see all odd rows.
+            docs = before
+        elif k == 1:  # of equal texts the smallest doc_id, one of repeated rows
+            assert plain(got) == plain({norm(r): r for r in sorted(have, key=order, reverse=True)}.values())
+            assert {r.doc_id for r in got} >= {903, 901, rows[0][0]} and sum(r.doc_id is None for r in got) == 0
+        elif k == 2:  # of each class the smallest doc_id; texts without words all stay
+            some = sorted((r for r in have if words(r)), key=order)
+            roots = near_classes([r.text for r in some])
+            assert plain(got) == plain([r for i, r in enumerate(some) if roots[i] == i] + [r for r in have if not words(r)])
+            assert {901, 902} & {r.doc_id for r in got} and 903 in {r.doc_id for r in got}
+        elif k == 3:  # texts without words go; sources meet their targets, in whole documents
+            sizes, taken, copies = Counter(), Counter(), plain(got)
+            for r in have:
+                sizes[r.source] += words(r)
+            for r in got:
+                taken[r.source] += words(r)
+            assert all(words(r) for r in got) and set(copies) <= set(plain(have)) and max(copies.values()) <= 3
+            for source, target in fill(sizes).items():
+                assert target - 1 <= taken[source] <= target + max(map(words, have))
         else:
-            assert docs.count() == before.count()
+            assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in have)
