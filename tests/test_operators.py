@@ -139,7 +139,7 @@ def test_regions(spark):
     ids = lambda q, **k: {r.read_id for r in pairs.query(t, q, **k).collect()}
     assert ids("b:10-10|a:20-20") == {"r"} and ids("b:11-12|a") == set() and ids("a|b") == set() and ids("a|b", flip=True) == {"r"}
     assert ids("a") == {"s"} and ids("a|*") == {"s", "t"} and ids(".") == {"r", "s", "t"} and ids("a:1-2^a:1", separator="^") == set()
-    assert [r.query for r in pairs.query_list(t, ["a", "a|*", "a:5-5|a"]).where("read_id = 's'").collect()] == [0, 1, 2]
+    assert sorted(r["query"] for r in pairs.query_list(t, ["a", "a|*", "a:5-5|a"]).where("read_id = 's'").collect()) == [0, 1, 2]
     assert pairs.is_triangle(t).first()[0] and pairs.upper_triangle(t, ["a", "b"]).where("chr1 = 'a' AND chr2 = 'b'").count() == 1
     assert pairs.upper_triangle(t, ["a", "b", "c"], strict=True).count() == 2
 
