@@ -13,6 +13,7 @@ behind one whose token makes another of a lower rank with its neighbours, which
 contracts, not as letters.
 
 A worker remembers words: those that come again after their batch are settled, the others are forgotten when they are too many.
+It remembers parts too, of which new words mostly consist, and forgets those that were not met for long.
 DuckDB holds all in memory (MEMORY a worker) and never spills: a part of several million letters without a border is more than
 that, and ends with DuckDB's error.
 
@@ -25,7 +26,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,10 @@ from lociflow.llm.common import in_small_batches, whole
 
 #: Letters that one recursive query takes, and settled and new words that a Python worker remembers.
 QUERY_LETTERS, SETTLED_WORDS, NEW_WORDS = 100_000, 300_000, 100_000
+#: Parts that a worker remembers before those not met since the last time go, and the most bytes of one.
+KNOWN_PARTS, PART_BYTES = 200_000, 64
+#: Matches of tokens that are counted together, and letters, no bytes, that part words and their parts meanwhile.
+MATCHES, GAP, EDGE = 1 << 19, "\u0100", "\u0101"
 MEMORY = "600MB"
 
 # A step contracts pairs of least rank. Positions and sizes count bytes; kind is 0 for pairs of different tokens, 1 for equal
@@ -82,6 +88,20 @@ SELECT word, pos, token FROM step WHERE done
 """
 
 
+def _runs(items: list, letters: Callable[[Any], int]) -> Iterator[list]:
+    """Runs of items of QUERY_LETTERS together, or one longer item."""
+    some, total = [], 0
+    for x in items:
+        n = letters(x)
+        if some and total + n > QUERY_LETTERS:
+            yield some
+            some, total = [], 0
+        some.append(x)
+        total += n
+    if some:
+        yield some
+
+
 class Bpe:
     """The vocabulary of one rank file in a DuckDB connection."""
 
@@ -116,54 +136,74 @@ class Bpe:
             db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             db.unregister("given")
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        # Ids of parts as bytes: met lately, and before; and what a part decodes to where that isn't the part itself.
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.odd_parts: dict[str, bytes] = {}
         # Ids of known words as bytes, and what a word decodes to where that isn't the word itself.
         self.settled: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
 
-    def parts(self, word: bytes) -> list[bytes]:
-        """The word between the borders over which no token lies."""
-        if word in self.ranks or len(word) < 2:
-            return [word]
-        change = [0] * (len(word) + 1)
-        for end, size in self.tokens.iter(word.decode("latin-1")):
-            change[end - size + 2] += 1  # the border before the token's second letter
-            change[end + 1] -= 1
-        edges = [0, *(k for k, open_ in enumerate(itertools.accumulate(change)) if not open_ and 0 < k < len(word)), len(word)]
-        return [word[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    def parts(self, words: list[bytes]) -> list[list[str]]:
+        """Each word between the borders over which no token lies. A part has a letter for each byte."""
+        out = [[w.decode("latin-1")] for w in words]
+        cut = [k for k, w in enumerate(words) if len(w) > 1 and w not in self.ranks]
+        for some in _runs(cut, lambda k: len(words[k])):
+            raw = GAP.join([out[k][0] for k in some])
+            change = np.zeros(len(raw) + 2, np.int64)
+            found = itertools.chain.from_iterable(self.tokens.iter(raw))
+            while len(ends := (matches := np.fromiter(itertools.islice(found, 2 * MATCHES), np.int64))[::2]):
+                change += np.bincount(ends - matches[1::2] + 2, minlength=len(change))  # the border before the token's second letter
+                change -= np.bincount(ends + 1, minlength=len(change))
+            edges = np.flatnonzero(np.cumsum(change[:-2]) == 0)[1:]
+            letters = np.insert(np.frombuffer(raw.encode("utf-16-le"), np.uint16), edges, ord(EDGE))
+            for k, parted in zip(some, letters.tobytes().decode("utf-16-le").split(EDGE + GAP + EDGE), strict=True):
+                out[k] = parted.split(EDGE)
+        return out
 
     def learn(self, words: list[str]) -> None:
         """Encodes and decodes words."""
         raws = [w.encode("utf-8", "surrogatepass") for w in words]
-        split = [self.parts(raw) for raw in raws]
-        fresh = list(dict.fromkeys(p for ps in split for p in ps))
-        known: dict[bytes, tuple[bytes, bytes]] = {}  # ids and what they decode to
-        at = 0
-        while at < len(fresh):
-            some, letters = [], 0
-            while at < len(fresh) and (not some or letters + len(fresh[at]) <= QUERY_LETTERS):
-                letters += len(fresh[at])
-                some.append(fresh[at])
-                at += 1
-            ids, pieces, edges = self.contract(some)
-            data = memoryview(ids.tobytes())
-            known.update((p, (bytes(data[4 * a : 4 * b]), b"".join(pieces[a:b]))) for p, a, b in zip(some, edges[:-1], edges[1:], strict=True))
+        split = self.parts(raws)
+        known: dict[str, bytes] = {}
+        fresh = []
+        for p in dict.fromkeys(itertools.chain.from_iterable(split)):
+            ids = self.recent.get(p)
+            if ids is None:
+                ids = self.older.get(p)
+            if ids is None:
+                fresh.append(p)
+            else:
+                known[p] = ids
+        for some in _runs(fresh, len):
+            plain = [p.encode("latin-1") for p in some]
+            ids, pieces, edges = self.contract(plain)
+            data = ids.tobytes()
+            known.update((p, data[4 * a : 4 * b]) for p, a, b in zip(some, edges[:-1], edges[1:], strict=True))
+            if b"".join(pieces) != b"".join(plain):
+                backs = (b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True))
+                self.odd_parts.update((p, back) for p, own, back in zip(some, plain, backs, strict=True) if back != own)
         for word, raw, ps in zip(words, raws, split, strict=True):
-            self.new[word] = b"".join([known[p][0] for p in ps])
-            if (back := b"".join([known[p][1] for p in ps])) != raw:
+            self.new[word] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+            if self.odd_parts and (back := b"".join([self.odd_parts.get(p) or p.encode("latin-1") for p in ps])) != raw:
                 self.odd[word] = back
+        self.recent.update((p, ids) for p, ids in known.items() if len(p) <= PART_BYTES)
+        if len(self.recent) > KNOWN_PARTS:
+            self.older, self.recent = self.recent, {}
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes], list[int]]:
         """Token ids and bytes of all words in a row, and len + 1 offsets of each word's."""
-        whole = [self.ranks.get(w) for w in words]
-        sizes = np.array([len(w) if t is None else 1 for w, t in zip(words, whole, strict=True)])
+        whole = [self.ranks.get(w, -1) for w in words]
+        sizes = np.array([len(w) if t < 0 else 1 for w, t in zip(words, whole, strict=True)])
         at = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        token = np.concatenate([self.byte_ids[np.frombuffer(w, np.uint8)] if t is None else np.array([t], np.int32) for w, t in zip(words, whole, strict=True)])
+        given = np.repeat(np.array(whole, np.int32), sizes)
+        given[given < 0] = self.byte_ids[np.frombuffer(b"".join([w for w, t in zip(words, whole, strict=True) if t < 0]), np.uint8)]
         start = pa.table(
             {
                 "word": pa.array(np.repeat(np.arange(len(words), dtype=np.int32), sizes)),
                 "pos": pa.array((np.arange(sizes.sum()) - at).astype(np.int32)),
-                "token": pa.array(token),
+                "token": pa.array(given),
             }
         )
         self.db.register("given", start)

@@ -428,6 +428,52 @@ def test_bpe_remembers_and_forgets(monkeypatch):
         assert len(b.settled) <= 3 and len(b.new) <= 4 + 5
 
 
+def test_bpe_remembers_parts(monkeypatch):
+    """New words of known parts, and words that were forgotten, don't go through the query again; parts not met for long go; all
+    keep the ids of the tokenizer's library, and what ids decode to comes from the vocabulary, known parts included."""
+    import public_tokenizers as P
+    import tiktoken
+
+    from lociflow.llm import bpe as B
+
+    monkeypatch.setattr(B, "NEW_WORDS", 0)
+    b = B.Bpe(P.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=b.ranks, special_tokens={})
+    given, contract = [], b.contract
+    monkeypatch.setattr(b, "contract", lambda words: given.extend(words) or contract(words))
+
+    def right(words):
+        for word, ids in zip(words, b.find(words), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain._encode_single_piece(word), word[:40]
+
+    r = np.random.default_rng(8)
+    parts = ["zq", "xjx", "wörd", "q0", "中", "vvk", "aa", "\x7f"]
+    words = list(dict.fromkeys(" " + "".join(r.choice(parts, n)) for n in r.integers(1, 9, 400).tolist()))
+    right(words[:200])
+    assert len(given) == len(set(given)) and not b.new
+    once = len(given)
+    right(words[:200])
+    assert len(given) == once
+    right(words[200:])
+    assert len(given) == len(set(given))  # no part twice
+
+    monkeypatch.setattr(B, "KNOWN_PARTS", 40)
+    for k in range(0, len(words), 20):
+        right(words[k : k + 20])
+        assert len(b.recent) <= 40 and len(b.older) <= 40 + 20 * 17
+    long = "zqxjx" * 4000 + "a" * 1000
+    right([long, long[:300], "b" * 100, long[1:]])
+    assert max(map(len, (*b.recent, *b.older))) <= B.PART_BYTES
+
+    b = B.Bpe(P.path("byte_bpe_multi_50k.tiktoken"))
+    b.db.execute("UPDATE vocabulary SET bytes = 'Q'::BLOB WHERE token = ?", [b.ranks[b"z"]])
+    b.find(["z", "a"])
+    assert b.odd == {"z": b"Q"}
+    b.new, b.odd = {}, {}
+    b.find(["z"])
+    assert b.odd == {"z": b"Q"}
+
+
 def test_sharding(docs, empty, spark):
     from lociflow.llm.sharding import shard
 
