@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from lociflow.llm.common import in_small_batches, whole
 
 #: Letters that one recursive query takes, and settled and new words that a Python worker remembers.
-QUERY_LETTERS, SETTLED_WORDS, NEW_WORDS = 100_000, 300_000, 100_000
+QUERY_LETTERS, SETTLED_WORDS, NEW_WORDS = 100_000, 150_000, 100_000
 #: Parts that a worker remembers before those not met since the last time go, and the most bytes of one.
-KNOWN_PARTS, PART_BYTES = 200_000, 64
+KNOWN_PARTS, PART_BYTES = 60_000, 64
 #: Matches of tokens that are counted together, and letters, no bytes, that part words and their parts meanwhile.
-MATCHES, GAP, EDGE = 1 << 19, "\u0100", "\u0101"
+MATCHES, GAP, EDGE = 1 << 14, "\u0100", "\u0101"
 MEMORY = "600MB"
 
 # A step contracts pairs of least rank. Positions and sizes count bytes; kind is 0 for pairs of different tokens, 1 for equal
@@ -154,8 +154,11 @@ class Bpe:
             change = np.zeros(len(raw) + 2, np.int64)
             found = itertools.chain.from_iterable(self.tokens.iter(raw))
             while len(ends := (matches := np.fromiter(itertools.islice(found, 2 * MATCHES), np.int64))[::2]):
-                change += np.bincount(ends - matches[1::2] + 2, minlength=len(change))  # the border before the token's second letter
-                change -= np.bincount(ends + 1, minlength=len(change))
+                starts = ends - matches[1::2] + 2  # the border before the token's second letter
+                for borders, by in ((starts, 1), (ends + 1, -1)):
+                    low = borders.min()
+                    number = np.bincount(borders - low)
+                    change[low : low + len(number)] += by * number
             edges = np.flatnonzero(np.cumsum(change[:-2]) == 0)[1:]
             letters = np.insert(np.frombuffer(raw.encode("utf-16-le"), np.uint16), edges, ord(EDGE))
             for k, parted in zip(some, letters.tobytes().decode("utf-16-le").split(EDGE + GAP + EDGE), strict=True):
