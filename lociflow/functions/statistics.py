@@ -97,15 +97,24 @@ def noncentral_p(n: pd.Series, row: pd.Series, column: pd.Series, total: pd.Seri
     return p.where(table["odds"].notna() | table.drop(columns="odds").isna().any(axis=1), 1.0)
 
 
+def _poisson_terms(k: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """P(X = k) for k > 0, as a deviance and Stirling's error: k * log(mean) and log(k!) would cancel, and lose digits as k grows."""
+    off, x = (k - mean) / mean, k.astype(float)
+    near = np.minimum(off, 1.0)
+    deviance = np.where(off > 1, x * (np.log(x) - np.log(mean)) + mean - x, mean * ((1 + near) * np.log1p(near) - near))
+    small = np.array([0.0, *(math.lgamma(j + 1) - (j + 0.5) * math.log(j) + j - 0.5 * math.log(2 * math.pi) for j in range(1, 16))])
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * x * x)) / (x * x)) / (x * x)) / x
+    return np.exp(-deviance - np.where(k < 16, small[np.minimum(k, 15)], series)) / np.sqrt(2 * math.pi * x)
+
+
 def poisson_tails(n: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """P(X >= n) of Poisson distributions. Above the mean the tail's own terms are summed, so that small values stay exact."""
     n, mean = np.asarray(n, np.int64), np.asarray(mean, float)
     out = np.ones(len(n))
-    log_factorial = np.concatenate((np.zeros(1), np.cumsum(np.log(np.arange(1, max(int(n.max(initial=0)), 1) + 1)))))
     some = np.flatnonzero((n > 0) & (mean > 0))
     k, m = n[some], mean[some]
     with np.errstate(under="ignore"):
-        term = np.exp(k * np.log(m) - m - log_factorial[k])
+        term = _poisson_terms(k, m)
         up = k > m
         total, part, j = np.where(up, term, 0.0), np.where(up, term, 0.0), k.astype(float)
         while (part > total * 1e-17).any():

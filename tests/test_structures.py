@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import time
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -182,6 +183,17 @@ def depths(rows, size, low, high):
     return out
 
 
+def test_poisson_tails_of_deep_places_keep_their_digits():
+    with localcontext() as context:
+        context.prec = 50
+        for n, mean in ((462, 462.8277), (520, 462.8277), (1000, 1031.25), (1133, 925.6554), (95, 77.13795), (3, 1e-300)):
+            below, term = Decimal(0), (-Decimal(mean)).exp()
+            for j in range(n):
+                below, term = below + term, term * Decimal(mean) / (j + 1)
+            want = 1 - below
+            assert abs(Decimal(float(poisson_tails([n], [mean])[0])) - want) <= Decimal("2e-13") * want + Decimal("1e-40")
+
+
 @pytest.mark.parametrize("with_control", [True, False])
 def test_local_background(spark, with_control):
     (rows, t), (others, control) = tags(spark), tags(spark, 9, 300)
