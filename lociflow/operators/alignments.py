@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.functions.sequence import reference_length
-from lociflow.operators.intervals import inner_join
+from lociflow.operators.intervals import inner_join, totals
 
 # Flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, FIRST, SECOND, SECONDARY, FAILED, DUPLICATE = (1 << k for k in range(11))
@@ -55,14 +55,17 @@ def mapping_state(xt: Column) -> Column:
 def count_regions(reads: DataFrame, regions: DataFrame, file: str | None = None, files: list[str] | None = None) -> DataFrame:
     """Records and bases of reads that start in each region(region_id, chrom, start, end), 0-based half-open. `file` names a
     column of the reads, `files` its values: a row for each region and file then."""
-    by = [file] if file else []
-    points = reads.select(F.col("rname").alias("chrom"), (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"), F.coalesce(F.length("seq"), F.lit(0)).alias("bases"), *by)
-    hits = inner_join(regions.select("region_id", "chrom", "start", "end"), points, ["chrom"])
-    t = hits.groupBy(F.col("l_region_id").alias("region_id"), *(F.col(f"r_{c}").alias(c) for c in by)).agg(F.count(F.lit(1)).alias("records"), F.sum("r_bases").alias("bases"))
-    every = regions.select("region_id")
-    if file:
-        every = every.withColumn(file, F.explode(F.array(*map(F.lit, files or []))))
-    return every.join(t, ["region_id", *by], "left").fillna(0, ["records", "bases"])
+    n = F.coalesce(F.length("seq"), F.lit(0))
+    own = [F.lit(True)] if file is None else [F.col(file) == v for v in files or []]
+    cells = [(f"_records{k}", f"_bases{k}") for k in range(len(own))]
+    of = [F.when(is_own, x).otherwise(0).cast("long").alias(c) for is_own, pair in zip(own, cells, strict=True) for c, x in zip(pair, (F.lit(1), n), strict=True)]
+    points = reads.select(F.col("rname").alias("chrom"), (F.col("pos") - 1).alias("pos"), *of)
+    within = regions.select("region_id", "chrom", F.col("start").cast("long").alias("start"), (F.col("end") - 1).cast("long").alias("end"))
+    t = totals(within, points, ["chrom"], [c for pair in cells for c in pair])
+    if file is None:
+        return t.select("region_id", F.col("_records0").alias("records"), F.col("_bases0").alias("bases"))
+    rows = [F.struct(F.lit(v).alias(file), F.col(r).alias("records"), F.col(b).alias("bases")) for v, (r, b) in zip(files or [], cells, strict=True)]
+    return t.select("region_id", F.inline(F.array(*rows)))
 
 
 def self_ligations(reads: DataFrame, most: int = 8000) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociflow.functions.statistics import poisson_tails, step_up
-from lociflow.operators import density, graphs, pairs, pets, reproducibility
+from lociflow.operators import alignments, density, graphs, intervals, pairs, pets, phasing, reproducibility
 
 
 def frame(spark, rows, schema):
@@ -276,3 +276,57 @@ def test_binding_positions(spark):
     assert {(x.chrom, x.pos): (x.score, x.fdr) for x in got} == {k: (v, rate[v]) for k, v in real.items() if v >= cutoff}
     assert any(abs(x.pos - 2000) < 60 for x in got)
     assert density.separation_of(density.cross_correlation(t, 400, 10), 50) in range(100, 200)
+
+
+# --- what lies in ranges
+
+
+def test_totals_of_ranges(spark):
+    r = random.Random(3)
+    place = lambda: r.choice([r.randint(-300, 3000), r.randint(-5, 5), r.randint(0, 1 << 40), 1 << 60])
+    ranges = [(i, r.choice("ab"), s := place(), s + r.choice([0, 0, 1, -1, -7, 5, 100, 3000, 1 << 33, 1 << 59])) for i in range(300)] + [(300, "a", None, 5), (301, None, 1, 5)]
+    points = [(r.choice("ab"), place(), r.randint(0, 9), r.choice([None, 3, 8, 9])) for _ in range(400)] + [("a", None, 1, 9), (None, 3, 1, 9)]
+    got = intervals.totals(frame(spark, ranges, "id long, chrom string, start long, end long"), frame(spark, points, "chrom string, pos long, n long, v long"), ["chrom"], ["n"], ["v"]).collect()
+    want = {}
+    for i, chrom, s, e in ranges:
+        inside = [p for p in points if chrom and s is not None and p[0] == chrom and p[1] is not None and s <= p[1] <= e]
+        want[i] = (sum(p[2] for p in inside), max((p[3] for p in inside if p[3] is not None), default=None))
+    assert {x.id: (x.n, x.v) for x in got} == want and len(got) == len(ranges)
+
+
+def rows_of_plan(df):
+    """The most rows that any part of the plan that ran gives."""
+    most, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+            continue
+        if node.metrics().contains("numOutputRows"):
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        left += [node.children().apply(k) for k in range(node.children().size())]
+    return most
+
+
+def test_crowded_peaks_are_phased_without_their_pairs(spark):
+    n = 2000
+    peaks = spark.range(n).selectExpr("id", "'c' AS chrom", "1000 + id AS start", "6000 + id AS end")
+    snps = spark.range(n).selectExpr("'c' AS chrom", "5000 AS pos", "id % 40 AS coverage", "CASE WHEN id % 40 = 39 THEN 'M' WHEN id % 2 = 0 THEN 'P' ELSE 'N' END AS allele")
+    t = phasing.peak_phase(peaks, snps)
+    assert {(x.phase, x.phased_snps) for x in t.collect()} == {("Mix", n // 2 + n // 40)} and rows_of_plan(t) <= 4 * n
+    tied = frame(spark, [("c", 5000, 9, a) for a in "NMN"] + [("c", 5001, 9, "N")], "chrom string, pos long, coverage long, allele string")
+    assert {(x.phase, x.phased_snps) for x in phasing.peak_phase(peaks.where("id < 9"), tied).collect()} == {("M", 1)}
+
+
+def test_reads_of_crowded_regions_are_counted_without_their_pairs(spark):
+    n = 2000
+    regions = spark.range(n).selectExpr("id AS region_id", "'c' AS chrom", "1000 + id AS start", "6000 + id AS end")
+    reads = spark.range(n).selectExpr("'c' AS rname", "5000 + id % 2 AS pos", "'ACGT' AS seq", "CAST(id % 4 AS INT) AS lane")
+    t = alignments.count_regions(reads, regions, "lane", [0, 1, 7])
+    got = {(x.region_id, x.lane): (x.records, x.bases) for x in t.collect()}
+    assert got == {(k, lane): (n // 4, n) if lane < 7 else (0, 0) for k in range(n) for lane in (0, 1, 7)} and rows_of_plan(t) <= 6 * n
+    assert alignments.count_regions(reads, regions.where("region_id = 5")).first().bases == 4 * n
