@@ -330,3 +330,27 @@ def test_reads_of_crowded_regions_are_counted_without_their_pairs(spark):
     got = {(x.region_id, x.lane): (x.records, x.bases) for x in t.collect()}
     assert got == {(k, lane): (n // 4, n) if lane < 7 else (0, 0) for k in range(n) for lane in (0, 1, 7)} and rows_of_plan(t) <= 6 * n
     assert alignments.count_regions(reads, regions.where("region_id = 5")).first().bases == 4 * n
+
+
+def test_first_of_those_that_meet(spark):
+    r = random.Random(5)
+    place = lambda: r.choice([r.randint(-60, 400), r.randint(0, 1 << 22)])
+    some = lambda n, longest: [(i, r.choice("ab"), s := place(), s + r.choice([0, 3, r.randint(0, longest)])) for i in range(n)]
+    right, left = some(150, 300) + [(150, "a", 5, None)], some(300, 2000) + [(300, None, 1, 5), (301, "c", 1, 5), (302, "a", None, 5)]
+    right.append((151, "b", 200_000, 3_900_000))
+    of = "id long, chrom string, start long, end long"
+    got = {x.id: x.v for x in intervals.first_met(frame(spark, left, of), frame(spark, right, of).withColumnRenamed("id", "v"), ["chrom"], "v").collect()}
+    want = {}
+    for i, chrom, s, e in left:
+        meets = [(a, b, k) for k, c, a, b in right if c == chrom and s is not None and b is not None and s <= b and a <= e]
+        want[i] = min(meets)[2] if meets else None
+    assert got == want and sum(v is not None for v in want.values()) > 100
+
+
+def test_crowded_peaks_name_their_first_side_without_pairs(spark):
+    n = 2000
+    peaks = spark.range(n).selectExpr("id", "'chr0' AS chrom", "1000 + id AS start", "6000 + id AS end", "CASE WHEN id = 0 THEN 'Mix' WHEN id % 2 = 1 THEN 'P' ELSE 'M' END AS phase")
+    loops = spark.range(n).selectExpr("id AS loop_id", "'chr0' AS chrom", "4000 AS s1", "4100 + id AS e1", "6500 AS s2", "9000 + id AS e2", "3 AS n")
+    t = phasing.loop_phase(loops, peaks)
+    assert {(x["head"], x["tail"], x.phase) for x in t.collect()} == {("P", "M", "Crossed")} and t.count() == n
+    assert rows_of_plan(t) <= 6 * n
