@@ -354,3 +354,19 @@ def test_crowded_peaks_name_their_first_side_without_pairs(spark):
     t = phasing.loop_phase(loops, peaks)
     assert {(x["head"], x["tail"], x.phase) for x in t.collect()} == {("P", "M", "Crossed")} and t.count() == n
     assert rows_of_plan(t) <= 6 * n
+
+
+def test_crowded_peaks_are_annotated_without_their_pairs(spark):
+    n = 400
+    peaks = spark.range(n).selectExpr("id", "'c' AS chrom", "1000 + id AS start", "1500 + id AS end")
+    peaks = peaks.union(frame(spark, [(n, "c", 0, 1 << 24), (n + 1, "c", 1500, 1500), (n + 2, "c", 70_000, 69_000), (n + 3, "d", 0, 9)], peaks.schema))
+    snps = spark.range(n).selectExpr("'c' AS chrom", "1450 + id % 100 AS pos", "concat('s|', id) AS name", "id % 3 AS p", "1 AS m", "CASE id % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'N' ELSE 'P' END AS allele")
+    phases = peaks.selectExpr("id", "IF(id = 7, 'Unphased', 'Mix') AS phase", "2L AS phased_snps")
+    t = phasing.peak_annotation(peaks, snps, phases)
+    rows, points = t.collect(), sorted((1450 + i % 100, f"{1450 + i % 100},{'M P'[i % 3]},{i % 3}:1,s:{i}") for i in range(n) if i % 3 != 1)
+    want = {}
+    for x in peaks.where("id <> 7").collect():
+        if lines := [line for pos, line in points if x.start <= pos <= x.end]:
+            want[f"{x.chrom}:{x.start}-{x.end}"] = "|".join(lines)
+    assert {x.place: x.snps for x in rows} == want and len(rows) == len(want) and {(x.phase, x.phased_snps) for x in rows} == {("Mix", 2)}
+    assert rows_of_plan(t) <= 8 * n
