@@ -318,6 +318,8 @@ def test_crowded_peaks_are_phased_without_their_pairs(spark):
     snps = spark.range(n).selectExpr("'c' AS chrom", "5000 AS pos", "id % 40 AS coverage", "CASE WHEN id % 40 = 39 THEN 'M' WHEN id % 2 = 0 THEN 'P' ELSE 'N' END AS allele")
     t = phasing.peak_phase(peaks, snps)
     assert {(x.phase, x.phased_snps) for x in t.collect()} == {("Mix", n // 2 + n // 40)} and rows_of_plan(t) <= 4 * n
+    sinks = phasing.phased_peak_rows(peaks, phasing.peak_phase(peaks, snps))
+    assert len(sinks.collect()) == 3 * n and rows_of_plan(sinks) <= 4 * n
     tied = frame(spark, [("c", 5000, 9, a) for a in "NMN"] + [("c", 5001, 9, "N")], "chrom string, pos long, coverage long, allele string")
     assert {(x.phase, x.phased_snps) for x in phasing.peak_phase(peaks.where("id < 9"), tied).collect()} == {("M", 1)}
 
